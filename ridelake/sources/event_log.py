@@ -1,0 +1,51 @@
+"""A general event log, read as ride events.
+
+The log has (event_id, ts, user_id, event_type, value, props) with event types
+view, purchase, error, signup and click. Views, purchases and errors become ride
+events, four consecutive ids being one ride; signups and clicks are split over
+the driver and customer events by id.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+_EVENT_TYPE = """
+    CASE event_type
+      WHEN 'view' THEN 'ride_started'
+      WHEN 'purchase' THEN 'ride_completed'
+      WHEN 'error' THEN 'ride_cancelled'
+      WHEN 'signup' THEN CASE event_id % 3
+        WHEN 0 THEN 'customer_registered' WHEN 1 THEN 'driver_registered' ELSE 'driver_activated' END
+      WHEN 'click' THEN CASE event_id % 2
+        WHEN 0 THEN 'driver_location_update' ELSE 'customer_ride_request' END
+    END
+"""
+
+# A few users with many events.
+_USER = "CASE WHEN user_id % 3 = 0 THEN user_id % 10 ELSE user_id END"
+
+# Users without rides, and users whose last ride is early.
+_KEPT = """
+    event_type NOT LIKE 'ride%' OR NOT (u % 7 = 1 OR (u % 4 = 0 AND ts >= TIMESTAMP_NTZ '2024-01-05 00:00:00'))
+"""
+
+
+def events_as_rides(log: DataFrame) -> DataFrame:
+    return (
+        log.withColumns({"event_type": F.expr(_EVENT_TYPE), "u": F.expr(_USER)})
+        .filter(_KEPT)
+        .selectExpr(
+            "CAST(event_id AS STRING) AS event_id",
+            "event_type",
+            "CAST(ts AS TIMESTAMP) AS event_timestamp",
+            "CAST(u AS STRING) AS user_id",
+            "CAST((event_id DIV 4) % 40 AS STRING) AS driver_id",
+            "CAST(event_id DIV 4 AS STRING) AS ride_id",
+            "CAST(12.902 + 0.01 * (user_id % 20) AS DOUBLE) AS latitude",
+            "CAST(77.502 + 0.01 * (event_id % 7) AS DOUBLE) AS longitude",
+            "props AS event_data",
+            "'app' AS source",
+        )
+    )

@@ -1,0 +1,102 @@
+"""An entity's summaries, micro-batch by micro-batch.
+
+A directory ``<first>-<last>`` holds the summary of those micro-batches, and counts
+once its marker file is there. Each micro-batch adds one directory; folding merges
+neighbours into one. So a micro-batch costs what it holds, never the history, and
+events may come as late as they like, as no state is ever closed.
+
+Only the stream of the entity writes here. A directory is written whole under a
+name that depends on the batches alone, so a micro-batch that is run again after a
+crash replaces its own output and nothing is counted twice.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ridelake.operators.mergeable import Entity
+from ridelake.schemas import EVENT
+from ridelake.sources import storage
+
+_MARKER = "_WHOLE"
+
+
+@dataclass(frozen=True, order=True)
+class Span:
+    first: int
+    last: int
+
+    def covers(self, other: Span) -> bool:
+        return self.first <= other.first and other.last <= self.last
+
+
+@dataclass(frozen=True)
+class SummaryLog:
+    spark: SparkSession
+    root: str
+    entity: Entity
+
+    def spans(self) -> list[Span]:
+        """All whole directories."""
+        names = [name for name in storage.subdirectories(self.spark, self.root) if name[0].isdigit()]
+        spans = [Span(*map(int, name.split("-"))) for name in names]
+        return sorted(span for span in spans if storage.exists(self.spark, f"{self._path(span)}/{_MARKER}"))
+
+    def current(self) -> list[Span]:
+        """The widest spans, which together hold every batch once."""
+        spans = self.spans()
+        return [span for span in spans if not any(other != span and other.covers(span) for other in spans)]
+
+    def add(self, summary: DataFrame, batch_id: int, fold_every: int) -> None:
+        """Add a micro-batch, and fold whenever ``fold_every`` spans of one width are there.
+
+        The span folded is the widest power of ``fold_every`` batches ending here:
+        rows are rewritten a logarithmic number of times, and a reader finds few spans.
+        """
+        batch = Span(batch_id, batch_id)
+        if any(span != batch and span.covers(batch) for span in self.spans()):
+            return  # folded just before a crash, now run again
+        self._write(summary, batch)
+
+        width, batches = 1, batch_id + 1
+        while fold_every > 1 and batches % (width * fold_every) == 0:
+            width *= fold_every
+        if width > 1:
+            self.fold(Span(batches - width, batch_id))
+
+    def fold(self, span: Span | None = None) -> None:
+        """Merge the batches of ``span`` (all by default) into one directory.
+
+        What an earlier fold merged is removed now, what this one merges stays until
+        the next, for readers at work. Not to be called beside a running stream.
+        """
+        current = self.current()
+        if not current:
+            return
+        span = span or Span(current[0].first, current[-1].last)
+        merged = [old for old in current if span.covers(old)]
+        if not merged or merged == [span]:
+            return
+        for old in set(self.spans()) - set(current):
+            storage.delete(self.spark, self._path(old))
+        self._write(self.entity.merge(self._read(merged)), span)
+
+    def read(self) -> DataFrame:
+        """The summary of everything so far."""
+        current = self.current()
+        if not current:
+            return self.entity.summarise(self.spark.createDataFrame([], EVENT))
+        rows = self._read(current)
+        return rows if len(current) == 1 else self.entity.merge(rows)
+
+    def _path(self, span: Span) -> str:
+        return f"{self.root}/{span.first}-{span.last}"
+
+    def _read(self, spans: list[Span]) -> DataFrame:
+        return self.spark.read.parquet(*[self._path(span) for span in spans])
+
+    def _write(self, summary: DataFrame, span: Span) -> None:
+        summary.write.mode("overwrite").parquet(self._path(span))
+        storage.touch(self.spark, f"{self._path(span)}/{_MARKER}")
