@@ -125,7 +125,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "data_quality_events": lambda events: check_data_quality(events, "events", EVENT, key="event_id"),
         "data_quality_rides": lambda events: check_data_quality(events, "events", _CONFORMED, key="ride_id"),
         "gold_row_counts": lambda events: row_counts(gold.build_all(_silver(events), AS_OF)),
-        "kafka_pack": lambda events: kafka.pack(analytics.daily_ride_metrics(silver.rides(events)), "driver_id"),
+        "kafka_pack": lambda events: kafka.pack(analytics.last_ride_per_customer(silver.rides(events)), "user_id"),
     }
     return {name: _query(transform) for name, transform in transforms.items()}
 
@@ -344,6 +344,14 @@ def oracle_sql() -> dict[str, str]:
             select=_quality(("event_id", "event_type", "event_timestamp", "source"), "event_id", 0)
         ),
         "data_quality_rides": _with(select=_quality((), "ride_id", 1)),
+        "kafka_pack": _with(
+            _RIDES,
+            select="""
+            SELECT user_id AS key, '{"user_id":"' || user_id || '"' ||
+              coalesce(',"last_ride_date":"' || strftime(last_ride_date, '%Y-%m-%dT%H:%M:%S.%f') || 'Z"', '') || '}'
+              AS value
+            FROM (SELECT user_id, max(ride_started_timestamp) AS last_ride_date FROM rides GROUP BY user_id)""",
+        ),
         "gold_row_counts": _with(
             *everything,
             select=" UNION ALL ".join(

@@ -1,0 +1,230 @@
+"""Silver tables: one row per ride, driver, customer."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from conftest import READ_EVENT, event, naive, rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+import literal
+from ridelake.functions.schema import validate_schema
+from ridelake.operators.drivers import latest_location
+from ridelake.plans import silver
+from ridelake.schemas import CUSTOMERS, DRIVERS, RIDES
+from ridelake.values import CUSTOMER_EVENTS, DRIVER_EVENTS, RIDE_EVENTS
+
+ALL_EVENTS = RIDE_EVENTS + DRIVER_EVENTS + CUSTOMER_EVENTS
+
+
+def one(df, *columns):
+    (row,) = rows(df, *columns)
+    return row
+
+
+# -- rides --------------------------------------------------------------------
+
+
+def test_ride_row(frame):
+    events = frame(
+        event("ride_completed", "2024-01-01 10:20:30.9", ride="r", driver="d", user="u", lat=3.0, long=4.0),
+        event("ride_started", "2024-01-01 10:00:00.1", ride="r", driver="d", user="u", lat=1.0, long=2.0),
+        event("driver_location_update", "2024-01-01 09:00:00", ride="r", driver="other", lat=9.0, long=9.0),
+    )
+    ride = silver.rides(events, as_of="2024-02-05")
+    assert validate_schema(ride, RIDES)
+    (row,) = rows(ride)
+    assert row == (
+        "r", "d", "u",
+        naive("2024-01-01 10:00:00.1"), 1.0, 2.0,
+        naive("2024-01-01 10:20:30.9"), 3.0, 4.0,
+        None, None, None,
+        1230, naive("2024-02-05").date(),
+    )
+
+
+def test_each_ride_value_is_its_own_earliest_non_null(frame):
+    events = frame(
+        event("ride_started", "2024-01-01 10:00:00", ride="r", long=2.0, user="u1"),
+        event("ride_started", "2024-01-01 11:00:00", ride="r", lat=5.0, long=6.0, driver="d2", user="u2"),
+        event("ride_started", "2024-01-01 10:30:00", ride="r", lat=3.0),
+        event("ride_cancelled", "2024-01-01 10:45:00", ride="r", driver="d1"),
+    )
+    columns = ("ride_started_timestamp", "ride_started_lat", "ride_started_long", "driver_id", "user_id")
+    assert one(silver.rides(events), *columns) == (naive("2024-01-01 10:00:00"), 3.0, 2.0, "d1", "u1")
+
+
+def test_equal_times_go_to_the_smaller_event_id(frame):
+    same = "2024-01-01 10:00:00"
+    events = frame(
+        event("ride_started", same, ride="r", lat=2.0, long=2.0, driver="d", user="u", id="b"),
+        event("ride_started", same, ride="r", lat=1.0, long=1.0, id="a"),
+        event("ride_started", same, ride="r", lat=3.0, long=3.0, driver="e", user="v", id="c"),
+    )
+    assert one(silver.rides(events), "ride_started_lat", "driver_id") == (1.0, "d")
+
+
+def test_event_without_time_never_wins_over_one_with(frame):
+    events = frame(
+        event("ride_started", None, ride="r", lat=1.0, long=1.0, driver="d", user="u", id="a"),
+        event("ride_started", "2024-01-01", ride="r", lat=2.0, long=2.0, driver="d", user="u", id="b"),
+        event("ride_started", None, ride="s", lat=1.0, long=1.0, id="a"),
+    )
+    assert rows(silver.rides(events), "ride_id", "ride_started_timestamp", "ride_started_lat") == [
+        ("r", naive("2024-01-01"), 2.0),
+        ("s", None, 1.0),
+    ]
+
+
+def test_durations(frame):
+    events = frame(
+        event("ride_completed", "2024-01-01 10:00:00", ride="no start"),
+        event("ride_started", "2024-01-01 10:00:00", ride="no end"),
+        event("ride_started", "2024-01-01 10:00:10", ride="backwards"),
+        event("ride_completed", "2024-01-01 10:00:00", ride="backwards"),
+        event("ride_started", "2024-01-01 10:00:00", ride="both"),
+        event("ride_completed", "2024-01-01 10:01:00", ride="both"),
+        event("ride_cancelled", "2024-01-01 10:02:00", ride="both"),
+    )
+    assert rows(silver.rides(events), "ride_id", "duration_seconds") == [
+        ("backwards", -10), ("both", 60), ("no end", None), ("no start", None),
+    ]
+
+
+def test_events_without_a_ride_are_one_row(frame):
+    events = frame(
+        event("ride_started", "2024-01-01", driver="d"), event("ride_cancelled", "2024-01-02", driver="e")
+    )
+    assert rows(silver.rides(events), "ride_id", "driver_id") == [(None, "d")]
+
+
+# -- drivers ------------------------------------------------------------------
+
+
+def test_driver_row(frame):
+    events = frame(
+        event("driver_registered", "2024-01-01", driver="d", lat=1.0, long=2.0),
+        event("driver_activated", "2024-01-02", driver="d", lat=3.0, long=4.0),
+        event("driver_location_update", "2024-01-03", driver="d", lat=5.0, long=6.0),
+        event("driver_location_update", "2024-01-05", driver="d", lat=7.0, long=8.0),
+        event("driver_location_update", "2024-01-04", driver="d", lat=9.0, long=9.0),
+    )
+    drivers = silver.drivers(events)
+    assert validate_schema(drivers, DRIVERS)
+    assert one(drivers) == ("d", naive("2024-01-01"), 1.0, 2.0, naive("2024-01-02"), 3.0, 4.0, 7.0, 8.0)
+
+
+def test_driver_with_location_updates_only_is_kept(frame):
+    events = frame(event("driver_location_update", "2024-01-03", driver="d", lat=5.0, long=6.0))
+    assert one(silver.drivers(events)) == ("d", *[None] * 6, 5.0, 6.0)
+
+
+def test_nobody_has_no_location(frame):
+    events = frame(
+        event("driver_registered", "2024-01-01", lat=1.0, long=2.0),
+        event("driver_location_update", "2024-01-03", lat=5.0, long=6.0),
+    )
+    assert one(silver.drivers(events), "driver_id", "driver_registered_lat", "latitude") == (None, 1.0, None)
+
+
+def test_latest_location_keeps_its_nulls(frame):
+    events = frame(
+        event("driver_location_update", "2024-01-01", driver="d", lat=5.0, long=6.0),
+        event("driver_location_update", "2024-01-02", driver="d", long=7.0),
+    )
+    assert one(silver.drivers(events), "latitude", "longitude") == (None, 7.0)
+
+
+def test_latest_location_ties(frame):
+    same = "2024-01-01"
+    events = frame(
+        event("driver_location_update", same, driver="d", lat=1.0, id="a"),
+        event("driver_location_update", same, driver="d", lat=2.0, id="b"),
+        event("driver_location_update", None, driver="d", lat=3.0, id="c"),
+    )
+    assert rows(latest_location(events)) == [("d", 2.0, None)]
+    assert rows(latest_location(events, ties="all")) == [("d", 1.0, None), ("d", 2.0, None)]
+    with pytest.raises(ValueError):
+        latest_location(events, ties="some")
+
+
+# -- customers ----------------------------------------------------------------
+
+
+def test_customer_row(frame):
+    events = frame(
+        event("customer_registered", "2024-01-02", user="u", lat=3.0, long=4.0),
+        event("customer_registered", "2024-01-01", user="u", long=2.0),
+        *[event("customer_ride_request", "2024-01-03", user="u") for _ in range(3)],
+    )
+    customers = silver.customers(events)
+    assert validate_schema(customers, CUSTOMERS)
+    # The first registration counts as it is, with its missing latitude.
+    assert one(customers) == ("u", naive("2024-01-01"), None, 2.0, 3)
+
+
+def test_customer_without_requests_has_null_and_without_registration_no_row(frame):
+    events = frame(
+        event("customer_registered", "2024-01-01", user="registered"),
+        event("customer_ride_request", "2024-01-01", user="unknown"),
+        event("customer_registered", "2024-01-01"),
+        event("customer_ride_request", "2024-01-01"),
+    )
+    assert rows(silver.customers(events), "user_id", "total_rides_requested") == [("registered", None), (None, None)]
+
+
+# -- all ----------------------------------------------------------------------
+
+
+def test_unknown_entity(frame):
+    with pytest.raises(ValueError, match="no entity"):
+        silver.build("vehicles", frame())
+
+
+@pytest.mark.parametrize("name", silver.ENTITIES)
+def test_no_events_no_rows(frame, name):
+    assert rows(silver.build(name, frame(event("something_else", "2024-01-01")))) == []
+
+
+def random_events(seed: int, size: int) -> list[tuple]:
+    """Few keys, times and ids, many NULLs: ties and gaps everywhere."""
+    pick = random.Random(seed).choice
+    return [
+        event(
+            pick(ALL_EVENTS),
+            pick([None, *[f"2024-01-01 00:00:0{n}" for n in range(6)]]),
+            ride=pick([None, "r1", "r2", "r3"]),
+            driver=pick([None, "d1", "d2"]),
+            user=pick([None, "u1", "u2", "u3"]),
+            lat=pick([None, 1.0, 2.0]),
+            long=pick([None, 3.0, 4.0]),
+            id=f"{n:04d}" if pick([True, True, False]) else f"{n // 2:04d}x{n % 2}",
+        )
+        for n in range(size)
+    ]
+
+
+@pytest.mark.parametrize("name", silver.ENTITIES)
+@pytest.mark.parametrize("seed", range(3))
+def test_same_as_literal_plan(spark, name, seed):
+    events = spark.createDataFrame(random_events(seed, 150 if seed else 40), READ_EVENT)
+    assert rows(silver.build(name, events, as_of="2024-02-05")) == rows(literal.build(name, events))
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(seed=st.integers(0, 10**6), size=st.integers(0, 60), parts=st.integers(1, 5))
+def test_order_and_slices_do_not_matter(spark, seed, size, parts):
+    events = random_events(seed, size)
+    shuffled = random.Random(seed).sample(events, len(events))
+    whole = spark.createDataFrame(events, READ_EVENT)
+    slices = [spark.createDataFrame(shuffled[part::parts], READ_EVENT) for part in range(parts)]
+    for entity in silver.ENTITIES.values():
+        summaries = entity.summarise(slices[0])
+        for part in slices[1:]:
+            summaries = summaries.unionByName(entity.summarise(part))
+        options = silver.finish_options(entity, "2024-02-05")
+        assert rows(entity.finish(entity.merge(summaries), **options)) == rows(
+            entity.build(whole.repartition(3), **options)
+        )
