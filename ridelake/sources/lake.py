@@ -33,11 +33,13 @@ class Lake:
     def at(cls, spark: SparkSession, root: str, fmt: str = "parquet") -> Lake:
         """All layers below one root.
 
-        Checkpoints go where the session's ``spark.checkpoint.dir`` says, and only
-        without such a setting below the root.
+        Checkpoints go to this lake's part of the session's ``spark.checkpoint.dir``,
+        and only without such a setting below the root.
         """
-        shared = spark.conf.get("spark.checkpoint.dir", None) or f"{root}/checkpoints"
-        return cls(f"{root}/bronze", f"{root}/silver", f"{root}/gold", shared, fmt)
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        own = root.split(":", 1)[-1].strip("/")
+        checkpoints = f"{shared.rstrip('/')}/{own}" if shared else f"{root}/checkpoints"
+        return cls(f"{root}/bronze", f"{root}/silver", f"{root}/gold", checkpoints, fmt)
 
     def root(self, layer: str) -> str:
         roots = {"bronze": self.bronze, "silver": self.silver, "gold": self.gold}

@@ -12,6 +12,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from ridelake.schemas import EVENT
 from ridelake.settings import tune
+from ridelake.sources.lake import Lake
 
 # Readers make every field nullable.
 READ_EVENT = StructType([StructField(field.name, field.dataType) for field in EVENT])
@@ -49,6 +50,12 @@ def event(kind, when=None, ride=None, driver=None, user=None, lat=None, long=Non
     return (id, kind, when, user, driver, ride, lat, long, data, "test")
 
 
+@pytest.fixture
+def lake(tmp_path):
+    root = tmp_path / "lake"
+    return Lake(*[str(root / part) for part in ("bronze", "silver", "gold", "checkpoints")])
+
+
 @pytest.fixture
 def frame(spark):
     def make(*events):
