@@ -33,8 +33,8 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _zoneless(df: DataFrame) -> DataFrame:
     """Timestamps as the tables have them, without a zone."""
-    zoned = {f.name: F.col(f.name).cast("timestamp_ntz") for f in df.schema if isinstance(f.dataType, TimestampType)}
-    return df.withColumns(zoned) if zoned else df
+    fields = [(f.name, isinstance(f.dataType, TimestampType)) for f in df.schema]
+    return df.selectExpr(*[f"CAST({name} AS TIMESTAMP_NTZ) AS {name}" if zoned else name for name, zoned in fields])
 
 
 def _query(transform: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

@@ -37,20 +37,16 @@ def event_is(*event_types: str) -> Column:
     return column == event_types[0] if len(event_types) == 1 else column.isin(*event_types)
 
 
-def sighting(*values: str) -> Column:
-    """Values in event order: ``min`` of it is the earliest event's.
+def sighting(*values: str) -> str:
+    """SQL of values in event order: ``min`` of it is the earliest event's.
 
     Order is (event_timestamp, event_id), events without a time last; values
     follow, so even events equal in both are ordered the same way every time.
     """
-    at = F.coalesce(F.col("event_timestamp"), F.lit(_END_OF_TIME).cast("timestamp")).alias("at")
-    return F.struct(at, F.col("event_id").alias("id"), *values)
+    at = f"coalesce(event_timestamp, TIMESTAMP '{_END_OF_TIME}')"
+    return f"struct({at} AS at, event_id AS id, {', '.join(values)})"
 
 
-def latest_sighting(*values: str) -> Column:
+def latest_sighting(*values: str) -> str:
     """As ``sighting`` for ``max``: NULL times come first in Spark's order anyway."""
-    return F.struct(F.col("event_timestamp").alias("at"), F.col("event_id").alias("id"), *values)
-
-
-def min_where(value: Column, condition: Column) -> Column:
-    return F.min(F.when(condition, value))
+    return f"struct(event_timestamp AS at, event_id AS id, {', '.join(values)})"

@@ -21,11 +21,11 @@ def enforce_schema(df: DataFrame, schema: StructType, cast: bool = False) -> Dat
     """
     present = set(df.columns)
 
-    def column(field) -> Column:
+    def column(field) -> Column | str:
         if field.name not in present:
             return F.lit(None).cast(field.dataType).alias(field.name)
-        found = F.col(f"`{field.name}`")
-        return found.try_cast(field.dataType).alias(field.name) if cast else found
+        found = f"`{field.name}`"
+        return F.col(found).try_cast(field.dataType).alias(field.name) if cast else found
 
     return df.select([column(field) for field in schema.fields])
 

@@ -3,35 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ridelake.functions.columns import event_is, sighting
+from ridelake.functions.columns import sighting
 from ridelake.functions.schema import enforce_schema
-from ridelake.operators.mergeable import Entity
+from ridelake.operators.mergeable import Entity, Part
 from ridelake.schemas import CUSTOMERS
 from ridelake.values import CUSTOMER_EVENTS
 
 _REGISTERED, _REQUESTED = CUSTOMER_EVENTS
 
 
-def _columns():
-    registered = event_is(_REGISTERED)
-    return {
-        "registered_at": ("min", F.when(registered, F.col("event_timestamp"))),
-        "registration": ("min", F.when(registered, sighting("latitude", "longitude"))),
-        "requests": ("sum", event_is(_REQUESTED).cast("bigint")),
-    }
+# No request is NULL, not 0. Requests without a user are no user's requests.
+_REQUESTS = "IF(user_id IS NULL, NULL, nullif(requests, 0)) AS total_rides_requested"
 
 
 def _finish(summary: DataFrame) -> DataFrame:
-    # No request is NULL, not 0. Requests without a user are no user's requests.
-    counted = (F.col("requests") > 0) & F.col("user_id").isNotNull()
-    customers = summary.filter(F.col("registration").isNotNull()).select(
+    customers = summary.filter("registration IS NOT NULL").selectExpr(
         "user_id",
-        F.col("registered_at").alias("registration_date"),
-        F.col("registration.latitude").alias("home_location_lat"),
-        F.col("registration.longitude").alias("home_location_long"),
-        F.when(counted, F.col("requests")).alias("total_rides_requested"),
+        "registered_at AS registration_date",
+        "registration.latitude AS home_location_lat",
+        "registration.longitude AS home_location_long",
+        _REQUESTS,
     )
     return enforce_schema(customers, CUSTOMERS)
 
@@ -41,6 +33,14 @@ CUSTOMER = Entity(
     key="user_id",
     event_types=CUSTOMER_EVENTS,
     schema=CUSTOMERS,
-    columns=_columns,
+    values={
+        "place": sighting("latitude", "longitude"),
+        "requested": f"CAST(event_type = '{_REQUESTED}' AS BIGINT)",
+    },
+    parts={
+        "registered_at": Part("min", "event_timestamp", _REGISTERED),
+        "registration": Part("min", "place", _REGISTERED),
+        "requests": Part("sum", "requested"),
+    },
     finish=_finish,
 )

@@ -7,27 +7,20 @@ from pyspark.sql import functions as F
 
 from ridelake.functions.columns import event_is, latest_sighting
 from ridelake.functions.schema import enforce_schema
-from ridelake.operators.mergeable import Entity
-from ridelake.operators.moments import moment_columns, moment_values
+from ridelake.operators.mergeable import Entity, Part
+from ridelake.operators.moments import PLACE, moment_parts, moment_values, moments
 from ridelake.schemas import DRIVERS
 from ridelake.values import DRIVER_EVENTS
 
 _KINDS = ("driver_registered", "driver_activated")
-_PLACE = ("latitude", "longitude")
 _LOCATED = "driver_location_update"
-
-
-def _columns():
-    location = F.when(event_is(_LOCATED), latest_sighting(*_PLACE))
-    return {**moment_columns(_KINDS), "location": ("max", location)}
+_PLACE = tuple(PLACE.values())
 
 
 def _finish(summary: DataFrame) -> DataFrame:
     # Events without a driver form a row of their own, but nobody's location.
-    location = F.when(F.col("driver_id").isNotNull(), F.col("location"))
-    values = {**moment_values(_KINDS), **{value: location[value] for value in _PLACE}}
-    drivers = summary.select("driver_id", *[value.alias(name) for name, value in values.items()])
-    return enforce_schema(drivers, DRIVERS)
+    location = [f"IF(driver_id IS NULL, NULL, location.{value}) AS {value}" for value in _PLACE]
+    return enforce_schema(summary.selectExpr("driver_id", *moments(_KINDS), *location), DRIVERS)
 
 
 DRIVER = Entity(
@@ -35,7 +28,8 @@ DRIVER = Entity(
     key="driver_id",
     event_types=DRIVER_EVENTS,
     schema=DRIVERS,
-    columns=_columns,
+    values={**moment_values(), "located": latest_sighting(*_PLACE)},
+    parts={**moment_parts(_KINDS), "location": Part("max", "located", _LOCATED)},
     finish=_finish,
 )
 
@@ -48,8 +42,8 @@ def latest_location(events: DataFrame, ties: str = "one") -> DataFrame:
     """
     updates = events.filter(event_is(_LOCATED))
     if ties == "one":
-        last = updates.groupBy("driver_id").agg(F.max(latest_sighting(*_PLACE)).alias("location"))
-        return last.select("driver_id", *[F.col("location")[value].alias(value) for value in _PLACE])
+        last = updates.groupBy("driver_id").agg(F.max(F.expr(latest_sighting(*_PLACE))).alias("location"))
+        return last.select("driver_id", *[f"location.{value}" for value in _PLACE])
     if ties == "all":
         # Spark limits the groups on the map side too, as only rank 1 is kept: a
         # driver with most of the updates sends one row (or its ties) per map task.

@@ -10,52 +10,52 @@ as the event itself.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from ridelake.functions.columns import event_is, sighting
+from ridelake.functions.columns import sighting
+from ridelake.operators.mergeable import Part
 
 # Column name ending in the silver table -> event column.
 PLACE = {"lat": "latitude", "long": "longitude"}
 
 
-def moment_columns(kinds: tuple[str, ...], carried: tuple[str, ...] = ()) -> dict[str, tuple[str, Column]]:
+def moment_values(carried: tuple[str, ...] = ()) -> dict[str, str]:
+    """Event-level values: the whole event, and each value of an event not whole."""
     values = (*PLACE.values(), *carried)
-    whole = reduce(Column.__and__, [F.col(value).isNotNull() for value in values])
+    whole = " AND ".join(f"{value} IS NOT NULL" for value in values)
+    return {
+        "whole": f"IF({whole}, {sighting(*values)}, NULL)",
+        **{_alone(value): f"IF({value} IS NULL OR ({whole}), NULL, {sighting(value)})" for value in values},
+    }
 
-    def alone(value: str) -> Column:
-        return F.col(value).isNotNull() & ~whole
 
-    columns = {}
+def moment_parts(kinds: tuple[str, ...], carried: tuple[str, ...] = ()) -> dict[str, Part]:
+    parts = {}
     for kind in kinds:
-        of_kind = event_is(kind)
-        columns[f"{kind}_timestamp"] = F.when(of_kind, F.col("event_timestamp"))
-        columns[f"{kind}_whole"] = F.when(of_kind & whole, sighting(*values))
+        parts[f"{kind}_timestamp"] = Part("min", "event_timestamp", kind)
+        parts[f"{kind}_whole"] = Part("min", "whole", kind)
         for ending, value in PLACE.items():
-            columns[f"{kind}_{ending}"] = F.when(of_kind & alone(value), sighting(value))
+            parts[f"{kind}_{ending}"] = Part("min", _alone(value), kind)
     for value in carried:
-        columns[value] = F.when(event_is(*kinds) & alone(value), sighting(value))
-    return {name: ("min", column) for name, column in columns.items()}
+        parts[value] = Part("min", _alone(value))
+    return parts
 
 
-def moment_values(kinds: tuple[str, ...], carried: tuple[str, ...] = ()) -> dict[str, Column]:
-    """The plain values of a finished summary, by silver column name."""
-    values = {}
+def moments(kinds: tuple[str, ...], carried: tuple[str, ...] = ()) -> list[str]:
+    """The plain values of a summary, as SQL with the silver column names."""
+    columns = [_earliest(value, _least([f"{kind}_whole" for kind in kinds]), value) for value in carried]
     for kind in kinds:
-        values[f"{kind}_timestamp"] = F.col(f"{kind}_timestamp")
-        for ending, value in PLACE.items():
-            values[f"{kind}_{ending}"] = _earliest(value, [f"{kind}_whole"], f"{kind}_{ending}")
-    for value in carried:
-        values[value] = _earliest(value, [f"{kind}_whole" for kind in kinds], value)
-    return values
+        columns.append(f"{kind}_timestamp")
+        columns += [_earliest(value, f"{kind}_whole", f"{kind}_{ending}") for ending, value in PLACE.items()]
+    return columns
+
+
+def _alone(value: str) -> str:
+    return f"{value}_alone"
+
 
+def _least(structs: list[str]) -> str:
+    return f"least({', '.join(structs)})" if len(structs) > 1 else structs[0]
 
-def _earliest(value: str, wholes: list[str], alone: str) -> Column:
-    def narrowed(whole: str) -> Column:
-        struct = F.col(whole)
-        return F.when(struct.isNotNull(), F.struct(struct["at"], struct["id"], struct[value]))
 
-    candidates = [narrowed(whole) for whole in wholes] + [F.col(alone)]
-    return F.least(*candidates)[value]
+def _earliest(value: str, whole: str, alone: str) -> str:
+    whole_first = f"struct({whole}.at, {whole}.id) <= struct({alone}.at, {alone}.id)"
+    return f"IF({alone} IS NULL OR {whole_first}, {whole}.{value}, {alone}.{value}) AS {alone}"

@@ -2,29 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ridelake.functions.schema import enforce_schema
 from ridelake.functions.time import AsOf, today
 from ridelake.operators.mergeable import Entity
-from ridelake.operators.moments import moment_columns, moment_values
+from ridelake.operators.moments import moment_parts, moment_values, moments
 from ridelake.schemas import RIDES
 from ridelake.values import RIDE_EVENTS
 
 _PEOPLE = ("driver_id", "user_id")
 
-
-def _duration() -> Column:
-    """Whole seconds from start to completion; negative when completed first."""
-    completed, started = F.col("ride_completed_timestamp"), F.col("ride_started_timestamp")
-    return F.unix_timestamp(completed) - F.unix_timestamp(started)
+# Whole seconds from start to completion; negative when completed first.
+_DURATION = "unix_timestamp(ride_completed_timestamp) - unix_timestamp(ride_started_timestamp) AS duration_seconds"
 
 
 def _finish(summary: DataFrame, as_of: AsOf = None) -> DataFrame:
-    values = {**moment_values(RIDE_EVENTS, _PEOPLE), "duration_seconds": _duration(), "processing_date": today(as_of)}
-    rides = summary.select("ride_id", *[value.alias(name) for name, value in values.items()])
-    return enforce_schema(rides, RIDES)
+    rides = summary.selectExpr("ride_id", *moments(RIDE_EVENTS, _PEOPLE), _DURATION)
+    return enforce_schema(rides.withColumn("processing_date", today(as_of)), RIDES)
 
 
 RIDE = Entity(
@@ -32,6 +27,7 @@ RIDE = Entity(
     key="ride_id",
     event_types=RIDE_EVENTS,
     schema=RIDES,
-    columns=lambda: moment_columns(RIDE_EVENTS, _PEOPLE),
+    values=moment_values(_PEOPLE),
+    parts=moment_parts(RIDE_EVENTS, _PEOPLE),
     finish=_finish,
 )
