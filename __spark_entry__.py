@@ -21,14 +21,14 @@ from ridelake.plans import bronze, gold, silver
 from ridelake.schemas import EVENT
 from ridelake.settings import tune
 from ridelake.sources import kafka
-from ridelake.sources.event_log import events_as_rides
+from ridelake.sources.event_log import events_as_rides, read_event_log
 
 AS_OF = "2024-02-05"
 RANGE = ("2024-01-10", "2024-01-20 12:00:00")
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_as_rides(tune(spark).read.parquet(f"{sf_dir}/events.parquet"))
+    return events_as_rides(read_event_log(tune(spark), f"{sf_dir}/events.parquet"))
 
 
 def _zoneless(df: DataFrame) -> DataFrame:

@@ -57,5 +57,5 @@ def _least(structs: list[str]) -> str:
 
 
 def _earliest(value: str, whole: str, alone: str) -> str:
-    whole_first = f"struct({whole}.at, {whole}.id) <= struct({alone}.at, {alone}.id)"
-    return f"IF({alone} IS NULL OR {whole_first}, {whole}.{value}, {alone}.{value}) AS {alone}"
+    whole_first = f"{whole} IS NOT NULL AND struct({whole}.at, {whole}.id) <= struct({alone}.at, {alone}.id)"
+    return f"IF({alone} IS NULL OR ({whole_first}), {whole}.{value}, {alone}.{value}) AS {alone}"

@@ -8,8 +8,9 @@ the driver and customer events by id.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+EVENT_LOG = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
 _EVENT_TYPE = """
     CASE event_type
@@ -26,26 +27,27 @@ _EVENT_TYPE = """
 # A few users with many events.
 _USER = "CASE WHEN user_id % 3 = 0 THEN user_id % 10 ELSE user_id END"
 
-# Users without rides, and users whose last ride is early.
-_KEPT = """
-    event_type NOT LIKE 'ride%' OR NOT (u % 7 = 1 OR (u % 4 = 0 AND ts >= TIMESTAMP_NTZ '2024-01-05 00:00:00'))
+# Some users are without rides, and of some the last ride is early.
+_KEPT = f"""
+    event_type NOT IN ('view', 'purchase', 'error')
+    OR NOT ({_USER} % 7 = 1 OR ({_USER} % 4 = 0 AND ts >= TIMESTAMP_NTZ '2024-01-05 00:00:00'))
 """
 
 
+def read_event_log(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(EVENT_LOG).parquet(path)
+
+
 def events_as_rides(log: DataFrame) -> DataFrame:
-    return (
-        log.withColumns({"event_type": F.expr(_EVENT_TYPE), "u": F.expr(_USER)})
-        .filter(_KEPT)
-        .selectExpr(
-            "CAST(event_id AS STRING) AS event_id",
-            "event_type",
-            "CAST(ts AS TIMESTAMP) AS event_timestamp",
-            "CAST(u AS STRING) AS user_id",
-            "CAST((event_id DIV 4) % 40 AS STRING) AS driver_id",
-            "CAST(event_id DIV 4 AS STRING) AS ride_id",
-            "CAST(12.902 + 0.01 * (user_id % 20) AS DOUBLE) AS latitude",
-            "CAST(77.502 + 0.01 * (event_id % 7) AS DOUBLE) AS longitude",
-            "props AS event_data",
-            "'app' AS source",
-        )
+    return log.filter(_KEPT).selectExpr(
+        "CAST(event_id AS STRING) AS event_id",
+        f"{_EVENT_TYPE} AS event_type",
+        "CAST(ts AS TIMESTAMP) AS event_timestamp",
+        f"CAST({_USER} AS STRING) AS user_id",
+        "CAST((event_id DIV 4) % 40 AS STRING) AS driver_id",
+        "CAST(event_id DIV 4 AS STRING) AS ride_id",
+        "CAST(12.902 + 0.01 * (user_id % 20) AS DOUBLE) AS latitude",
+        "CAST(77.502 + 0.01 * (event_id % 7) AS DOUBLE) AS longitude",
+        "props AS event_data",
+        "'app' AS source",
     )
