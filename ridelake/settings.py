@@ -1,8 +1,11 @@
-"""Session settings the library is meant to run with."""
+"""Session settings the library is meant to run with, and shuffle sizes."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # Dates and hours do not depend on where a job runs.
@@ -13,9 +16,49 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
 }
 
+# Files read per shuffle partition, all columns counted; what is shuffled is less.
+INPUT_BYTES_PER_SHUFFLE_PARTITION = 1024**3
+
+# Spark's size of data it knows nothing about is the greatest long.
+_UNKNOWN_SIZE = 2**62
+
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the settings to a session; sizes and parallelism stay the caller's."""
     for name, value in SETTINGS.items():
-        spark.conf.set(name, value)
+        if spark.conf.get(name, None) != value:
+            spark.conf.set(name, value)
     return spark
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Size of the files ``df`` reads, from the file listing its plan already has."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < _UNKNOWN_SIZE)
+
+
+@contextmanager
+def shuffles_sized_for(df: DataFrame) -> Iterator[None]:
+    """Start adaptive plans with as many shuffle partitions as the input needs.
+
+    Spark merges shuffle partitions that turn out small but never divides those of
+    an aggregation, so the number has to be large enough from the start. Never less
+    than the session's ``spark.sql.shuffle.partitions``.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(_INITIAL, None)
+    needed = -(-input_bytes(df) // INPUT_BYTES_PER_SHUFFLE_PARTITION)
+    if needed <= int(before or conf.get("spark.sql.shuffle.partitions")):
+        yield
+        return
+    conf.set(_INITIAL, str(needed))
+    try:
+        yield
+    finally:
+        if before is None:
+            conf.unset(_INITIAL)
+        else:
+            conf.set(_INITIAL, before)

@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ridelake.functions.schema import enforce_schema, merge_schemas
+from ridelake.settings import shuffles_sized_for
 from ridelake.sources import storage
 
+# Where Spark's streaming file sink keeps the list of files that count.
+STREAM_FILE_LOG = "_spark_metadata"
+
 DEFAULT_FILE_BYTES = 256 * 1024 * 1024
 
 
@@ -79,15 +83,17 @@ class Lake:
         max_records_per_file: int | None = None,
     ) -> None:
         """Write with a save mode; partition columns only where given."""
+        if storage.exists(df.sparkSession, f"{self.path(layer, table)}/{STREAM_FILE_LOG}"):
+            raise ValueError(f"{layer} table {table} is written by a stream, whose readers would not see other files")
         if mode == "overwrite" and self.fmt != "delta":
             self._overwrite(df, layer, table, partition_by, max_records_per_file)
             return
-        self._writer(df, partition_by, max_records_per_file).mode(mode).save(self.path(layer, table))
+        self._save(df, self.path(layer, table), mode, partition_by, max_records_per_file=max_records_per_file)
 
     def overwrite_merged(self, df: DataFrame, layer: str, table: str) -> None:
         """Replace the rows; the table keeps its columns and gains new ones."""
         if self.fmt == "delta":
-            self._writer(df).mode("overwrite").option("mergeSchema", "true").save(self.path(layer, table))
+            self._save(df, self.path(layer, table), "overwrite", mergeSchema="true")
             return
         spark = df.sparkSession
         if self.exists(spark, layer, table):
@@ -97,7 +103,7 @@ class Lake:
     def overwrite_replaced(self, df: DataFrame, layer: str, table: str) -> None:
         """Replace the rows and the schema."""
         if self.fmt == "delta":
-            self._writer(df).mode("overwrite").option("overwriteSchema", "true").save(self.path(layer, table))
+            self._save(df, self.path(layer, table), "overwrite", overwriteSchema="true")
             return
         self._overwrite(df, layer, table)
 
@@ -107,7 +113,7 @@ class Lake:
         if self.fmt == "delta":
             spark.sql(f"OPTIMIZE delta.`{path}`")
             return
-        if storage.exists(spark, f"{path}/_spark_metadata"):
+        if storage.exists(spark, f"{path}/{STREAM_FILE_LOG}"):
             raise ValueError(f"{path} is written by a stream, whose file log a rewrite would void")
 
         # Own session, as these settings are meant for this one job.
@@ -129,13 +135,22 @@ class Lake:
         # Otherwise no shuffle: the scan packs small files into one task each.
         self._overwrite(df, layer, table, partition_by)
 
-    def _writer(self, df: DataFrame, partition_by: Sequence[str] = (), max_records_per_file: int | None = None):
-        writer = df.write.format(self.fmt)
+    def _save(
+        self,
+        df: DataFrame,
+        path: str,
+        mode: str,
+        partition_by: Sequence[str] = (),
+        max_records_per_file: int | None = None,
+        **options: str,
+    ) -> None:
+        writer = df.write.format(self.fmt).mode(mode).options(**options)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         if max_records_per_file is not None:
             writer = writer.option("maxRecordsPerFile", max_records_per_file)
-        return writer
+        with shuffles_sized_for(df):
+            writer.save(path)
 
     def _overwrite(
         self,
@@ -148,7 +163,7 @@ class Lake:
         spark = df.sparkSession
         path, replaced = self.path(layer, table), self._replaced(layer, table)
         staged = f"{self.root(layer)}/_staged/{table}"
-        self._writer(df, partition_by, max_records_per_file).mode("overwrite").save(staged)
+        self._save(df, staged, "overwrite", partition_by, max_records_per_file)
         if storage.exists(spark, path):
             storage.delete(spark, replaced)
             storage.rename(spark, path, replaced)

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ridelake.schemas import DATE_PARTS
-from ridelake.sources.lake import Lake
+from ridelake.sources import storage
+from ridelake.sources.lake import STREAM_FILE_LOG, Lake
 
 
 def start_bronze(
@@ -20,6 +21,10 @@ def start_bronze(
 
     ``trigger`` holds the arguments of ``DataStreamWriter.trigger``.
     """
+    spark, path = events.sparkSession, lake.path("bronze", table)
+    if lake.fmt != "delta" and storage.subdirectories(spark, path):
+        if not storage.exists(spark, f"{path}/{STREAM_FILE_LOG}"):
+            raise ValueError(f"{path} has files of a batch job, which readers of a streamed table would not see")
     writer = (
         events.writeStream.format(lake.fmt)
         .outputMode("append")
@@ -29,4 +34,4 @@ def start_bronze(
     )
     if trigger:
         writer = writer.trigger(**trigger)
-    return writer.start(lake.path("bronze", table))
+    return writer.start(path)

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import json
 
+import hypothesis
 import pytest
-from conftest import READ_EVENT, at, event, naive, rows
-from hypothesis import HealthCheck, given, settings
+from conftest import READ_EVENT, event, naive, rows
+from hypothesis import HealthCheck, given
 from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructType
 
+from ridelake import settings
 from ridelake.functions.schema import enforce_schema, merge_schemas, parse_json, validate_schema
 from ridelake.functions.time import add_ingest_metadata, add_time_periods, filter_time_range
 from ridelake.operators.quality import check_data_quality, counted, row_counts
@@ -126,7 +128,7 @@ NAMES = st.lists(st.sampled_from("abcdef"), unique=True, max_size=6)
 TYPES = st.sampled_from(["string", "bigint", "double"])
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@hypothesis.settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(present=NAMES, wanted=NAMES, data=st.data())
 def test_enforced_is_always_valid(spark, present, wanted, data):
     types = {name: data.draw(TYPES) for name in "abcdef"}
@@ -340,6 +342,27 @@ def test_checkpoints_go_where_the_session_says():
     assert Lake.at(Session(), "/lake").checkpoint("bronze", "events") == "/lake/checkpoints/bronze/events"
 
 
+def test_shuffles_grow_with_the_input(spark, lake, monkeypatch):
+    lake.write(spark.range(100000), "silver", "t")
+    table = lake.read(spark, "silver", "t")
+    size = settings.input_bytes(table.groupBy("id").count())
+    assert size == storage.size_of_files(spark, lake.path("silver", "t"))
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+    def partitions(df):
+        with settings.shuffles_sized_for(df):
+            return spark.conf.get(initial, None)
+
+    monkeypatch.setattr(settings, "INPUT_BYTES_PER_SHUFFLE_PARTITION", -(-size // 10))
+    assert partitions(table) == "10"
+    # A join reads both sides.
+    assert partitions(table.join(table.alias("u"), "id")) == "20"
+    monkeypatch.setattr(settings, "INPUT_BYTES_PER_SHUFFLE_PARTITION", size)
+    assert partitions(table) is None
+    assert settings.input_bytes(spark.sparkContext.parallelize([(1,)]).toDF("a int")) == 0
+    assert spark.conf.get(initial, None) is None
+
+
 # -- quality ------------------------------------------------------------------
 
 

@@ -101,6 +101,14 @@ def test_stream_bronze_is_partitioned_by_event_date(spark, lake, topic, tmp_path
     assert rows(table, "ride_id", "year") == [("r", 2024), ("s", None)]
     with pytest.raises(ValueError, match="written by a stream"):
         lake.compact(spark, "bronze", "events")
+    with pytest.raises(ValueError, match="written by a stream"):
+        lake.write(table, "bronze", "events")
+
+
+def test_stream_does_not_hide_a_batch_table(spark, lake, topic):
+    lake.write(spark.range(3).withColumn("year", F.lit(2024)), "bronze", "events", partition_by=["year"])
+    with pytest.raises(ValueError, match="files of a batch job"):
+        jobs.run_streaming(spark, lake, topic.stream())
 
 
 def test_lost_checkpoint_is_an_error(spark, lake, topic, tmp_path):
