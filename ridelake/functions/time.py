@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from ridelake.schemas import DATE_PARTS
 
@@ -37,8 +38,12 @@ def add_time_periods(df: DataFrame, timestamp_col: str) -> DataFrame:
 
 def filter_time_range(df: DataFrame, timestamp_col: str, start_date: str, end_date: str) -> DataFrame:
     """Rows with start <= timestamp <= end; a date without a time is its midnight."""
+    column = F.col(timestamp_col)
     bounds = [F.to_timestamp(F.lit(text)) for text in (start_date, end_date)]
-    return df.filter(F.col(timestamp_col).between(*bounds))
+    if isinstance(df.select(column).schema[0].dataType, TimestampNTZType):
+        # Else Spark would cast the column, and the filter would not reach the file scan.
+        bounds = [bound.cast(TimestampNTZType()) for bound in bounds]
+    return df.filter(column.between(*bounds))
 
 
 def filter_event_date_partitions(df: DataFrame, start_date: str, end_date: str) -> DataFrame:

@@ -23,6 +23,7 @@ INPUT_BYTES_PER_SHUFFLE_PARTITION = 1024**3
 _UNKNOWN_SIZE = 2**62
 
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_PARALLELISM_FIRST = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -41,24 +42,24 @@ def input_bytes(df: DataFrame) -> int:
 
 
 @contextmanager
-def shuffles_sized_for(df: DataFrame) -> Iterator[None]:
-    """Start adaptive plans with as many shuffle partitions as the input needs.
+def sized_for_writing(df: DataFrame) -> Iterator[None]:
+    """Adaptive plans with shuffle partitions of a good size for ``df`` and its files.
 
     Spark merges shuffle partitions that turn out small but never divides those of
-    an aggregation, so the number has to be large enough from the start. Never less
-    than the session's ``spark.sql.shuffle.partitions``.
+    an aggregation, so their number has to be large enough from the start: as the
+    input needs, never less than ``spark.sql.shuffle.partitions``. Merging goes up
+    to the advisory size, not just until every core has one, as each is a file.
     """
     conf = df.sparkSession.conf
-    before = conf.get(_INITIAL, None)
+    settings = {_PARALLELISM_FIRST: "false"}
     needed = -(-input_bytes(df) // INPUT_BYTES_PER_SHUFFLE_PARTITION)
-    if needed <= int(before or conf.get("spark.sql.shuffle.partitions")):
-        yield
-        return
-    conf.set(_INITIAL, str(needed))
+    if needed > int(conf.get(_INITIAL, None) or conf.get("spark.sql.shuffle.partitions")):
+        settings[_INITIAL] = str(needed)
+    before = {name: conf.get(name, None) for name in settings}
     try:
+        for name, value in settings.items():
+            conf.set(name, value)
         yield
     finally:
-        if before is None:
-            conf.unset(_INITIAL)
-        else:
-            conf.set(_INITIAL, before)
+        for name, value in before.items():
+            conf.unset(name) if value is None else conf.set(name, value)

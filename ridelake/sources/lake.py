@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ridelake.functions.schema import enforce_schema, merge_schemas
-from ridelake.settings import shuffles_sized_for
+from ridelake.settings import sized_for_writing
 from ridelake.sources import storage
 
 # Where Spark's streaming file sink keeps the list of files that count.
@@ -149,7 +149,7 @@ class Lake:
             writer = writer.partitionBy(*partition_by)
         if max_records_per_file is not None:
             writer = writer.option("maxRecordsPerFile", max_records_per_file)
-        with shuffles_sized_for(df):
+        with sized_for_writing(df):
             writer.save(path)
 
     def _overwrite(

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ridelake.operators.mergeable import Entity
 from ridelake.schemas import EVENT
-from ridelake.settings import shuffles_sized_for
+from ridelake.settings import sized_for_writing
 from ridelake.sources import storage
 
 _MARKER = "_WHOLE"
@@ -99,6 +99,6 @@ class SummaryLog:
         return self.spark.read.parquet(*[self._path(span) for span in spans])
 
     def _write(self, summary: DataFrame, span: Span) -> None:
-        with shuffles_sized_for(summary):
+        with sized_for_writing(summary):
             summary.write.mode("overwrite").parquet(self._path(span))
         storage.touch(self.spark, f"{self._path(span)}/{_MARKER}")

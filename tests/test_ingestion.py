@@ -350,7 +350,7 @@ def test_shuffles_grow_with_the_input(spark, lake, monkeypatch):
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
     def partitions(df):
-        with settings.shuffles_sized_for(df):
+        with settings.sized_for_writing(df):
             return spark.conf.get(initial, None)
 
     monkeypatch.setattr(settings, "INPUT_BYTES_PER_SHUFFLE_PARTITION", -(-size // 10))

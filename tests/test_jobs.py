@@ -110,6 +110,12 @@ def test_gold_is_clustered_and_a_frequent_value_split(spark, lake, tmp_path):
     assert all(before[1] < after[0] for before, after in zip(ranges, ranges[1:]))
 
 
+def test_small_tables_are_one_file(spark, lake, tmp_path):
+    events = spark.createDataFrame(random_events(15, 200), READ_EVENT).repartition(8)
+    silver.write_silver(silver.rides(events), lake, "rides")
+    assert len(list((tmp_path / "lake/silver/rides").glob("*.parquet"))) == 1
+
+
 def test_unmapped_gold_table_is_not_clustered(spark):
     df = spark.range(3)
     assert gold.cluster(df, "ride_geo_heatmap") is df

@@ -8,6 +8,7 @@ import pytest
 from conftest import READ_EVENT
 from test_processing import random_events
 
+from ridelake.functions.time import filter_time_range
 from ridelake.operators import analytics
 from ridelake.operators.drivers import latest_location
 from ridelake.operators.quality import check_data_quality
@@ -76,3 +77,11 @@ def test_quality_checks_are_one_scan(events):
     text = plan(check_data_quality(events, "events", EVENT, key="event_id"))
     assert text.count("FileScan") == 1
     assert "Expand" not in text
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_time_range_reaches_the_scan(spark, events, tmp_path, kind):
+    path = str(tmp_path / "times")
+    events.selectExpr(f"CAST(event_timestamp AS {kind}) AS t").write.parquet(path)
+    text = plan(filter_time_range(spark.read.parquet(path), "t", "2024-01-01", "2024-01-02"))
+    assert "GreaterThanOrEqual(t,2024-01-01" in text and "LessThanOrEqual(t,2024-01-02" in text
