@@ -36,9 +36,10 @@ def ingest_csv(
     schema: StructType = EVENT,
     partition_by: str = "ingest",
     as_of: AsOf = None,
+    mode: str = "append",
 ) -> None:
-    """Append CSV files with a header to a bronze table."""
-    _append(files.read_csv(spark, path, schema), lake, table, partition_by, as_of)
+    """Append CSV files with a header to a bronze table, or write with another mode."""
+    _ingest(files.read_csv(spark, path, schema), lake, table, partition_by, as_of, mode)
 
 
 def ingest_json(
@@ -49,12 +50,13 @@ def ingest_json(
     schema: StructType = EVENT,
     partition_by: str = "ingest",
     as_of: AsOf = None,
+    mode: str = "append",
 ) -> None:
-    """Append JSON-lines files to a bronze table."""
-    _append(files.read_json(spark, path, schema), lake, table, partition_by, as_of)
+    """Append JSON-lines files to a bronze table, or write with another mode."""
+    _ingest(files.read_json(spark, path, schema), lake, table, partition_by, as_of, mode)
 
 
-def _append(df: DataFrame, lake: Lake, table: str, partition_by: str, as_of: AsOf) -> None:
+def _ingest(df: DataFrame, lake: Lake, table: str, partition_by: str, as_of: AsOf, mode: str) -> None:
     events = add_ingest_metadata(df, partition_by, as_of)
     if partition_by == "event":
         # Bring each date together, so that a task does not write one small file per
@@ -63,7 +65,7 @@ def _append(df: DataFrame, lake: Lake, table: str, partition_by: str, as_of: AsO
     # Event types side by side in the files: the silver builds, which want one family
     # each, then skip the pages of the others. A sort within tasks, no shuffle.
     order = [*DATE_PARTS] + (["event_type"] if "event_type" in df.columns else [])
-    lake.write(events.sortWithinPartitions(*order), "bronze", table, partition_by=DATE_PARTS)
+    lake.write(events.sortWithinPartitions(*order), "bronze", table, mode, partition_by=DATE_PARTS)
 
 
 def read_events(

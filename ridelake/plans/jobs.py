@@ -44,14 +44,19 @@ def run_batch(
     historical_path: str,
     gold_tables: Iterable[str] | None = None,
     as_of: AsOf = None,
+    ingest_mode: str = "append",
 ) -> dict[str, int]:
     """``historical_path/events/*.json`` through all layers, as historical_* tables.
 
     Gives the row counts of the gold tables, by default all six. Gold is computed
     from the written silver tables, so each silver aggregation runs once.
+
+    Running it again adds the files again; ``ingest_mode="overwrite"`` makes the run
+    repeatable, for a scheduler that retries.
     """
-    bronze.ingest_json(spark, lake, f"{historical_path}/events/*.json", f"{_HISTORICAL}events", as_of=as_of)
-    events = bronze.read_events(spark, lake, f"{_HISTORICAL}events")
+    table, files = f"{_HISTORICAL}events", f"{historical_path}/events/*.json"
+    bronze.ingest_json(spark, lake, files, table, as_of=as_of, mode=ingest_mode)
+    events = bronze.read_events(spark, lake, table)
     for name in silver.ENTITIES:
         silver.write_silver(silver.build(name, events, as_of), lake, _HISTORICAL + name)
 

@@ -41,11 +41,6 @@ def subdirectories(spark: SparkSession, path: str) -> list[str]:
     return [entry.getPath().getName() for entry in fs.listStatus(hadoop_path) if entry.isDirectory()]
 
 
-def size_of_files(spark: SparkSession, path: str) -> int:
-    fs, hadoop_path = _at(spark, path)
-    return fs.getContentSummary(hadoop_path).getLength()
-
-
 def touch(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _at(spark, path)
     fs.create(hadoop_path, True).close()

@@ -25,8 +25,11 @@ def summary_log(spark: SparkSession, lake: Lake, entity: Entity) -> SummaryLog:
 
 def read_bronze_stream(spark: SparkSession, lake: Lake, table: str, **options: str) -> DataFrame:
     path = lake.path("bronze", table)
-    storage.make_dirs(spark, path)
-    return spark.readStream.schema(BRONZE).options(**options).format(lake.fmt).load(path)
+    reader = spark.readStream.format(lake.fmt).options(**options)
+    if lake.fmt != "delta":  # which brings its own schema
+        storage.make_dirs(spark, path)
+        reader = reader.schema(BRONZE)
+    return reader.load(path)
 
 
 def start_silver(

@@ -6,7 +6,8 @@ from pathlib import Path
 
 import pytest
 from pyspark.sql import SparkSession
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
@@ -67,8 +68,8 @@ def frame(spark):
 def rows(df, *columns):
     """Rows as a sorted list of tuples; times without a zone."""
     df = df.select(*columns) if columns else df
-    plain = [f"CAST(`{f.name}` AS TIMESTAMP_NTZ) AS `{f.name}`" if f.dataType.typeName() == "timestamp" else f"`{f.name}`" for f in df.schema]
-    return sorted((tuple(row) for row in df.selectExpr(*plain).collect()), key=repr)
+    zoned = {f.name: F.col(f.name).cast("timestamp_ntz") for f in df.schema if isinstance(f.dataType, TimestampType)}
+    return sorted((tuple(row) for row in df.withColumns(zoned).collect()), key=repr)
 
 
 def naive(text: str) -> dt.datetime:

@@ -58,6 +58,13 @@ def test_run_batch(spark, lake, history):
     ]
 
 
+def test_run_batch_again(spark, lake, history):
+    path = history(random_events(16, 40))
+    for mode, runs in (("append", 1), ("append", 2), ("overwrite", 1)):
+        jobs.run_batch(spark, lake, path, ["daily_ride_metrics"], ingest_mode=mode)
+        assert bronze.read_events(spark, lake, "historical_events").count() == 40 * runs
+
+
 def test_run_batch_with_some_gold_tables(spark, lake, history):
     path = history(random_events(12, 60))
     counts = jobs.run_batch(spark, lake, path, ["historical_ride_metrics", "historical_driver_performance"])

@@ -13,7 +13,7 @@ from ridelake.plans import bronze, jobs, silver
 from ridelake.schemas import BRONZE
 from ridelake.sources import kafka, storage
 from ridelake.streaming.queries import await_all, stop_all
-from ridelake.streaming.silver import publish_silver, start_silver, summary_log
+from ridelake.streaming.silver import publish_silver, start_silver
 from ridelake.streaming.summary_log import Span, SummaryLog
 
 AS_OF = "2024-02-05"
@@ -62,6 +62,26 @@ def test_stream_equals_batch_over_restarts(spark, lake, topic):
         assert last == lake.read(spark, "gold", name).count()
 
 
+def test_crash_after_a_batch_was_added(spark, lake, topic, monkeypatch):
+    """The stream dies before it notes the batch as done, and runs it again."""
+    events = random_events(9, 60)
+    topic.send(events[:30])
+    assert jobs.run_streaming(spark, lake, topic.stream(), as_of=AS_OF) == []
+    topic.send(events[30:])
+
+    add = SummaryLog.add
+
+    def add_and_die(log, *args):
+        add(log, *args)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(SummaryLog, "add", add_and_die)
+    assert len(jobs.run_streaming(spark, lake, topic.stream(), as_of=AS_OF, fold_every=2)) == 3
+    monkeypatch.undo()
+    assert jobs.run_streaming(spark, lake, topic.stream(), as_of=AS_OF, fold_every=2) == []
+    assert silver_rows(spark, lake) == batch_rows(spark, events)
+
+
 def test_gold_refreshes_while_streaming(spark, lake, topic):
     topic.send(random_events(6, 30))
     queries = jobs.start_streaming(spark, lake, topic.stream(), {"processingTime": "100 milliseconds"})
