@@ -6,6 +6,8 @@ Nearly every query reads the whole ``events`` table, as ride events (see
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,11 +19,15 @@ from ridelake.functions.time import add_ingest_metadata, add_time_periods, filte
 from ridelake.operators import analytics
 from ridelake.operators.drivers import latest_location
 from ridelake.operators.quality import check_data_quality, row_counts
-from ridelake.plans import bronze, gold, silver
+from ridelake.plans import bronze, gold, jobs, silver
 from ridelake.schemas import EVENT
-from ridelake.settings import tune
+from ridelake.settings import input_bytes, tune
 from ridelake.sources import kafka
 from ridelake.sources.event_log import events_as_rides, read_event_log
+from ridelake.sources.lake import Lake
+from ridelake.streaming.bronze import start_bronze
+from ridelake.streaming.queries import await_all
+from ridelake.streaming.silver import publish_silver, start_silver
 
 AS_OF = "2024-02-05"
 RANGE = ("2024-01-10", "2024-01-20 12:00:00")
@@ -100,6 +106,81 @@ def _in_batches(name: str) -> Callable[[DataFrame], DataFrame]:
     return transform
 
 
+# -- jobs, through files --------------------------------------------------------
+
+_MICROSECONDS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+_NOW = {"availableNow": True}
+
+
+def _scratch_lake(spark: SparkSession) -> tuple[str, Lake]:
+    """A new folder below the cluster's shared one, and a lake in it."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    root = f"{shared.rstrip('/')}/ridelake-queries/{uuid.uuid4()}"
+    return root, Lake(f"{root}/bronze", f"{root}/silver", f"{root}/gold", f"{root}/checkpoints")
+
+
+def _ingested(fmt: str) -> Callable[[DataFrame], DataFrame]:
+    """Events as files of a format, and those in bronze."""
+
+    def transform(events: DataFrame) -> DataFrame:
+        spark = events.sparkSession
+        root, lake = _scratch_lake(spark)
+        files = f"{root}/files"
+        if fmt == "csv":
+            events.write.options(**_MICROSECONDS, header=True).csv(files)
+            bronze.ingest_csv(spark, lake, files, "events", partition_by="event")
+        else:
+            events.write.options(**_MICROSECONDS).json(files)
+            bronze.ingest_json(spark, lake, files, "events", as_of=AS_OF)
+        return bronze.read_events(spark, lake).drop("ingestion_timestamp")
+
+    return transform
+
+
+def _after_batch_job(layer: str, table: str) -> Callable[[DataFrame], DataFrame]:
+    """A table the historical job writes."""
+
+    def transform(events: DataFrame) -> DataFrame:
+        spark = events.sparkSession
+        root, lake = _scratch_lake(spark)
+        events.write.options(**_MICROSECONDS).json(f"{root}/history/events")
+        jobs.run_batch(spark, lake, f"{root}/history", as_of=AS_OF)
+        return lake.read(spark, layer, table)
+
+    return transform
+
+
+def _after_stream(name: str) -> Callable[[DataFrame], DataFrame]:
+    """A silver table after messages streamed into bronze, and bronze in slices into silver."""
+
+    def transform(events: DataFrame) -> DataFrame:
+        spark = events.sparkSession
+        root, lake = _scratch_lake(spark)
+        _messages(events).write.parquet(f"{root}/topic")
+        messages = spark.readStream.schema("value BINARY").parquet(f"{root}/topic")
+        failed = await_all([start_bronze(bronze.parse_events(messages), lake, trigger=_NOW)])
+
+        slice_bytes = max(input_bytes(bronze.read_events(spark, lake)) // 3, 1)
+        entity = silver.entity_named(name)
+        failed += await_all([start_silver(spark, lake, entity, trigger=_NOW, maxBytesPerTrigger=str(slice_bytes))])
+        if failed:
+            raise RuntimeError(f"failed: {[query.name for query in failed]}")
+        publish_silver(spark, lake, entity, AS_OF)
+        return lake.read(spark, "silver", name)
+
+    return transform
+
+
+JOBS = {
+    "ingest_json": _ingested("json"),
+    "ingest_csv": _ingested("csv"),
+    "batch_job_rides": _after_batch_job("silver", "historical_rides"),
+    "batch_job_ride_metrics": _after_batch_job("gold", "historical_ride_metrics"),
+    "batch_job_row_counts": lambda events: _after_batch_job("gold", jobs.METRICS_TABLE)(events).drop("processed_at"),
+    **{f"stream_{name}": _after_stream(name) for name in silver.ENTITIES},
+}
+
+
 # -- gold ---------------------------------------------------------------------
 
 
@@ -140,7 +221,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "kafka_pack": lambda events: kafka.pack(analytics.last_ride_per_customer(silver.rides(events)), "user_id"),
     }
     return {
-        **{name: _query(transform) for name, transform in transforms.items()},
+        **{name: _query(transform) for name, transform in {**transforms, **JOBS}.items()},
         "time_periods_of_orders": _time_periods_of_orders,
         "filter_time_range_of_lineitem": _time_range_of_lineitem,
     }
@@ -295,11 +376,25 @@ def _quality(required: tuple[str, ...], key: str, mismatch: int) -> str:
         FROM ({union}) AS checks(check_name, column_name, violations)"""
 
 
+def _date_parts(column: str) -> str:
+    return ", ".join(f"CAST({part}({column}) AS INTEGER) AS {part}" for part in ("year", "month", "day"))
+
+
 def _periods(column: str) -> str:
-    parts = {"year": "year", "month": "month", "day": "day", "hour": "hour", "week_of_year": "weekofyear"}
-    plain = [f"CAST({function}({column}) AS INTEGER) AS {name}" for name, function in parts.items()]
     # Sunday is 0 there.
-    return ", ".join([*plain, f"CAST(dayofweek({column}) + 1 AS INTEGER) AS day_of_week"])
+    return f"""{_date_parts(column)}, CAST(hour({column}) AS INTEGER) AS hour,
+      CAST(dayofweek({column}) + 1 AS INTEGER) AS day_of_week,
+      CAST(weekofyear({column}) AS INTEGER) AS week_of_year"""
+
+
+def _historical(name: str) -> str:
+    return "historical_" + ("ride_metrics" if name == "daily_ride_metrics" else name)
+
+
+def _row_counts(renamed: Callable[[str], str] = str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{renamed(name)}' AS dataset, count(*) AS row_count FROM ({sql})" for name, sql in _GOLD.items()
+    )
 
 
 def _with(*ctes: str, select: str) -> str:
@@ -313,20 +408,17 @@ def oracle_sql() -> dict[str, str]:
         "drivers": _with(_DRIVERS, select="SELECT * FROM drivers"),
         "customers": _with(_CUSTOMERS, select="SELECT * FROM customers"),
     }
-    date = f"DATE '{AS_OF}'"
+    by_event = _with(select=f"SELECT {_COLUMNS}, {_date_parts('event_timestamp')} FROM ev")
+    as_of = _date_parts(f"DATE '{AS_OF}'")
     return {
-        "bronze_parse_events": _with(
-            select=f"""
-            SELECT {_COLUMNS}, CAST(year(event_timestamp) AS INTEGER) AS year,
-              CAST(month(event_timestamp) AS INTEGER) AS month, CAST(day(event_timestamp) AS INTEGER) AS day
-            FROM ev"""
-        ),
-        "bronze_batch_metadata": _with(
-            select=f"""
-            SELECT event_id, CAST(year({date}) AS INTEGER) AS year, CAST(month({date}) AS INTEGER) AS month,
-              CAST(day({date}) AS INTEGER) AS day
-            FROM ev"""
-        ),
+        "bronze_parse_events": by_event,
+        "bronze_batch_metadata": _with(select=f"SELECT event_id, {as_of} FROM ev"),
+        "ingest_json": _with(select=f"SELECT {_COLUMNS}, {as_of} FROM ev"),
+        "ingest_csv": by_event,
+        "batch_job_rides": silver_sql["rides"],
+        "batch_job_ride_metrics": _with(_RIDES, select=_GOLD["daily_ride_metrics"]),
+        "batch_job_row_counts": _with(*everything, select=_row_counts(_historical)),
+        **{f"stream_{name}": sql for name, sql in silver_sql.items()},
         "time_periods": _with(select=f"SELECT event_id, event_timestamp, {_periods('event_timestamp')} FROM ev"),
         "time_periods_of_orders": f"SELECT o_orderkey, o_orderdate, {_periods('o_orderdate')} FROM orders",
         "filter_time_range_of_lineitem": f"""
@@ -369,10 +461,5 @@ def oracle_sql() -> dict[str, str]:
               AS value
             FROM (SELECT user_id, max(ride_started_timestamp) AS last_ride_date FROM rides GROUP BY user_id)""",
         ),
-        "gold_row_counts": _with(
-            *everything,
-            select=" UNION ALL ".join(
-                f"SELECT '{name}' AS dataset, count(*) AS row_count FROM ({sql})" for name, sql in _GOLD.items()
-            ),
-        ),
+        "gold_row_counts": _with(*everything, select=_row_counts()),
     }
