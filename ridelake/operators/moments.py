@@ -23,7 +23,7 @@ def moment_values(carried: tuple[str, ...] = ()) -> dict[str, str]:
     whole = " AND ".join(f"{value} IS NOT NULL" for value in values)
     return {
         "whole": f"IF({whole}, {sighting(*values)}, NULL)",
-        **{_alone(value): f"IF({value} IS NULL OR ({whole}), NULL, {sighting(value)})" for value in values},
+        **{_alone(value): f"IF(whole IS NULL AND {value} IS NOT NULL, {sighting(value)}, NULL)" for value in values},
     }
 
 
@@ -40,8 +40,14 @@ def moment_parts(kinds: tuple[str, ...], carried: tuple[str, ...] = ()) -> dict[
 
 
 def moments(kinds: tuple[str, ...], carried: tuple[str, ...] = ()) -> list[str]:
-    """The plain values of a summary, as SQL with the silver column names."""
-    columns = [_earliest(value, _least([f"{kind}_whole" for kind in kinds]), value) for value in carried]
+    """The plain values of a summary, as SQL with the silver column names.
+
+    ``any_whole``, the earliest whole event of all kinds, is there for the carried ones.
+    """
+    columns = []
+    if carried:
+        columns.append(f"least({', '.join(f'{kind}_whole' for kind in kinds)}) AS any_whole")
+        columns += [_earliest(value, "any_whole", value) for value in carried]
     for kind in kinds:
         columns.append(f"{kind}_timestamp")
         columns += [_earliest(value, f"{kind}_whole", f"{kind}_{ending}") for ending, value in PLACE.items()]
@@ -52,10 +58,6 @@ def _alone(value: str) -> str:
     return f"{value}_alone"
 
 
-def _least(structs: list[str]) -> str:
-    return f"least({', '.join(structs)})" if len(structs) > 1 else structs[0]
-
-
 def _earliest(value: str, whole: str, alone: str) -> str:
     whole_first = f"{whole} IS NOT NULL AND struct({whole}.at, {whole}.id) <= struct({alone}.at, {alone}.id)"
     return f"IF({alone} IS NULL OR ({whole_first}), {whole}.{value}, {alone}.{value}) AS {alone}"
