@@ -93,6 +93,12 @@ def test_kafka_options():
     }
 
 
+def test_rows_for_a_topic_are_packed_once(spark):
+    rate = spark.readStream.format("rate").load()
+    for df, columns in ((rate.drop("value"), ["value"]), (kafka.pack(rate, "timestamp"), ["key", "value"])):
+        assert kafka.stream_writer(df, "host:1", "out", "/checkpoint")._df.columns == columns
+
+
 # -- schemas ------------------------------------------------------------------
 
 
@@ -240,6 +246,23 @@ def test_event_partitions_are_pruned(spark, lake, tmp_path):
     assert rows(bronze.read_events(spark, lake, start="2024-03-28"), "event_id") == [("e28",)]
 
 
+def test_date_with_most_events_is_split(spark, lake, tmp_path):
+    events = spark.range(20000).selectExpr(
+        "uuid() AS event_id", "'ride_started' AS event_type", "uuid() AS ride_id",
+        "IF(id % 100 = 0, TIMESTAMP '2024-03-08 12:00:00', TIMESTAMP '2024-03-09 12:00:00') AS event_timestamp",
+    )
+    events.repartition(8).write.json(str(tmp_path / "files"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "300k")
+    try:
+        bronze.ingest_json(spark, lake, str(tmp_path / "files"), "events", partition_by="event")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    month = tmp_path / "lake/bronze/events/year=2024/month=3"
+    assert len(data_files(month / "day=9")) > 2
+    assert len(data_files(month / "day=8")) == 1
+    assert bronze.read_events(spark, lake).count() == 20000
+
+
 # -- tables -------------------------------------------------------------------
 
 
