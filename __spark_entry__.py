@@ -6,6 +6,7 @@ Nearly every query reads the whole ``events`` table, as ride events (see
 
 from __future__ import annotations
 
+import importlib.util
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -29,6 +30,14 @@ from ridelake.streaming.bronze import start_bronze
 from ridelake.streaming.queries import await_all
 from ridelake.streaming.silver import publish_silver, start_silver
 
+# The operators for training data are an addition: without their subpackage the other queries are all there are.
+_WITH_LLM = all(map(importlib.util.find_spec, ("corpus_pipeline", "ridelake.llm"))) and (
+    importlib.util.find_spec("ridelake.llm.queries") is not None
+)
+if _WITH_LLM:
+    import corpus_pipeline
+    from ridelake.llm import queries as llm
+
 AS_OF = "2024-02-05"
 RANGE = ("2024-01-10", "2024-01-20 12:00:00")
 SHIPPED = ("1995-03-01", "1996-02-29")
@@ -224,6 +233,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         **{name: _query(transform) for name, transform in {**transforms, **JOBS}.items()},
         "time_periods_of_orders": _time_periods_of_orders,
         "filter_time_range_of_lineitem": _time_range_of_lineitem,
+        **({**llm.QUERIES, "pipeline": corpus_pipeline.run} if _WITH_LLM else {}),
     }
 
 
@@ -462,4 +472,5 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT user_id, max(ride_started_timestamp) AS last_ride_date FROM rides GROUP BY user_id)""",
         ),
         "gold_row_counts": _with(*everything, select=_row_counts()),
+        **(llm.ORACLES if _WITH_LLM else {}),
     }
