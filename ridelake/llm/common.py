@@ -72,7 +72,7 @@ def extended(df: DataFrame, keep: list[str], added: str) -> str:
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, per_label: int, longest: int = 50_000
+    docs: DataFrame, labels: DataFrame, per_label: int, longest: int = 20_000
 ) -> list[tuple[object, str]]:
     """(label, text) of at most ``per_label`` documents of each label, to fit a model on.
 

@@ -1,7 +1,7 @@
 """Mixing sources to target weights, in blocks that a splitting tree deals to output shards.
 
 Each source's documents fall into blocks of about equal words by a hash. A source's target is a number of whole
-passes over its blocks, and in one more pass a quota of blocks; the block at the quota's edge is taken in part. The
+passes over its blocks, and in one more pass a quota of blocks; those at the quota's edge are taken in part. The
 draws, one for each pass and block, are dealt to shards by a tree over ranges of shards: at each node the sources'
 counts are split between the two halves by a multivariate hypergeometric draw, so that every shard has its exact
 number of blocks and the whole is as likely as any dealing. A shard's draws of a source are consecutive in the
@@ -24,6 +24,8 @@ from ridelake.llm.common import WORD, checkpointed
 
 #: Words of a block, and of a shard, about.
 BLOCK_WORDS, SHARD_WORDS = 1 << 16, 1 << 24
+#: Blocks from the quota on that are taken in part.
+EDGE = 4
 #: Sources a mix may have: their totals and quotas are held by the driver.
 MOST_SOURCES = 100_000
 #: Small tables are broadcast up to this many rows.
@@ -56,7 +58,7 @@ def targets(
 
 @dataclass
 class Source:
-    """``passes`` over all blocks; in the next, those before ``quota``, and of that at it ``room`` words."""
+    """``passes`` over all blocks; in the next, those before ``quota``, and ``room`` words of those from it."""
 
     index: int
     name: str | None
@@ -70,7 +72,8 @@ class Source:
 
     @property
     def draws(self) -> int:
-        return self.passes * self.blocks + self.quota + (self.room > 0)
+        edge = min(EDGE, self.blocks - self.quota) if self.room > 0 else 0
+        return self.passes * self.blocks + self.quota + edge
 
 
 def _sources(sizes: DataFrame, options: dict) -> list[Source]:
@@ -123,12 +126,13 @@ def _with_quotas(placed: DataFrame, sources: list[Source]) -> None:
 
 
 def _picked(placed: DataFrame) -> DataFrame:
-    """(_index, doc_id, size) of documents that fill the room in the blocks at the quotas' edges.
+    """(_index, doc_id, size) of documents that fill the room, from the blocks at the quotas' edges.
 
     The largest that fits comes first; at last one more if that comes nearer. A block has about ``BLOCK_WORDS``
-    words, so a group is small.
+    words, so a group of ``EDGE`` blocks is small.
     """
-    edge = placed.filter((F.col("_place") == F.col("_quota")) & (F.col("_room") > 0) & (F.col("size") > 0))
+    at_edge = F.col("_place").between(F.col("_quota"), F.col("_quota") + EDGE - 1)
+    edge = placed.filter(at_edge & (F.col("_room") > 0) & (F.col("size") > 0))
     groups = edge.groupBy("_index", "doc_id", "size", "_room").agg(F.count("*").alias("copies"))
 
     def fill(frame: pd.DataFrame) -> pd.DataFrame:
@@ -185,7 +189,7 @@ def dealt(spark: SparkSession, sources: list[Source], shards: int, seed: int) ->
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                node = (row["low"], row["high"], np.array(row["first"]), np.array(row["counts"]))
+                node = (row["low"], row["high"], *(np.array(row[name], dtype=np.int64) for name in ("first", "counts")))
                 for low, _, first, own in _leaves(node, capacity, extra, seed):
                     index = np.repeat(np.arange(len(own)), own)
                     draw = np.arange(len(index)) - np.repeat(np.cumsum(own) - own, own) + np.repeat(first, own)
@@ -251,11 +255,11 @@ def mixture(
     )
 
 
-def taken(docs: DataFrame, spark: SparkSession, **options) -> DataFrame:
+def taken(docs: DataFrame, spark: SparkSession, seed: int = 29, shard_words: int = SHARD_WORDS, **options) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken) of each row of ``docs``, the times read off the mixture."""
     slim = docs.select("doc_id", F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"))
     keys = ["doc_id", "source", "size"]
-    times = mixture(slim, spark, **options).select(*keys, F.lit(0).alias("row"), F.lit(1).alias("time"))
+    times = mixture(slim, spark, seed, shard_words, **options).select(*keys, F.lit(0).alias("row"), F.lit(1).alias("time"))
     rows = slim.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.lit(1).alias("row"), F.lit(0).alias("time"))
     counted = rows.unionByName(times).groupBy(*keys).agg(F.sum("row").alias("rows"), F.sum("time").alias("times"))
     counted = checkpointed(counted)

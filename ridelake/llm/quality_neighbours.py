@@ -73,6 +73,18 @@ def terms(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row, term, weight
 
 
+def terms_in_parts(texts: list[bytes], most_bytes: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same, with the memory that about ``most_bytes`` of text need."""
+    found, start, held = [], 0, 0
+    for k, text in enumerate([*texts, b""]):
+        if k > start and (k == len(texts) or held + len(text) > most_bytes):
+            row, term, weight = terms(texts[start:k])
+            found.append((row + start, term, weight))
+            start, held = k, 0
+        held += len(text)
+    return tuple(map(np.concatenate, zip(*found, strict=True)))
+
+
 # -- the model --------------------------------------------------------------------
 
 
@@ -87,7 +99,7 @@ class Model:
     labels: np.ndarray
 
     def latent(self, texts: list[bytes]) -> np.ndarray:
-        row, term, weight = terms(texts)
+        row, term, weight = terms_in_parts(texts)
         at = self.place[term]
         row, at, weight = row[at >= 0], at[at >= 0], weight[at >= 0]
         out = np.zeros((len(texts), self.directions.shape[1]), dtype=np.float32)
@@ -119,7 +131,7 @@ def fit(sample: list[tuple[int, str]], directions: int = DIRECTIONS, seed: int =
     place = np.full(TERMS, -1)
     if not texts:
         return Model(place, np.zeros(0), np.zeros((0, 1), np.float32), np.zeros((0, 1), np.float32), labels)
-    row, term, weight = terms(texts)
+    row, term, weight = terms_in_parts(texts)
     documents = np.bincount(term, minlength=TERMS)
     kept = np.flatnonzero(documents >= min(3, len(texts)))
     place[kept] = np.arange(len(kept))

@@ -219,7 +219,7 @@ def fit(texts: list[str], around: int = 32, steps: int = 300) -> Model:
         starts = {min(max(int(m) - around // 2, 0), len(tokens) - around) for m in marks} | {len(text) % (len(tokens) - around + 1)}
         rows = _design(tokens)
         for start in sorted(starts):
-            designs.append(rows[start : start + around])
+            designs.append(rows[start : start + around].copy())
             labels.append(gold[start : start + around])
     weights, chain = np.zeros((WIDTH, 3)), crf.Chain(np.zeros((3, 3)), np.zeros(3))
     chain.moves[OUTSIDE, INSIDE] = chain.first[INSIDE] = _FORBIDDEN

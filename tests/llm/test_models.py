@@ -1,0 +1,222 @@
+"""The fitted operators: chains against brute force, accuracy on held-out rows, and odd rows."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ridelake.llm import crf, language_crf, queries, quality_neighbours, secret_crf
+from ridelake.llm.common import table
+
+SF_DIR = "/root/testdata/sf0.01"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def documents(spark, texts):
+    return spark.createDataFrame([(k, text, "en", "s", 0) for k, text in enumerate(texts)], SCHEMA)
+
+
+# -- chains -------------------------------------------------------------------
+
+
+def one_pass(chain, scores):
+    """Marginals and best path of one sequence, step by step."""
+    ahead = [chain.first + scores[0]]
+    best, came = [chain.first + scores[0]], []
+    for row in scores[1:]:
+        ahead.append(np.logaddexp.reduce(ahead[-1][:, None] + chain.moves, axis=0) + row)
+        step = best[-1][:, None] + chain.moves
+        came.append(step.argmax(axis=0))
+        best.append(step.max(axis=0) + row)
+    behind = [np.zeros(len(chain.first))]
+    for row in scores[:0:-1]:
+        behind.append(np.logaddexp.reduce(chain.moves + row + behind[-1], axis=1))
+    total = np.array(ahead) + np.array(behind[::-1])
+    path = [int(best[-1].argmax())]
+    for step in came[::-1]:
+        path.append(int(step[path[-1]]))
+    return np.exp(total - np.logaddexp.reduce(total, axis=1, keepdims=True)), path[::-1]
+
+
+@pytest.fixture
+def chain():
+    rng = np.random.default_rng(0)
+    chain = crf.Chain(rng.normal(size=(3, 3)), rng.normal(size=3))
+    chain.moves[0, 2] = chain.first[2] = -1e4
+    return chain
+
+
+def sequences():
+    rng = np.random.default_rng(1)
+    parts = [rng.normal(size=(n, 3)) * 2 for n in (1, 5, 700, 256, 3, 1000, 255, 1)]
+    return parts, np.concatenate([[True] + [False] * (len(p) - 1) for p in parts])
+
+
+def test_blocks_equal_one_pass(chain):
+    parts, begins = sequences()
+    found, labels = crf.marginals(chain, np.concatenate(parts), begins), crf.best_labels(chain, np.concatenate(parts), begins)
+    expected = [one_pass(chain, part) for part in parts]
+    assert np.allclose(found, np.concatenate([p for p, _ in expected]), atol=1e-9)
+    assert labels.tolist() == [label for _, path in expected for label in path]
+    assert len(crf.marginals(chain, np.zeros((0, 3)), begins[:0])) == len(crf.best_labels(chain, np.zeros((0, 3)), begins[:0])) == 0
+
+
+def test_tokens_not_looked_at_are_outside(chain):
+    """The bound keeps the best path: tags over the tokens worth it equal Viterbi over all."""
+    rng = np.random.default_rng(5)
+    for shift in (0, 2, 4, 6):
+        parts, begins = sequences()
+        scores = np.concatenate(parts)
+        scores[:, 0] += shift + rng.normal(size=len(scores))
+        model = secret_crf.Model(np.zeros((secret_crf.WIDTH, 3)), chain)
+        assert (secret_crf.tags(model, scores, begins) == crf.best_labels(chain, scores, begins)).all()
+        if shift == 6:
+            assert secret_crf.worth_looking(chain, scores).mean() < 0.3
+
+
+# -- languages ------------------------------------------------------------------
+
+
+def test_languages_of_held_out_documents(spark):
+    found = queries.op5_language_id(spark, SF_DIR).join(table(spark, SF_DIR, "documents").select("doc_id", "lang"), "doc_id")
+    rows = found.filter("held_out").collect()
+    assert len(rows) > 150
+    assert sum(r.lang == r.lang_pred for r in rows) > 0.98 * len(rows)
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+@pytest.fixture(scope="module")
+def two_languages():
+    rng = random.Random(1)
+    make = {"aa": lambda: "".join(rng.choices("abcd", k=5)), "xx": lambda: "".join(rng.choices("wxyz", k=5))}
+    return language_crf.fit([(lang, " ".join(word() for _ in range(60))) for lang, word in make.items() for _ in range(20)])
+
+
+def test_code_switching(spark, two_languages):
+    text = "abca, bcdb! ddca; wxyz zzyx (yxwz) abcd ccbb"
+    spans = language_crf.language_spans(documents(spark, [text, None, "1 2", ""]), two_languages, spark).collect()
+    assert [(r.doc_id, text[r.start : r.end], r.lang) for r in sorted(spans, key=lambda r: r.start)] == [
+        (0, "abca, bcdb! ddca", "aa"), (0, "wxyz zzyx (yxwz", "xx"), (0, "abcd ccbb", "aa"),
+    ]
+
+
+def test_languages_of_odd_rows(spark, two_languages):
+    docs = documents(spark, [None, "", "12 ² !", "WXZY", "abcd wxyz", "abcd " * 50_000]).withColumn("score", F.lit("mine"))
+    found = sorted(tuple(r) for r in language_crf.languages(docs.unionByName(docs.limit(1)), two_languages, spark).collect())
+    assert [(k, lang) for k, lang, _ in found[:5]] == [(0, "und"), (0, "und"), (1, "und"), (2, "und"), (3, "xx")]
+    assert found[-1][:2] == (5, "aa")
+    nothing = language_crf.fit([])
+    assert [tuple(r) for r in language_crf.languages(docs.filter("doc_id = 3"), nothing, spark).collect()] == [(3, "und", 0.0)]
+    assert language_crf.languages(docs.filter("false"), two_languages, spark).collect() == []
+    assert language_crf.fit_documents(docs.withColumn("lang", F.lit(None).cast("string"))).languages == []
+
+
+def test_words_beyond_those_kept(two_languages, monkeypatch):
+    monkeypatch.setattr(language_crf, "KEPT_WORDS", 3)
+    words = [["abcd", "wxyz"], ["abcd", "aabb", "ccdd", "wwzz"], ["zzzz", "abcd"]]
+    one = language_crf.Labeller(two_languages)
+    found = [one.marginals([part])[0] for part in words]
+    monkeypatch.undo()
+    other = language_crf.Labeller(two_languages)
+    assert all(np.allclose(f, other.marginals([part])[0]) for f, part in zip(found, words, strict=True))
+
+
+# -- quality --------------------------------------------------------------------
+
+
+def test_quality_of_held_out_documents(spark):
+    found = queries.op2_quality_classifier(spark, SF_DIR).join(table(spark, SF_DIR, "labels"), "doc_id")
+    rows = found.filter("held_out").collect()
+    assert len(rows) > 50
+    good = [r.predicted for r in rows if r.quality]
+    bad = [r.predicted for r in rows if not r.quality]
+    assert np.mean(good) > 0.97 and np.mean(bad) < 0.2
+
+
+def test_neighbours_are_exact():
+    rng = random.Random(2)
+    texts = [" ".join(rng.choices(["one", "Two", "THREE!!", "four|", "5"], k=30)) for _ in range(80)]
+    model = quality_neighbours.fit([(k % 2, text) for k, text in enumerate(texts)], directions=8)
+    vectors = model.latent([text.encode() for text in texts]).astype(np.float64)
+    assert np.allclose(np.linalg.norm(vectors, axis=1), 1, atol=1e-5)
+    for k in range(0, 80, 9):
+        near = model.vectors.astype(np.float64) @ vectors[k]
+        best = np.argsort(-near)[:15]
+        weights = np.maximum(near[best], 0) ** 4
+        expected = (weights * model.labels[best]).sum() / weights.sum()
+        assert model.scores([texts[k].encode()])[0] == pytest.approx(expected, abs=1e-3)
+
+
+def test_quality_of_odd_rows(spark):
+    docs = documents(spark, [None, "", "a few good words here", "x" * 300_000]).withColumn("score", F.lit("mine"))
+    labels = spark.createDataFrame([(2, 1, 0), (3, 0, 0), (None, 1, 0), (77, 1, 1), (2, None, 0)], "doc_id long, quality int, toxic int")
+    for own in (labels, labels.filter("false")):
+        model = quality_neighbours.fit_labels(docs, own)
+        found = quality_neighbours.quality_scores(docs.unionByName(docs.limit(1)), model, spark).collect()
+        assert len(found) == 5 and all(0 <= r.score <= 1 for r in found)
+    assert {r.score for r in found} == {0.5}
+    kept = quality_neighbours.accepted(docs, model, spark)
+    assert kept.schema == docs.schema and kept.count() == 4
+    assert quality_neighbours.accepted(docs, model, spark, 0.6).count() == 0
+    assert quality_neighbours.quality_scores(docs.filter("false"), model, spark).collect() == []
+
+
+# -- secrets --------------------------------------------------------------------
+
+CASES = [
+    'token = "abcdef123456"', "PassWord: hunter", "api_key=xyz", "apikey='a.b/c+d=-e'", "AKIA" + "A" * 15, "AKIA" + "B7" * 8,
+    "ff" * 11 + "f", "0" * 24, "éé secret:token=abcdefgh", "password=" + "ab12" * 10, "A" + "ab" * 12 + "G", "", None,
+]
+
+
+def by_definition(text):
+    assign = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+))""")
+    found = [(m.start(), 0, "assign", m.end()) for m in assign.finditer(text) if len(m[2]) >= 6]
+    found += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return [(a, b, kind) for a, _, kind, b in sorted(found)]
+
+
+@pytest.fixture(scope="module")
+def field():
+    rng = random.Random(6)
+    prose = lambda n: " ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randrange(2, 9))) for _ in range(n))
+    value = lambda: "".join(rng.choices("0123456789abcdef", k=rng.choice([18, 40])))
+    texts = [f'{prose(40)}\ntoken = "{value()}"\n{prose(40)}' for _ in range(60)]
+    texts += [f"{prose(40)} password={value()} {prose(40)}" for _ in range(60)] + [prose(90) for _ in range(100)]
+    return secret_crf.fit(texts)
+
+
+def test_base_spans():
+    for text in CASES:
+        assert [span[:3] for span in secret_crf.base_spans(text or "")] == by_definition(text or "")
+
+
+def test_the_field_finds_more_than_the_patterns(field):
+    tagger = secret_crf.Tagger(field)
+    texts = ["some plain words of prose that say nothing at all to anyone, really"] * 2
+    texts += ["the auth = 'Zk83hdKq02mXpQ7Lw9' of this server and more words follow it"]
+    spans = secret_crf.all_spans(tagger, texts)
+    assert spans[0] == spans[1] == []
+    assert [(texts[2][a:b], kind) for a, b, kind, _ in spans[2]] == [("Zk83hdKq02mXpQ7Lw9", "tagged")]
+
+
+def test_secret_rows_and_redaction(spark, field):
+    docs = documents(spark, CASES).withColumn("spans", F.lit("mine"))
+    docs = docs.unionByName(docs.limit(1))
+    found = {r.doc_id: r for r in secret_crf.secrets(docs, field, spark).collect()}
+    assert len(found) == len(CASES)
+    for k, text in enumerate(CASES):
+        base = [span for span in found[k].spans.split(",") if span and not span.startswith("tagged")]
+        assert base == [f"{kind}:{a}:{b}" for a, b, kind in by_definition(text or "")]
+    clean = {r.doc_id: r.text for r in secret_crf.redacted(docs, field, spark).collect()}
+    assert clean[0] == 'token = "[SECRET]"' and clean[1] == "PassWord: [SECRET]" and clean[12] is None and clean[11] == ""
+    assert clean[9] == "password=[SECRET]" and clean[5] == "[SECRET]"
+    assert not any(by_definition(text.replace("[SECRET]", "")) for text in clean.values() if text)
+    assert secret_crf.redacted(docs, field, spark).schema == docs.schema
+    assert secret_crf.secrets(docs.filter("false"), field, spark).collect() == []
+    assert secret_crf.secrets(docs, secret_crf.fit([]), spark).agg(F.sum("n_tagged")).first()[0] == 0

@@ -1,0 +1,162 @@
+"""Token counts, quality rules and licences against plain counting."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ridelake.llm import license_scan, line_quality, token_counts
+
+tokenizers = pytest.importorskip("tokenizers")
+files = pytest.importorskip("public_tokenizers")
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def documents(spark, texts, source="s"):
+    return spark.createDataFrame([(k, text, "en", source, 0) for k, text in enumerate(texts)], SCHEMA)
+
+
+# -- tokens -------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def library():
+    return tokenizers.Tokenizer.from_file(str(files.path("byte_bpe_50k.json")))
+
+
+def odd_texts():
+    rng = random.Random(1)
+    parts = [*"abcstmdrevl'\" \n\t.,!12é中’\x1c\x85\r٣²ⅷ", "̈", "　", "'re", "'ll", "<|endoftext|>", "<|endof"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(40))) for _ in range(3000)]
+    return [*texts, "", " ", "\n\n", "a" * 3000, "ab" * 400, " " * 999 + "x", "'" * 7, "I'll we've they're he'd 'tis ''s"]
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 512])
+def test_tokens_equal_the_library(library, chunk, monkeypatch):
+    monkeypatch.setattr(token_counts, "piece_starts", lambda kinds, own=token_counts.piece_starts: own(kinds, chunk))
+    texts = odd_texts()
+    counts = token_counts.TokenCounter(str(files.path("byte_bpe_50k.json"))).counts(texts)
+    assert counts.tolist() == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_transitions_beyond_those_kept(library, monkeypatch):
+    monkeypatch.setattr(token_counts, "TRANSITIONS", 5)
+    counter, texts = token_counts.TokenCounter(str(files.path("byte_bpe_50k.json"))), odd_texts()[:300]
+    expected = [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert counter.counts(texts[:9]).tolist() + counter.counts(texts[9:]).tolist() == expected
+
+
+def test_token_rows(spark):
+    path = str(files.path("byte_bpe_50k.json"))
+    docs = documents(spark, [None, "", "hello world", "word " * 600]).withColumn("n_tokens", F.lit("mine"))
+    docs = docs.unionByName(docs.filter("doc_id = 2"))
+    found = sorted(tuple(r) for r in token_counts.token_counts(docs, path).collect())
+    assert found == [(0, 0, 0, False), (1, 0, 0, False), (2, 11, 2, False), (2, 11, 2, False), (3, 3000, 601, True)]
+    assert token_counts.token_counts(docs.filter("false"), path).collect() == []
+
+
+# -- quality rules ------------------------------------------------------------
+
+
+def test_measures():
+    rng = random.Random(2)
+    texts = ["", "\n \n", "a", "é ß b\x1cc", "a b c d e f a b c d e g a b c d e", "x\n x\nx\n\ny\ny"]
+    texts += ["".join(rng.choices([*"ab#|\n\t é", " a b c d e "], k=60)) for _ in range(200)]
+    found = line_quality.measures([text.encode() for text in texts])
+    for k, text in enumerate(texts):
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+        often = Counter(windows)
+        covered = {i + j for i, w in enumerate(windows) if often[w] > 1 for j in range(5)}
+        lines = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+        expected = {
+            "n_words": len(words),
+            "word_chars": sum(map(len, words)),
+            "n_symbols": len(re.findall(r"[#*$%&|<>]", text)),
+            "n_dup_lines": len(lines) - len(set(lines)),
+            "n_repeat_words": len(covered),
+        }
+        assert {name: int(values[k]) for name, values in found.items()} == expected, text
+
+
+def test_lines_shared_by_a_host(spark):
+    """A line in a fifth of a host's documents goes; the same line elsewhere, copies of one document and rare lines stay."""
+    own = [" ".join(f"own{k}x{j}" for j in range(20)) for k in range(60)]
+    shared = "We  use COOKIES to make this site better for all of you who come here often."
+    texts = [own[k] + ("\n" + shared.upper() if k % 5 == 0 else "") for k in range(60)] + [shared] * 3
+    copies = "\n".join(own[:2]) + " copied many times"
+    docs = documents(spark, texts, "a").unionByName(documents(spark, [copies] * 40, None)).unionByName(documents(spark, [shared], "b"))
+    for limit in (200_000, 0):  # broadcast, or not
+        line_quality.BROADCAST_LINES, before = limit, line_quality.BROADCAST_LINES
+        try:
+            found = line_quality.quality_rules(docs, line_docs=5).collect()
+        finally:
+            line_quality.BROADCAST_LINES = before
+        assert len(found) == 104
+        assert sum(not r.base_failed and not r.kept for r in found) == 3
+        assert sum(r.n_removed_words > 0 for r in found) == 15
+        assert all(r.n_removed_words in (0, 16) for r in found)
+
+
+def test_quality_of_odd_rows(spark):
+    docs = documents(spark, [None, "", "few words"], None).withColumn("kept", F.lit("mine")).withColumn("host", F.lit(1))
+    found = line_quality.quality_rules(docs.unionByName(docs)).collect()
+    assert len(found) == 6
+    assert all(r.base_failed and not r.kept and r.n_removed_words == 0 for r in found)
+    assert line_quality.quality_rules(docs.filter("false")).collect() == []
+
+
+# -- licences -----------------------------------------------------------------
+
+
+def dice(a, b):
+    pairs = [set(zip(words, words[1:], strict=False)) for words in map(license_scan.words_of, (a, b))]
+    return 2 * len(pairs[0] & pairs[1]) / max(len(pairs[0]) + len(pairs[1]), 1)
+
+
+def test_size_bounds():
+    for n in range(1, 60):
+        low, high = license_scan.size_bounds(n, 0.8)
+        for a in range(1, 200):
+            assert (low <= a <= high) == (2 * min(a, n) >= 0.8 * (a + n) - 1e-9)
+
+
+def test_licences_equal_all_pairs(spark):
+    rng = random.Random(3)
+    texts = [None, "", "one", "Some prose here.\nReleased under the MIT license\nmore prose"]
+    for text in license_scan.TEMPLATES.values():
+        words = text.split()
+        for _ in range(4):
+            copy = list(words)
+            for _ in range(rng.randrange(1 + len(copy) // 5)):
+                copy[rng.randrange(len(copy))] = rng.choice(["other", "words"])
+            texts.append("A first paragraph of prose.\n\n" + "\n".join(map(" ".join, (copy[:9], copy[9:]))) + "\n \nThe end")
+    docs = documents(spark, texts).withColumn("score", F.lit(0)).withColumn("n", F.lit(0))
+    found = {(r.doc_id, r.license_id): r.score for r in license_scan.license_scan(docs, spark).collect()}
+    expected = {}
+    for k, text in enumerate(texts):
+        units = [] if text is None else [text, *text.split("\n"), *re.split(r"\n\s*\n", text)]
+        for (license_id, _), template in license_scan.TEMPLATES.items():
+            best = max((dice(unit, template) for unit in units), default=0)
+            if best >= 0.8:
+                expected[k, license_id] = max(expected.get((k, license_id), 0), best)
+    assert found == pytest.approx(expected)
+    assert {license_id for _, license_id in expected} == {license_id for license_id, _ in license_scan.TEMPLATES}
+    assert license_scan.license_scan(docs.filter("false"), spark).collect() == []
+
+
+def test_licence_plan_is_native_and_forms_no_pairs(spark):
+    plan = license_scan.license_scan(documents(spark, ["a"]), spark)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
+
+
+def test_words_of_bytes_part_like_the_words():
+    text = "".join(map(chr, range(0x3100)))
+    assert [w.decode() for w in text.encode().split()] == re.findall(r"[^\x20\x09-\x0D]+", text)
+    assert np.isin(0, [0])
