@@ -25,7 +25,7 @@ from ridelake.llm.common import WORD, checkpointed
 #: Words of a block, and of a shard, about.
 BLOCK_WORDS, SHARD_WORDS = 1 << 16, 1 << 24
 #: Blocks from the quota on that are taken in part.
-EDGE = 4
+EDGE = 16
 #: Sources a mix may have: their totals and quotas are held by the driver.
 MOST_SOURCES = 100_000
 #: Small tables are broadcast up to this many rows.
