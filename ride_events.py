@@ -27,11 +27,9 @@ _EVENT_TYPE = """
 # A few users with many events.
 _USER = "CASE WHEN user_id % 3 = 0 THEN user_id % 10 ELSE user_id END"
 
-# Some users are without rides, and of some the last ride is early.
-_KEPT = f"""
-    event_type NOT IN ('view', 'purchase', 'error')
-    OR NOT ({_USER} % 7 = 1 OR ({_USER} % 4 = 0 AND ts >= TIMESTAMP_NTZ '2024-01-05 00:00:00'))
-"""
+# Some users are without rides, and of some the last ride is early: those events are requests.
+_RIDE = "event_type IN ('view', 'purchase', 'error')"
+_NO_RIDE = f"{_USER} % 7 = 1 OR ({_USER} % 4 = 0 AND ts >= TIMESTAMP_NTZ '2024-01-05 00:00:00')"
 
 
 def read_event_log(spark: SparkSession, path: str) -> DataFrame:
@@ -39,9 +37,9 @@ def read_event_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def events_as_rides(log: DataFrame) -> DataFrame:
-    return log.filter(_KEPT).selectExpr(
+    return log.selectExpr(
         "CAST(event_id AS STRING) AS event_id",
-        f"{_EVENT_TYPE} AS event_type",
+        f"IF({_RIDE} AND ({_NO_RIDE}), 'customer_ride_request', {_EVENT_TYPE}) AS event_type",
         "CAST(ts AS TIMESTAMP) AS event_timestamp",
         f"CAST({_USER} AS STRING) AS user_id",
         "CAST((event_id DIV 4) % 40 AS STRING) AS driver_id",

@@ -9,11 +9,6 @@ from pyspark.sql import functions as F
 
 from ridelake.values import GRID_DECIMALS
 
-# Stands in for a missing event time, so that such an event is never the earliest
-# while there is another.
-_END_OF_TIME = "9999-12-31 23:59:59.999999"
-
-
 def grid(coordinate: Column | str) -> Column:
     """The coordinate of the grid cell."""
     return F.round(coordinate, GRID_DECIMALS)
@@ -43,8 +38,13 @@ def sighting(*values: str) -> str:
     Order is (event_timestamp, event_id), events without a time last; values
     follow, so even events equal in both are ordered the same way every time.
     """
-    at = f"coalesce(event_timestamp, TIMESTAMP '{_END_OF_TIME}')"
-    return f"struct({at} AS at, event_id AS id, {', '.join(values)})"
+    return f"struct(event_timestamp IS NULL AS timeless, event_timestamp AS at, event_id AS id, {', '.join(values)})"
+
+
+def earlier(one: str, other: str) -> str:
+    """SQL: whether a sighting comes before another, or with it."""
+    order = [f"struct({x}.timeless, {x}.at, {x}.id)" for x in (one, other)]
+    return f"{order[0]} <= {order[1]}"
 
 
 def latest_sighting(*values: str) -> str:

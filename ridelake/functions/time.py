@@ -36,24 +36,32 @@ def add_time_periods(df: DataFrame, timestamp_col: str) -> DataFrame:
     return df.withColumns({name: part(timestamp_col) for name, part in _TIME_PERIOD.items()})
 
 
-def filter_time_range(df: DataFrame, timestamp_col: str, start_date: str, end_date: str) -> DataFrame:
-    """Rows with start <= timestamp <= end; a date without a time is its midnight."""
+def filter_time_range(
+    df: DataFrame, timestamp_col: str, start_date: str | None = None, end_date: str | None = None
+) -> DataFrame:
+    """Rows with start <= timestamp <= end; a date without a time is its midnight, and one bound may be missing."""
     column = F.col(timestamp_col)
-    bounds = [F.to_timestamp(F.lit(text)) for text in (start_date, end_date)]
-    if isinstance(df.select(column).schema[0].dataType, TimestampNTZType):
+    zoneless = isinstance(df.select(column).schema[0].dataType, TimestampNTZType)
+
+    def bound(text: str) -> Column:
+        moment = F.to_timestamp(F.lit(text))
         # Else Spark would cast the column, and the filter would not reach the file scan.
-        bounds = [bound.cast(TimestampNTZType()) for bound in bounds]
-    return df.filter(column.between(*bounds))
+        return moment.cast(TimestampNTZType()) if zoneless else moment
+
+    if start_date is not None:
+        df = df.filter(column >= bound(start_date))
+    return df if end_date is None else df.filter(column <= bound(end_date))
 
 
-def filter_event_date_partitions(df: DataFrame, start_date: str, end_date: str) -> DataFrame:
+def filter_event_date_partitions(df: DataFrame, start_date: str | None, end_date: str | None) -> DataFrame:
     """Keep the year/month/day partitions that can hold events of the range.
 
     One day more on each side, so that a writer in another time zone does no harm.
     """
-    first = F.date_sub(F.to_date(F.to_timestamp(F.lit(start_date))), 1)
-    last = F.date_add(F.to_date(F.to_timestamp(F.lit(end_date))), 1)
-    return df.filter(F.make_date(*DATE_PARTS).between(first, last))
+    date = F.make_date(*DATE_PARTS)
+    if start_date is not None:
+        df = df.filter(date >= F.date_sub(F.to_date(F.to_timestamp(F.lit(start_date))), 1))
+    return df if end_date is None else df.filter(date <= F.date_add(F.to_date(F.to_timestamp(F.lit(end_date))), 1))
 
 
 def add_ingest_metadata(df: DataFrame, partition_by: str, as_of: AsOf = None) -> DataFrame:

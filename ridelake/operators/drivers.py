@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridelake.functions.columns import event_is, latest_sighting
@@ -45,9 +45,8 @@ def latest_location(events: DataFrame, ties: str = "one") -> DataFrame:
         last = updates.groupBy("driver_id").agg(F.max(F.expr(latest_sighting(*_PLACE))).alias("location"))
         return last.select("driver_id", *[f"location.{value}" for value in _PLACE])
     if ties == "all":
-        # Spark limits the groups on the map side too, as only rank 1 is kept: a
-        # driver with most of the updates sends one row (or its ties) per map task.
-        newest_first = Window.partitionBy("driver_id").orderBy(F.col("event_timestamp").desc())
-        ranked = updates.select("driver_id", *_PLACE, F.rank().over(newest_first).alias("rank"))
-        return ranked.filter(F.col("rank") == 1).drop("rank")
+        # Joined on driver and time, not ranked in a window, so that Spark can split a driver with most of the rows.
+        last = updates.groupBy(F.col("driver_id").alias("_driver")).agg(F.max("event_timestamp").alias("_at"))
+        same = F.col("driver_id").eqNullSafe(F.col("_driver")) & F.col("event_timestamp").eqNullSafe(F.col("_at"))
+        return updates.join(last, same).select("driver_id", *_PLACE)
     raise ValueError(f"ties must be 'one' or 'all', not {ties!r}")

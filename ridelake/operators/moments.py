@@ -10,7 +10,7 @@ as the event itself.
 
 from __future__ import annotations
 
-from ridelake.functions.columns import sighting
+from ridelake.functions.columns import earlier, sighting
 from ridelake.operators.mergeable import Part
 
 # Column name ending in the silver table -> event column.
@@ -59,5 +59,5 @@ def _alone(value: str) -> str:
 
 
 def _earliest(value: str, whole: str, alone: str) -> str:
-    whole_first = f"{whole} IS NOT NULL AND struct({whole}.at, {whole}.id) <= struct({alone}.at, {alone}.id)"
+    whole_first = f"{whole} IS NOT NULL AND {earlier(whole, alone)}"
     return f"IF({alone} IS NULL OR ({whole_first}), {whole}.{value}, {alone}.{value}) AS {alone}"

@@ -17,6 +17,9 @@ from ridelake.schemas import DATE_PARTS, EVENT
 from ridelake.sources import files
 from ridelake.sources.lake import Lake
 
+# A note with the table: its partitions are the dates of the events.
+BY_EVENT_DATE = "by_event_date"
+
 
 def parse_events(messages: DataFrame) -> DataFrame:
     """Messages with a binary JSON ``value`` as bronze events; batch or stream.
@@ -65,7 +68,8 @@ def _ingest(df: DataFrame, lake: Lake, table: str, partition_by: str, as_of: AsO
     # Event types side by side in the files: the silver builds, which want one family
     # each, then skip the pages of the others. A sort within tasks, no shuffle.
     order = [*DATE_PARTS] + (["event_type"] if "event_type" in df.columns else [])
-    lake.write(events.sortWithinPartitions(*order), "bronze", table, mode, partition_by=DATE_PARTS)
+    note = BY_EVENT_DATE if partition_by == "event" else None
+    lake.write(events.sortWithinPartitions(*order), "bronze", table, mode, partition_by=DATE_PARTS, note=note)
 
 
 def read_events(
@@ -74,17 +78,13 @@ def read_events(
     table: str = "events",
     start: str | None = None,
     end: str | None = None,
-    partitioned_by_event_date: bool = False,
 ) -> DataFrame:
-    """A bronze table, optionally only start <= event_timestamp <= end.
+    """A bronze table, optionally only start <= event_timestamp <= end; either bound may be missing.
 
-    Where the table's partitions are event dates, as the stream and
-    ``partition_by="event"`` write them, say so: other dates are then not read.
+    Where the table's partitions are event dates, as the stream and ``partition_by="event"`` write them, which the
+    table itself notes, other dates are not read.
     """
     events = lake.read(spark, "bronze", table)
-    if start is None and end is None:
-        return events
-    start, end = start or "0001-01-02", end or "9999-12-30"
-    if partitioned_by_event_date:
+    if BY_EVENT_DATE in lake.notes(spark, "bronze", table) and not (start is None and end is None):
         events = filter_event_date_partitions(events, start, end)
     return filter_time_range(events, "event_timestamp", start, end)

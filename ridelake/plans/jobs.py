@@ -69,6 +69,11 @@ def run_batch(
     )
 
 
+def compact_gold(spark: SparkSession, lake: Lake, name: str, **options) -> None:
+    """Fewer and larger files of a gold table, in ranges of its cluster columns as before."""
+    lake.compact(spark, "gold", name, cluster_by=gold.cluster_columns(name), **options)
+
+
 def refresh_gold(spark: SparkSession, lake: Lake, as_of: AsOf = None) -> dict[str, int]:
     """Rewrite the gold tables from the silver tables there are."""
     names = [name for name in silver.ENTITIES if lake.exists(spark, "silver", name)]
@@ -105,7 +110,9 @@ def run_streaming(
     """Stream until the queries end, refreshing gold every so often and at the end.
 
     Without a ``trigger`` the run is bounded: what is there now goes through
-    bronze, then silver, then gold. Gives the queries that failed.
+    bronze, then silver, then gold. Gives the queries that failed; when one does, the others are
+    stopped and nothing is published any more, so that gold never comes from silver tables of
+    different progress. If a refresh raises, all queries are stopped before the error goes on.
     """
     if trigger is None:
         now = {"availableNow": True}
@@ -125,6 +132,7 @@ def run_streaming(
                 refresh(spark, lake, as_of)
                 due = time.monotonic() + refresh_seconds
 
-        failed = await_all(queries, between_polls=refresh_when_due)
-    refresh(spark, lake, as_of)
+        failed = await_all(queries, between_polls=refresh_when_due, stop_on_failure=True)
+    if not failed:
+        refresh(spark, lake, as_of)
     return failed

@@ -35,7 +35,11 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Size of the files ``df`` reads, from the file listing its plan already has."""
+    """Size of the files ``df`` reads, from the file listing its plan already has.
+
+    Inputs of unknown size, such as frames made of RDDs, count nothing: whoever writes from those sets the number
+    of shuffle partitions.
+    """
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
     return sum(size for size in sizes if size < _UNKNOWN_SIZE)

@@ -45,15 +45,28 @@ def pack(df: DataFrame, key: str | Column | None = None) -> DataFrame:
 
 
 def stream_writer(
-    df: DataFrame, bootstrap_servers: str, topic: str, checkpoint_location: str, **more: str
+    df: DataFrame,
+    bootstrap_servers: str,
+    topic: str,
+    checkpoint_location: str,
+    key: str | Column | None = None,
+    packed: bool = False,
+    **more: str,
 ) -> DataStreamWriter:
-    messages = df if "value" in df.columns else pack(df)
+    """Rows are packed, with ``key`` deciding the partition; ``packed`` says that they are messages already."""
+    messages = df if packed else pack(df, key)
     options = write_options(bootstrap_servers, topic, checkpoint_location, **more)
     return messages.writeStream.format("kafka").options(**options)
 
 
 def write_stream(
-    df: DataFrame, bootstrap_servers: str, topic: str, checkpoint_location: str, **more: str
+    df: DataFrame,
+    bootstrap_servers: str,
+    topic: str,
+    checkpoint_location: str,
+    key: str | Column | None = None,
+    packed: bool = False,
+    **more: str,
 ) -> StreamingQuery:
-    """Send a stream's rows to a topic; rows without a ``value`` are packed first."""
-    return stream_writer(df, bootstrap_servers, topic, checkpoint_location, **more).start()
+    """Send a stream's rows to a topic."""
+    return stream_writer(df, bootstrap_servers, topic, checkpoint_location, key, packed, **more).start()

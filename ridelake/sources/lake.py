@@ -1,7 +1,15 @@
-"""The layered tables: one directory per table, below one root per layer."""
+"""The layered tables: one directory per table, below one root per layer.
+
+Appends add files to the table's directory. A replacement is a new version beside the ones before: a directory
+of its own below ``_versions``, which counts once a file in ``_current`` names it. Creating an empty file is one
+step on every file system, so nothing is renamed or copied, a job that dies leaves the old version in place, and
+whoever reads a version keeps its files until ``keep_seconds`` after the next one came. With ``fmt="delta"`` the
+format's own transactions do all this.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -17,21 +25,19 @@ STREAM_FILE_LOG = "_spark_metadata"
 
 DEFAULT_FILE_BYTES = 256 * 1024 * 1024
 
+_VERSIONS, _CURRENT, _NOTES = "_versions", "_current", "_notes"
+
 
 @dataclass(frozen=True)
 class Lake:
-    """Where the layers are and in which file format.
-
-    An overwrite writes beside the table and swaps directories when the job is
-    done: a job that dies leaves the old table, and a table may be computed from
-    itself. With ``fmt="delta"`` the format's own transactions do this.
-    """
+    """Where the layers are, in which file format, and how long readers of a replaced version may take."""
 
     bronze: str
     silver: str
     gold: str
     checkpoints: str
     fmt: str = "parquet"
+    keep_seconds: float = 24 * 3600
 
     @classmethod
     def at(cls, spark: SparkSession, root: str, fmt: str = "parquet") -> Lake:
@@ -57,21 +63,30 @@ class Lake:
     def checkpoint(self, layer: str, table: str) -> str:
         return f"{self.checkpoints}/{layer}/{table}"
 
-    def _replaced(self, layer: str, table: str) -> str:
-        return f"{self.root(layer)}/_replaced/{table}"
-
-    def _current(self, spark: SparkSession, layer: str, table: str) -> str:
-        """The table's directory, or its last version when a swap was cut short."""
-        path, replaced = self.path(layer, table), self._replaced(layer, table)
-        if not storage.exists(spark, path) and storage.exists(spark, replaced):
-            return replaced
-        return path
+    def current(self, spark: SparkSession, layer: str, table: str) -> str:
+        """The directory of the table's files: of its last version, or its own before there are versions."""
+        path = self.path(layer, table)
+        named = sorted(storage.children(spark, f"{path}/{_CURRENT}"))
+        return f"{path}/{_VERSIONS}/{named[-1].split('-', 1)[1]}" if named else path
 
     def exists(self, spark: SparkSession, layer: str, table: str) -> bool:
-        return storage.exists(spark, self._current(spark, layer, table))
+        """Whether there is anything to read."""
+        names = storage.children(spark, self.current(spark, layer, table))
+        return any(name == STREAM_FILE_LOG or not name.startswith("_") or name == "_delta_log" for name in names)
 
     def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
-        return spark.read.format(self.fmt).load(self._current(spark, layer, table))
+        return spark.read.format(self.fmt).load(self.current(spark, layer, table))
+
+    # -- notes ------------------------------------------------------------------
+
+    def notes(self, spark: SparkSession, layer: str, table: str) -> set[str]:
+        """What was noted about how the table's files are laid out."""
+        return set(storage.children(spark, f"{self.path(layer, table)}/{_NOTES}"))
+
+    def note(self, spark: SparkSession, layer: str, table: str, note: str) -> None:
+        storage.touch(spark, f"{self.path(layer, table)}/{_NOTES}/{note}")
+
+    # -- writing ----------------------------------------------------------------
 
     def write(
         self,
@@ -81,37 +96,67 @@ class Lake:
         mode: str = "append",
         partition_by: Sequence[str] = (),
         max_records_per_file: int | None = None,
+        note: str | None = None,
     ) -> None:
-        """Write with a save mode; partition columns only where given."""
-        if storage.exists(df.sparkSession, f"{self.path(layer, table)}/{STREAM_FILE_LOG}"):
-            raise ValueError(f"{layer} table {table} is written by a stream, whose readers would not see other files")
-        if mode == "overwrite" and self.fmt != "delta":
-            self._overwrite(df, layer, table, partition_by, max_records_per_file)
-            return
-        self._save(df, self.path(layer, table), mode, partition_by, max_records_per_file=max_records_per_file)
+        """Write with a save mode; partition columns only where given.
 
-    def overwrite_merged(self, df: DataFrame, layer: str, table: str) -> None:
-        """Replace the rows; the table keeps its columns and gains new ones."""
+        ``note`` says how the files are laid out; rows can't be added to a table with another one.
+        """
+        spark, path = df.sparkSession, self.path(layer, table)
+        if storage.exists(spark, f"{path}/{STREAM_FILE_LOG}"):
+            raise ValueError(f"{layer} table {table} is written by a stream, whose readers would not see other files")
+        noted = {note} if note else set()
+        if mode == "overwrite":
+            # Without the old note from now on, with the new one only when all rows are there: a job that dies in
+            # between leaves a table that is read as one without a note, which is slower but right.
+            storage.delete(spark, f"{path}/{_NOTES}")
+            if self.fmt == "delta":
+                self._save(df, path, mode, partition_by, max_records_per_file)
+            else:
+                self._replace(df, layer, table, partition_by, max_records_per_file)
+        elif self.exists(spark, layer, table) and noted != self.notes(spark, layer, table):
+            raise ValueError(f"{layer} table {table} has files laid out otherwise: {self.notes(spark, layer, table)}")
+        else:
+            target = self.current(spark, layer, table)
+            self._save(df, target, mode, partition_by, max_records_per_file)
+        if note:
+            self.note(spark, layer, table, note)
+
+    def overwrite_merged(self, df: DataFrame, layer: str, table: str, note: str | None = None) -> None:
+        """Replace the rows; the table keeps its columns and gains new ones. The note is one about the new rows."""
+        storage.delete(df.sparkSession, f"{self.path(layer, table)}/{_NOTES}")
         if self.fmt == "delta":
             self._save(df, self.path(layer, table), "overwrite", mergeSchema="true")
             return
         spark = df.sparkSession
         if self.exists(spark, layer, table):
             df = enforce_schema(df, merge_schemas(self.read(spark, layer, table).schema, df.schema))
-        self._overwrite(df, layer, table)
+        self._replace(df, layer, table)
+        if note:
+            self.note(spark, layer, table, note)
 
     def overwrite_replaced(self, df: DataFrame, layer: str, table: str) -> None:
         """Replace the rows and the schema."""
         if self.fmt == "delta":
             self._save(df, self.path(layer, table), "overwrite", overwriteSchema="true")
             return
-        self._overwrite(df, layer, table)
+        self._replace(df, layer, table)
+
+    def compact(
+        self,
+        spark: SparkSession,
+        layer: str,
+        table: str,
+        file_bytes: int = DEFAULT_FILE_BYTES,
+        cluster_by: Sequence[str] = (),
+    ) -> None:
+        """Rewrite a table of many small files as files of about ``file_bytes``.
 
-    def compact(self, spark: SparkSession, layer: str, table: str, file_bytes: int = DEFAULT_FILE_BYTES) -> None:
-        """Rewrite a table of many small files as files of about ``file_bytes``."""
-        path = self._current(spark, layer, table)
+        ``cluster_by`` are the columns whose ranges its files hold, if they do: they hold ranges again then.
+        """
+        path = self.current(spark, layer, table)
         if self.fmt == "delta":
-            spark.sql(f"OPTIMIZE delta.`{path}`")
+            spark.sql(f"OPTIMIZE delta.`{path}`" + (f" ZORDER BY ({', '.join(cluster_by)})" if cluster_by else ""))
             return
         if storage.exists(spark, f"{path}/{STREAM_FILE_LOG}"):
             raise ValueError(f"{path} is written by a stream, whose file log a rewrite would void")
@@ -127,13 +172,16 @@ class Lake:
         session.conf.set("spark.sql.files.minPartitionNum", "1")
         session.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(file_bytes))
 
-        df = self.read(session, layer, table)
+        df = session.read.format(self.fmt).load(path)
         partition_by = _partition_columns(spark, path, df.schema)
         if partition_by:
             # Rows of one partition value meet, but a value with many rows is split.
             df = df.hint("rebalance", *partition_by)
+        elif cluster_by:
+            size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+            df = df.repartitionByRange(max(1, -(-size // file_bytes)), *cluster_by).sortWithinPartitions(*cluster_by)
         # Otherwise no shuffle: the scan packs small files into one task each.
-        self._overwrite(df, layer, table, partition_by)
+        self._replace(df, layer, table, partition_by)
 
     def _save(
         self,
@@ -152,7 +200,7 @@ class Lake:
         with sized_for_writing(df):
             writer.save(path)
 
-    def _overwrite(
+    def _replace(
         self,
         df: DataFrame,
         layer: str,
@@ -160,15 +208,29 @@ class Lake:
         partition_by: Sequence[str] = (),
         max_records_per_file: int | None = None,
     ) -> None:
-        spark = df.sparkSession
-        path, replaced = self.path(layer, table), self._replaced(layer, table)
-        staged = f"{self.root(layer)}/_staged/{table}"
-        self._save(df, staged, "overwrite", partition_by, max_records_per_file)
-        if storage.exists(spark, path):
-            storage.delete(spark, replaced)
-            storage.rename(spark, path, replaced)
-        storage.rename(spark, staged, path)
-        storage.delete(spark, replaced)
+        spark, path, version = df.sparkSession, self.path(layer, table), str(uuid.uuid4())
+        self._save(df, f"{path}/{_VERSIONS}/{version}", "error", partition_by, max_records_per_file)
+        before = sorted(storage.children(spark, f"{path}/{_CURRENT}"))
+        number = int(before[-1].split("-", 1)[0]) + 1 if before else 1
+        storage.touch(spark, f"{path}/{_CURRENT}/{number:012d}-{version}")
+        self._clean(spark, path)
+
+    def _clean(self, spark: SparkSession, path: str) -> None:
+        """Delete the versions that the next one has replaced for long enough, and those of jobs that died."""
+        ages = storage.children(spark, f"{path}/{_CURRENT}")
+        named = sorted(ages)
+        stale = [old for old, new in zip(named, named[1:], strict=False) if ages[new] > self.keep_seconds]
+        for name in stale:
+            storage.delete(spark, f"{path}/{_VERSIONS}/{name.split('-', 1)[1]}")
+            storage.delete(spark, f"{path}/{_CURRENT}/{name}")
+        counted = {name.split("-", 1)[1] for name in named}
+        for version, age in storage.children(spark, f"{path}/{_VERSIONS}").items():
+            if version not in counted and age > 10 * self.keep_seconds:  # no job writes for that long
+                storage.delete(spark, f"{path}/{_VERSIONS}/{version}")
+        if ages[named[0]] > self.keep_seconds or stale:
+            for name in storage.children(spark, path):  # the files from before there were versions
+                if name not in (_VERSIONS, _CURRENT, _NOTES):
+                    storage.delete(spark, f"{path}/{name}")
 
 
 def _partition_columns(spark: SparkSession, path: str, schema: StructType) -> list[str]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import SparkSession
 
 
@@ -25,12 +27,27 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
-def rename(spark: SparkSession, source: str, target: str) -> None:
-    fs, from_path = _at(spark, source)
-    _, to_path = _at(spark, target)
-    fs.mkdirs(to_path.getParent())
-    if not fs.rename(from_path, to_path):
-        raise OSError(f"could not rename {source} to {target}")
+def children(spark: SparkSession, path: str) -> dict[str, float]:
+    """Names of what is right below ``path``, and the seconds since each was last changed."""
+    fs, hadoop_path = _at(spark, path)
+    if not fs.exists(hadoop_path):
+        return {}
+    now = time.time()
+    found = fs.listStatus(hadoop_path)
+    return {entry.getPath().getName(): now - entry.getModificationTime() / 1000 for entry in found}
+
+
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` when the session's process ends."""
+    fs, hadoop_path = _at(spark, path)
+    fs.mkdirs(hadoop_path)
+    fs.deleteOnExit(hadoop_path)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """With the file system that it is on."""
+    fs, hadoop_path = _at(spark, path)
+    return fs.makeQualified(hadoop_path).toString()
 
 
 def subdirectories(spark: SparkSession, path: str) -> list[str]:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ridelake.functions.time import AsOf
+from ridelake.functions.time import AsOf, today
 from ridelake.operators.mergeable import Entity
 from ridelake.plans.silver import finish_options
 from ridelake.schemas import BRONZE
@@ -20,7 +20,7 @@ from ridelake.streaming.summary_log import SummaryLog
 
 
 def summary_log(spark: SparkSession, lake: Lake, entity: Entity) -> SummaryLog:
-    return SummaryLog(spark, f"{lake.silver}/_summaries/{entity.name}", entity)
+    return SummaryLog(spark, f"{lake.silver}/_summaries/{entity.name}", entity, lake.keep_seconds)
 
 
 def read_bronze_stream(spark: SparkSession, lake: Lake, table: str, **options: str) -> DataFrame:
@@ -73,6 +73,15 @@ def current_silver(spark: SparkSession, lake: Lake, entity: Entity, as_of: AsOf
     return entity.finish(summary_log(spark, lake, entity).read(), **finish_options(entity, as_of))
 
 
-def publish_silver(spark: SparkSession, lake: Lake, entity: Entity, as_of: AsOf = None) -> None:
-    """Write the current silver rows as the silver table."""
-    lake.overwrite_merged(current_silver(spark, lake, entity, as_of), "silver", entity.name)
+def publish_silver(spark: SparkSession, lake: Lake, entity: Entity, as_of: AsOf = None) -> bool:
+    """Write the current silver rows as the silver table; not if it has them already, which it notes.
+
+    Gives whether it was written.
+    """
+    spans = summary_log(spark, lake, entity).current()
+    date = spark.range(1).select(today(as_of).cast("string")).first()[0] if finish_options(entity, as_of) else ""
+    note = f"up_to-{spans[-1].last if spans else 'nothing'}-{date}"
+    if lake.exists(spark, "silver", entity.name) and note in lake.notes(spark, "silver", entity.name):
+        return False
+    lake.overwrite_merged(current_silver(spark, lake, entity, as_of), "silver", entity.name, note)
+    return True

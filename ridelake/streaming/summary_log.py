@@ -38,6 +38,7 @@ class SummaryLog:
     spark: SparkSession
     root: str
     entity: Entity
+    keep_seconds: float = 24 * 3600
 
     def spans(self) -> list[Span]:
         """All whole directories."""
@@ -70,8 +71,8 @@ class SummaryLog:
     def fold(self, span: Span | None = None) -> None:
         """Merge the batches of ``span`` (all by default) into one directory.
 
-        What an earlier fold merged is removed now, what this one merges stays until
-        the next, for readers at work. Not to be called beside a running stream.
+        What earlier folds merged is removed when ``keep_seconds`` have passed since: readers at work have that
+        long, however many folds there are meanwhile. Not to be called beside a running stream.
         """
         current = self.current()
         if not current:
@@ -81,7 +82,9 @@ class SummaryLog:
         if not merged or merged == [span]:
             return
         for old in set(self.spans()) - set(current):
-            storage.delete(self.spark, self._path(old))
+            merged_for = [self._age(new) for new in current if new.covers(old)]
+            if merged_for and min(merged_for) > self.keep_seconds:
+                storage.delete(self.spark, self._path(old))
         self._write(self.entity.merge(self._read(merged)), span)
 
     def read(self) -> DataFrame:
@@ -95,6 +98,10 @@ class SummaryLog:
     def _path(self, span: Span) -> str:
         return f"{self.root}/{span.first}-{span.last}"
 
+    def _age(self, span: Span) -> float:
+        """Seconds since the span was whole."""
+        return storage.children(self.spark, self._path(span))[_MARKER]
+
     def _read(self, spans: list[Span]) -> DataFrame:
         return self.spark.read.parquet(*[self._path(span) for span in spans])
 

@@ -95,8 +95,14 @@ def test_kafka_options():
 
 def test_rows_for_a_topic_are_packed_once(spark):
     rate = spark.readStream.format("rate").load()
-    for df, columns in ((rate.drop("value"), ["value"]), (kafka.pack(rate, "timestamp"), ["key", "value"])):
-        assert kafka.stream_writer(df, "host:1", "out", "/checkpoint")._df.columns == columns
+    cases = [
+        (rate, {}, ["value"], "string"),  # its own column "value" is a column like others
+        (rate, {"key": "timestamp"}, ["key", "value"], "string"),
+        (kafka.pack(rate, "timestamp"), {"packed": True}, ["key", "value"], "string"),
+    ]
+    for df, options, columns, kind in cases:
+        sent = kafka.stream_writer(df, "host:1", "out", "/checkpoint", **options)._df
+        assert sent.columns == columns and sent.schema["value"].dataType.simpleString() == kind
 
 
 # -- schemas ------------------------------------------------------------------
