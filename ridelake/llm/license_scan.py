@@ -4,6 +4,8 @@ A text is normalised to small letters and digits. Its bigrams are the different
 coefficient of sets of ``a`` and ``b`` is at most ``2 min(a, b) / (a + b)``, so a template of ``b`` bigrams can only
 match units whose number lies between two bounds. Each template is listed once for each number it admits, and units
 meet templates by an equal number: a hash join against that short list, in which no pair beyond the bounds is formed.
+
+Before that, texts without any of a few words are left out: too many of every template's bigrams have one of them.
 """
 
 from __future__ import annotations
@@ -11,6 +13,8 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +22,10 @@ from pyspark.sql import functions as F
 THRESHOLD = 0.8
 #: The list of templates by size is broadcast; beyond this many entries it is an error.
 MOST_ENTRIES = 1_000_000
+#: Letters from which a word is looked for within others.
+LONG = 5
+#: Words in most texts, which tell little.
+_COMMON = frozenset("a all and any as at be by for from in is it may no not of on or that the this to under use with you".split())
 
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
 documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
@@ -75,6 +83,46 @@ def size_bounds(bigrams: int, threshold: float) -> tuple[int, int]:
     return max(low, 1), math.floor(bigrams * (2 - threshold) / threshold + 1e-9)
 
 
+def _holds(word: str, other: str) -> bool:
+    return other in word if len(other) >= LONG else other == word
+
+
+def _telling(text: Column, words: list[str]) -> Column:
+    """Whether a text in small letters has any of the words."""
+    short = [word for word in words if len(word) < LONG]
+    tests = [F.contains(text, F.lit(word)) for word in words if len(word) >= LONG]
+    tests += [F.rlike(text, F.lit(f"(?<![a-z0-9])(?:{'|'.join(short)})(?![a-z0-9])"))] if short else []
+    return reduce(or_, tests, F.lit(False))
+
+
+def telling_words(
+    threshold: float = THRESHOLD, templates: Mapping[tuple[str, str], str] = TEMPLATES
+) -> list[str]:
+    """Words such that a unit with none of them reaches the threshold with no template.
+
+    Words of ``LONG`` letters count within others too, shorter ones don't. To reach it a unit must share some number of a template's bigrams. Words are chosen, those first that leave the
+    templates fewest bigrams and are long, until without them each template has fewer bigrams left than that.
+    """
+    left: list[tuple[set[tuple[str, str]], float]] = []
+    for text in templates.values():
+        words = words_of(text)
+        bigrams = set(zip(words, words[1:], strict=False))
+        if bigrams:
+            low, _ = size_bounds(len(bigrams), threshold)
+            left.append((bigrams, threshold * (low + len(bigrams)) / 2 - 1e-9))
+    chosen: list[str] = []
+    while left := [(bigrams, need) for bigrams, need in left if len(bigrams) >= need]:
+        gains: dict[str, float] = {}
+        for bigrams, need in left:
+            for word in {word for pair in bigrams for word in pair}:
+                hit = sum(_holds(a, word) or _holds(b, word) for a, b in bigrams)
+                gains[word] = gains.get(word, 0.0) + min(hit, len(bigrams) - need + 1) / len(bigrams)
+        best = max(sorted(gains), key=lambda word: gains[word] * len(word) ** 3 * (1e-3 if word in _COMMON else 1))
+        chosen.append(best)
+        left = [({(a, b) for a, b in bigrams if not _holds(a, best) and not _holds(b, best)}, need) for bigrams, need in left]
+    return chosen
+
+
 def template_list(
     spark: SparkSession, threshold: float = THRESHOLD, templates: Mapping[tuple[str, str], str] = TEMPLATES
 ) -> DataFrame:
@@ -120,7 +168,9 @@ def license_scan(
     the threshold with any of its forms. Null and empty texts match nothing, nor do units of one word. Rows that
     repeat count together, as one document with all their units. Other columns are ignored; no rows give none.
     """
-    units = docs.select("doc_id", F.posexplode(_units(F.col("text").cast("string"))).alias("unit", "content"))
+    text = F.lower(F.col("text").cast("string"))
+    some = docs.filter(_telling(text, telling_words(threshold, templates)))
+    units = some.select("doc_id", F.posexplode(_units(F.col("text").cast("string"))).alias("unit", "content"))
     sets = units.select("doc_id", "unit", _bigrams(F.col("content")).alias("own")).withColumn("n", F.size("own"))
     met = sets.join(F.broadcast(template_list(spark, threshold, templates)), F.col("n") == F.col("units_size"))
     shared = F.size(F.array_intersect("own", "template"))

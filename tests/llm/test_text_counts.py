@@ -151,6 +151,20 @@ def test_licences_equal_all_pairs(spark):
     assert license_scan.license_scan(docs.filter("false"), spark).collect() == []
 
 
+def test_telling_words_lose_no_match():
+    words = license_scan.telling_words()
+    rng = random.Random(7)
+    assert len(words) < 60
+    for text in license_scan.TEMPLATES.values():
+        own = license_scan.words_of(text)
+        for _ in range(200):
+            left = [w for w in own if not any(license_scan._holds(w, t) for t in words) or rng.random() < 0.001]
+            if not any(license_scan._holds(w, t) for w in left for t in words):
+                assert dice(" ".join(left), text) < 0.8
+    few = {("x", "y"): "a b"}
+    assert license_scan.telling_words(0.8, few) in (["a"], ["b"]) and license_scan.telling_words(0.8, {("x", ""): "one"}) == []
+
+
 def test_licence_plan_is_native_and_forms_no_pairs(spark):
     plan = license_scan.license_scan(documents(spark, ["a"]), spark)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
