@@ -9,7 +9,7 @@ from __future__ import annotations
 
 def _first(value: str, condition: str) -> str:
     return (
-        f"min(struct(event_timestamp IS NULL AS timeless, event_timestamp, event_id, {value})) "
+        f"min(struct(event_timestamp IS NULL AS timeless, event_timestamp AS at, event_id, {value})) "
         f"FILTER (WHERE {condition} AND {value} IS NOT NULL)"
     )
 
@@ -67,7 +67,7 @@ SELECT p.user_id, p.registered_at AS registration_date, p.first.latitude AS home
   p.first.longitude AS home_location_long, r.total_rides_requested
 FROM (
   SELECT user_id, min(event_timestamp) AS registered_at,
-    min(struct(event_timestamp IS NULL AS timeless, event_timestamp, event_id, latitude, longitude))
+    min(struct(event_timestamp IS NULL AS timeless, event_timestamp AS at, event_id, latitude, longitude))
       AS first
   FROM {events} WHERE event_type = 'customer_registered' GROUP BY user_id
 ) p LEFT JOIN (

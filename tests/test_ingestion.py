@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import dataclasses
 import json
+from pathlib import Path
 
 import hypothesis
+import pyarrow.parquet as pq
 import pytest
 from conftest import READ_EVENT, event, naive, rows
 from hypothesis import HealthCheck, given
@@ -242,14 +245,33 @@ def test_event_partitions_are_pruned(spark, lake, tmp_path):
     history = write_json(tmp_path, "a.json", *days, {**FULL, "event_timestamp": None})
     bronze.ingest_json(spark, lake, f"{history}/events/*.json", "events", partition_by="event")
     span = {"start": "2024-03-10", "end": "2024-03-11 12:00:00"}
-    pruned = bronze.read_events(spark, lake, **span, partitioned_by_event_date=True)
-    assert rows(pruned, "event_id") == rows(bronze.read_events(spark, lake, **span), "event_id") == [("e10",), ("e11",)]
+    pruned = bronze.read_events(spark, lake, **span)
+    assert rows(pruned, "event_id") == [("e10",), ("e11",)]
     # One more day on each side.
     assert len(pruned.inputFiles()) == 28 + 1
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "make_date(year" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
     assert "GreaterThanOrEqual(event_timestamp" in plan
     assert rows(bronze.read_events(spark, lake, start="2024-03-28"), "event_id") == [("e28",)]
+    with pytest.raises(ValueError, match="laid out otherwise"):
+        bronze.ingest_json(spark, lake, f"{history}/events/*.json", "events", partition_by="ingest")
+    # Replaced by a table of ingest dates, its partitions say nothing of the events.
+    bronze.ingest_json(spark, lake, f"{history}/events/*.json", "events", as_of="2025-01-01", mode="overwrite")
+    assert rows(bronze.read_events(spark, lake, **span), "event_id") == [("e10",), ("e11",)]
+
+
+def test_a_missing_bound_cuts_nothing(spark, lake, tmp_path):
+    times = ["9999-12-31T23:59:59.999999Z", "2024-01-01T00:00:00Z", "0001-01-01T00:00:00Z"]
+    history = write_json(tmp_path, "a.json", *[{**FULL, "event_id": f"e{k}", "event_timestamp": t} for k, t in enumerate(times)])
+    for layout in ("ingest", "event"):
+        bronze.ingest_json(spark, lake, f"{history}/events/*.json", layout, partition_by=layout)
+
+        def found(**bounds):
+            return rows(bronze.read_events(spark, lake, layout, **bounds), "event_id")  # noqa: B023
+
+        assert found(start="2020-01-01") == [("e0",), ("e1",)]
+        assert found(end="2024-06-01") == [("e1",), ("e2",)]
+        assert found() == [("e0",), ("e1",), ("e2",)]
 
 
 def test_date_with_most_events_is_split(spark, lake, tmp_path):
@@ -322,40 +344,83 @@ def test_failed_overwrite_leaves_the_table(spark, lake):
     assert lake.read(spark, "silver", "t").count() == 3
 
 
-def test_swap_cut_short(spark, lake):
+def files_of(spark, lake, layer="silver", table="t"):
+    return sorted(Path(lake.current(spark, layer, table)).rglob("*.parquet"))
+
+
+def test_readers_of_a_replaced_version_go_on(spark, lake):
     lake.write(spark.range(3), "silver", "t")
-    # The process ended between the two renames.
-    storage.rename(spark, lake.path("silver", "t"), f"{lake.silver}/_replaced/t")
+    first = lake.read(spark, "silver", "t")
+    lake.overwrite_replaced(spark.range(10), "silver", "t")
+    second = lake.read(spark, "silver", "t")
+    lake.overwrite_replaced(spark.range(20), "silver", "t")
+    assert (first.count(), second.count(), lake.read(spark, "silver", "t").count()) == (3, 10, 20)
+
+
+def test_version_cut_short_does_not_count(spark, lake, monkeypatch):
+    lake.overwrite_replaced(spark.range(3), "silver", "t")
+    with monkeypatch.context() as patch:
+        # The process ended after the files were written.
+        patch.setattr(storage, "touch", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            lake.overwrite_replaced(spark.range(5), "silver", "t")
     assert lake.exists(spark, "silver", "t")
     assert lake.read(spark, "silver", "t").count() == 3
-    lake.overwrite_replaced(lake.read(spark, "silver", "t").limit(2), "silver", "t")
-    assert lake.read(spark, "silver", "t").count() == 2
-    assert not storage.exists(spark, f"{lake.silver}/_replaced/t")
+    lake.overwrite_replaced(spark.range(7), "silver", "t")
+    assert lake.read(spark, "silver", "t").count() == 7
+
+
+def test_old_versions_go_after_a_while(spark, tmp_path):
+    lake = Lake.at(spark, str(tmp_path / "brief"))
+    lake = dataclasses.replace(lake, keep_seconds=-1)  # no time at all
+    lake.write(spark.range(1), "silver", "t")
+    for n in range(2, 6):
+        lake.overwrite_replaced(spark.range(n), "silver", "t")
+        assert lake.read(spark, "silver", "t").count() == n
+    assert len(list((tmp_path / "brief/silver/t/_versions").iterdir())) == 1
+    assert not list((tmp_path / "brief/silver/t").glob("*.parquet"))
+    lake.write(spark.range(2), "silver", "t")
+    assert lake.read(spark, "silver", "t").count() == 7
 
 
-def test_compact(spark, lake, tmp_path):
+def test_compact(spark, lake):
     lake.write(spark.range(1000).repartition(20), "silver", "t")
-    path = tmp_path / "lake" / "silver" / "t"
-    assert len(data_files(path)) == 20
-    size = sum(p.stat().st_size for p in data_files(path))
+    assert len(files_of(spark, lake)) == 20
+    size = sum(p.stat().st_size for p in files_of(spark, lake))
     lake.compact(spark, "silver", "t", file_bytes=size // 2)
-    assert 1 < len(data_files(path)) <= 4
+    assert 1 < len(files_of(spark, lake)) <= 4
     lake.compact(spark, "silver", "t")
-    assert len(data_files(path)) == 1
+    assert len(files_of(spark, lake)) == 1
     assert lake.read(spark, "silver", "t").agg(F.count("id"), F.sum("id")).first() == (1000, 499500)
 
 
-def test_compact_partitioned(spark, lake, tmp_path):
+def test_compact_partitioned(spark, lake):
     df = spark.range(300).selectExpr("id", "id % 3 AS part", "id % 2 AS sub").repartition(10)
     lake.write(df, "silver", "t", partition_by=["part", "sub"])
-    path = tmp_path / "lake" / "silver" / "t"
-    assert len(data_files(path)) == 60
+    assert len(files_of(spark, lake)) == 60
     lake.compact(spark, "silver", "t")
-    assert len(data_files(path)) == 6
-    assert (path / "part=0" / "sub=1").is_dir()
+    assert len(files_of(spark, lake)) == 6
+    assert (Path(lake.current(spark, "silver", "t")) / "part=0" / "sub=1").is_dir()
     assert lake.read(spark, "silver", "t").where("part = 1").count() == 100
 
 
+def test_compact_keeps_ranges_apart(spark, lake):
+    df = spark.range(20000).selectExpr("id", "hash(id) AS h")
+    lake.overwrite_replaced(df.repartitionByRange(16, "h").sortWithinPartitions("h"), "gold", "t")
+    size = sum(p.stat().st_size for p in files_of(spark, lake, "gold"))
+    lake.compact(spark, "gold", "t", file_bytes=size // 3, cluster_by=["h"])
+    found = files_of(spark, lake, "gold")
+    assert 1 < len(found) < 16
+    ranges = []
+    for file in found:
+        values = pq.ParquetFile(file).read(["h"]).column(0).to_pylist()
+        assert values == sorted(values)
+        ranges.append((values[0], values[-1]))
+    ranges.sort()
+    assert all(one[1] <= other[0] for one, other in zip(ranges, ranges[1:], strict=False))
+    assert lake.read(spark, "gold", "t").count() == 20000
+
+
 class Session:
     """A session with nothing but settings."""
 

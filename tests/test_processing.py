@@ -56,6 +56,20 @@ def test_each_ride_value_is_its_own_earliest_non_null(frame):
     assert one(silver.rides(events), *columns) == (naive("2024-01-01 10:00:00"), 3.0, 2.0, "d1", "u1")
 
 
+def test_events_without_a_time_come_last(frame):
+    """Also after one at the very end of time with a greater id."""
+    end = "9999-12-31 23:59:59.999999"
+    events = frame(
+        event("customer_registered", None, user="u", lat=1.0, id="a"),
+        event("customer_registered", end, user="u", lat=2.0, id="b"),
+        event("ride_started", None, ride="r", lat=1.0, long=1.0, driver="d", user="u", id="c"),
+        event("ride_started", end, ride="r", lat=2.0, id="d"),
+    )
+    columns = ("registration_date", "home_location_lat")
+    assert one(silver.customers(events), *columns) == (naive(end), 2.0)
+    assert one(silver.rides(events), "ride_started_lat", "ride_started_long") == (2.0, 1.0)
+
+
 def test_equal_times_go_to_the_smaller_event_id(frame):
     same = "2024-01-01 10:00:00"
     events = frame(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import random
 
 import pytest
@@ -200,11 +201,56 @@ def test_fold_by_hand(spark, log):
     assert total(log) == [(4,)]
 
 
-def test_fold_leaves_its_input_to_readers_until_the_next(spark, log):
+def test_folds_leave_their_input_to_readers_for_a_while(spark, log):
     for batch in range(2):
+        log.add(requests(spark, 1), batch, fold_every=0)
+    reader = log.read()  # of 0-0 and 1-1
+    log.fold()
+    for batch in range(2, 8):
         log.add(requests(spark, 1), batch, fold_every=2)
-    assert set(log.spans()) == {Span(0, 0), Span(1, 1), Span(0, 1)}
-    for batch in range(2, 4):
-        log.add(requests(spark, 1), batch, fold_every=2)
-    assert not {Span(0, 0), Span(1, 1)} & set(log.spans())
-    assert total(log) == [(4,)]
+    assert rows(CUSTOMER.finish(reader), "total_rides_requested") == [(2,)]
+    assert total(log) == [(8,)]
+    brief = dataclasses.replace(log, keep_seconds=-1)
+    brief.add(requests(spark, 1), 8, fold_every=0)
+    brief.fold()
+    assert not {Span(0, 0), Span(1, 1), Span(0, 1)} & set(brief.spans())
+    assert total(brief) == [(9,)]
+
+
+# -- the job --------------------------------------------------------------------
+
+
+def test_nothing_new_is_not_published_again(spark, lake, topic):
+    topic.send(random_events(4, 30))
+    jobs.run_streaming(spark, lake, topic.stream(), as_of=AS_OF)
+    first = [lake.current(spark, "silver", name) for name in silver.ENTITIES]
+    assert not any(publish_silver(spark, lake, entity, AS_OF) for entity in silver.ENTITIES.values())
+    assert [lake.current(spark, "silver", name) for name in silver.ENTITIES] == first
+    # Rides hold the date.
+    again = [publish_silver(spark, lake, entity, "2024-02-06") for entity in silver.ENTITIES.values()]
+    assert again == [True, False, False]
+
+
+def test_failing_refresh_stops_the_queries(spark, lake, topic, monkeypatch):
+    topic.send(random_events(3, 20))
+
+    def fail(*_):
+        raise RuntimeError("no refresh")
+
+    monkeypatch.setattr(jobs, "refresh", fail)
+    with pytest.raises(RuntimeError, match="no refresh"):
+        jobs.run_streaming(spark, lake, topic.stream(), {"processingTime": "100 milliseconds"}, refresh_seconds=0)
+    assert not spark.streams.active
+
+
+def test_nothing_is_published_after_a_failure(spark, lake, topic, monkeypatch):
+    topic.send(random_events(3, 20))
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(SummaryLog, "add", fail)
+    for trigger in (None, {"processingTime": "100 milliseconds"}):
+        assert jobs.run_streaming(spark, lake, topic.stream(), trigger)
+        assert not spark.streams.active
+        assert not lake.exists(spark, "gold", jobs.METRICS_TABLE)
