@@ -76,16 +76,19 @@ def labelled_sample(
 ) -> list[tuple[object, str]]:
     """(label, text) of at most ``per_label`` documents of each label, to fit a model on.
 
-    ``docs`` has doc_id and text, ``labels`` doc_id and label. The documents are those first by a hash of the id
-    among those of at most ``longest`` characters; which they are depends on nothing else. Ids are cut to the
-    sample in the map tasks, before any shuffle; the texts are fetched for the sample alone.
+    ``docs`` has doc_id and text, ``labels`` doc_id and label; of several labels of an id the smallest counts. Ids
+    with a small hash are drawn, about twice as many of each label as wanted; of their texts of at most ``longest``
+    characters the first by the hash are taken. So the sample depends on the ids alone, and no task and no shuffle
+    holds more of a label than that.
     """
-    short = docs.filter(F.length("text") <= longest).select("doc_id", "text")
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    known = labels.filter("label IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "label")
-    # An id may be too long a text's: so the ids are drawn from those of short ones.
-    ids = known.join(short.select("doc_id"), "doc_id", "left_semi") if labels is not docs else known
-    drawn = ids.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_label)
-    drawn = drawn.groupBy("doc_id").agg(F.min("label").alias("label"))
-    texts = short.join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
-    return [(row["label"], row["text"]) for row in texts.orderBy("doc_id").collect()]
+    known = labels.filter("label IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("label").alias("label"))
+    known = checkpointed(known.withColumn("_order", F.xxhash64("doc_id")))
+    sizes = known.groupBy(F.col("label").alias("_label")).agg(F.count("*").alias("_size"))
+    joined = known.join(F.broadcast(sizes), F.col("label") == F.col("_label"))
+    place = F.pmod("_order", F.lit(1 << 40)) / (1 << 40)
+    drawn = joined.filter(place * F.col("_size") < 2 * per_label + 20).select("doc_id", "label", "_order")
+    short = docs.select("doc_id", "text").filter(F.length("text") <= longest)
+    texts = short.join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "label", "_order").agg(F.min("text").alias("text"))
+    order = Window.partitionBy("label").orderBy(F.pmod("_order", F.lit(1 << 40)), "doc_id")
+    first = texts.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= per_label)
+    return [(row["label"], row["text"]) for row in first.orderBy("doc_id").collect()]
