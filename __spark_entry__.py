@@ -277,6 +277,9 @@ def _silver(events: DataFrame) -> dict[str, DataFrame]:
     return {name: silver.build(name, events, AS_OF) for name in silver.ENTITIES}
 
 
+TRAINING_DATA = {**llm.QUERIES, "pipeline": corpus_pipeline.run} if _WITH_LLM else {}
+
+
 def _gold(name: str) -> Callable[[DataFrame], DataFrame]:
     return lambda events: gold.build(name, _silver(events), AS_OF)
 
@@ -314,7 +317,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         **{name: _query(transform) for name, transform in {**transforms, **JOBS}.items()},
         "time_periods_of_orders": _time_periods_of_orders,
         "filter_time_range_of_lineitem": _time_range_of_lineitem,
-        **({**llm.QUERIES, "pipeline": corpus_pipeline.run} if _WITH_LLM else {}),
+        **TRAINING_DATA,
     }
 
 
