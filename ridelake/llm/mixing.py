@@ -126,17 +126,19 @@ def _with_quotas(placed: DataFrame, sources: list[Source]) -> None:
 
 
 def _picked(placed: DataFrame) -> DataFrame:
-    """(_index, doc_id, size) of documents that fill the room, from the blocks at the quotas' edges.
+    """(_index, _id, size) of documents, their ids as text, that fill the room, from the blocks at the quotas' edges.
 
     The largest that fits comes first; at last one more if that comes nearer. A block has about ``BLOCK_WORDS``
     words, so a group of ``EDGE`` blocks is small.
     """
     at_edge = F.col("_place").between(F.col("_quota"), F.col("_quota") + EDGE - 1)
     edge = placed.filter(at_edge & (F.col("_room") > 0) & (F.col("size") > 0))
-    groups = edge.groupBy("_index", "doc_id", "size", "_room").agg(F.count("*").alias("copies"))
+    ids = F.col("doc_id").cast("string").alias("_id")
+    groups = edge.groupBy("_index", ids, "size", "_room").agg(F.count("*").alias("copies"))
+    groups = groups.withColumn("order", F.xxhash64("_id", "size"))
 
     def fill(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.assign(words=frame["size"] * frame["copies"], order=pd.util.hash_array(frame["doc_id"].fillna(-1).to_numpy("int64")))
+        frame = frame.assign(words=frame["size"] * frame["copies"])
         frame = frame.sort_values(["words", "order"], ascending=[False, True])
         room, taken = float(frame["_room"].iloc[0]), []
         words = frame["words"].tolist()
@@ -147,9 +149,9 @@ def _picked(placed: DataFrame) -> DataFrame:
         left = [k for k in range(len(words)) if k not in set(taken)]
         if left and words[left[-1]] < 2 * room:
             taken.append(left[-1])
-        return frame.iloc[sorted(taken)][["_index", "doc_id", "size"]]
+        return frame.iloc[sorted(taken)][["_index", "_id", "size"]]
 
-    return groups.groupBy("_index").applyInPandas(fill, f"_index int, doc_id {placed.schema['doc_id'].dataType.simpleString()}, size long")
+    return groups.groupBy("_index").applyInPandas(fill, "_index int, _id string, size long")
 
 
 # -- the splitting tree ---------------------------------------------------------
@@ -236,8 +238,8 @@ def mixture(
     words = sum(source.target for source in sources)
     shards = _bounded(dealt(spark, sources, max(1, math.ceil(words / shard_words)), seed))
 
-    picks = picks.select(F.col("_index").alias("_i"), F.col("doc_id").alias("_d"), F.col("size").alias("_s"), F.lit(True).alias("_pick"))
-    same = [F.col("_index") == F.col("_i"), F.col("doc_id").eqNullSafe(F.col("_d")), F.col("size") == F.col("_s")]
+    picks = picks.select(F.col("_index").alias("_i"), F.col("_id").alias("_d"), F.col("size").alias("_s"), F.lit(True).alias("_pick"))
+    same = [F.col("_index") == F.col("_i"), F.col("doc_id").cast("string").eqNullSafe(F.col("_d")), F.col("size") == F.col("_s")]
     placed = _placed(sized, spark, sources, seed).join(picks, same, "left")
     last = (F.col("_place") < F.col("_quota")) | F.coalesce("_pick", F.lit(False))
     turns = F.col("_passes") + last.cast("int")

@@ -107,6 +107,7 @@ _MARKS = sum(map(len, (_CHAT.open, _CHAT.middle, _CHAT.close)))
 
 ORACLES = {
     "op1_license_scan": license_scan.oracle(),
+    "op8_quality_rules": line_quality.oracle(),
     "op4_chat_format": f"""
         WITH rows AS (
           SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
