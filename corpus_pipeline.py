@@ -32,9 +32,12 @@ def keep_clean_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, the secrets in them replaced by a mark, and n_chars counted again."""
-    clean = secret_crf.redacted(docs, secret_crf.fit_documents(docs), spark)
-    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    """All documents, the secrets in them replaced by a mark; n_chars is counted again where the length changed."""
+    measured = docs.withColumn("_chars", F.length("text"))
+    clean = secret_crf.redacted(measured, secret_crf.fit_documents(docs), spark)
+    changed = F.length("text") != F.col("_chars")
+    counted = F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return clean.withColumn("n_chars", counted).select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
