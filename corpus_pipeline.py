@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridelake.llm import decontaminate, mixing, quality_neighbours, secret_crf, simhash_dedup
-from ridelake.llm.common import table
+from ridelake.llm.common import shared_folder, table
 from ridelake.llm.queries import LEAST_QUALITY
+from ridelake.sources import storage
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,8 +61,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over documents; between them tables in the folder that all executors share."""
     docs = table(spark, sf_dir, "documents")
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    root = f"{shared.rstrip('/')}/corpus-pipeline-{uuid.uuid4()}"
+    root = f"{shared_folder(spark)}/corpus-pipeline-{uuid.uuid4()}"
+    storage.delete_on_exit(spark, root)
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{root}/{name}")
         docs = spark.read.parquet(f"{root}/{name}")

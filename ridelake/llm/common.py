@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -9,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ridelake.sources import storage
+
 #: Inside a character class: the six ASCII white-space characters that part words.
 BLANKS = r"\x20\x09-\x0D"
 WORD = rf"[^{BLANKS}]+"
@@ -23,16 +26,24 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``; only where that is unset, a new folder in the warehouse, gone with the session."""
+    if shared := spark.conf.get("spark.checkpoint.dir", None):
+        return shared.rstrip("/")
+    own = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared-{uuid.uuid4()}"
+    storage.delete_on_exit(spark, own)
+    return own
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows from files in the folder all executors share, so that a lost executor costs no recomputation.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset, one below the warehouse.
+    The folder is that of ``shared_folder``, unless the session has a checkpoint folder already.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        own = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or own)
+        context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
 
 
