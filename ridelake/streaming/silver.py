@@ -76,12 +76,15 @@ def current_silver(spark: SparkSession, lake: Lake, entity: Entity, as_of: AsOf
 def publish_silver(spark: SparkSession, lake: Lake, entity: Entity, as_of: AsOf = None) -> bool:
     """Write the current silver rows as the silver table; not if it has them already, which it notes.
 
-    Gives whether it was written.
+    The summaries are merged, in one shuffle, into a span of the log, which the next time starts from; the table is
+    a projection of that. Gives whether it was written.
     """
-    spans = summary_log(spark, lake, entity).current()
+    log = summary_log(spark, lake, entity)
+    spans = log.current()
     date = spark.range(1).select(today(as_of).cast("string")).first()[0] if finish_options(entity, as_of) else ""
     note = f"up_to-{spans[-1].last if spans else 'nothing'}-{date}"
     if lake.exists(spark, "silver", entity.name) and note in lake.notes(spark, "silver", entity.name):
         return False
-    lake.overwrite_merged(current_silver(spark, lake, entity, as_of), "silver", entity.name, note)
+    rows = entity.finish(log.read(log.publish()), **finish_options(entity, as_of))
+    lake.overwrite_merged(rows, "silver", entity.name, note)
     return True

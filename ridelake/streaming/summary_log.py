@@ -5,9 +5,11 @@ once its marker file is there. Each micro-batch adds one directory; folding merg
 neighbours into one. So a micro-batch costs what it holds, never the history, and
 events may come as late as they like, as no state is ever closed.
 
-Only the stream of the entity writes here. A directory is written whole under a
-name that depends on the batches alone, so a micro-batch that is run again after a
-crash replaces its own output and nothing is counted twice.
+The stream of the entity writes these, each whole under a name that depends on the
+batches alone, so a micro-batch that is run again after a crash replaces its own output
+and nothing is counted twice. Who publishes merges all there is into a directory of
+its own, ``<first>-<last>-published``, beside the running stream. Directories may then overlap in part; what
+counts are the fewest that hold every batch once.
 """
 
 from __future__ import annotations
@@ -28,6 +30,16 @@ _MARKER = "_WHOLE"
 class Span:
     first: int
     last: int
+    published: bool = False
+
+    @property
+    def name(self) -> str:
+        return f"{self.first}-{self.last}" + ("-published" if self.published else "")
+
+    @classmethod
+    def named(cls, name: str) -> Span:
+        first, last, *rest = name.split("-")
+        return cls(int(first), int(last), bool(rest))
 
     def covers(self, other: Span) -> bool:
         return self.first <= other.first and other.last <= self.last
@@ -43,13 +55,16 @@ class SummaryLog:
     def spans(self) -> list[Span]:
         """All whole directories."""
         names = [name for name in storage.subdirectories(self.spark, self.root) if name[0].isdigit()]
-        spans = [Span(*map(int, name.split("-"))) for name in names]
+        spans = [Span.named(name) for name in names]
         return sorted(span for span in spans if storage.exists(self.spark, f"{self._path(span)}/{_MARKER}"))
 
     def current(self) -> list[Span]:
-        """The widest spans, which together hold every batch once."""
+        """The fewest spans that together hold every batch once."""
         spans = self.spans()
-        return [span for span in spans if not any(other != span and other.covers(span) for other in spans)]
+        found = _fewest(spans)
+        if spans and found is None:
+            raise RuntimeError(f"{self.root} has lost summaries: {[span.name for span in spans]} don't hold each batch once")
+        return found or []
 
     def add(self, summary: DataFrame, batch_id: int, fold_every: int) -> None:
         """Add a micro-batch, and fold whenever ``fold_every`` spans of one width are there.
@@ -78,25 +93,36 @@ class SummaryLog:
         if not current:
             return
         span = span or Span(current[0].first, current[-1].last)
-        merged = [old for old in current if span.covers(old)]
+        merged = _fewest([old for old in self.spans() if span.covers(old)])
         if not merged or merged == [span]:
             return
+        if (merged[0].first, merged[-1].last) != (max(span.first, current[0].first), span.last):
+            return  # some of its batches are only within spans that reach beyond it
         for old in set(self.spans()) - set(current):
             merged_for = [self._age(new) for new in current if new.covers(old)]
             if merged_for and min(merged_for) > self.keep_seconds:
                 storage.delete(self.spark, self._path(old))
         self._write(self.entity.merge(self._read(merged)), span)
 
-    def read(self) -> DataFrame:
-        """The summary of everything so far."""
+    def publish(self) -> Span | None:
+        """Merge all there is into one span, and give it; beside the stream, but by one publisher at a time."""
         current = self.current()
+        if len(current) > 1:
+            span = Span(current[0].first, current[-1].last, published=True)
+            self._write(self.entity.merge(self._read(current)), span)
+            return span
+        return current[0] if current else None
+
+    def read(self, span: Span | None = None) -> DataFrame:
+        """The summary of everything so far, or of one span."""
+        current = [span] if span else self.current()
         if not current:
             return self.entity.summarise(self.spark.createDataFrame([], EVENT))
         rows = self._read(current)
         return rows if len(current) == 1 else self.entity.merge(rows)
 
     def _path(self, span: Span) -> str:
-        return f"{self.root}/{span.first}-{span.last}"
+        return f"{self.root}/{span.name}"
 
     def _age(self, span: Span) -> float:
         """Seconds since the span was whole."""
@@ -109,3 +135,18 @@ class SummaryLog:
         with sized_for_writing(summary):
             summary.write.mode("overwrite").parquet(self._path(span))
         storage.touch(self.spark, f"{self._path(span)}/{_MARKER}")
+
+
+def _fewest(spans: list[Span]) -> list[Span] | None:
+    """The fewest spans that hold every batch of all of them once; None if none do."""
+    if not spans:
+        return None
+    held = {batch for edge in spans for batch in (edge.first, edge.last + 1)}
+    # From the end: the best way to hold all from a batch on.
+    best: dict[int, list[Span] | None] = {max(held): []}
+    for batch in sorted(held - {max(held)}, reverse=True):
+        ways = [[span, *rest] for span in spans if span.first == batch and (rest := best[span.last + 1]) is not None]
+        if not ways and not any(span.first <= batch <= span.last for span in spans):
+            ways = [rest] if (rest := best[min(b for b in held if b > batch)]) is not None else []  # no such batches
+        best[batch] = min(ways, key=lambda way: (len(way), way), default=None)
+    return best[min(held)]

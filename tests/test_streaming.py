@@ -14,8 +14,8 @@ from ridelake.plans import bronze, jobs, silver
 from ridelake.schemas import BRONZE
 from ridelake.sources import kafka, storage
 from ridelake.streaming.queries import await_all, stop_all
-from ridelake.streaming.silver import publish_silver, start_silver
-from ridelake.streaming.summary_log import Span, SummaryLog
+from ridelake.streaming.silver import publish_silver, start_silver, summary_log
+from ridelake.streaming.summary_log import Span, SummaryLog, _fewest
 
 AS_OF = "2024-02-05"
 NOW = {"availableNow": True}
@@ -217,6 +217,45 @@ def test_folds_leave_their_input_to_readers_for_a_while(spark, log):
     assert total(brief) == [(9,)]
 
 
+def test_published_spans_beside_the_stream(spark, log):
+    """Publishing between batches and folds changes no count, whatever overlaps."""
+    for batch in range(11):
+        log.add(requests(spark, 1), batch, fold_every=4)
+        if batch in (1, 2, 5, 8):
+            span = log.publish()
+            assert (span.first, span.last) == (0, batch)
+            assert rows(CUSTOMER.finish(log.read(span)), "total_rides_requested") == [(batch + 1,)]
+        assert total(log) == [(batch + 1,)]
+    assert log.current() == [Span(0, 8, published=True), Span(9, 9), Span(10, 10)]
+    assert Span(4, 7) in log.spans()  # overlaps what was published after batch 5
+
+
+def test_fewest_spans():
+    def chosen(*spans):
+        found = _fewest([Span(*span) for span in spans])
+        return found and [(span.first, span.last) for span in found]
+
+    assert chosen((0, 0), (1, 1), (0, 1)) == [(0, 1)]
+    assert chosen((0, 3), (0, 5), (4, 7)) == [(0, 3), (4, 7)]
+    assert chosen((0, 3), (0, 5), (4, 7), (6, 6), (7, 7)) == [(0, 3), (4, 7)]
+    assert chosen((0, 3), (0, 5), (4, 7), (6, 7), (8, 8)) == [(0, 3), (4, 7), (8, 8)]
+    assert chosen((0, 1), (4, 4)) == [(0, 1), (4, 4)]  # there were no batches 2 and 3
+    assert chosen((0, 2), (2, 3)) is None and chosen() is None
+
+
+def test_publishing_is_one_shuffle(spark, lake, topic, monkeypatch):
+    topic.send(random_events(2, 30))
+    topic.send(random_events(12, 30))
+    entity = silver.entity_named("rides")
+    queries = jobs.start_streaming(spark, lake, topic.stream(), {"availableNow": True}, maxFilesPerTrigger="1")
+    assert await_all(queries) == []
+    jobs.run_streaming(spark, lake, topic.stream(), as_of=AS_OF, maxFilesPerTrigger="1")
+    log = summary_log(spark, lake, entity)
+    (span,) = log.current()
+    plan = entity.finish(log.read(span), as_of=AS_OF)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
 # -- the job --------------------------------------------------------------------
 
 
