@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ridelake.sources import storage
 
 #: Inside a character class: the six ASCII white-space characters that part words.
 BLANKS = r"\x20\x09-\x0D"
 WORD = rf"[^{BLANKS}]+"
+BATCH_ROWS = 1000
+_ROWS_AT_A_TIME = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,18 +50,32 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that the texts of a slice have ``most_bytes`` together, or one row."""
+def in_batches(df: DataFrame, job: Callable, schema: str | StructType) -> DataFrame:
+    """``mapInArrow``, with at most ``BATCH_ROWS`` rows handed over at a time: by default it is ten times as many."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_ROWS_AT_A_TIME)) <= BATCH_ROWS:
+        conf.set(_ROWS_AT_A_TIME, str(BATCH_ROWS))
+    return df.mapInArrow(job, schema)
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows in pieces whose texts have about ``most_bytes`` together, or one row; small batches are put together."""
+    held: list[pa.RecordBatch] = []
+    room = most_bytes
     for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
-        start, held = 0, 0
-        for row, size in enumerate(sizes):
-            if held and held + size > most_bytes:
-                yield batch.slice(start, row - start)
-                start, held = row, 0
-            held += size + 1
-        if start < len(sizes):
-            yield batch.slice(start)
+        start = 0
+        for row, size in enumerate(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()):
+            if size > room and (held or row > start):
+                yield _joined([*held, batch.slice(start, row - start)])
+                held, start, room = [], row, most_bytes
+            room -= size
+        held.append(batch.slice(start))
+    if sum(batch.num_rows for batch in held):
+        yield _joined(held)
+
+
+def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return batches[0] if len(batches) == 1 else pa.concat_batches(batches)
 
 
 def utf8(batch: pa.RecordBatch, column: str) -> list[bytes]:

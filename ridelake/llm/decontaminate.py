@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import extended, slices, strings
+from ridelake.llm.common import extended, in_batches, slices, strings
 
 #: Edits allowed for each word of an item.
 EDITS = 0.2
@@ -316,13 +316,13 @@ def contaminated(
         shared = spark.sparkContext.broadcast(index)
 
         def job(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches, "text", 16 << 20):
+            for batch in slices(batches, "text", 8 << 20):
                 hits = matches(shared.value, strings(batch, "text"))
                 columns = [pa.array([hit[k] for hit in hits], pa.int64()) for k in range(5)]
                 names = ["doc_id", "item_id", "distance", "start", "end"]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(columns[0]), *columns[1:]], names)
 
-        found = found.unionByName(rows.mapInArrow(job, schema))
+        found = found.unionByName(in_batches(rows, job, schema))
     return found
 
 
@@ -335,9 +335,9 @@ def decontaminated(
         shared = spark.sparkContext.broadcast(index)
 
         def job(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches, "text", 16 << 20):
+            for batch in slices(batches, "text", 8 << 20):
                 hit = {row for row, *_ in matches(shared.value, strings(batch, "text"))}
                 yield batch.filter(pa.array([row not in hit for row in range(batch.num_rows)], pa.bool_()))
 
-        kept = kept.mapInArrow(job, docs.schema)
+        kept = in_batches(kept, job, docs.schema)
     return kept

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridelake.llm import crf
-from ridelake.llm.common import extended, held_out, labelled_sample, slices, strings, with_columns
+from ridelake.llm.common import extended, held_out, in_batches, labelled_sample, slices, strings, with_columns
 
 UNKNOWN = "und"
 #: Documents of each language the model is fitted on, at most.
@@ -206,7 +206,7 @@ def languages(docs: DataFrame, model: Model, spark: SparkSession) -> DataFrame:
             yield with_columns(batch, ["doc_id"], {"lang_pred": pa.array(names), "score": pa.array(scores)})
 
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(job, extended(rows, ["doc_id"], "lang_pred string, score double"))
+    return in_batches(rows, job, extended(rows, ["doc_id"], "lang_pred string, score double"))
 
 
 def language_spans(docs: DataFrame, model: Model, spark: SparkSession) -> DataFrame:
@@ -235,4 +235,4 @@ def language_spans(docs: DataFrame, model: Model, spark: SparkSession) -> DataFr
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), *columns.values()], ["doc_id", *columns])
 
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(job, extended(rows, ["doc_id"], "start long, end long, lang string"))
+    return in_batches(rows, job, extended(rows, ["doc_id"], "start long, end long, lang string"))

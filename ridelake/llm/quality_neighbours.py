@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import extended, held_out, labelled_sample, slices, utf8, with_columns
+from ridelake.llm.common import extended, held_out, in_batches, labelled_sample, slices, utf8, with_columns
 
 #: Labelled documents of each label, at most; latent directions; neighbours that vote.
 PER_LABEL = 1200
@@ -172,7 +172,7 @@ def quality_scores(docs: DataFrame, model: Model, spark: SparkSession) -> DataFr
     """
     shared = spark.sparkContext.broadcast(model)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_job(shared, ["doc_id"]), extended(rows, ["doc_id"], "score double"))
+    return in_batches(rows, _job(shared, ["doc_id"]), extended(rows, ["doc_id"], "score double"))
 
 
 def accepted(docs: DataFrame, model: Model, spark: SparkSession, least: float = 0.3) -> DataFrame:
@@ -183,4 +183,4 @@ def accepted(docs: DataFrame, model: Model, spark: SparkSession, least: float =
         for batch in slices(batches, "text"):
             yield batch.filter(pa.array(shared.value.scores(utf8(batch, "text")) >= least))
 
-    return docs.mapInArrow(job, docs.schema)
+    return in_batches(docs, job, docs.schema)

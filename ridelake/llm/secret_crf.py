@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridelake.llm import crf
-from ridelake.llm.common import extended, labelled_sample, slices, strings, with_columns
+from ridelake.llm.common import extended, in_batches, labelled_sample, slices, strings, with_columns
 
 #: The kinds of secret and their patterns, in this order, and the least characters.
 NAMES = ("password", "passwd", "secret", "token", "api_key", "apikey")
@@ -374,7 +374,7 @@ def secrets(docs: DataFrame, model: Model, spark: SparkSession) -> DataFrame:
 
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kinds = ", ".join(f"n_{kind} long" for kind in counted)
-    return rows.mapInArrow(job, extended(rows, ["doc_id"], f"{kinds}, base_sha256 string, spans string"))
+    return in_batches(rows, job, extended(rows, ["doc_id"], f"{kinds}, base_sha256 string, spans string"))
 
 
 def redacted(docs: DataFrame, model: Model, spark: SparkSession, mark: str = "[SECRET]") -> DataFrame:
@@ -401,4 +401,4 @@ def redacted(docs: DataFrame, model: Model, spark: SparkSession, mark: str = "[S
             at = batch.schema.get_field_index("text")
             yield batch.set_column(at, batch.schema.field(at), pa.array(new, batch.schema.field(at).type))
 
-    return docs.mapInArrow(job, docs.schema)
+    return in_batches(docs, job, docs.schema)

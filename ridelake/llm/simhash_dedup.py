@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import checkpointed, extended, slices, utf8, with_columns
+from ridelake.llm.common import checkpointed, extended, in_batches, slices, utf8, with_columns
 from ridelake.llm.components import components
 
 BITS, LIMIT, BLOCKS = 64, 3, 5
@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             yield with_columns(batch, ["doc_id"], {"fingerprint": pa.array(values.view(np.int64))})
 
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(job, extended(rows, ["doc_id"], "fingerprint long"))
+    return in_batches(rows, job, extended(rows, ["doc_id"], "fingerprint long"))
 
 
 def _masks(free: int, limit: int) -> list[int]:
@@ -172,7 +172,7 @@ def links(distinct: DataFrame, limit: int = LIMIT, full: int = FULL) -> DataFram
         last = level == LEVELS - 1
         ready = met if last else met.filter(F.col("count") <= full)
         sorted_rows = ready.drop("count").repartition("table", "bucket").sortWithinPartitions("table", "bucket")
-        parts.append(sorted_rows.mapInArrow(_link_job(limit), "u long, v long"))
+        parts.append(in_batches(sorted_rows, _link_job(limit), "u long, v long"))
         rows = met.filter(F.col("count") > full).select("fp", "table").distinct()
         if last or rows.isEmpty():
             break

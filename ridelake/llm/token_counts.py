@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import extended, slices, strings, with_columns
+from ridelake.llm.common import extended, in_batches, slices, strings, with_columns
 
 CHUNK = 512
 TRANSITIONS = 400_000
@@ -296,5 +296,5 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
-    counted = rows.mapInArrow(job, extended(rows, ["doc_id", "n_bytes"], "n_tokens long"))
+    counted = in_batches(rows, job, extended(rows, ["doc_id", "n_bytes"], "n_tokens long"))
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -23,6 +23,9 @@ def test_sample_is_bounded_and_depends_on_the_ids_alone(spark):
 def test_slices():
     texts = ["a" * 10, None, "", "b" * 100, "c", "d"]
     batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(range(6))], ["text", "n"])
-    cut = list(slices(iter([batch, batch.slice(0, 0)]), "text", 20))
-    assert [x for part in cut for x in part.column("text").to_pylist()] == texts
-    assert [part.num_rows for part in cut] == [3, 1, 2]
+    for batches in ([batch, batch.slice(0, 0)], [batch.slice(k, 1) for k in range(6)], [batch.slice(0, 4), batch.slice(4)]):
+        cut = list(slices(iter(batches), "text", 20))
+        assert [x for part in cut for x in part.column("text").to_pylist()] == texts
+        assert [part.num_rows for part in cut] == [3, 1, 2]
+    assert list(slices(iter([batch.slice(0, 0)]), "text")) == list(slices(iter([]), "text")) == []
+    assert [part.num_rows for part in slices(iter([batch, batch]), "text")] == [12]
