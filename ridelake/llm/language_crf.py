@@ -28,7 +28,7 @@ PER_LANGUAGE = 300
 ROWS = 1 << 16
 GRAMS = (2, 3, 4)
 #: Words whose scores a task keeps.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 200_000
 _WORD = re.compile(r"[^\W\d_]+")
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 

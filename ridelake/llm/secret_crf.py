@@ -36,7 +36,7 @@ TAGGED = "tagged"
 
 OUTSIDE, BEGIN, INSIDE = range(3)
 PER_CLASS = 800
-KEPT_TOKENS = 300_000
+KEPT_TOKENS = 150_000
 _TOKEN = re.compile(r"[\w+/\-]+(?:\.[\w+/\-]+)*|[^\w\s]")
 _ABOUT = re.compile(r"passw|passphrase|pwd|secret|token|api.?key|auth|bearer|credential|private|access.?key", re.I)
 _AKIA = re.compile(r"(?m)^AKIA")

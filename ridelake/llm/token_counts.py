@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ridelake.llm.common import extended, in_batches, slices, strings, with_columns
 
 CHUNK = 512
-TRANSITIONS = 400_000
+TRANSITIONS = 250_000
 #: Longer pieces are merged one by one, with a queue.
 LONG = 64
 NONE = 1 << 40
