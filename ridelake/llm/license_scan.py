@@ -1,4 +1,4 @@
-"""Licence scans: lines, paragraphs and whole texts compared with licence templates by Dice's coefficient of bigrams.
+"""Licence scans: stretches of lines, paragraphs and whole texts compared with licence templates by Dice's coefficient of bigrams.
 
 A text is normalised to small letters and digits. Its bigrams are the different pairs of neighbouring words. The
 coefficient of sets of ``a`` and ``b`` is at most ``2 min(a, b) / (a + b)``, so a template of ``b`` bigrams can only
@@ -6,6 +6,10 @@ match units whose number lies between two bounds. Each template is listed once f
 meet templates by an equal number: a hash join against that short list, in which no pair beyond the bounds is formed.
 
 Before that, texts without any of a few words are left out: too many of every template's bigrams have one of them.
+
+Stretches of several lines are looked at only for texts that hold as many of a template's bigrams as a unit must share
+with it. Lines at either end that have none of these bigrams only lower the coefficient, so the best stretch begins at
+a line where one begins and ends at a line where one ends.
 """
 
 from __future__ import annotations
@@ -22,6 +26,8 @@ from pyspark.sql import functions as F
 THRESHOLD = 0.8
 #: The list of templates by size is broadcast; beyond this many entries it is an error.
 MOST_ENTRIES = 1_000_000
+#: For stretches, so many times a template's greatest number of bigrams are read; all that follow if fewer are different.
+AHEAD = 4
 #: Letters from which a word is looked for within others.
 LONG = 5
 #: Words in most texts, which tell little.
@@ -95,6 +101,11 @@ def _telling(text: Column, words: list[str]) -> Column:
     return reduce(or_, tests, F.lit(False))
 
 
+def least_shared(bigrams: int, threshold: float) -> float:
+    """The bigrams that a unit must share with a template of so many to reach the threshold."""
+    return threshold * (size_bounds(bigrams, threshold)[0] + bigrams) / 2 - 1e-9
+
+
 def telling_words(
     threshold: float = THRESHOLD, templates: Mapping[tuple[str, str], str] = TEMPLATES
 ) -> list[str]:
@@ -108,8 +119,7 @@ def telling_words(
         words = words_of(text)
         bigrams = set(zip(words, words[1:], strict=False))
         if bigrams:
-            low, _ = size_bounds(len(bigrams), threshold)
-            left.append((bigrams, threshold * (low + len(bigrams)) / 2 - 1e-9))
+            left.append((bigrams, least_shared(len(bigrams), threshold)))
     chosen: list[str] = []
     while left := [(bigrams, need) for bigrams, need in left if len(bigrams) >= need]:
         gains: dict[str, float] = {}
@@ -123,14 +133,18 @@ def telling_words(
     return chosen
 
 
+def _template_bigrams(text: str) -> list[str]:
+    words = words_of(text)
+    return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:], strict=False)))
+
+
 def template_list(
     spark: SparkSession, threshold: float = THRESHOLD, templates: Mapping[tuple[str, str], str] = TEMPLATES
 ) -> DataFrame:
     """(license_id, form, template, units_size): each template's bigrams, once for each size of unit it admits."""
     rows = []
     for (license_id, form), text in templates.items():
-        words = words_of(text)
-        bigrams = list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:], strict=False)))
+        bigrams = _template_bigrams(text)
         low, high = size_bounds(len(bigrams), threshold)
         rows += [(license_id, form, bigrams, size) for size in range(low, high + 1) if bigrams]
     if len(rows) > MOST_ENTRIES:
@@ -156,6 +170,66 @@ def _units(text: Column) -> Column:
     return F.concat(lines, whole, paragraphs)
 
 
+def _pairs(text: Column) -> Column:
+    """(h, begins, ends) of each bigram of a text: its hash and the lines of its two words."""
+    lines = F.transform(F.split(F.lower(text), "\n"), lambda line: F.split(F.regexp_replace(line, "[^a-z0-9]+", " "), " "))
+    numbered = F.transform(lines, lambda line, k: F.transform(F.filter(line, lambda w: w != ""), lambda w: F.struct(w.alias("w"), k.alias("k"))))
+    words = F.flatten(numbered)
+    pair = lambda a, b: F.struct(F.xxhash64(F.concat_ws(" ", a.w, b.w)).alias("h"), a.k.alias("begins"), b.k.alias("ends"))
+    return F.zip_with(words, F.slice(words, 2, F.size(words)), lambda a, b: F.when(b.isNotNull(), pair(a, b)))
+
+
+def _stretches(docs: DataFrame, threshold: float, templates: Mapping[tuple[str, str], str]) -> DataFrame:
+    """(doc_id, license_id, score, first, last) of the stretches of two lines or more that reach the threshold.
+
+    For each line where one can begin, those that end where one of the template's bigrams does.
+    """
+    hashed = lambda bigrams: F.array(*(F.xxhash64(F.lit(bigram)) for bigram in bigrams))
+    listed, every = [], {}
+    for (license_id, _), content in templates.items():
+        if bigrams := _template_bigrams(content):
+            low, high = size_bounds(len(bigrams), threshold)
+            need = least_shared(len(bigrams), threshold)
+            values = {"license_id": F.lit(license_id), "template": hashed(bigrams), "low": F.lit(low), "high": F.lit(high), "need": F.lit(need)}
+            listed.append(F.struct(*(value.alias(name) for name, value in values.items())))
+            every |= dict.fromkeys(bigrams)
+    text = F.col("text").cast("string")
+    shared = F.array_intersect(_bigrams(text), hashed(every))
+    near = docs.filter(F.contains(text, F.lit("\n"))).select("doc_id", text.alias("text"), F.explode(F.array(shared)).alias("near"))
+    enough = F.filter(F.array(*listed), lambda t: F.size(F.array_intersect("near", t.template)) >= t.need)
+    met = near.filter(F.size("near") > 0).select("doc_id", "text", F.explode(enough).alias("t")).select("doc_id", "text", "t.*")
+
+    def holding(pairs: str, line: str) -> Column:
+        hits = F.filter(pairs, lambda p: F.array_contains("template", p.h))
+        return F.array_distinct(F.transform(hits, lambda p: p[line]))
+
+    # Each array is a row's column, by way of explode, so that it is worked out once and not for each element.
+    names = ["doc_id", "license_id", "template", "low", "high"]
+    read = met.select(*names, F.explode(F.array(F.filter(_pairs(F.col("text")), F.isnotnull))).alias("pairs"))
+    begun = read.select(*names, "pairs", F.explode(holding("pairs", "begins")).alias("first"))
+    at = F.array_position(F.col("pairs.begins"), F.col("first")).cast("int")
+    some = F.slice("pairs", at, AHEAD * F.col("high"))
+    full = F.size(F.array_distinct(some.h)) > F.col("high")
+    ahead = F.when(full, some).otherwise(F.slice("pairs", at, F.size("pairs")))
+    begun = begun.select(*names, "first", F.explode(F.array(ahead)).alias("pairs"))
+    ended = begun.select(*names, "first", "pairs", F.explode(holding("pairs", "ends")).alias("last")).filter("last > first")
+    own = F.transform(F.filter("pairs", lambda p: p.ends <= F.col("last")), lambda p: p.h)
+    sets = ended.select(*names, "first", "last", F.explode(F.array(F.array_distinct(own))).alias("own"))
+    sets = sets.withColumn("n", F.size("own")).filter("n BETWEEN low AND high")
+    shared = F.size(F.array_intersect("own", "template"))
+    scored = sets.withColumn("score", 2.0 * shared / (F.col("n") + F.size("template")))
+    return scored.filter(F.col("score") >= threshold).select("doc_id", "license_id", "score", "first", "last")
+
+
+def _places(stretches: Column) -> Column:
+    """The number of stretches, those that overlap counted as one."""
+    start = F.struct(F.lit(0).alias("n"), F.lit(-1).alias("upto"))
+    count = lambda seen, s: F.struct(
+        (seen.n + (s["first"] > seen.upto).cast("int")).alias("n"), F.greatest(seen.upto, s["last"]).alias("upto")
+    )
+    return F.aggregate(F.array_sort(stretches), start, count, lambda seen: seen.n)
+
+
 def license_scan(
     docs: DataFrame,
     spark: SparkSession,
@@ -164,8 +238,9 @@ def license_scan(
 ) -> DataFrame:
     """(doc_id, license_id, score, n_units) for each row and licence with a unit at the threshold or above.
 
-    The score is the greatest coefficient of a unit with a form of the licence, and n_units counts units that reach
-    the threshold with any of its forms. Null and empty texts match nothing, nor do units of one word. Rows that
+    Units are lines, stretches of lines, paragraphs and the whole. The score is the greatest coefficient of a unit
+    with a form of the licence, and n_units counts lines, paragraphs and wholes that reach the threshold with any of
+    its forms; where only other stretches do, it counts these, those that overlap as one. Null and empty texts match nothing, nor do units of one word. Rows that
     repeat count together, as one document with all their units. Other columns are ignored; no rows give none.
     """
     text = F.lower(F.col("text").cast("string"))
@@ -175,13 +250,19 @@ def license_scan(
     met = sets.join(F.broadcast(template_list(spark, threshold, templates)), F.col("n") == F.col("units_size"))
     shared = F.size(F.array_intersect("own", "template"))
     scored = met.withColumn("score", 2.0 * shared / (F.col("n") + F.size("template")))
-    return (
+    plain = (
         scored.filter(F.col("score") >= threshold)
         .groupBy("doc_id", "license_id", "unit")
         .agg(F.max("score").alias("score"))
-        .groupBy("doc_id", "license_id")
-        .agg(F.max("score").alias("score"), F.count("*").alias("n_units"))
+        .select("doc_id", "license_id", "score", F.lit(1).alias("plain"), F.lit(None).cast("struct<first:int,last:int>").alias("stretch"))
+    )
+    stretches = _stretches(some, threshold, templates).select(
+        "doc_id", "license_id", "score", F.lit(0).alias("plain"), F.struct("first", "last").alias("stretch")
     )
+    found = plain.unionByName(stretches).groupBy("doc_id", "license_id")
+    counted = found.agg(F.max("score").alias("score"), F.sum("plain").alias("plain"), F.collect_set("stretch").alias("stretches"))
+    n_units = F.when(F.col("plain") > 0, F.col("plain")).otherwise(_places(F.col("stretches")).cast("long"))
+    return counted.select("doc_id", "license_id", "score", n_units.alias("n_units"))
 
 
 def oracle(threshold: float = THRESHOLD, templates: Mapping[tuple[str, str], str] = TEMPLATES) -> str:

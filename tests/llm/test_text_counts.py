@@ -174,3 +174,25 @@ def test_words_of_bytes_part_like_the_words():
     text = "".join(map(chr, range(0x3100)))
     assert [w.decode() for w in text.encode().split()] == re.findall(r"[^\x20\x09-\x0D]+", text)
     assert np.isin(0, [0])
+
+
+def wrapped(text, width=9, blank_at=(3, 7)):
+    """Comment lines of a few words, with empty ones between."""
+    words = text.split()
+    lines = ["# " + " ".join(words[k : k + width]) for k in range(0, len(words), width)]
+    return "\n".join(line + ("\n\n#" if k in blank_at else "") for k, line in enumerate(lines))
+
+
+def test_licences_amid_long_texts(spark):
+    """Templates of several lines and paragraphs, code and prose before and after them without an empty line."""
+    code = "\n".join(f"x{k} = call{k}(a{k}, b{k})" for k in range(60))
+    prose = "\n\n".join(" ".join(f"w{k}x{j}" for j in range(30)) for k in range(8))
+    long = {key: text for key, text in license_scan.TEMPLATES.items() if len(text.split()) > 20}
+    texts = [f"{prose}\n{code}\n{wrapped(text)}\n{code}\n\n{prose}" for text in long.values()]
+    texts.append(f"{code}\n{wrapped(license_scan.TEMPLATES['MIT', 'text'])}\n{code}\n" * 2)
+    texts.append("\n".join([*license_scan.TEMPLATES["MPL-2.0", "header"].split()[:20], *["tail end"] * 900, *license_scan.TEMPLATES["MPL-2.0", "header"].split()[20:]]))
+    found = {(r.doc_id, r.license_id): (r.score, r.n_units) for r in license_scan.license_scan(documents(spark, texts), spark).collect()}
+    expected = {(k, license_id): (1.0, 1) for k, (license_id, _) in enumerate(long)}
+    whole = dice(texts[-1], license_scan.TEMPLATES["MPL-2.0", "header"])
+    assert 0.8 < whole < 1
+    assert found == expected | {(len(long), "MIT"): (1.0, 2), (len(long) + 1, "MPL-2.0"): (pytest.approx(whole), 1)}
