@@ -91,7 +91,7 @@ class Index:
     words of each item.
     """
 
-    ids: list[int]
+    ids: list[int | None]
     words: dict[str, int]
     items: list[np.ndarray]
     edits: np.ndarray
@@ -135,16 +135,16 @@ def _agreement(items: list[np.ndarray], share: float, symbols: int, rng: np.rand
     return same / total
 
 
-def build(items: list[tuple[int, str]], share: float = EDITS, recall: float = RECALL, seed: int = 3) -> Index | None:
-    """An index of (item_id, text); None if no item has ``LEAST_WORDS`` words."""
-    texts = {item: words_of(text or "") for item, text in items}
-    texts = {item: words for item, words in texts.items() if len(words) >= LEAST_WORDS}
+def build(items: list[tuple[int | None, str]], share: float = EDITS, recall: float = RECALL, seed: int = 3) -> Index | None:
+    """An index of (item_id, text), each for itself if ids repeat; None if no item has ``LEAST_WORDS`` words."""
+    texts = [(item, words_of(text or "")) for item, text in items]
+    texts = [(item, words) for item, words in texts if len(words) >= LEAST_WORDS]
     if not texts:
         return None
     rng = np.random.default_rng(seed)
-    words = {word: k for k, word in enumerate(dict.fromkeys(chain.from_iterable(texts.values())), 1)}
+    words = {word: k for k, word in enumerate(dict.fromkeys(chain.from_iterable(found for _, found in texts)), 1)}
     base = len(words) + 1
-    coded = [np.array([words[w] for w in found]) for found in texts.values()]
+    coded = [np.array([words[w] for w in found]) for _, found in texts]
     sizes = np.array([len(item) for item in coded])
     edits = np.array([edits_allowed(n, share) for n in sizes.tolist()])
     agree = max(_agreement(coded, share, base, rng), 0.05)
@@ -170,7 +170,7 @@ def build(items: list[tuple[int, str]], share: float = EDITS, recall: float = RE
         order = np.argsort(key, kind="stable")
         grams[size] = (key[order], of[order], place[order])
     bag = np.unique(np.repeat(np.arange(len(coded)), sizes) * base + flat)
-    return Index(list(texts), words, coded, edits, sizes, band, steps, keys.reshape(-1, tables), coins, grams, bag)
+    return Index([item for item, _ in texts], words, coded, edits, sizes, band, steps, keys.reshape(-1, tables), coins, grams, bag)
 
 
 def _ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -140,3 +140,16 @@ def test_passages_of_the_benchmark_are_found(spark):
         expected |= {(r.doc_id, item) for item, text in items.items() if f" {text} " in words}
     found = {(r.doc_id, r.item_id) for r in dc.contaminated(docs, bench, spark).collect()}
     assert expected and expected <= found
+
+
+def test_items_that_share_an_id_or_have_none(spark):
+    rng = random.Random(12)
+    texts = [" ".join(f"w{rng.randrange(10_000)}" for _ in range(20)) for _ in range(5)]
+    # The last by text of an id is too short to be looked for.
+    items = [(0, texts[0]), (0, texts[1]), (0, "zz short"), (None, texts[2]), (None, texts[3])]
+    docs = spark.createDataFrame([(k, f"before {t} after", "en", "s", 0) for k, t in enumerate(texts)], SCHEMA)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = dc.contaminated(docs, bench, spark).collect()
+    assert {(r.doc_id, r.item_id, r.distance) for r in found} == {(0, 0, 0), (1, 0, 0), (2, None, 0), (3, None, 0)}
+    assert len(found) == 4
+    assert [r.doc_id for r in dc.decontaminated(docs, bench, spark).collect()] == [4]
