@@ -377,27 +377,30 @@ def secrets(docs: DataFrame, model: Model, spark: SparkSession) -> DataFrame:
     return in_batches(rows, job, extended(rows, ["doc_id"], f"{kinds}, base_sha256 string, spans string"))
 
 
+def _masked(text: str, tagged: list[tuple[int, int]], mark: str) -> str:
+    """The text with what the patterns and the field find replaced, what overlaps or touches by one mark."""
+    values = [(value, end) for _, end, _, value in base_spans(text)]
+    values += [(a, b) for a, b in tagged if b - a >= LEAST["assign"]]
+    parts, at, last = [], 0, -1
+    for start, end in sorted(values):
+        if start > last:
+            parts += [text[at:start], mark]
+        at = last = max(last, end)
+    return "".join([*parts, text[at:]])
+
+
 def redacted(docs: DataFrame, model: Model, spark: SparkSession, mark: str = "[SECRET]") -> DataFrame:
     """The documents with each secret's value replaced by a mark; overlapping ones by one. All columns and rows stay.
 
-    Null texts stay null.
+    Spans of the field that overlap a pattern's are replaced too. Null texts stay null.
     """
     shared = spark.sparkContext.broadcast(model)
 
-    def clean(text: str, spans: list[tuple[int, int, str, int]]) -> str:
-        parts, at = [], 0
-        for end, value in sorted((end, value) for _, end, _, value in spans):
-            spot = max(value, at)
-            if spot < end:
-                parts += [text[at:spot], mark] if spot > at or not parts else []
-                at = end
-        return "".join([*parts, text[at:]])
-
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             texts = batch.column("text").to_pylist()
-            spans = all_spans(_tagger(shared), [text or "" for text in texts])
-            new = [clean(text, own) if own else text for text, own in zip(texts, spans, strict=True)]
+            tagged = _tagger(shared).spans([text or "" for text in texts])
+            new = [_masked(text, found, mark) if text else text for text, found in zip(texts, tagged, strict=True)]
             at = batch.schema.get_field_index("text")
             yield batch.set_column(at, batch.schema.field(at), pa.array(new, batch.schema.field(at).type))
 
