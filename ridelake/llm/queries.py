@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from ridelake.llm import (
     chat_format,
     decontaminate,
+    feistel_sharding,
+    fill_in_middle,
+    filter_audit,
     language_crf,
     license_scan,
     line_quality,
@@ -85,6 +88,19 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hexadecimal, "component_id")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = feistel_sharding.sharded(table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -98,6 +114,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_token_counts,
         op10_simhash_dedup,
+        op11_filter_audit,
+        op12_sharding,
+        op13_fill_in_middle,
     )
 }
 
@@ -108,6 +127,8 @@ _MARKS = sum(map(len, (_CHAT.open, _CHAT.middle, _CHAT.close)))
 ORACLES = {
     "op1_license_scan": license_scan.oracle(),
     "op8_quality_rules": line_quality.oracle(),
+    "op11_filter_audit": filter_audit.oracle(),
+    "op13_fill_in_middle": fill_in_middle.oracle(),
     "op4_chat_format": f"""
         WITH rows AS (
           SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
