@@ -50,6 +50,27 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def row_hashes(df: DataFrame, seed: int = 0) -> list[Column]:
+    """128 bits in two longs that rows share only if they are equal in all columns."""
+    fields = [(F.col(f"`{f.name}`"), "map<" in f.dataType.simpleString()) for f in df.schema.fields]
+    values = [F.to_json(F.struct(column)) if mapped else column for column, mapped in fields]
+    # A null leaves a hash as it is, so which values are null goes in too.
+    nulls = F.concat(*[column.isNull().cast("int").cast("string") for column, _ in fields])
+    return [F.xxhash64(nulls, *values), F.xxhash64(F.lit(seed), *values, nulls)]
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """These names, with underscores before those that the frame has already, whatever the case."""
+    taken = {name.lower() for name in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def in_batches(df: DataFrame, job: Callable, schema: str | StructType) -> DataFrame:
     """``mapInArrow``, with at most ``BATCH_ROWS`` rows handed over at a time: by default it is ten times as many."""
     conf = df.sparkSession.conf

@@ -15,7 +15,7 @@ from math import isqrt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import checkpointed
+from ridelake.llm.common import checkpointed, row_hashes
 
 SHARDS, SEED, ROUNDS = 40, 97, 6
 #: Bytes a row counts besides its text's.
@@ -82,14 +82,8 @@ def row_at(shard: Column, slot: Column, n: int, shards: int = SHARDS, seed: int
 
 
 def _identity(docs: DataFrame) -> list[Column]:
-    """128 bits that rows share only if they are equal in all columns."""
-    plain = [
-        F.to_json(F.struct(f"`{f.name}`")) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`")
-        for f in docs.schema.fields
-    ]
-    # A null changes no hash, so what is null goes in too.
-    nulls = F.concat(*[F.col(f"`{f.name}`").isNull().cast("int").cast("string") for f in docs.schema.fields])
-    return [F.xxhash64(nulls, *plain).alias("_h"), F.xxhash64(F.lit(SEED), *plain, nulls).alias("_g")]
+    one, other = row_hashes(docs, SEED)
+    return [one.alias("_h"), other.alias("_g")]
 
 
 def _numbers(docs: DataFrame) -> tuple[DataFrame, int, int]:

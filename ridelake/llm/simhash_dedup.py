@@ -20,7 +20,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import checkpointed, extended, in_batches, slices, utf8, with_columns
+from ridelake.llm.common import (
+    checkpointed,
+    extended,
+    free_names,
+    in_batches,
+    row_hashes,
+    slices,
+    utf8,
+    with_columns,
+)
 from ridelake.llm.components import components
 
 BITS, LIMIT, BLOCKS = 64, 3, 5
@@ -56,16 +65,16 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
     return _majority(np.array(found, dtype=np.uint64))
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fingerprint) of every row, the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Some columns and the fingerprint, as a signed long, of every row."""
 
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             values = np.array([fingerprint(text, shingle) for text in utf8(batch, "text")], dtype=np.uint64)
-            yield with_columns(batch, ["doc_id"], {"fingerprint": pa.array(values.view(np.int64))})
+            yield with_columns(batch, list(keep), {"fingerprint": pa.array(values.view(np.int64))})
 
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return in_batches(rows, job, extended(rows, ["doc_id"], "fingerprint long"))
+    rows = docs.select(*keep, F.col("text").cast("string").alias("text"))
+    return in_batches(rows, job, extended(rows, list(keep), "fingerprint long"))
 
 
 def _masks(free: int, limit: int) -> list[int]:
@@ -182,6 +191,13 @@ def links(distinct: DataFrame, limit: int = LIMIT, full: int = FULL) -> DataFram
     return found
 
 
+def _rooted(distinct: DataFrame, limit: int, full: int) -> DataFrame:
+    """Rows of different fingerprints (fp) with the root of the component of each."""
+    roots = components(links(distinct.select("fp"), limit, full))
+    joined = distinct.join(roots, distinct.fp == roots.node, "left")
+    return joined.select(*distinct.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, limit: int = LIMIT, shingle: int = SHINGLE, full: int = FULL) -> DataFrame:
     """(doc_id, fingerprint, component_id) for each row: fingerprints within ``limit`` bits are linked, and the
     component's id is the smallest doc_id that can be reached.
@@ -192,29 +208,32 @@ def near_duplicates(docs: DataFrame, limit: int = LIMIT, shingle: int = SHINGLE,
     """
     rows = checkpointed(fingerprints(docs, shingle))
     distinct = checkpointed(rows.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("least")))
-    roots = components(links(distinct, limit, full))
-    joined = distinct.join(roots, distinct.fp == roots.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    joined = checkpointed(joined)
+    joined = checkpointed(_rooted(distinct, limit, full))
     smallest = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = joined.join(smallest, "root").select(F.col("fp").alias("fingerprint"), "component_id")
     return rows.join(labels, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-def first_of_each(docs: DataFrame, limit: int = LIMIT, shingle: int = SHINGLE) -> DataFrame:
-    """The documents without near-duplicates: of each component the one with the smallest doc_id stays, once.
+def first_of_each(docs: DataFrame, limit: int = LIMIT, shingle: int = SHINGLE, full: int = FULL) -> DataFrame:
+    """The documents without near-duplicates: exactly one row of each component, with all columns.
 
-    All columns are kept; none may be called _stays or _rows. Rows without a doc_id can't stand for a component:
-    of those one stays for each text.
+    It is the least by doc_id (those without one last), fingerprint and a hash of the whole row, so that reruns
+    agree and different texts of one id are kept apart. Rows without an id, and null and empty texts, are in
+    components like all others. Columns may have any names. No rows give no rows.
     """
-    groups = near_duplicates(docs, limit, shingle)
-    stay = groups.filter("doc_id = component_id").groupBy(F.col("doc_id").alias("_stays")).agg(F.count("*").alias("_rows"))
-    stay = checkpointed(stay)
-    kept = docs.join(stay, docs["doc_id"] == stay["_stays"]).drop("_stays")
-    if stay.filter("_rows > 1").isEmpty():
-        kept = kept.drop("_rows")
-    else:
-        once = kept.filter("_rows > 1").dropDuplicates(["doc_id"])
-        kept = kept.filter("_rows = 1").unionByName(once).drop("_rows")
-    return kept.unionByName(docs.filter("doc_id IS NULL").dropDuplicates(["text"]))
+    one, other, found_one, found_other, copies = free_names(docs, "_h", "_g", "_sh", "_sg", "_copies")
+    first, second = row_hashes(docs)
+    hashed = docs.select("*", first.alias(one), second.alias(other))
+    slim = hashed.select("doc_id", "text", F.col(one).alias("h"), F.col(other).alias("g"))
+    rows = checkpointed(fingerprints(slim, shingle, ("doc_id", "h", "g")))
+    same = rows.groupBy(F.col("fingerprint").alias("fp"), "doc_id", "h", "g").agg(F.count("*").alias("copies"))
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "fp", "h", "g", "copies")
+    distinct = checkpointed(same.groupBy("fp").agg(F.min(order).alias("least")))
+    stay = _rooted(distinct, limit, full).groupBy("root").agg(F.min("least").alias("least"))
+    names = {"h": found_one, "g": found_other, "copies": copies}
+    stay = checkpointed(stay.select(*[F.col(f"least.{name}").alias(alias) for name, alias in names.items()]))
+    kept = hashed.join(stay, (F.col(one) == F.col(found_one)) & (F.col(other) == F.col(found_other)))
+    if not stay.filter(F.col(copies) > 1).isEmpty():
+        once = kept.filter(F.col(copies) > 1).dropDuplicates([one, other])
+        kept = kept.filter(F.col(copies) == 1).unionByName(once)
+    return kept.select(*[F.col(f"`{name}`") for name in docs.columns])

@@ -109,11 +109,43 @@ def test_odd_rows(spark):
     assert found == [(0, signed, 5), (5, signed, 5), (5, signed, 5), (8, 0, 8), (9, 0, 8)]
     kept = sd.first_of_each(docs)
     assert kept.columns == docs.columns
-    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == [(0, "a b c d"), (5, "a b c d"), (8, "")]
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == [(5, "a b c d"), (8, "")]
     empty = docs.filter("false")
     assert sd.near_duplicates(empty).collect() == sd.first_of_each(empty).collect() == []
 
 
+def test_one_row_of_each_component_stays(spark):
+    """Ids that repeat, within components and across them, and ids that are missing."""
+    rng = random.Random(21)
+    words = "one two three four five six seven eight nine ten".split()
+    for round_ in range(3):
+        bases = [rng.choices(words, k=60) for _ in range(6)] + [[], ["x"]]
+        rows = []
+        for _ in range(50):
+            text = list(rng.choice(bases))
+            if len(text) > 2 and rng.random() < 0.6:
+                text[rng.randrange(len(text))] = rng.choice(words)
+            text = " ".join(text) if text else rng.choice([None, "", " "])
+            rows.append((rng.choice([None, *range(8)]), text, rng.choice(["en", None]), rng.choice("st"), 0))
+        rows += rng.choices(rows, k=15)
+        prints = {text: by_definition(text) for _, text, *_ in rows}
+        component = grouped(dict(zip(prints, prints.values())) and {p: p for p in set(prints.values())})
+        docs = spark.createDataFrame(rows, SCHEMA).withColumn("_h", F.lit("mine")).withColumn("_copies", F.lit(3))
+        kept = sd.first_of_each(docs)
+        assert kept.columns == docs.columns
+        found = [tuple(r)[:5] for r in kept.collect()]
+        assert set(found) <= set(rows)
+        of_component = {}
+        for row in rows:
+            of_component.setdefault(component[prints[row[1]]], []).append(row)
+        assert sorted(component[prints[row[1]]] for row in found) == sorted(of_component)
+        for row in found:
+            ids = [r[0] for r in of_component[component[prints[row[1]]]] if r[0] is not None]
+            assert row[0] == min(ids, default=None)
+        again = sd.first_of_each(docs.repartition(round_ + 2))
+        assert sorted(map(repr, found)) == sorted(repr(tuple(r)[:5]) for r in again.collect())
+
+
 def test_components(spark):
     path = [(k, k + 1) for k in range(100)]
     hub = [(1000, k) for k in range(1001, 1200)]
