@@ -104,6 +104,18 @@ def test_lines_shared_by_a_host(spark):
         assert all(r.n_removed_words in (0, 16) for r in found)
 
 
+def test_a_growing_host_brings_no_removed_line_back(spark):
+    """Unrelated documents, many times as many as share the line."""
+    shared = "the same notice stands in all of these few documents here"
+    first = [f"{shared}\nown words of document number {k} and some more of them" for k in range(12)]
+    removed = []
+    for more in (0, 30, 600):
+        texts = first + [f"unrelated text number {k} with words that only it has, {k * k} and so on" for k in range(more)]
+        found = line_quality.quality_rules(documents(spark, texts), line_docs=10).collect()
+        removed.append({(r.doc_id, r.n_removed_words) for r in found if r.n_removed_words})
+    assert removed[0] == removed[1] == removed[2] == {(k, 11) for k in range(12)}
+
+
 def test_quality_of_odd_rows(spark):
     docs = documents(spark, [None, "", "few words"], None).withColumn("kept", F.lit("mine")).withColumn("host", F.lit(1))
     found = line_quality.quality_rules(docs.unionByName(docs)).collect()
