@@ -12,6 +12,7 @@ from ridelake.schemas import DATE_PARTS
 
 AsOf = dt.date | str | None
 
+_DATES_OF = "dates_of"
 _DATE_PART = dict(zip(DATE_PARTS, (F.year, F.month, F.dayofmonth)))
 _TIME_PERIOD = {
     **_DATE_PART,
@@ -67,11 +68,19 @@ def filter_event_date_partitions(df: DataFrame, start_date: str | None, end_date
 def add_ingest_metadata(df: DataFrame, partition_by: str, as_of: AsOf = None) -> DataFrame:
     """Add ingestion_timestamp and the year, month, day of the partition.
 
-    ``partition_by="event"`` takes the date of the event, ``"ingest"`` the
-    reporting date.
+    ``partition_by="event"`` takes the date of the event, ``"ingest"`` the reporting date; which of them, the
+    column's metadata say, which files keep (see ``dates_of``).
     """
     if partition_by not in ("event", "ingest"):
         raise ValueError(f"partition_by must be 'event' or 'ingest', not {partition_by!r}")
     moment = F.col("event_timestamp") if partition_by == "event" else today(as_of)
     parts = {name: part(moment) for name, part in _DATE_PART.items()}
-    return df.withColumns({"ingestion_timestamp": F.current_timestamp(), **parts})
+    stamp = F.current_timestamp().alias("ingestion_timestamp", metadata={_DATES_OF: partition_by})
+    return df.withColumns({"ingestion_timestamp": stamp, **parts})
+
+
+def dates_of(df: DataFrame) -> str | None:
+    """Whose date year, month and day are, "event" or "ingest"; None if the frame doesn't say."""
+    if "ingestion_timestamp" not in df.columns:
+        return None
+    return df.schema["ingestion_timestamp"].metadata.get(_DATES_OF)

@@ -10,6 +10,7 @@ from ridelake.functions.schema import parse_json
 from ridelake.functions.time import (
     AsOf,
     add_ingest_metadata,
+    dates_of,
     filter_event_date_partitions,
     filter_time_range,
 )
@@ -17,10 +18,6 @@ from ridelake.schemas import DATE_PARTS, EVENT
 from ridelake.sources import files
 from ridelake.sources.lake import Lake
 
-# A note with the table: its partitions are the dates of the events.
-BY_EVENT_DATE = "by_event_date"
-
-
 def parse_events(messages: DataFrame) -> DataFrame:
     """Messages with a binary JSON ``value`` as bronze events; batch or stream.
 
@@ -68,8 +65,10 @@ def _ingest(df: DataFrame, lake: Lake, table: str, partition_by: str, as_of: AsO
     # Event types side by side in the files: the silver builds, which want one family
     # each, then skip the pages of the others. A sort within tasks, no shuffle.
     order = [*DATE_PARTS] + (["event_type"] if "event_type" in df.columns else [])
-    note = BY_EVENT_DATE if partition_by == "event" else None
-    lake.write(events.sortWithinPartitions(*order), "bronze", table, mode, partition_by=DATE_PARTS, note=note)
+    if mode == "append" and lake.exists(df.sparkSession, "bronze", table):
+        if (there := dates_of(lake.read(df.sparkSession, "bronze", table))) != partition_by:
+            raise ValueError(f"bronze table {table} is laid out otherwise: its dates are of {there}")
+    lake.write(events.sortWithinPartitions(*order), "bronze", table, mode, partition_by=DATE_PARTS)
 
 
 def read_events(
@@ -81,10 +80,10 @@ def read_events(
 ) -> DataFrame:
     """A bronze table, optionally only start <= event_timestamp <= end; either bound may be missing.
 
-    Where the table's partitions are event dates, as the stream and ``partition_by="event"`` write them, which the
-    table itself notes, other dates are not read.
+    Where the table's partitions are event dates, as the stream and ``partition_by="event"`` write them, which its
+    files say, other dates are not read.
     """
     events = lake.read(spark, "bronze", table)
-    if BY_EVENT_DATE in lake.notes(spark, "bronze", table) and not (start is None and end is None):
+    if dates_of(events) == "event" and not (start is None and end is None):
         events = filter_event_date_partitions(events, start, end)
     return filter_time_range(events, "event_timestamp", start, end)

@@ -82,7 +82,7 @@ def refresh_gold(spark: SparkSession, lake: Lake, as_of: AsOf = None) -> dict[st
 
 
 def refresh(spark: SparkSession, lake: Lake, as_of: AsOf = None) -> dict[str, int]:
-    """Publish the streamed silver tables, then rewrite gold from them."""
+    """Publish the streamed silver tables' changes, then rewrite gold from them."""
     for entity in silver.ENTITIES.values():
         publish_silver(spark, lake, entity, as_of)
     return refresh_gold(spark, lake, as_of)

@@ -1,16 +1,17 @@
-"""The layered tables: one directory per table, below one root per layer.
-
-Appends add files to the table's directory. A replacement is a new version beside the ones before: a directory
-of its own below ``_versions``, which counts once a file in ``_current`` names it. Creating an empty file is one
-step on every file system, so nothing is renamed or copied, a job that dies leaves the old version in place, and
-whoever reads a version keeps its files until ``keep_seconds`` after the next one came. With ``fmt="delta"`` the
-format's own transactions do all this.
+"""The layered tables.
+
+Bronze tables are directories that files are added to, by jobs or by a stream. Silver and gold tables are external
+tables of the session's catalog, in one database for each layer. They are replaced by writing a new directory and
+pointing the table at it, one step of the catalog: a job that dies before leaves the old table in place. The directory
+replaced stays until the next replacement, for readers at work. A table of changing rows is partitioned by ``_bucket``,
+and only the buckets that changed are written anew and pointed at. With ``fmt="delta"`` the format's own transactions
+do all this, in the table's directory.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,22 +26,29 @@ STREAM_FILE_LOG = "_spark_metadata"
 
 DEFAULT_FILE_BYTES = 256 * 1024 * 1024
 
-_VERSIONS, _CURRENT, _NOTES = "_versions", "_current", "_notes"
+# The partition column of tables that are replaced bucket by bucket; readers don't see it.
+BUCKET = "_bucket"
+
+# What a table's properties say: the directory before the current one, and the version its buckets are up to.
+_BEFORE, _VERSION = "ridelake.before", "ridelake.version"
 
 
 @dataclass(frozen=True)
 class Lake:
-    """Where the layers are, in which file format, and how long readers of a replaced version may take."""
+    """Where the layers are, in which file format, and the name its databases begin with.
+
+    The databases are ``<name>_silver`` and ``<name>_gold``; whether they outlive the session is its catalog's matter.
+    """
 
     bronze: str
     silver: str
     gold: str
     checkpoints: str
     fmt: str = "parquet"
-    keep_seconds: float = 24 * 3600
+    name: str = "lake"
 
     @classmethod
-    def at(cls, spark: SparkSession, root: str, fmt: str = "parquet") -> Lake:
+    def at(cls, spark: SparkSession, root: str, fmt: str = "parquet", name: str = "lake") -> Lake:
         """All layers below one root.
 
         Checkpoints go to this lake's part of the session's ``spark.checkpoint.dir``,
@@ -49,7 +57,7 @@ class Lake:
         shared = spark.conf.get("spark.checkpoint.dir", None)
         own = root.split(":", 1)[-1].strip("/")
         checkpoints = f"{shared.rstrip('/')}/{own}" if shared else f"{root}/checkpoints"
-        return cls(f"{root}/bronze", f"{root}/silver", f"{root}/gold", checkpoints, fmt)
+        return cls(f"{root}/bronze", f"{root}/silver", f"{root}/gold", checkpoints, fmt, name)
 
     def root(self, layer: str) -> str:
         roots = {"bronze": self.bronze, "silver": self.silver, "gold": self.gold}
@@ -63,28 +71,31 @@ class Lake:
     def checkpoint(self, layer: str, table: str) -> str:
         return f"{self.checkpoints}/{layer}/{table}"
 
-    def current(self, spark: SparkSession, layer: str, table: str) -> str:
-        """The directory of the table's files: of its last version, or its own before there are versions."""
-        path = self.path(layer, table)
-        named = sorted(storage.children(spark, f"{path}/{_CURRENT}"))
-        return f"{path}/{_VERSIONS}/{named[-1].split('-', 1)[1]}" if named else path
+    def table(self, layer: str, table: str) -> str:
+        """The name in the catalog."""
+        return f"`{self.name}_{layer}`.`{table}`"
+
+    def in_catalog(self, layer: str) -> bool:
+        return layer != "bronze" and self.fmt != "delta"
 
     def exists(self, spark: SparkSession, layer: str, table: str) -> bool:
         """Whether there is anything to read."""
-        names = storage.children(spark, self.current(spark, layer, table))
+        if self.in_catalog(layer):
+            return spark.catalog.tableExists(self.table(layer, table))
+        names = storage.children(spark, self.path(layer, table))
         return any(name == STREAM_FILE_LOG or not name.startswith("_") or name == "_delta_log" for name in names)
 
-    def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
-        return spark.read.format(self.fmt).load(self.current(spark, layer, table))
-
-    # -- notes ------------------------------------------------------------------
-
-    def notes(self, spark: SparkSession, layer: str, table: str) -> set[str]:
-        """What was noted about how the table's files are laid out."""
-        return set(storage.children(spark, f"{self.path(layer, table)}/{_NOTES}"))
+    def current(self, spark: SparkSession, layer: str, table: str) -> str:
+        """The directory of the table's files."""
+        if not self.in_catalog(layer) or not self.exists(spark, layer, table):
+            return self.path(layer, table)
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {self.table(layer, table)}")
+        return described.filter("col_name = 'Location'").first()["data_type"]
 
-    def note(self, spark: SparkSession, layer: str, table: str, note: str) -> None:
-        storage.touch(spark, f"{self.path(layer, table)}/{_NOTES}/{note}")
+    def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
+        if self.in_catalog(layer):
+            return spark.table(self.table(layer, table)).drop(BUCKET)
+        return spark.read.format(self.fmt).load(self.path(layer, table))
 
     # -- writing ----------------------------------------------------------------
 
@@ -96,44 +107,30 @@ class Lake:
         mode: str = "append",
         partition_by: Sequence[str] = (),
         max_records_per_file: int | None = None,
-        note: str | None = None,
     ) -> None:
-        """Write with a save mode; partition columns only where given.
-
-        ``note`` says how the files are laid out; rows can't be added to a table with another one.
-        """
+        """Write with a save mode; partition columns only where given."""
         spark, path = df.sparkSession, self.path(layer, table)
-        if storage.exists(spark, f"{path}/{STREAM_FILE_LOG}"):
-            raise ValueError(f"{layer} table {table} is written by a stream, whose readers would not see other files")
-        noted = {note} if note else set()
-        if mode == "overwrite":
-            # Without the old note from now on, with the new one only when all rows are there: a job that dies in
-            # between leaves a table that is read as one without a note, which is slower but right.
-            storage.delete(spark, f"{path}/{_NOTES}")
-            if self.fmt == "delta":
-                self._save(df, path, mode, partition_by, max_records_per_file)
-            else:
-                self._replace(df, layer, table, partition_by, max_records_per_file)
-        elif self.exists(spark, layer, table) and noted != self.notes(spark, layer, table):
-            raise ValueError(f"{layer} table {table} has files laid out otherwise: {self.notes(spark, layer, table)}")
-        else:
-            target = self.current(spark, layer, table)
-            self._save(df, target, mode, partition_by, max_records_per_file)
-        if note:
-            self.note(spark, layer, table, note)
-
-    def overwrite_merged(self, df: DataFrame, layer: str, table: str, note: str | None = None) -> None:
-        """Replace the rows; the table keeps its columns and gains new ones. The note is one about the new rows."""
-        storage.delete(df.sparkSession, f"{self.path(layer, table)}/{_NOTES}")
+        if not self.in_catalog(layer):
+            if storage.exists(spark, f"{path}/{STREAM_FILE_LOG}"):
+                raise ValueError(f"{layer} table {table} is written by a stream, whose readers would not see other files")
+            self._save(df, path, mode, partition_by, max_records_per_file)
+        elif mode == "overwrite" or not self.exists(spark, layer, table):
+            self._replace(df, layer, table, partition_by, max_records_per_file)
+        elif mode == "append":
+            with sized_for_writing(df):
+                df.select(*spark.table(self.table(layer, table)).columns).write.insertInto(self.table(layer, table))
+        elif mode != "ignore":
+            raise ValueError(f"there is a {layer} table {table}")
+
+    def overwrite_merged(self, df: DataFrame, layer: str, table: str) -> None:
+        """Replace the rows; the table keeps its columns and gains new ones, and types are widened to hold both."""
+        spark = df.sparkSession
         if self.fmt == "delta":
             self._save(df, self.path(layer, table), "overwrite", mergeSchema="true")
             return
-        spark = df.sparkSession
         if self.exists(spark, layer, table):
-            df = enforce_schema(df, merge_schemas(self.read(spark, layer, table).schema, df.schema))
+            df = enforce_schema(df, merge_schemas(self.read(spark, layer, table).schema, df.schema), cast=True)
         self._replace(df, layer, table)
-        if note:
-            self.note(spark, layer, table, note)
 
     def overwrite_replaced(self, df: DataFrame, layer: str, table: str) -> None:
         """Replace the rows and the schema."""
@@ -142,6 +139,54 @@ class Lake:
             return
         self._replace(df, layer, table)
 
+    # -- buckets ------------------------------------------------------------------
+
+    def create_bucketed(self, spark: SparkSession, layer: str, table: str, schema: StructType) -> None:
+        """An empty table for ``replace_buckets``, unless it is there."""
+        if self.fmt == "delta":
+            raise ValueError("a Delta table takes changed rows by its own MERGE")
+        if not self.exists(spark, layer, table):
+            columns = f"{_ddl(schema)}, `{BUCKET}` INT"
+            definition = f"{self.table(layer, table)} ({columns}) USING parquet PARTITIONED BY (`{BUCKET}`)"
+            self._create(spark, layer, f"{definition} LOCATION '{self.path(layer, table)}'")
+
+    def version(self, spark: SparkSession, layer: str, table: str) -> int:
+        """What ``replace_buckets`` was last done up to; -1 before the first time."""
+        if not self.exists(spark, layer, table):
+            return -1
+        return int(self._properties(spark, layer, table).get(_VERSION, -1))
+
+    def unfinished(self, spark: SparkSession, layer: str, table: str) -> int | None:
+        """A version that has all its rows written, but whose writer died before all buckets were pointed at them."""
+        markers = storage.matching(spark, f"{self.path(layer, table)}/*/_SUCCESS")
+        versions = [int(marker.split("/")[-2]) for marker in markers]
+        return min((v for v in versions if v > self.version(spark, layer, table)), default=None)
+
+    def replace_buckets(
+        self, spark: SparkSession, layer: str, table: str, version: int, rows: Callable[[], DataFrame] | None = None
+    ) -> None:
+        """Replace the buckets that ``rows()`` (with a column ``_bucket``) has, as a version of the table.
+
+        First the rows are written, then each bucket is pointed at them, then the table has the version. A job that
+        dies while it writes has changed nothing; one that dies later is finished by the same call, which finds the
+        rows written and doesn't compute them again. What a bucket had before stays until it is replaced again.
+        """
+        path, name = self.path(layer, table), self.table(layer, table)
+        new = f"{path}/{version:012d}"
+        if not storage.exists(spark, f"{new}/_SUCCESS"):
+            self._save(rows().hint("rebalance", BUCKET), new, "overwrite", [BUCKET])
+        replaced = [found for found in storage.subdirectories(spark, new) if found.startswith(f"{BUCKET}=")]
+        for bucket in replaced:
+            spec = f"PARTITION (`{BUCKET}`={bucket.split('=', 1)[1]})"
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {spec} LOCATION '{new}/{bucket}'")
+            spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION '{new}/{bucket}'")
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_VERSION}' = '{version}')")
+        for bucket in replaced:
+            for old in storage.matching(spark, f"{path}/*/{bucket}")[:-2]:
+                storage.delete(spark, old)
+
+    # -- compaction -----------------------------------------------------------------
+
     def compact(
         self,
         spark: SparkSession,
@@ -152,7 +197,9 @@ class Lake:
     ) -> None:
         """Rewrite a table of many small files as files of about ``file_bytes``.
 
-        ``cluster_by`` are the columns whose ranges its files hold, if they do: they hold ranges again then.
+        ``cluster_by`` are the columns whose ranges its files hold, if they do: they hold ranges again then. Of a
+        partitioned bronze table only partitions in which files of under half that size can be put together are
+        rewritten, each by Spark's dynamic partition overwrite; of those, larger files' rows are read and written too.
         """
         path = self.current(spark, layer, table)
         if self.fmt == "delta":
@@ -161,27 +208,26 @@ class Lake:
         if storage.exists(spark, f"{path}/{STREAM_FILE_LOG}"):
             raise ValueError(f"{path} is written by a stream, whose file log a rewrite would void")
 
-        # Own session, as these settings are meant for this one job.
-        session = spark.newSession()
-        session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
-        session.conf.set(
-            "spark.sql.parquet.outputTimestampType", spark.conf.get("spark.sql.parquet.outputTimestampType")
-        )
-        session.conf.set("spark.sql.files.maxPartitionBytes", str(file_bytes))
-        session.conf.set("spark.sql.files.openCostInBytes", "0")
-        session.conf.set("spark.sql.files.minPartitionNum", "1")
-        session.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(file_bytes))
-
-        df = session.read.format(self.fmt).load(path)
-        partition_by = _partition_columns(spark, path, df.schema)
-        if partition_by:
+        session = _compacting(spark, file_bytes)
+        df = session.read.parquet(path)
+        if partition_by := _partition_columns(spark, path, df.schema):
+            small = _fragmented(df, partition_by, file_bytes)
+            if not small:
+                return
             # Rows of one partition value meet, but a value with many rows is split.
-            df = df.hint("rebalance", *partition_by)
-        elif cluster_by:
+            chosen = df.filter(" OR ".join(f"({one})" for one in small)).hint("rebalance", *partition_by)
+            writer = chosen.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy(*partition_by).parquet(path)
+            return
+        if cluster_by:
             size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
             df = df.repartitionByRange(max(1, -(-size // file_bytes)), *cluster_by).sortWithinPartitions(*cluster_by)
         # Otherwise no shuffle: the scan packs small files into one task each.
-        self._replace(df, layer, table, partition_by)
+        if not self.in_catalog(layer):
+            raise ValueError(f"{layer} table {table} has no partitions that could be replaced one by one")
+        self._replace(df, layer, table)
+
+    # -- steps ----------------------------------------------------------------------
 
     def _save(
         self,
@@ -200,6 +246,13 @@ class Lake:
         with sized_for_writing(df):
             writer.save(path)
 
+    def _properties(self, spark: SparkSession, layer: str, table: str) -> dict[str, str]:
+        return {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {self.table(layer, table)}").collect()}
+
+    def _create(self, spark: SparkSession, layer: str, definition: str) -> None:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.name}_{layer}` LOCATION '{self.root(layer)}'")
+        spark.sql(f"CREATE TABLE {definition}")
+
     def _replace(
         self,
         df: DataFrame,
@@ -208,29 +261,56 @@ class Lake:
         partition_by: Sequence[str] = (),
         max_records_per_file: int | None = None,
     ) -> None:
-        spark, path, version = df.sparkSession, self.path(layer, table), str(uuid.uuid4())
-        self._save(df, f"{path}/{_VERSIONS}/{version}", "error", partition_by, max_records_per_file)
-        before = sorted(storage.children(spark, f"{path}/{_CURRENT}"))
-        number = int(before[-1].split("-", 1)[0]) + 1 if before else 1
-        storage.touch(spark, f"{path}/{_CURRENT}/{number:012d}-{version}")
-        self._clean(spark, path)
-
-    def _clean(self, spark: SparkSession, path: str) -> None:
-        """Delete the versions that the next one has replaced for long enough, and those of jobs that died."""
-        ages = storage.children(spark, f"{path}/{_CURRENT}")
-        named = sorted(ages)
-        stale = [old for old, new in zip(named, named[1:], strict=False) if ages[new] > self.keep_seconds]
-        for name in stale:
-            storage.delete(spark, f"{path}/{_VERSIONS}/{name.split('-', 1)[1]}")
-            storage.delete(spark, f"{path}/{_CURRENT}/{name}")
-        counted = {name.split("-", 1)[1] for name in named}
-        for version, age in storage.children(spark, f"{path}/{_VERSIONS}").items():
-            if version not in counted and age > 10 * self.keep_seconds:  # no job writes for that long
-                storage.delete(spark, f"{path}/{_VERSIONS}/{version}")
-        if ages[named[0]] > self.keep_seconds or stale:
-            for name in storage.children(spark, path):  # the files from before there were versions
-                if name not in (_VERSIONS, _CURRENT, _NOTES):
-                    storage.delete(spark, f"{path}/{name}")
+        """A new directory, then one step of the catalog; of a table whose columns change or that has partitions, two."""
+        spark, name = df.sparkSession, self.table(layer, table)
+        new = storage.qualified(spark, f"{self.path(layer, table)}/{uuid.uuid4()}")
+        self._save(df, new, "error", partition_by, max_records_per_file)
+        before = stale = None
+        if self.exists(spark, layer, table):
+            before = self.current(spark, layer, table)
+            stale = self._properties(spark, layer, table).get(_BEFORE)
+            same = spark.table(name).schema.simpleString() == spark.read.parquet(new).schema.simpleString()
+            if same and not partition_by:
+                spark.sql(f"ALTER TABLE {name} SET LOCATION '{new}'")
+            else:
+                spark.sql(f"DROP TABLE {name}")  # not its files
+        if not self.exists(spark, layer, table):
+            parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+            definition = f"{name} ({_ddl(spark.read.parquet(new).schema)}) USING parquet{parts}"
+            self._create(spark, layer, f"{definition} LOCATION '{new}'")
+            if partition_by:
+                spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        if before:
+            spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_BEFORE}' = '{before}')")
+        if stale:
+            storage.delete(spark, stale)
+
+
+def _ddl(schema: StructType) -> str:
+    return ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema.fields)
+
+
+def _compacting(spark: SparkSession, file_bytes: int) -> SparkSession:
+    """A session of its own, as these settings are meant for one job."""
+    session = spark.newSession()
+    for name in ("spark.sql.session.timeZone", "spark.sql.parquet.outputTimestampType"):
+        session.conf.set(name, spark.conf.get(name))
+    session.conf.set("spark.sql.files.maxPartitionBytes", str(file_bytes))
+    session.conf.set("spark.sql.files.openCostInBytes", "0")
+    session.conf.set("spark.sql.files.minPartitionNum", "1")
+    session.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(file_bytes))
+    return session
+
+
+def _fragmented(df: DataFrame, partition_by: Sequence[str], file_bytes: int) -> list[str]:
+    """Filters for the partitions in which two small files at least fit one; from the files' own sizes, no row is read."""
+    files = df.select(*partition_by, "_metadata.file_path", "_metadata.file_size").distinct()
+    small = files.filter(f"file_size < {file_bytes // 2}").groupBy(*partition_by).count().filter("count > 1")
+
+    def equals(column: str, value: object) -> str:
+        return f"`{column}` IS NULL" if value is None else f"`{column}` = {value if isinstance(value, int) else repr(str(value))}"
+
+    return [" AND ".join(equals(c, row[c]) for c in partition_by) for row in small.collect()]
 
 
 def _partition_columns(spark: SparkSession, path: str, schema: StructType) -> list[str]:

@@ -58,6 +58,7 @@ def subdirectories(spark: SparkSession, path: str) -> list[str]:
     return [entry.getPath().getName() for entry in fs.listStatus(hadoop_path) if entry.isDirectory()]
 
 
-def touch(spark: SparkSession, path: str) -> None:
-    fs, hadoop_path = _at(spark, path)
-    fs.create(hadoop_path, True).close()
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Sorted paths that match a glob pattern."""
+    fs, hadoop_path = _at(spark, pattern)
+    return sorted(entry.getPath().toString() for entry in fs.globStatus(hadoop_path) or [])

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ridelake.plans.bronze import BY_EVENT_DATE
 from ridelake.schemas import DATE_PARTS
 from ridelake.sources import storage
 from ridelake.sources.lake import STREAM_FILE_LOG, Lake
@@ -26,7 +25,6 @@ def start_bronze(
     if lake.fmt != "delta" and lake.exists(spark, "bronze", table):
         if not storage.exists(spark, f"{path}/{STREAM_FILE_LOG}"):
             raise ValueError(f"{path} has files of a batch job, which readers of a streamed table would not see")
-    lake.note(spark, "bronze", table, BY_EVENT_DATE)
     writer = (
         events.writeStream.format(lake.fmt)
         .outputMode("append")

@@ -1,26 +1,34 @@
 """Silver tables kept up to date from the bronze stream.
 
-Each entity's stream reads the bronze table (the topic is read once, not per
-entity), summarises each micro-batch and adds that to the entity's summary log.
-The silver table is the merged log, written out by ``publish_silver``.
+Each entity's stream reads the bronze table (the topic is read once, not per entity) and aggregates it by key, in
+Spark's state store: min, max and sum only, so events may come as late as they like. Every micro-batch writes the
+summaries of the keys it changed to a directory of its own, in update mode; one that runs again after a crash replaces
+it. ``publish_silver`` brings the table up to date with those: the keys' buckets are written anew, others not touched.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import IntegerType, StructType
 
-from ridelake.functions.time import AsOf, today
+from ridelake.functions.time import AsOf
+from ridelake.operators.dedup import first_deliveries
 from ridelake.operators.mergeable import Entity
 from ridelake.plans.silver import finish_options
-from ridelake.schemas import BRONZE
+from ridelake.schemas import BRONZE, EVENT
+from ridelake.settings import sized_for_writing
 from ridelake.sources import storage
-from ridelake.sources.lake import Lake
-from ridelake.streaming.summary_log import SummaryLog
-
+from ridelake.sources.lake import BUCKET, Lake
 
-def summary_log(spark: SparkSession, lake: Lake, entity: Entity) -> SummaryLog:
-    return SummaryLog(spark, f"{lake.silver}/_summaries/{entity.name}", entity, lake.keep_seconds)
+#: Buckets of a silver table; a refresh reads and writes those that hold a changed key.
+BUCKETS = 64
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_BATCH = "batch"
 
 
 def read_bronze_stream(spark: SparkSession, lake: Lake, table: str, **options: str) -> DataFrame:
@@ -39,27 +47,31 @@ def start_silver(
     bronze_table: str = "events",
     checkpoint_location: str | None = None,
     trigger: dict | None = None,
-    fold_every: int = 16,
+    deduplicate: bool = False,
     **source_options: str,
 ) -> StreamingQuery:
-    """Keep the entity's summary log up to date with the bronze table.
+    """Keep the entity's summaries up to date with the bronze table.
 
-    ``source_options`` bound a micro-batch, e.g. ``maxBytesPerTrigger="1t"``.
+    ``deduplicate`` counts events that come again, with an id seen before, only once; the state then holds all ids.
+    ``source_options`` bound a micro-batch, e.g. ``maxBytesPerTrigger="1t"``. State is kept in RocksDB unless the
+    session names another store.
     """
+    changes = Changes(spark, lake, entity)
     checkpoint = checkpoint_location or lake.checkpoint("silver", entity.name)
-    if not storage.exists(spark, checkpoint) and summary_log(spark, lake, entity).spans():
+    if not storage.exists(spark, checkpoint) and (changes.batches() or changes.published >= 0):
         raise ValueError(
             f"the summaries of {entity.name} belong to a checkpoint that is not at {checkpoint}: "
             "reading on from the start would count events twice"
         )
-
-    def add(batch: DataFrame, batch_id: int) -> None:
-        log = summary_log(batch.sparkSession, lake, entity)
-        log.add(entity.summarise(batch), batch_id, fold_every)
-
+    if spark.conf.get(STATE_STORE, _ROCKSDB).endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(STATE_STORE, _ROCKSDB)
+    events = entity.events(read_bronze_stream(spark, lake, bronze_table, **source_options))
+    if deduplicate:
+        events = first_deliveries(events)
     writer = (
-        entity.events(read_bronze_stream(spark, lake, bronze_table, **source_options))
-        .writeStream.foreachBatch(add)
+        entity.summarise(events)
+        .writeStream.outputMode("update")
+        .foreachBatch(lambda batch, batch_id: Changes(batch.sparkSession, lake, entity).add(batch, batch_id))
         .option("checkpointLocation", checkpoint)
         .queryName(f"silver_{entity.name}")
     )
@@ -68,23 +80,113 @@ def start_silver(
     return writer.start()
 
 
-def current_silver(spark: SparkSession, lake: Lake, entity: Entity, as_of: AsOf = None) -> DataFrame:
-    """The silver rows as of the last finished micro-batch."""
-    return entity.finish(summary_log(spark, lake, entity).read(), **finish_options(entity, as_of))
+@dataclass(frozen=True)
+class Changes:
+    """The summaries that micro-batches changed: of each key as they were after the batch, a directory for a batch."""
+
+    spark: SparkSession
+    lake: Lake
+    entity: Entity
+
+    @property
+    def root(self) -> str:
+        return f"{self.lake.silver}/_changes/{self.entity.name}"
+
+    @property
+    def published(self) -> int:
+        """The last micro-batch that the table holds."""
+        return self.lake.version(self.spark, "silver", self.entity.name)
+
+    def add(self, summaries: DataFrame, batch_id: int) -> None:
+        with sized_for_writing(summaries):
+            summaries.hint("rebalance").write.mode("overwrite").parquet(f"{self.root}/{_BATCH}={batch_id}")
+
+    def batches(self) -> list[int]:
+        """Those whole."""
+        names = storage.subdirectories(self.spark, self.root)
+        whole = [name for name in names if storage.exists(self.spark, f"{self.root}/{name}/_SUCCESS")]
+        return sorted(int(name.split("=", 1)[1]) for name in whole)
+
+    def latest(self, first: int, last: int) -> DataFrame:
+        """Of each key that was changed by the batches, the summary after the last that did."""
+        key, parts = self.entity.key, list(self.entity.parts)
+        schema = summary_schema(self.spark, self.entity).add(_BATCH, IntegerType())
+        rows = self.spark.read.schema(schema).parquet(self.root).filter(F.col(_BATCH).between(first, last))
+        last_of = F.max_by(F.struct(*parts), _BATCH).alias("last")
+        return rows.groupBy(key).agg(last_of).select(key, "last.*")
+
+    def forget(self, last: int) -> None:
+        for batch in self.batches():
+            if batch <= last:
+                storage.delete(self.spark, f"{self.root}/{_BATCH}={batch}")
+
+
+def summary_schema(spark: SparkSession, entity: Entity) -> StructType:
+    """Of an entity's summaries as they are read back: any value may be null."""
+    fields = entity.summarise(spark.createDataFrame([], EVENT)).schema.fields
+    return StructType.fromDDL(", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in fields))
+
+
+def bucket_of(key: str, buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias(BUCKET)
 
 
 def publish_silver(spark: SparkSession, lake: Lake, entity: Entity, as_of: AsOf = None) -> bool:
-    """Write the current silver rows as the silver table; not if it has them already, which it notes.
+    """Bring the silver table up to date with the finished micro-batches; gives whether there were any.
 
-    The summaries are merged, in one shuffle, into a span of the log, which the next time starts from; the table is
-    a projection of that. Gives whether it was written.
+    Rows that haven't changed stay as they are, with their processing date. What is read and written is the changes
+    and the buckets of their keys. A publisher that died is finished first. One publisher at a time.
     """
-    log = summary_log(spark, lake, entity)
-    spans = log.current()
-    date = spark.range(1).select(today(as_of).cast("string")).first()[0] if finish_options(entity, as_of) else ""
-    note = f"up_to-{spans[-1].last if spans else 'nothing'}-{date}"
-    if lake.exists(spark, "silver", entity.name) and note in lake.notes(spark, "silver", entity.name):
-        return False
-    rows = entity.finish(log.read(log.publish()), **finish_options(entity, as_of))
-    lake.overwrite_merged(rows, "silver", entity.name, note)
-    return True
+    changes = Changes(spark, lake, entity)
+    table = ("silver", entity.name)
+    if not lake.exists(spark, *table):
+        if storage.matching(spark, f"{lake.path(*table)}/*/_SUCCESS"):
+            raise ValueError(f"the catalog has lost {lake.table(*table)}: rebuild_silver makes it from the stream's state")
+        lake.create_bucketed(spark, *table, entity.schema)
+    done = lake.unfinished(spark, *table)
+    if done is not None:
+        lake.replace_buckets(spark, *table, done)
+    before = changes.published
+    new = [batch for batch in changes.batches() if batch > before]
+    if new:
+        latest = changes.latest(before + 1, new[-1])
+        lake.replace_buckets(spark, *table, new[-1], lambda: _renewed(lake, entity, latest, as_of))
+        changes.forget(before)
+    return bool(new) or done is not None
+
+
+def _renewed(lake: Lake, entity: Entity, latest: DataFrame, as_of: AsOf) -> DataFrame:
+    """The buckets of the changed keys: their new rows, and the rows there of other keys."""
+    key = entity.key
+    old = latest.sparkSession.table(lake.table("silver", entity.name))
+    # At most BUCKETS numbers.
+    touched = [row[BUCKET] for row in latest.select(bucket_of(key)).distinct().collect()]
+    changed = latest.select(F.col(key).alias("_key"))
+    others = old.filter(F.col(BUCKET).isin(touched)).join(changed, F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+    return others.unionByName(_bucketed(entity, latest, as_of))
+
+
+def _bucketed(entity: Entity, summaries: DataFrame, as_of: AsOf) -> DataFrame:
+    rows = entity.finish(summaries, **finish_options(entity, as_of))
+    return rows.withColumn(BUCKET, bucket_of(entity.key))
+
+
+def rebuild_silver(
+    spark: SparkSession, lake: Lake, entity: Entity, checkpoint_location: str | None = None, as_of: AsOf = None
+) -> None:
+    """The silver table anew, whole, from the state of the entity's stream after its last finished micro-batch.
+
+    For a table that was lost, with its session's catalog perhaps. The stream may go on meanwhile.
+    """
+    checkpoint = checkpoint_location or lake.checkpoint("silver", entity.name)
+    saved = spark.read.format("state-metadata").load(checkpoint).filter("operatorName = 'stateStoreSave'").first()
+    batch, options = saved["maxBatchId"], {"operatorId": saved["operatorId"], "batchId": saved["maxBatchId"]}
+    state = spark.read.format("statestore").options(**options).load(checkpoint)
+    # The state's fields are called after their aggregates, so many alike: taken whole, by place.
+    fields = summary_schema(spark, entity).fields
+    whole = state.select(F.col("key").cast(StructType(fields[:1])), F.col("value").cast(StructType(fields[1:])))
+    summaries = whole.select("key.*", "value.*")
+    table = ("silver", entity.name)
+    lake.create_bucketed(spark, *table, entity.schema)
+    storage.delete(spark, f"{lake.path(*table)}/{batch:012d}")
+    lake.replace_buckets(spark, *table, batch, lambda: _bucketed(entity, summaries, as_of))

@@ -19,6 +19,9 @@ from ridelake.sources.lake import Lake
 READ_EVENT = StructType([StructField(field.name, field.dataType) for field in EVENT])
 
 
+_numbers = iter(range(10**9))
+
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
@@ -41,9 +44,6 @@ def at(text: str) -> dt.datetime:
     return dt.datetime.fromisoformat(text).replace(tzinfo=dt.timezone.utc)
 
 
-_numbers = iter(range(10**9))
-
-
 def event(kind, when=None, ride=None, driver=None, user=None, lat=None, long=None, id=None, data=None):
     """An event row; ids count up unless given."""
     when = at(when) if isinstance(when, str) else when
@@ -54,7 +54,8 @@ def event(kind, when=None, ride=None, driver=None, user=None, lat=None, long=Non
 @pytest.fixture
 def lake(tmp_path):
     root = tmp_path / "lake"
-    return Lake(*[str(root / part) for part in ("bronze", "silver", "gold", "checkpoints")])
+    name = f"lake_{next(_numbers)}"
+    return Lake(*[str(root / part) for part in ("bronze", "silver", "gold", "checkpoints")], name=name)
 
 
 @pytest.fixture

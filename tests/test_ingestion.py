@@ -23,7 +23,7 @@ from ridelake.operators.quality import check_data_quality, counted, row_counts
 from ridelake.plans import bronze
 from ridelake.schemas import BRONZE, EVENT
 from ridelake.sources import files, kafka, storage
-from ridelake.sources.lake import Lake
+from ridelake.sources.lake import BUCKET, Lake
 
 
 def data_files(path):
@@ -302,7 +302,7 @@ def test_write_modes(spark, lake):
     lake.write(df, "silver", "t", mode="overwrite")
     assert lake.read(spark, "silver", "t").count() == 3
     lake.write(df, "silver", "t", mode="ignore")
-    with pytest.raises(PySparkException):
+    with pytest.raises(ValueError, match="there is"):
         lake.write(df, "silver", "t", mode="error")
     with pytest.raises(ValueError, match="no layer"):
         lake.path("platinum", "t")
@@ -310,7 +310,7 @@ def test_write_modes(spark, lake):
 
 def test_records_per_file(spark, lake, tmp_path):
     lake.write(spark.range(100).coalesce(1), "silver", "t", max_records_per_file=30)
-    assert len(data_files(tmp_path / "lake" / "silver" / "t")) == 4
+    assert len(files_of(spark, lake)) == 4
 
 
 def test_overwrite_merged(spark, lake):
@@ -322,6 +322,11 @@ def test_overwrite_merged(spark, lake):
     with pytest.raises(ValueError):
         lake.overwrite_merged(spark.sql("SELECT 'text' AS a"), "silver", "t")
     assert rows(lake.read(spark, "silver", "t")) == [(7, None, 2.5)]
+    # Wider, and what is narrower comes as what is there.
+    lake.overwrite_merged(spark.sql("SELECT 8L AS a, 1 AS c"), "silver", "t")
+    assert lake.read(spark, "silver", "t").schema.simpleString() == "struct<a:bigint,b:string,c:double>"
+    lake.overwrite_merged(spark.sql("SELECT CAST(1 AS TINYINT) AS a"), "silver", "t")
+    assert rows(lake.read(spark, "silver", "t")) == [(1, None, None)]
 
 
 def test_overwrite_replaced(spark, lake):
@@ -345,44 +350,80 @@ def test_failed_overwrite_leaves_the_table(spark, lake):
 
 
 def files_of(spark, lake, layer="silver", table="t"):
-    return sorted(Path(lake.current(spark, layer, table)).rglob("*.parquet"))
+    return sorted(Path(lake.current(spark, layer, table).removeprefix("file:")).rglob("*.parquet"))
 
 
-def test_readers_of_a_replaced_version_go_on(spark, lake):
+def test_readers_of_a_replaced_table_go_on(spark, lake):
     lake.write(spark.range(3), "silver", "t")
     first = lake.read(spark, "silver", "t")
     lake.overwrite_replaced(spark.range(10), "silver", "t")
-    second = lake.read(spark, "silver", "t")
-    lake.overwrite_replaced(spark.range(20), "silver", "t")
-    assert (first.count(), second.count(), lake.read(spark, "silver", "t").count()) == (3, 10, 20)
+    assert (first.count(), lake.read(spark, "silver", "t").count()) == (3, 10)
 
 
-def test_version_cut_short_does_not_count(spark, lake, monkeypatch):
+def test_replacement_cut_short_does_not_count(spark, lake, monkeypatch):
     lake.overwrite_replaced(spark.range(3), "silver", "t")
     with monkeypatch.context() as patch:
         # The process ended after the files were written.
-        patch.setattr(storage, "touch", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        patch.setattr(Lake, "exists", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
         with pytest.raises(RuntimeError):
             lake.overwrite_replaced(spark.range(5), "silver", "t")
-    assert lake.exists(spark, "silver", "t")
     assert lake.read(spark, "silver", "t").count() == 3
     lake.overwrite_replaced(spark.range(7), "silver", "t")
     assert lake.read(spark, "silver", "t").count() == 7
 
 
-def test_old_versions_go_after_a_while(spark, tmp_path):
-    lake = Lake.at(spark, str(tmp_path / "brief"))
-    lake = dataclasses.replace(lake, keep_seconds=-1)  # no time at all
+def test_old_directories_go_with_the_next_replacement(spark, lake, tmp_path):
     lake.write(spark.range(1), "silver", "t")
     for n in range(2, 6):
         lake.overwrite_replaced(spark.range(n), "silver", "t")
         assert lake.read(spark, "silver", "t").count() == n
-    assert len(list((tmp_path / "brief/silver/t/_versions").iterdir())) == 1
-    assert not list((tmp_path / "brief/silver/t").glob("*.parquet"))
+    assert len(list((tmp_path / "lake/silver/t").iterdir())) == 2
     lake.write(spark.range(2), "silver", "t")
     assert lake.read(spark, "silver", "t").count() == 7
 
 
+def test_buckets_are_replaced_one_by_one(spark, lake, tmp_path):
+    def rows_of(*pairs):
+        return lambda: spark.createDataFrame(list(pairs), f"id long, {BUCKET} int")
+
+    table = ("silver", "t")
+    lake.create_bucketed(spark, *table, spark.range(1).schema)
+    assert lake.version(spark, *table) == -1 and rows(lake.read(spark, *table)) == []
+    lake.replace_buckets(spark, *table, 0, rows_of((1, 1), (2, 2), (3, 3)))
+    reader = lake.read(spark, *table)
+    lake.replace_buckets(spark, *table, 4, rows_of((20, 2), (21, 2)))
+    assert rows(lake.read(spark, *table)) == [(1,), (20,), (21,), (3,)]
+    assert lake.version(spark, *table) == 4
+    for version in (5, 6):
+        lake.replace_buckets(spark, *table, version, rows_of((version, 2)))
+    kept = sorted(str(p.relative_to(tmp_path / "lake/silver/t")) for p in (tmp_path / "lake/silver/t").glob(f"*/{BUCKET}=2"))
+    assert kept == [f"{version:012d}/{BUCKET}=2" for version in (5, 6)]
+    assert reader.columns == ["id"]
+
+
+def test_replacement_of_buckets_is_finished_after_a_crash(spark, lake, monkeypatch):
+    table = ("silver", "t")
+    lake.create_bucketed(spark, *table, spark.range(1).schema)
+    lake.replace_buckets(spark, *table, 0, lambda: spark.sql(f"SELECT id, CAST(id AS INT) AS {BUCKET} FROM range(4)"))
+    sql, left = spark.sql, [3]
+
+    def dies(session, text, *args):
+        if text.startswith("ALTER TABLE"):
+            left[0] -= 1
+            if left[0] < 0:
+                raise RuntimeError("lost")
+        return sql(text, *args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(spark), "sql", dies)
+        with pytest.raises(RuntimeError, match="lost"):
+            lake.replace_buckets(spark, *table, 7, lambda: spark.createDataFrame([(10, 1), (20, 2)], f"id long, {BUCKET} int"))
+    assert lake.version(spark, *table) == 0 and lake.unfinished(spark, *table) == 7
+    lake.replace_buckets(spark, *table, 7)
+    assert rows(lake.read(spark, *table)) == [(0,), (10,), (20,), (3,)]
+    assert lake.unfinished(spark, *table) is None
+
+
 def test_compact(spark, lake):
     lake.write(spark.range(1000).repartition(20), "silver", "t")
     assert len(files_of(spark, lake)) == 20
@@ -395,13 +436,19 @@ def test_compact(spark, lake):
 
 
 def test_compact_partitioned(spark, lake):
-    df = spark.range(300).selectExpr("id", "id % 3 AS part", "id % 2 AS sub").repartition(10)
-    lake.write(df, "silver", "t", partition_by=["part", "sub"])
-    assert len(files_of(spark, lake)) == 60
-    lake.compact(spark, "silver", "t")
-    assert len(files_of(spark, lake)) == 6
-    assert (Path(lake.current(spark, "silver", "t")) / "part=0" / "sub=1").is_dir()
-    assert lake.read(spark, "silver", "t").where("part = 1").count() == 100
+    df = spark.range(300).selectExpr("id", "id % 3 AS part", "IF(id % 2 = 0, NULL, 'x') AS sub").repartition(10)
+    lake.write(df, "bronze", "t", partition_by=["part", "sub"])
+    lake.write(spark.sql("SELECT 1000L AS id, 9L AS part, 'alone' AS sub"), "bronze", "t", partition_by=["part", "sub"])
+    assert len(files_of(spark, lake, "bronze")) == 61
+    alone = [file for file in files_of(spark, lake, "bronze") if "sub=alone" in str(file)]
+    lake.compact(spark, "bronze", "t")
+    assert len(files_of(spark, lake, "bronze")) == 7
+    # Nothing to put together there.
+    assert alone[0] in files_of(spark, lake, "bronze")
+    assert lake.read(spark, "bronze", "t").where("part = 1").count() == 100
+    before = files_of(spark, lake, "bronze")
+    lake.compact(spark, "bronze", "t")
+    assert files_of(spark, lake, "bronze") == before
 
 
 def test_compact_keeps_ranges_apart(spark, lake):
@@ -440,7 +487,7 @@ def test_shuffles_grow_with_the_input(spark, lake, tmp_path, monkeypatch):
     lake.write(spark.range(100000), "silver", "t")
     table = lake.read(spark, "silver", "t")
     size = settings.input_bytes(table.groupBy("id").count())
-    assert size == sum(file.stat().st_size for file in data_files(tmp_path / "lake/silver/t"))
+    assert size == sum(file.stat().st_size for file in files_of(spark, lake))
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
     def partitions(df):

@@ -108,7 +108,7 @@ def test_gold_is_clustered_and_a_frequent_value_split(spark, lake, tmp_path):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert seen.get["row_count"] == 20000
     ranges = []
-    for file in Path(lake.current(spark, "gold", "customer_segments")).glob("*.parquet"):
+    for file in Path(lake.current(spark, "gold", "customer_segments").removeprefix("file:")).glob("*.parquet"):
         table = pq.ParquetFile(file).read(["customer_segment", "user_id"]).to_pylist()
         keys = [(row["customer_segment"], row["user_id"]) for row in table]
         assert keys == sorted(keys)
@@ -122,7 +122,7 @@ def test_gold_is_clustered_and_a_frequent_value_split(spark, lake, tmp_path):
 def test_small_tables_are_one_file(spark, lake, tmp_path):
     events = spark.createDataFrame(random_events(15, 200), READ_EVENT).repartition(8)
     silver.write_silver(silver.rides(events), lake, "rides")
-    assert len(list(Path(lake.current(spark, "silver", "rides")).glob("*.parquet"))) == 1
+    assert len(list(Path(lake.current(spark, "silver", "rides").removeprefix("file:")).glob("*.parquet"))) == 1
 
 
 def test_unmapped_gold_table_is_not_clustered(spark):

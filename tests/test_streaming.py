@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-import dataclasses
+import datetime as dt
 import random
+from pathlib import Path
 
 import pytest
 from conftest import READ_EVENT, event, rows
 from pyspark.sql import functions as F
 from test_processing import random_events
 
+from ridelake.operators.dedup import dedup_events, first_deliveries
 from ridelake.plans import bronze, jobs, silver
 from ridelake.schemas import BRONZE
 from ridelake.sources import kafka, storage
 from ridelake.streaming.queries import await_all, stop_all
-from ridelake.streaming.silver import publish_silver, start_silver, summary_log
-from ridelake.streaming.summary_log import Span, SummaryLog, _fewest
+from ridelake.streaming import silver as streamed
+from ridelake.streaming.silver import Changes, publish_silver, rebuild_silver, start_silver
 
 AS_OF = "2024-02-05"
 NOW = {"availableNow": True}
@@ -53,7 +55,7 @@ def test_stream_equals_batch_over_restarts(spark, lake, topic):
     for start, end in ((0, 40), (40, 70), (70, 90)):
         topic.send(events[start : start + 10])
         topic.send(events[start + 10 : end])
-        assert jobs.run_streaming(spark, lake, topic.stream(), as_of=AS_OF, fold_every=2, maxFilesPerTrigger="3") == []
+        assert jobs.run_streaming(spark, lake, topic.stream(), as_of=AS_OF, maxFilesPerTrigger="3") == []
         assert silver_rows(spark, lake) == batch_rows(spark, events[:end])
     assert rows(bronze.read_events(spark, lake), "event_id") == sorted(((e[0],) for e in events), key=repr)
     metrics = lake.read(spark, "gold", jobs.METRICS_TABLE)
@@ -70,16 +72,16 @@ def test_crash_after_a_batch_was_added(spark, lake, topic, monkeypatch):
     assert jobs.run_streaming(spark, lake, topic.stream(), as_of=AS_OF) == []
     topic.send(events[30:])
 
-    add = SummaryLog.add
+    add = Changes.add
 
-    def add_and_die(log, *args):
-        add(log, *args)
+    def add_and_die(changes, *args):
+        add(changes, *args)
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(SummaryLog, "add", add_and_die)
-    assert len(jobs.run_streaming(spark, lake, topic.stream(), as_of=AS_OF, fold_every=2)) == 3
+    monkeypatch.setattr(Changes, "add", add_and_die)
+    assert len(jobs.run_streaming(spark, lake, topic.stream(), as_of=AS_OF)) == 3
     monkeypatch.undo()
-    assert jobs.run_streaming(spark, lake, topic.stream(), as_of=AS_OF, fold_every=2) == []
+    assert jobs.run_streaming(spark, lake, topic.stream(), as_of=AS_OF) == []
     assert silver_rows(spark, lake) == batch_rows(spark, events)
 
 
@@ -145,115 +147,120 @@ def test_no_stream_yet(spark, lake):
         assert rows(lake.read(spark, "silver", entity.name)) == []
 
 
-# -- summary log --------------------------------------------------------------
+# -- changes ------------------------------------------------------------------
 
-CUSTOMER = silver.entity_named("customers")
 
+def of_many_slices(spark, lake, topic, seed, n=60, slices=6, **options):
+    """Streams of events that come in any order, some of them late by all of the table's history."""
+    events = random_events(seed, n)
+    random.Random(seed).shuffle(events)
+    size = -(-n // slices)
+    for start in range(0, n, size):
+        topic.send(events[start : start + size])
+    assert jobs.run_streaming(spark, lake, topic.stream(), as_of=AS_OF, maxFilesPerTrigger="1", **options) == []
+    return events
 
-@pytest.fixture
-def log(spark, tmp_path):
-    return SummaryLog(spark, str(tmp_path / "log"), CUSTOMER)
-
-
-def requests(spark, n):
-    """A registration and ``n`` requests of one customer."""
-    kinds = ["customer_registered", *["customer_ride_request"] * n]
-    return CUSTOMER.summarise(spark.createDataFrame([event(k, "2024-01-01", user="u") for k in kinds], READ_EVENT))
-
-
-def total(log):
-    return rows(CUSTOMER.finish(log.read()), "total_rides_requested")
-
-
-def test_log_folds_in_powers(spark, log):
-    for batch in range(9):
-        log.add(requests(spark, batch), batch, fold_every=2)
-        assert total(log) == [(sum(range(batch + 1)) or None,)]
-    assert log.current() == [Span(0, 7), Span(8, 8)]
-
-
-def test_batch_run_again_counts_once(spark, log):
-    for batch in (0, 0, 1, 1, 2, 3, 3):
-        log.add(requests(spark, 1), batch, fold_every=4)
-    assert log.current() == [Span(0, 3)]
-    assert total(log) == [(4,)]
-
-
-def test_unfinished_directories_do_not_count(spark, log):
-    log.add(requests(spark, 1), 0, fold_every=2)
-    # Batch 1 was summarised, then the fold died half way.
-    requests(spark, 1).write.parquet(f"{log.root}/1-1")
-    requests(spark, 5).write.parquet(f"{log.root}/0-1")
-    assert total(log) == [(1,)]
-    log.add(requests(spark, 1), 1, fold_every=2)
-    assert log.current() == [Span(0, 1)]
-    assert total(log) == [(2,)]
-
-
-def test_fold_by_hand(spark, log):
-    log.fold()
-    for batch in range(3):
-        log.add(requests(spark, 1), batch, fold_every=0)
-    log.fold()
-    log.fold()
-    assert log.current() == [Span(0, 2)]
-    log.add(requests(spark, 1), 3, fold_every=2)
-    assert total(log) == [(4,)]
-
-
-def test_folds_leave_their_input_to_readers_for_a_while(spark, log):
-    for batch in range(2):
-        log.add(requests(spark, 1), batch, fold_every=0)
-    reader = log.read()  # of 0-0 and 1-1
-    log.fold()
-    for batch in range(2, 8):
-        log.add(requests(spark, 1), batch, fold_every=2)
-    assert rows(CUSTOMER.finish(reader), "total_rides_requested") == [(2,)]
-    assert total(log) == [(8,)]
-    brief = dataclasses.replace(log, keep_seconds=-1)
-    brief.add(requests(spark, 1), 8, fold_every=0)
-    brief.fold()
-    assert not {Span(0, 0), Span(1, 1), Span(0, 1)} & set(brief.spans())
-    assert total(brief) == [(9,)]
-
-
-def test_published_spans_beside_the_stream(spark, log):
-    """Publishing between batches and folds changes no count, whatever overlaps."""
-    for batch in range(11):
-        log.add(requests(spark, 1), batch, fold_every=4)
-        if batch in (1, 2, 5, 8):
-            span = log.publish()
-            assert (span.first, span.last) == (0, batch)
-            assert rows(CUSTOMER.finish(log.read(span)), "total_rides_requested") == [(batch + 1,)]
-        assert total(log) == [(batch + 1,)]
-    assert log.current() == [Span(0, 8, published=True), Span(9, 9), Span(10, 10)]
-    assert Span(4, 7) in log.spans()  # overlaps what was published after batch 5
-
-
-def test_fewest_spans():
-    def chosen(*spans):
-        found = _fewest([Span(*span) for span in spans])
-        return found and [(span.first, span.last) for span in found]
-
-    assert chosen((0, 0), (1, 1), (0, 1)) == [(0, 1)]
-    assert chosen((0, 3), (0, 5), (4, 7)) == [(0, 3), (4, 7)]
-    assert chosen((0, 3), (0, 5), (4, 7), (6, 6), (7, 7)) == [(0, 3), (4, 7)]
-    assert chosen((0, 3), (0, 5), (4, 7), (6, 7), (8, 8)) == [(0, 3), (4, 7), (8, 8)]
-    assert chosen((0, 1), (4, 4)) == [(0, 1), (4, 4)]  # there were no batches 2 and 3
-    assert chosen((0, 2), (2, 3)) is None and chosen() is None
-
-
-def test_publishing_is_one_shuffle(spark, lake, topic, monkeypatch):
-    topic.send(random_events(2, 30))
-    topic.send(random_events(12, 30))
-    entity = silver.entity_named("rides")
-    queries = jobs.start_streaming(spark, lake, topic.stream(), {"availableNow": True}, maxFilesPerTrigger="1")
-    assert await_all(queries) == []
-    jobs.run_streaming(spark, lake, topic.stream(), as_of=AS_OF, maxFilesPerTrigger="1")
-    log = summary_log(spark, lake, entity)
-    (span,) = log.current()
-    plan = entity.finish(log.read(span), as_of=AS_OF)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
+
+@pytest.mark.parametrize("seed", [31, 32])
+def test_late_events_in_random_slices(spark, lake, topic, seed):
+    events = of_many_slices(spark, lake, topic, seed)
+    assert silver_rows(spark, lake) == batch_rows(spark, events)
+    changes = Changes(spark, lake, silver.entity_named("rides"))
+    assert changes.published == changes.batches()[-1] > 2
+
+
+def test_only_touched_buckets_are_written(spark, lake, topic, monkeypatch):
+    of_many_slices(spark, lake, topic, 33, 200)
+    ride = silver.entity_named("rides")
+    before = Path(lake.path("silver", "rides"))
+    version = lake.version(spark, "silver", "rides")
+    more = [event("ride_completed", "2024-01-09", ride="one more"), event("ride_completed", "2024-01-09", ride=None)]
+    topic.send(more)
+    jobs.run_streaming(spark, lake, topic.stream(), as_of=AS_OF)
+    after = lake.version(spark, "silver", "rides")
+    assert after > version
+    buckets = {row[0] for row in spark.createDataFrame(more, READ_EVENT).select(streamed.bucket_of("ride_id")).collect()}
+    assert {int(p.name.split("=")[1]) for p in before.glob(f"{after:012d}/*=*")} == buckets
+    everything = bronze.read_events(spark, lake)
+    assert rows(lake.read(spark, "silver", "rides")) == rows(ride.build(everything, as_of=AS_OF))
+
+
+def test_publisher_dies_anywhere(spark, lake, topic, monkeypatch):
+    """Before the rows are written, between two buckets, and before the version is set; more comes in between."""
+    events = random_events(34, 90)
+    topic.send(events[:30])
+    assert jobs.run_streaming(spark, lake, topic.stream(), as_of=AS_OF) == []
+    sql = spark.sql
+    for start, statements in ((30, 0), (50, 5), (70, 9)):
+        topic.send(events[start : start + 20])
+        left = [statements]
+
+        def dies(session, text, *args):
+            if text.startswith("ALTER TABLE"):
+                left[0] -= 1
+                if left[0] < 0:
+                    raise RuntimeError("lost")
+            return sql(text, *args)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(type(spark), "sql", dies)
+            with pytest.raises(RuntimeError, match="lost"):
+                jobs.run_streaming(spark, lake, topic.stream(), as_of=AS_OF)
+    assert jobs.run_streaming(spark, lake, topic.stream(), as_of=AS_OF) == []
+    jobs.refresh(spark, lake, AS_OF)
+    assert silver_rows(spark, lake) == batch_rows(spark, events)
+
+
+def test_lost_table_is_rebuilt_from_state(spark, lake, topic):
+    events = of_many_slices(spark, lake, topic, 35)
+    expected = batch_rows(spark, events)
+    for name, entity in silver.ENTITIES.items():
+        spark.sql(f"DROP TABLE {lake.table('silver', name)}")
+        with pytest.raises(ValueError, match="rebuild_silver"):
+            publish_silver(spark, lake, entity)
+        rebuild_silver(spark, lake, entity, as_of=AS_OF)
+        assert rows(lake.read(spark, "silver", name)) == expected[name]
+        assert not publish_silver(spark, lake, entity)
+    more = random_events(36, 30)
+    topic.send(more)
+    assert jobs.run_streaming(spark, lake, topic.stream(), as_of=AS_OF) == []
+    assert silver_rows(spark, lake) == batch_rows(spark, events + more)
+
+
+def test_redelivered_events_count_once(spark, lake, topic):
+    events = random_events(37, 60)
+    again = events + random.Random(1).choices(events, k=40)
+    random.Random(2).shuffle(again)
+    for start in range(0, 100, 25):
+        topic.send(again[start : start + 25])
+    assert jobs.run_streaming(spark, lake, topic.stream(), as_of=AS_OF, deduplicate=True, maxFilesPerTrigger="2") == []
+    assert silver_rows(spark, lake) == batch_rows(spark, events)
+    rebuild_silver(spark, lake, silver.entity_named("customers"))
+    assert rows(lake.read(spark, "silver", "customers")) == batch_rows(spark, events)["customers"]
+    df = spark.createDataFrame(again, READ_EVENT)
+    assert rows(dedup_events(df)) == rows(spark.createDataFrame(events, READ_EVENT))
+
+
+def test_first_of_an_id_by_time_and_all_without(spark, frame):
+    late, early = event("a", "2024-01-02", id="x"), event("b", "2024-01-01", id="x")
+    timeless, nameless = event("c", None, id="x"), event("d", "2024-01-01", id=None)[1:]
+    df = frame(late, early, timeless, (None, *nameless), (None, *nameless))
+    assert rows(dedup_events(df), "event_type") == [("b",), ("d",), ("d",)]
+    assert rows(dedup_events(frame(timeless)), "event_type") == [("c",)]
+    assert rows(dedup_events(frame())) == []
+
+
+def test_ids_within_a_watermark(spark, topic, tmp_path):
+    """Ids are forgotten when event times have moved on."""
+    days = [("x", "2024-01-01"), ("x", "2024-01-01"), ("y", "2024-01-20"), ("x", "2024-01-20"), ("x", "2024-01-20")]
+    for id, when in days:
+        topic.send([event("ride_started", when, id=id)])
+    events = bronze.parse_events(topic.stream())
+    query = first_deliveries(events, within="2 days").writeStream.format("parquet").option("path", str(tmp_path / "out"))
+    query = query.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    assert await_all([query]) == []
+    found = rows(spark.read.parquet(str(tmp_path / "out")), "event_id", "day")
+    assert ("x", 1) in found and found.count(("x", 1)) == 1 and found.count(("y", 20)) == 1
 
 
 # -- the job --------------------------------------------------------------------
@@ -262,12 +269,12 @@ def test_publishing_is_one_shuffle(spark, lake, topic, monkeypatch):
 def test_nothing_new_is_not_published_again(spark, lake, topic):
     topic.send(random_events(4, 30))
     jobs.run_streaming(spark, lake, topic.stream(), as_of=AS_OF)
-    first = [lake.current(spark, "silver", name) for name in silver.ENTITIES]
+    first = [lake.version(spark, "silver", name) for name in silver.ENTITIES]
     assert not any(publish_silver(spark, lake, entity, AS_OF) for entity in silver.ENTITIES.values())
-    assert [lake.current(spark, "silver", name) for name in silver.ENTITIES] == first
-    # Rides hold the date.
-    again = [publish_silver(spark, lake, entity, "2024-02-06") for entity in silver.ENTITIES.values()]
-    assert again == [True, False, False]
+    assert [lake.version(spark, "silver", name) for name in silver.ENTITIES] == first
+    # What hasn't changed was processed when it was.
+    publish_silver(spark, lake, silver.entity_named("rides"), "2024-02-06")
+    assert rows(lake.read(spark, "silver", "rides").select("processing_date").distinct()) == [(dt.date(2024, 2, 5),)]
 
 
 def test_failing_refresh_stops_the_queries(spark, lake, topic, monkeypatch):
@@ -288,7 +295,7 @@ def test_nothing_is_published_after_a_failure(spark, lake, topic, monkeypatch):
     def fail(*_):
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(SummaryLog, "add", fail)
+    monkeypatch.setattr(Changes, "add", fail)
     for trigger in (None, {"processingTime": "100 milliseconds"}):
         assert jobs.run_streaming(spark, lake, topic.stream(), trigger)
         assert not spark.streams.active
