@@ -18,7 +18,9 @@ from ride_events import events_as_rides, read_event_log
 from ridelake.functions.schema import enforce_schema
 from ridelake.functions.time import add_ingest_metadata, add_time_periods, filter_time_range
 from ridelake.operators import analytics
+from ridelake.operators.dedup import dedup_events
 from ridelake.operators.drivers import latest_location
+from ridelake.operators.incremental import SUMS, Sums
 from ridelake.operators.quality import check_data_quality
 from ridelake.plans import bronze, gold, jobs, silver
 from ridelake.schemas import EVENT
@@ -26,6 +28,7 @@ from ridelake.settings import input_bytes, tune
 from ridelake.sources import kafka, storage
 from ridelake.sources.lake import Lake
 from ridelake.streaming.bronze import start_bronze
+from ridelake.streaming.gold import refresh_sums
 from ridelake.streaming.queries import await_all
 from ridelake.streaming.silver import publish_silver, start_silver
 
@@ -128,6 +131,60 @@ def _bad_messages(events: DataFrame) -> DataFrame:
     return bronze.parse_events(packed.selectExpr(f"CAST({value} AS BINARY) AS value")).drop("ingestion_timestamp")
 
 
+# What was done to five in 21 messages: a word before it, put into a list, a letter in a number, a byte that isn't text, lost.
+_DAMAGE = """
+    CASE n
+      WHEN 0 THEN CAST(concat('event: ', value) AS BINARY)
+      WHEN 5 THEN CAST(concat('[', value, ']') AS BINARY)
+      WHEN 10 THEN CAST(regexp_replace(value, '"latitude":([0-9.]+)', '"latitude":"N$1"') AS BINARY)
+      WHEN 15 THEN concat(CAST(value AS BINARY), X'FF')
+      WHEN 20 THEN NULL
+      ELSE CAST(value AS BINARY)
+    END AS value"""
+_REPAIRED = """
+    CASE reason_before
+      WHEN 'not_json' THEN CAST(substr(CAST(value AS STRING), 8) AS BINARY)
+      WHEN 'not_an_object' THEN CAST(trim(BOTH '[]' FROM CAST(value AS STRING)) AS BINARY)
+      WHEN 'bad_value' THEN CAST(regexp_replace(CAST(value AS STRING), '"N([0-9.]+)"', '$1') AS BINARY)
+      WHEN 'not_text' THEN substr(value, 1, length(value) - 1)
+    END"""
+
+
+def _damaged(events: DataFrame) -> DataFrame:
+    packed = kafka.pack(events, "event_id").selectExpr("CAST(key AS BIGINT) AS offset", "CAST(key AS BIGINT) % 21 AS n", "value")
+    return packed.selectExpr("offset", _DAMAGE)
+
+
+def _quarantine_counts(events: DataFrame) -> DataFrame:
+    """Messages that are no events, by reason, with the first offset of each."""
+    bad = bronze.quarantined(_damaged(events))
+    return bad.groupBy("reason").agg(F.count("*").alias("messages"), F.min("offset").alias("first_offset"))
+
+
+def _replayed(events: DataFrame) -> DataFrame:
+    """Events after the good messages were taken in and the bad ones, repaired, were read again."""
+    spark = events.sparkSession
+    _, lake = _scratch_lake(spark)
+    bronze.ingest_messages(spark, lake, _damaged(events))
+
+    def repaired(messages: DataFrame) -> DataFrame:
+        reasons = bronze.checked(messages).withColumnRenamed("reason", "reason_before")
+        return reasons.withColumn("value", F.expr(_REPAIRED)).drop("event", "reason_before")
+
+    lost = bronze.replay(spark, lake, repaired)
+    found = bronze.read_events(spark, lake).unionByName(bronze.read_events(spark, lake, "replayed"))
+    empty = lost.selectExpr("CAST(offset AS STRING) AS event_id")
+    return found.drop("ingestion_timestamp").unionByName(empty, allowMissingColumns=True)
+
+
+def _redelivered(events: DataFrame) -> DataFrame:
+    """Every third event comes twice, every 30th four times."""
+    number = F.col("event_id").cast("bigint")
+    again = events.filter(number % 3 == 0)
+    rest = events.filter(number % 30 == 0)
+    return events.unionByName(again).unionByName(rest).unionByName(rest)
+
+
 def _violations(events: DataFrame) -> DataFrame:
     """Checks that all find something."""
     number = "CAST(event_id AS BIGINT)"
@@ -186,7 +243,7 @@ def _after_batch_job(layer: str, table: str, gold_tables: tuple[str, ...] | None
     return transform
 
 
-def _after_stream(name: str) -> Callable[[DataFrame], DataFrame]:
+def _after_stream(name: str, **options) -> Callable[[DataFrame], DataFrame]:
     """A silver table after messages streamed into bronze, and bronze in slices into silver."""
 
     def transform(events: DataFrame) -> DataFrame:
@@ -198,7 +255,7 @@ def _after_stream(name: str) -> Callable[[DataFrame], DataFrame]:
 
         slice_bytes = max(input_bytes(bronze.read_events(spark, lake)) // 3, 1)
         entity = silver.entity_named(name)
-        failed += await_all([start_silver(spark, lake, entity, trigger=_NOW, maxBytesPerTrigger=str(slice_bytes))])
+        failed += await_all([start_silver(spark, lake, entity, trigger=_NOW, maxBytesPerTrigger=str(slice_bytes), **options)])
         if failed:
             raise RuntimeError(f"failed: {[query.name for query in failed]}")
         publish_silver(spark, lake, entity, AS_OF)
@@ -207,6 +264,28 @@ def _after_stream(name: str) -> Callable[[DataFrame], DataFrame]:
     return transform
 
 
+def _streamed_gold(sums: Sums) -> Callable[[DataFrame], DataFrame]:
+    """A table of rides' sums after two halves of the events: built from one, brought up to date with the other."""
+
+    def transform(events: DataFrame) -> DataFrame:
+        spark = events.sparkSession
+        root, lake = _scratch_lake(spark)
+        for half in (0, 1):
+            part = events.filter(F.pmod(F.xxhash64("event_id"), F.lit(2)) == half)
+            _messages(part).write.mode("append").parquet(f"{root}/topic")
+            messages = spark.readStream.schema("value BINARY").parquet(f"{root}/topic")
+            failed = await_all([start_bronze(bronze.parse_events(messages), lake, trigger=_NOW)])
+            entity = silver.entity_named("rides")
+            failed += await_all([start_silver(spark, lake, entity, trigger=_NOW)])
+            if failed:
+                raise RuntimeError(f"failed: {[query.name for query in failed]}")
+            publish_silver(spark, lake, entity, AS_OF)
+            refresh_sums(spark, lake, sums)
+        return lake.read(spark, "gold", sums.name)
+
+    return transform
+
+
 def _after_streaming_job(events: DataFrame) -> DataFrame:
     """The row counts that the streaming job, from messages to gold, observes."""
     spark = events.sparkSession
@@ -267,6 +346,9 @@ JOBS = {
     "compacted_gold": _compacted_gold,
     "silver_schema_merged": _schema_merged,
     **{f"stream_{name}": _after_stream(name) for name in silver.ENTITIES},
+    "stream_customers_redelivered": lambda events: _after_stream("customers", deduplicate=True)(_redelivered(events)),
+    **{f"streamed_{sums.name}": _streamed_gold(sums) for sums in SUMS},
+    "bronze_replayed": _replayed,
     "stream_job_row_counts": _after_streaming_job,
 }
 
@@ -304,6 +386,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "silver_drivers_with_gaps": lambda events: silver.drivers(_with_gaps(events)),
         "silver_customers_with_gaps": lambda events: silver.customers(_with_gaps(events)),
         "bronze_parse_bad_messages": _bad_messages,
+        "bronze_quarantine": _quarantine_counts,
+        "dedup_events": lambda events: dedup_events(_redelivered(events)),
         "data_quality_violations": _violations,
         "latest_location": latest_location,
         "latest_location_ties": lambda events: latest_location(_with_gaps(events), ties="all"),
@@ -482,6 +566,11 @@ _GOLD = {
 }
 
 
+_DRIVER_METRICS = f"""
+    SELECT driver_id, count(*) AS total_rides, avg(duration_seconds) AS avg_ride_duration, {_CANCELLED}
+    FROM rides GROUP BY driver_id"""
+
+
 def _quality(required: tuple[str, ...], key: str, mismatch: int) -> str:
     checks = [
         f"SELECT 'not_null' AS check_name, '{name}' AS column_name, count(*) - count({name}) AS violations FROM ev"
@@ -539,6 +628,24 @@ def oracle_sql() -> dict[str, str]:
         "batch_job_ride_metrics": _with(_RIDES, select=_GOLD["daily_ride_metrics"]),
         "batch_job_row_counts": _with(*everything, select=_row_counts(_historical)),
         **{f"stream_{name}": sql for name, sql in silver_sql.items()},
+        "stream_customers_redelivered": silver_sql["customers"],
+        "streamed_daily_ride_metrics": _with(_RIDES, select=_GOLD["daily_ride_metrics"]),
+        "streamed_ride_geo_heatmap": _with(_RIDES, select=_GOLD["ride_geo_heatmap"]),
+        "streamed_driver_ride_metrics": _with(_RIDES, select=_DRIVER_METRICS),
+        "dedup_events": _with(select=f"SELECT {_COLUMNS} FROM ev"),
+        "bronze_quarantine": _with(
+            select="""
+            SELECT reason, count(*) AS messages, min(n) AS first_offset FROM (
+              SELECT CAST(event_id AS BIGINT) AS n, CASE n % 21 WHEN 0 THEN 'not_json' WHEN 5 THEN 'not_an_object'
+                WHEN 10 THEN 'bad_value' WHEN 15 THEN 'not_text' WHEN 20 THEN 'empty' END AS reason FROM ev
+            ) WHERE reason IS NOT NULL GROUP BY reason"""
+        ),
+        "bronze_replayed": _with(
+            select=f"""
+            SELECT event_id, {", ".join(f"CASE WHEN CAST(event_id AS BIGINT) % 21 <> 20 THEN {c} END AS {c}" for c in _COLUMNS.split(", ")[1:])},
+              {", ".join(f"CASE WHEN CAST(event_id AS BIGINT) % 21 <> 20 THEN CAST({part}(event_timestamp) AS INTEGER) END AS {part}" for part in ("year", "month", "day"))}
+            FROM ev"""
+        ),
         "time_periods": _with(select=f"SELECT event_id, event_timestamp, {_periods('event_timestamp')} FROM ev"),
         "time_periods_of_orders": f"SELECT o_orderkey, o_orderdate, {_periods('o_orderdate')} FROM orders",
         "filter_time_range_of_lineitem": f"""
@@ -569,12 +676,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "latest_location": _with(_LATEST, select="SELECT * FROM latest"),
         "latest_location_ties": _with(_LATEST_TIES, select="SELECT * FROM latest", events=_EV_WITH_GAPS),
-        "driver_ride_metrics": _with(
-            _RIDES,
-            select=f"""
-            SELECT driver_id, count(*) AS total_rides, avg(duration_seconds) AS avg_ride_duration, {_CANCELLED}
-            FROM rides GROUP BY driver_id""",
-        ),
+        "driver_ride_metrics": _with(_RIDES, select=_DRIVER_METRICS),
         "last_ride_per_customer": _with(
             _RIDES, select="SELECT user_id, max(ride_started_timestamp) AS last_ride_date FROM rides GROUP BY user_id"
         ),

@@ -62,8 +62,13 @@ def driver_ride_metrics(rides: DataFrame) -> DataFrame:
 
 def driver_performance(drivers: DataFrame, rides: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Drivers with their ride metrics (NULL without rides), rate and status."""
+    return with_ride_metrics(drivers, driver_ride_metrics(rides), as_of)
+
+
+def with_ride_metrics(drivers: DataFrame, metrics: DataFrame, as_of: AsOf = None) -> DataFrame:
+    """Drivers with metrics that have been counted already."""
     days_active = days_since("driver_activated_timestamp", as_of)
-    return drivers.join(driver_ride_metrics(rides), "driver_id", "left").withColumns(
+    return drivers.join(metrics, "driver_id", "left").withColumns(
         {
             "cancellation_rate": share("cancelled_rides", "total_rides"),
             "active_status": tier(days_active, DRIVER_STATUS_BELOW, DRIVER_STATUS_ELSE, above=False),

@@ -10,10 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ridelake.functions.time import AsOf
+from ridelake.operators import analytics
+from ridelake.operators.incremental import BY_DRIVER
 from ridelake.plans import bronze, gold, silver
 from ridelake.schemas import METRICS
 from ridelake.sources.lake import Lake
 from ridelake.streaming.bronze import start_bronze
+from ridelake.streaming.gold import refresh_ride_gold
 from ridelake.streaming.queries import await_all
 from ridelake.streaming.silver import publish_silver, start_silver
 
@@ -82,10 +85,25 @@ def refresh_gold(spark: SparkSession, lake: Lake, as_of: AsOf = None) -> dict[st
 
 
 def refresh(spark: SparkSession, lake: Lake, as_of: AsOf = None) -> dict[str, int]:
-    """Publish the streamed silver tables' changes, then rewrite gold from them."""
+    """Publish the streamed silver tables' changes, then bring gold up to date.
+
+    The tables of rides' sums cost what changed (see ``streaming.gold``). The others have a row for each driver, cell
+    or customer, and are rewritten: those that tell the days since something change with every date. Drivers'
+    performance takes rides' sums by driver instead of the rides.
+    """
     for entity in silver.ENTITIES.values():
         publish_silver(spark, lake, entity, as_of)
-    return refresh_gold(spark, lake, as_of)
+    refresh_ride_gold(spark, lake)
+    counts = {name: lake.read(spark, "gold", name).count() for name in ("daily_ride_metrics", "ride_geo_heatmap")}
+    tables = {name: lake.read(spark, "silver", name) for name in silver.ENTITIES}
+    metrics = lake.read(spark, "gold", BY_DRIVER.name)
+    rest = {
+        "driver_performance": analytics.with_ride_metrics(tables["drivers"], metrics, as_of),
+        **{name: gold.build(name, tables, as_of) for name in gold.NAMES if name not in (*counts, "driver_performance")},
+    }
+    counts |= {name: gold.write_gold(df, lake, name).get["row_count"] for name, df in rest.items()}
+    log_metrics(spark, lake, counts)
+    return counts
 
 
 def start_streaming(

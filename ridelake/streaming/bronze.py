@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from ridelake.plans.bronze import quarantined
 from ridelake.schemas import DATE_PARTS
 from ridelake.sources import storage
 from ridelake.sources.lake import STREAM_FILE_LOG, Lake
@@ -35,3 +36,23 @@ def start_bronze(
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start(path)
+
+
+def start_quarantine(
+    messages: DataFrame,
+    lake: Lake,
+    table: str = "quarantine",
+    checkpoint_location: str | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Append the stream's messages that are no events, as they came, to a table beside the events."""
+    writer = (
+        quarantined(messages)
+        .writeStream.format(lake.fmt)
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint_location or lake.checkpoint("bronze", table))
+        .queryName(f"bronze_{table}")
+    )
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start(lake.path("bronze", table))

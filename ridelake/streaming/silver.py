@@ -17,6 +17,7 @@ from pyspark.sql.types import IntegerType, StructType
 
 from ridelake.functions.time import AsOf
 from ridelake.operators.dedup import first_deliveries
+from ridelake.operators.incremental import SIGN
 from ridelake.operators.mergeable import Entity
 from ridelake.plans.silver import finish_options
 from ridelake.schemas import BRONZE, EVENT
@@ -149,21 +150,64 @@ def publish_silver(spark: SparkSession, lake: Lake, entity: Entity, as_of: AsOf
     before = changes.published
     new = [batch for batch in changes.batches() if batch > before]
     if new:
-        latest = changes.latest(before + 1, new[-1])
-        lake.replace_buckets(spark, *table, new[-1], lambda: _renewed(lake, entity, latest, as_of))
+        changed = Changed(spark, lake, entity.name)
+        changed.write(_before_and_after(lake, entity, changes.latest(before + 1, new[-1]), as_of), before, new[-1])
+        lake.replace_buckets(spark, *table, new[-1], lambda: _renewed(lake, entity, changed.rows(before, new[-1])))
         changes.forget(before)
     return bool(new) or done is not None
 
 
-def _renewed(lake: Lake, entity: Entity, latest: DataFrame, as_of: AsOf) -> DataFrame:
-    """The buckets of the changed keys: their new rows, and the rows there of other keys."""
-    key = entity.key
-    old = latest.sparkSession.table(lake.table("silver", entity.name))
+@dataclass(frozen=True)
+class Changed:
+    """Silver rows that a version changed: as they were (sign -1) and as they are (1), a directory for a version."""
+
+    spark: SparkSession
+    lake: Lake
+    entity: str
+
+    @property
+    def root(self) -> str:
+        return f"{self.lake.silver}/_changed/{self.entity}"
+
+    def versions(self) -> list[int]:
+        return sorted(int(name) for name in storage.subdirectories(self.spark, self.root) if name.isdigit())
+
+    def write(self, rows: DataFrame, before: int, version: int) -> None:
+        for stale in self.versions():  # of publishers that died before their version was whole
+            if stale > before:
+                storage.delete(self.spark, f"{self.root}/{stale:012d}")
+        with sized_for_writing(rows):
+            rows.write.mode("overwrite").parquet(f"{self.root}/{version:012d}")
+
+    def rows(self, after: int, last: int) -> DataFrame:
+        """What the versions after one and up to another changed, one after the other."""
+        paths = [f"{self.root}/{v:012d}" for v in self.versions() if after < v <= last]
+        return self.spark.read.parquet(*paths)
+
+    def forget(self, last: int) -> None:
+        for version in self.versions():
+            if version <= last:
+                storage.delete(self.spark, f"{self.root}/{version:012d}")
+
+
+def _before_and_after(lake: Lake, entity: Entity, latest: DataFrame, as_of: AsOf) -> DataFrame:
+    """The rows of the changed keys as they are in the table, and as they are to be."""
+    key, new = entity.key, _bucketed(entity, latest, as_of)
     # At most BUCKETS numbers.
     touched = [row[BUCKET] for row in latest.select(bucket_of(key)).distinct().collect()]
+    table = latest.sparkSession.table(lake.table("silver", entity.name)).filter(F.col(BUCKET).isin(touched))
     changed = latest.select(F.col(key).alias("_key"))
-    others = old.filter(F.col(BUCKET).isin(touched)).join(changed, F.col(key).eqNullSafe(F.col("_key")), "left_anti")
-    return others.unionByName(_bucketed(entity, latest, as_of))
+    old = table.join(changed, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+    return new.withColumn(SIGN, F.lit(1)).unionByName(old.withColumn(SIGN, F.lit(-1)))
+
+
+def _renewed(lake: Lake, entity: Entity, changed: DataFrame) -> DataFrame:
+    """The buckets of the changed keys: their new rows, and the rows there of other keys."""
+    key, new = entity.key, changed.filter(f"{SIGN} = 1").drop(SIGN)
+    touched = [row[BUCKET] for row in new.select(BUCKET).distinct().collect()]
+    table = changed.sparkSession.table(lake.table("silver", entity.name)).filter(F.col(BUCKET).isin(touched))
+    keys = new.select(F.col(key).alias("_key"))
+    return table.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_anti").unionByName(new)
 
 
 def _bucketed(entity: Entity, summaries: DataFrame, as_of: AsOf) -> DataFrame:
@@ -176,7 +220,8 @@ def rebuild_silver(
 ) -> None:
     """The silver table anew, whole, from the state of the entity's stream after its last finished micro-batch.
 
-    For a table that was lost, with its session's catalog perhaps. The stream may go on meanwhile.
+    For a table that was lost, with its session's catalog perhaps; the sums kept in gold have to be made anew too.
+    The stream may go on meanwhile.
     """
     checkpoint = checkpoint_location or lake.checkpoint("silver", entity.name)
     saved = spark.read.format("state-metadata").load(checkpoint).filter("operatorName = 'stateStoreSave'").first()
@@ -189,4 +234,6 @@ def rebuild_silver(
     table = ("silver", entity.name)
     lake.create_bucketed(spark, *table, entity.schema)
     storage.delete(spark, f"{lake.path(*table)}/{batch:012d}")
-    lake.replace_buckets(spark, *table, batch, lambda: _bucketed(entity, summaries, as_of))
+    rows = _bucketed(entity, summaries, as_of)
+    Changed(spark, lake, entity.name).write(rows.withColumn(SIGN, F.lit(1)), -1, batch)
+    lake.replace_buckets(spark, *table, batch, lambda: rows)

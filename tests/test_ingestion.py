@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import dataclasses
 import json
 from pathlib import Path
 
@@ -14,16 +13,18 @@ from hypothesis import HealthCheck, given
 from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from ridelake import settings
-from ridelake.functions.schema import enforce_schema, merge_schemas, parse_json, validate_schema
+from ridelake.functions.schema import common_type, enforce_schema, merge_schemas, parse_json, validate_schema
 from ridelake.functions.time import add_ingest_metadata, add_time_periods, filter_time_range
 from ridelake.operators.quality import check_data_quality, counted, row_counts
 from ridelake.plans import bronze
 from ridelake.schemas import BRONZE, EVENT
-from ridelake.sources import files, kafka, storage
+from ridelake.sources import files, kafka
 from ridelake.sources.lake import BUCKET, Lake
+from ridelake.streaming.bronze import start_bronze, start_quarantine
+from ridelake.streaming.queries import await_all
 
 
 def data_files(path):
@@ -196,6 +197,95 @@ def test_ingest_metadata(frame):
         add_ingest_metadata(events, "arrival")
 
 
+# -- messages that are no events ---------------------------------------------
+
+
+def messages_of(spark, *values):
+    rows = [(k, None if v is None else bytearray(v if isinstance(v, bytes) else v.encode())) for k, v in enumerate(values)]
+    return spark.createDataFrame(rows, "offset long, value binary")
+
+
+def test_reasons(spark):
+    good, unknown = json.dumps(FULL), json.dumps({**FULL, "colour": "red"})
+    cases = {
+        None: "empty", "": "not_json", "no json": "not_json", good[:-5]: "not_json", b"\xff\xfe": "not_text",
+        "[1, 2]": "not_an_object", f"[{good}]": "not_an_object", "3": "not_an_object", '"text"': "not_an_object",
+        "null": "not_an_object", json.dumps({**FULL, "latitude": "far"}): "bad_value",
+        json.dumps({**FULL, "event_timestamp": "soon"}): "bad_value",
+        good: None, f"  {good}": None, unknown: None, "{}": None, json.dumps({**FULL, "latitude": None}): None,
+    }
+    messages = messages_of(spark, *cases)
+    found = dict(rows(bronze.checked(messages), "offset", "reason"))
+    assert [found[k] for k in range(len(cases))] == list(cases.values())
+    bad = bronze.quarantined(messages)
+    assert bad.columns == ["offset", "value", "reason", "quarantined_at"]
+    kept = {r.offset: r.value for r in bad.collect()}
+    assert kept == {k: None if v is None else bytearray(v if isinstance(v, bytes) else v.encode()) for k, (v, reason) in enumerate(cases.items()) if reason}
+    events = bronze.parse_whole(messages)
+    assert validate_schema(events, BRONZE)
+    assert events.count() + bad.count() == len(cases)
+    plan = bad._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_replay_after_a_repair_and_after_a_schema_fix(spark, lake):
+    good = [json.dumps({**FULL, "event_id": f"e{k}"}) for k in range(4)]
+    odd = json.dumps({**FULL, "event_id": "e9", "latitude": "far"})
+    bronze.ingest_messages(spark, lake, messages_of(spark, good[0], f"[{good[1]}]", f"x{good[2]}", odd, None))
+    assert rows(bronze.read_events(spark, lake), "event_id") == [("e0",)]
+    unlisted = F.expr("CAST(trim(BOTH '[]' FROM CAST(value AS STRING)) AS BINARY)")
+    for _ in range(2):  # again gives the same
+        left = bronze.replay(spark, lake, lambda m: m.withColumn("value", unlisted))
+        assert rows(left, "reason") == [("bad_value",), ("empty",), ("not_json",)]
+        assert rows(bronze.read_events(spark, lake, "replayed"), "event_id") == [("e1",)]
+    wider = StructType([StructField(f.name, StringType()) if f.name == "latitude" else f for f in EVENT.fields])
+    left = bronze.replay(spark, lake, lambda m: m.withColumn("value", unlisted), schema=wider)
+    assert rows(left, "reason") == [("empty",), ("not_json",)]
+    assert rows(bronze.read_events(spark, lake, "replayed"), "event_id", "latitude") == [("e1", str(FULL["latitude"])), ("e9", "far")]
+
+
+def test_quarantine_of_a_stream(spark, lake, tmp_path):
+    messages_of(spark, json.dumps(FULL), "no json", None).write.parquet(str(tmp_path / "topic"))
+    stream = spark.readStream.schema("offset long, value binary").parquet(str(tmp_path / "topic"))
+    now = {"availableNow": True}
+    assert await_all([start_bronze(bronze.parse_whole(stream), lake, trigger=now), start_quarantine(stream, lake, trigger=now)]) == []
+    assert rows(bronze.read_events(spark, lake), "event_id") == [(FULL["event_id"],)]
+    assert rows(lake.read(spark, "bronze", "quarantine"), "offset", "reason") == [(1, "not_json"), (2, "empty")]
+
+
+# -- types -----------------------------------------------------------------------
+
+
+@pytest.mark.parametrize(
+    "old, new, both",
+    [
+        ("int", "long", "long"), ("long", "tinyint", "long"), ("float", "double", "double"), ("int", "float", "double"),
+        ("smallint", "float", "float"), ("long", "double", None), ("decimal(10,2)", "decimal(5,4)", "decimal(12,4)"),
+        ("decimal(38,0)", "decimal(38,10)", None), ("int", "decimal(4,2)", "decimal(12,2)"), ("date", "timestamp_ntz", "timestamp_ntz"),
+        ("string", "int", None), ("array<int>", "array<long>", "array<long>"), ("map<string,int>", "map<string,long>", "map<string,long>"),
+        ("struct<a:int,b:string>", "struct<b:string,a:long,c:date>", "struct<a:long,b:string,c:date>"),
+        ("struct<a:int>", "struct<a:string>", None), ("void", "int", "int"), ("timestamp", "date", None),
+    ],
+)
+def test_common_types(old, new, both):
+    kinds = [StructType.fromDDL(f"x {kind}")["x"].dataType for kind in (old, new)]
+    expected = both and StructType.fromDDL(f"x {both}")["x"].dataType
+    assert common_type(*kinds) == expected
+
+
+def test_old_and_new_rows_read_as_the_wider_type(spark, lake):
+    lake.overwrite_merged(spark.sql("SELECT 1 AS a, named_struct('x', 1, 'y', 'q') AS s, array(1) AS l"), "silver", "t")
+    new = spark.sql("SELECT 2L AS a, named_struct('y', 'r', 'x', 5L, 'z', 1.5F) AS s, array(7L) AS l")
+    lake.overwrite_merged(new, "silver", "t")
+    assert lake.read(spark, "silver", "t").schema.simpleString() == (
+        "struct<a:bigint,s:struct<x:bigint,y:string,z:float>,l:array<bigint>>"
+    )
+    lake.overwrite_merged(spark.sql("SELECT 3 AS a, named_struct('x', 6, 'y', 's') AS s"), "silver", "t")
+    assert [tuple(r) for r in lake.read(spark, "silver", "t").collect()] == [(3, (6, "s", None), None)]
+    with pytest.raises(ValueError, match="column s"):
+        lake.overwrite_merged(spark.sql("SELECT 1 AS a, 'text' AS s"), "silver", "t")
+
+
 # -- files to bronze ----------------------------------------------------------
 
 
