@@ -1,6 +1,6 @@
 """Benchmark decontamination: item-sized windows of documents within an edit distance of benchmark items.
 
-Texts are words (runs of letters and digits, in small letters). A window is a match if the edit distance of its
+Texts are words (runs of letters and digits, in small letters; in scripts without spaces each character is one). A window is a match if the edit distance of its
 words to an item's is at most a share of the item's. Matches are looked for by locality-sensitive hashing:
 
 * CGK embedding: a random walk reads a window, at each step giving the word under a pointer that moves on or stays
@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ridelake.llm.common import extended, in_batches, slices, strings
 
@@ -35,17 +36,20 @@ EDITS = 0.2
 RECALL = 0.99
 #: Steps whose words make a table's key.
 SAMPLED = 2
-#: Items with fewer words occur in any text.
-LEAST_WORDS = 5
-#: Items are broadcast in parts of this many characters.
-PART_CHARS = 32_000_000
-_WORD = re.compile(r"\w+")
+#: Items are broadcast in parts of this many characters; each counts some more for its keys and numbers. An index takes
+#: some 30 bytes of each: a different word about 200, an item's keys 8 for each table.
+PART_CHARS, ITEM_CHARS = 8_000_000, 64
+#: Scripts written without spaces: Thai, Lao, Burmese, Khmer, kana and Han characters.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_SINGLE = re.compile(f"[{_UNSPACED}]")
+_WORD, _MIXED = re.compile(r"\w+"), re.compile(rf"[{_UNSPACED}]|[^\W{_UNSPACED}]+")
 _PAD = 0
 _ROWS = 200_000
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    mixed = not text.isascii() and _SINGLE.search(text)
+    return (_MIXED if mixed else _WORD).findall(text.lower())
 
 
 def edits_allowed(n_words: int, share: float = EDITS) -> int:
@@ -58,15 +62,14 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _coins(walks: int, symbols: int, steps: int, seed: int = 17) -> np.ndarray:
-    """The random bits of each walk for each word and step, 64 steps in a number."""
-    parts = steps // 64 + 1
-    ids = np.arange(walks * symbols * parts, dtype=np.uint64) + np.uint64(seed << 40)
-    return _mixed(_mixed(ids * np.uint64(0x9E3779B97F4A7C15))).reshape(walks, symbols, parts)
+def _coin(walk: np.ndarray, symbol: np.ndarray, step: int) -> np.ndarray:
+    """The random bit of a walk for a word at a step, a hash of the three: nothing is kept of it."""
+    walks = walk.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64((step + 1) * 0xA0761D6478BD642F % 2**64)
+    return (_mixed(symbol.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + walks) >> np.uint64(40)).astype(np.int64) & 1
 
 
 def embedded(
-    ids: np.ndarray, starts: np.ndarray, ends: np.ndarray, walk: np.ndarray, sampled: np.ndarray, coins: np.ndarray
+    ids: np.ndarray, starts: np.ndarray, ends: np.ndarray, walk: np.ndarray, sampled: np.ndarray
 ) -> np.ndarray:
     """The keys of windows: what each one's walk gives at the sampled steps, hashed.
 
@@ -78,8 +81,7 @@ def embedded(
         symbol = np.where(inside, ids[np.minimum(at, len(ids) - 1)], _PAD)
         taken = (sampled == step).any(axis=1)
         key[taken] = _mixed(key[taken] * np.uint64(0x9E3779B97F4A7C15) + symbol[taken].astype(np.uint64))
-        bits = coins[walk, symbol, step // 64]
-        at += ((bits >> np.uint64(step % 64)) & np.uint64(1)).astype(np.int64)
+        at += _coin(walk, symbol, step)
     return key
 
 
@@ -91,7 +93,7 @@ class Index:
     words of each item.
     """
 
-    ids: list[int | None]
+    ids: list
     words: dict[str, int]
     items: list[np.ndarray]
     edits: np.ndarray
@@ -99,7 +101,6 @@ class Index:
     band: np.ndarray
     steps: np.ndarray
     keys: np.ndarray
-    coins: np.ndarray
     grams: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
     bag: np.ndarray
 
@@ -116,29 +117,28 @@ def _grams(ids: np.ndarray, size: int, base: int) -> np.ndarray:
 
 def _agreement(items: list[np.ndarray], share: float, symbols: int, rng: np.random.Generator) -> float:
     """How often a step of a walk gives the same word for an item and a copy with the most edits allowed."""
-    steps, same, total = 2 * max(map(len, items)), 0, 0
-    coins = _coins(8, symbols, steps, seed=99)
+    copies, same, total = [], 0, 0
+    items = [item for item in items if edits_allowed(len(item), share)]
     for k in rng.permutation(len(items))[:64].tolist():
-        item = items[k]
-        for walk in range(8):
-            copy = item.tolist()
-            for _ in range(edits_allowed(len(item), share)):
-                place, kind = int(rng.integers(len(copy))), int(rng.integers(3))
-                copy[place : place + (kind > 0)] = [int(rng.integers(1, symbols))] if kind < 2 else []
-            a, b, length = 0, 0, 2 * len(item)
-            for step in range(length):
-                x = int(item[a]) if a < len(item) else _PAD
-                y = copy[b] if b < len(copy) else _PAD
-                same, total = same + (x == y), total + 1
-                a += int(coins[walk, x, step // 64] >> np.uint64(step % 64)) & 1
-                b += int(coins[walk, y, step // 64] >> np.uint64(step % 64)) & 1
-    return same / total
-
-
-def build(items: list[tuple[int | None, str]], share: float = EDITS, recall: float = RECALL, seed: int = 3) -> Index | None:
-    """An index of (item_id, text), each for itself if ids repeat; None if no item has ``LEAST_WORDS`` words."""
+        copy = items[k].tolist()
+        for _ in range(edits_allowed(len(copy), share)):
+            place, kind = int(rng.integers(len(copy))), int(rng.integers(3))
+            copy[place : place + (kind > 0)] = [int(rng.integers(1, symbols))] if kind < 2 else []
+        copies.append((items[k], np.array(copy, dtype=np.int64)))
+    for pair in copies:
+        walks = [np.arange(100, 108)] * 2
+        at = [np.zeros(8, dtype=np.int64), np.zeros(8, dtype=np.int64)]
+        for step in range(2 * len(pair[0])):
+            met = [np.where(a < len(w), w[np.minimum(a, len(w) - 1)] if len(w) else _PAD, _PAD) for a, w in zip(at, pair)]
+            same, total = same + int((met[0] == met[1]).sum()), total + 8
+            at = [a + _coin(walk, symbol, step) for a, walk, symbol in zip(at, walks, met)]
+    return same / total if total else 1.0
+
+
+def build(items: list[tuple[object, str]], share: float = EDITS, recall: float = RECALL, seed: int = 3) -> Index | None:
+    """An index of (item_id, text), each for itself if ids repeat; None if no item has a word."""
     texts = [(item, words_of(text or "")) for item, text in items]
-    texts = [(item, words) for item, words in texts if len(words) >= LEAST_WORDS]
+    texts = [(item, words) for item, words in texts if words]
     if not texts:
         return None
     rng = np.random.default_rng(seed)
@@ -148,17 +148,16 @@ def build(items: list[tuple[int | None, str]], share: float = EDITS, recall: flo
     sizes = np.array([len(item) for item in coded])
     edits = np.array([edits_allowed(n, share) for n in sizes.tolist()])
     agree = max(_agreement(coded, share, base, rng), 0.05)
-    tables = max(4, int(np.ceil(np.log(1 - recall) / np.log(1 - agree**SAMPLED))))
+    tables = max(4, int(np.ceil(np.log(1 - recall) / np.log(max(1 - agree**SAMPLED, 1e-9)))))
     # Items of about one length sample the same steps, none beyond those that the shortest of them has words for.
     _, band = np.unique((np.log(sizes) / 0.1).astype(np.int64), return_inverse=True)
     steps = np.zeros((band.max() + 1, tables, SAMPLED), dtype=np.int64)
     for k in range(len(steps)):
         last = 2 * int(sizes[band == k].min())
         steps[k] = [np.sort(rng.choice(last, SAMPLED, replace=False)) for _ in range(tables)]
-    coins = _coins(tables, base, 2 * int(sizes.max()))
     flat, ends = np.concatenate(coded), np.cumsum(sizes)
     item, walk = np.repeat(np.arange(len(coded)), tables), np.tile(np.arange(tables), len(coded))
-    keys = embedded(flat, (ends - sizes)[item], ends[item], walk, steps[band[item], walk], coins)
+    keys = embedded(flat, (ends - sizes)[item], ends[item], walk, steps[band[item], walk])
     # (n - d) words that stay in at most d + 1 runs; three words are rare enough.
     length = np.clip((sizes - edits + edits) // (edits + 1), 1, 3)
     grams = {}
@@ -170,7 +169,7 @@ def build(items: list[tuple[int | None, str]], share: float = EDITS, recall: flo
         order = np.argsort(key, kind="stable")
         grams[size] = (key[order], of[order], place[order])
     bag = np.unique(np.repeat(np.arange(len(coded)), sizes) * base + flat)
-    return Index([item for item, _ in texts], words, coded, edits, sizes, band, steps, keys.reshape(-1, tables), coins, grams, bag)
+    return Index([item for item, _ in texts], words, coded, edits, sizes, band, steps, keys.reshape(-1, tables), grams, bag)
 
 
 def _ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -232,7 +231,7 @@ def candidates(
         last = np.minimum(place[part] + index.sizes[k], ends[own[part]])
         walk = np.tile(np.arange(tables), len(k))
         steps = index.steps[np.repeat(index.band[k], tables), walk]
-        keys = embedded(ids, start, np.repeat(last, tables), walk, steps, index.coins)
+        keys = embedded(ids, start, np.repeat(last, tables), walk, steps)
         same[part] = (keys.reshape(-1, tables) == index.keys[k]).any(axis=1)
     return own[same], item[same], place[same]
 
@@ -263,7 +262,7 @@ def best_stretch(item: list[int], text: list[int]) -> tuple[int, int, int]:
     return distance, end - back, end
 
 
-def matches(index: Index, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
+def matches(index: Index, texts: list[str]) -> list[tuple[int, object, int, int, int]]:
     """(text, item_id, distance, start, end) for each text and item that match, in words; the nearest stretch."""
     words = [words_of(text) for text in texts]
     sizes = np.fromiter(map(len, words), np.int64, len(words))
@@ -278,6 +277,8 @@ def matches(index: Index, texts: list[str]) -> list[tuple[int, int, int, int, in
     firsts = last - sizes
     for row, k, place in zip(*(column.tolist() for column in candidates(index, ids, firsts, last, text)), strict=True):
         item, allowed = index.items[k], int(index.edits[k])
+        if (row, k) in found and found[row, k][0] == 0:
+            continue  # the first of the nearest
         if done[:2] == (row, k) and place + len(item) <= done[2]:
             continue
         first, end = int(firsts[row]), int(last[row])
@@ -293,7 +294,7 @@ def matches(index: Index, texts: list[str]) -> list[tuple[int, int, int, int, in
 def _indexes(benchmark: DataFrame, share: float, recall: float) -> Iterator[Index]:
     """Of the benchmark, in parts of a bounded size."""
     items = benchmark.filter("text IS NOT NULL").select("item_id", F.col("text").cast("string").alias("text"))
-    parts = (items.agg(F.sum(F.length("text"))).first()[0] or 0) // PART_CHARS + 1
+    parts = (items.agg(F.sum(F.length("text") + ITEM_CHARS)).first()[0] or 0) // PART_CHARS + 1
     for part in range(parts):
         own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)
         if (index := build([(r[0], r[1]) for r in own.distinct().orderBy("item_id", "text").collect()], share, recall)) is not None:
@@ -305,12 +306,15 @@ def contaminated(
 ) -> DataFrame:
     """(doc_id, item_id, distance, start, end) for each row of ``docs`` and item that match, nearest stretch first.
 
-    Distances and places are in words. Null and empty texts match nothing, nor do items with fewer than
-    ``LEAST_WORDS`` words; of equally near stretches the first counts; of items that share an id each counts. Rows
+    Distances and places are in words. Null and empty texts match nothing, nor do items without a word; items of under
+    five words have no edit to spare, so they are found as they are, in any text that has them: leave out those that
+    say nothing (an answer "yes") before. ``item_id`` may be of any type; of equally near stretches the first counts; of items that share an id each counts. Rows
     that repeat are reported each; other columns are ignored. Without items or documents there are no rows.
     """
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    schema = extended(rows, ["doc_id"], "item_id long, distance long, start long, end long")
+    id_type = benchmark.schema["item_id"].dataType
+    schema = extended(rows, ["doc_id"], f"item_id {id_type.simpleString()}, distance long, start long, end long")
+    arrow = [pa.int64(), to_arrow_type(id_type), *[pa.int64()] * 3]
     found = spark.createDataFrame([], schema)
     for index in _indexes(benchmark, share, recall):
         shared = spark.sparkContext.broadcast(index)
@@ -318,7 +322,7 @@ def contaminated(
         def job(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, "text", 8 << 20):
                 hits = matches(shared.value, strings(batch, "text"))
-                columns = [pa.array([hit[k] for hit in hits], pa.int64()) for k in range(5)]
+                columns = [pa.array([hit[k] for hit in hits], kind) for k, kind in enumerate(arrow)]
                 names = ["doc_id", "item_id", "distance", "start", "end"]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(columns[0]), *columns[1:]], names)
 

@@ -153,3 +153,37 @@ def test_items_that_share_an_id_or_have_none(spark):
     assert {(r.doc_id, r.item_id, r.distance) for r in found} == {(0, 0, 0), (1, 0, 0), (2, None, 0), (3, None, 0)}
     assert len(found) == 4
     assert [r.doc_id for r in dc.decontaminated(docs, bench, spark).collect()] == [4]
+
+
+def test_short_items_are_found_as_they_are(spark):
+    items = [("a", "four words of it"), ("b", "two words"), ("c", "Single"), ("d", "この文は短い"), ("e", "ทดสอบ"), ("f", "!?")]
+    texts = ["all four words of it here", "four words of other", "two  WORDS single", "前この文は短い後", "あの文は長い", "คำทดสอบนี้", None, "?!"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    found = {(r.doc_id, r.item_id, r.distance) for r in dc.contaminated(docs, bench, spark).collect()}
+    assert found == {(0, "a", 0), (2, "b", 0), (2, "c", 0), (3, "d", 0), (5, "e", 0)}
+    assert sorted(r.doc_id for r in dc.decontaminated(docs, bench, spark).collect()) == [1, 4, 6, 7]
+
+
+def test_short_items_cost_no_recall():
+    """Items without an edit to spare say nothing of how far copies of others drift."""
+    rng = random.Random(6)
+    words = [f"w{k}" for k in range(500)]
+    items = [(k, " ".join(rng.choices(words, k=rng.randrange(15, 60)))) for k in range(20)]
+    short = [(100 + k, " ".join(rng.choices(words, k=rng.randrange(1, 5)))) for k in range(200)]
+    assert dc.build(items + short).keys.shape[1] >= dc.build(items).keys.shape[1] - 2
+
+
+def test_a_word_that_is_everywhere(spark):
+    """A single word as an item, in a text of nothing else: looked at once."""
+    found = dc.matches(dc.build([(1, "the"), (2, "the the the")]), ["the " * 200_000, "a"])
+    assert sorted(found) == [(0, 1, 0, 0, 1), (0, 2, 0, 0, 3)]
+
+
+def test_an_index_does_not_grow_with_words_and_steps():
+    """Coins are hashed when a walk needs them: what is kept is the items' own words and keys."""
+    rng = random.Random(2)
+    long = " ".join(f"x{rng.randrange(10**9)}" for _ in range(4000))
+    index = dc.build([(0, long), *[(k, f"a{k} b{k} c{k} d{k} e{k}") for k in range(1, 2000)]])
+    arrays = [index.keys, index.steps, index.bag, *index.items, *[a for parts in index.grams.values() for a in parts]]
+    assert sum(a.nbytes for a in arrays) < 4_000_000 and len(index.words) > 13_000
