@@ -71,6 +71,32 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return found
 
 
+#: A row that repeats more often than this is dealt to several tasks before its copies are written out.
+COPIES_AT_A_TIME = 1 << 14
+
+
+def copies_numbered(df: DataFrame, name: str) -> DataFrame:
+    """The rows with the number of each among those equal to it, from 0, in a column of that name.
+
+    Where no rows are equal, which is counted first, they stay where they are and the number is 0; else equal rows are
+    brought together as one, with partial aggregation before the shuffle, and written out again in several tasks.
+    """
+    one, other, copies, part = free_names(df, "_h", "_g", "_n", "_part")
+    hashes = [column.alias(alias) for column, alias in zip(row_hashes(df), (one, other), strict=True)]
+    slim = df.select(*hashes).groupBy(one, other).count()
+    most = slim.agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+    if most <= 1:
+        return df.withColumn(name, F.lit(0).cast("long"))
+    firsts = [F.first(f"`{column}`").alias(column) for column in df.columns]
+    rows = df.select("*", *hashes).groupBy(one, other).agg(*firsts, F.count("*").alias(copies))
+    rows = rows.withColumn(part, F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"({copies} - 1) DIV {COPIES_AT_A_TIME}"))))
+    if most > COPIES_AT_A_TIME:
+        rows = rows.repartition(one, other, part)
+    start = F.col(part) * COPIES_AT_A_TIME
+    last = F.least(F.col(copies), start + COPIES_AT_A_TIME) - 1
+    return rows.withColumn(name, F.explode(F.sequence(start, last))).select(*[f"`{c}`" for c in df.columns], name)
+
+
 def in_batches(df: DataFrame, job: Callable, schema: str | StructType) -> DataFrame:
     """``mapInArrow``, with at most ``BATCH_ROWS`` rows handed over at a time: by default it is ten times as many."""
     conf = df.sparkSession.conf

@@ -1,7 +1,8 @@
 """Mixing sources to target weights, in blocks that a splitting tree deals to output shards.
 
 Each source's documents fall into blocks of about equal words by a hash. A source's target is a number of whole
-passes over its blocks, and in one more pass a quota of blocks; those at the quota's edge are taken in part. The
+passes over its blocks, and in one more pass a quota of blocks; of those after the quota as many as hold the rest of the
+target, in documents that fit it, are taken in part. Each pass has an order of its own, an affine permutation. The
 draws, one for each pass and block, are dealt to shards by a tree over ranges of shards: at each node the sources'
 counts are split between the two halves by a multivariate hypergeometric draw, so that every shard has its exact
 number of blocks and the whole is as likely as any dealing. A shard's draws of a source are consecutive in the
@@ -20,16 +21,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import WORD, checkpointed
+from ridelake.llm.common import WORD, checkpointed, copies_numbered, row_hashes
 
 #: Words of a block, and of a shard, about.
 BLOCK_WORDS, SHARD_WORDS = 1 << 16, 1 << 24
-#: Blocks from the quota on that are taken in part.
-EDGE = 16
 #: Sources a mix may have: their totals and quotas are held by the driver.
 MOST_SOURCES = 100_000
 #: Small tables are broadcast up to this many rows.
 BROADCAST_ROWS = 500_000
+#: Numbers of the tree's nodes that the driver hands to tasks at most.
+_HANDED = 1 << 21
 _RUN = 1024
 
 
@@ -52,13 +53,14 @@ def targets(
             left -= wanted[k]
         if not over:
             break
-        open_ = [k for k in open_ if k not in set(over)]
+        closed = set(over)
+        open_ = [k for k in open_ if k not in closed]
     return wanted
 
 
 @dataclass
 class Source:
-    """``passes`` over all blocks; in the next, those before ``quota``, and ``room`` words of those from it."""
+    """``passes`` over all blocks; in the next, those before ``quota``, and ``room`` words of the ``edge`` ones from it."""
 
     index: int
     name: str | None
@@ -69,11 +71,18 @@ class Source:
     rest: float
     quota: int = 0
     room: float = 0.0
+    edge: int = 0
 
     @property
     def draws(self) -> int:
-        edge = min(EDGE, self.blocks - self.quota) if self.room > 0 else 0
-        return self.passes * self.blocks + self.quota + edge
+        return self.passes * self.blocks + self.quota + self.edge
+
+    def order(self, epoch: int, seed: int) -> tuple[int, int, int]:
+        """(n, step, start) of a pass's order: place p comes as number (p * step + start) mod n."""
+        n = self.blocks if epoch < self.passes else self.quota + self.edge
+        rng = np.random.default_rng((seed, self.index, epoch))
+        steps = iter(lambda: int(rng.integers(1, max(n, 2))), None)
+        return n, next(step for step in steps if math.gcd(step, max(n, 1)) == 1), int(rng.integers(0, max(n, 1)))
 
 
 def _sources(sizes: DataFrame, options: dict) -> list[Source]:
@@ -93,65 +102,87 @@ def _sources(sizes: DataFrame, options: dict) -> list[Source]:
     return out
 
 
-def _source_table(spark: SparkSession, sources: list[Source]) -> DataFrame:
-    rows = [(s.name, s.index, s.size, s.target, s.blocks, s.passes, s.rest, s.quota, s.room) for s in sources]
-    schema = "_source string, _index int, source_size long, target double, _blocks long, _passes int, _rest double, _quota long, _room double"
+def _source_table(spark: SparkSession, sources: list[Source], seed: int = 0) -> DataFrame:
+    rows = [
+        (s.name, s.index, s.size, s.target, s.blocks, s.passes, s.rest, s.quota, s.room, s.edge)
+        + ([s.order(epoch, seed) for epoch in range(s.passes + 1)],)
+        for s in sources
+    ]
+    schema = (
+        "_source string, _index int, source_size long, target double, _blocks long, _passes int, _rest double, "
+        "_quota long, _room double, _edge long, _orders array<struct<n:long,step:long,start:long>>"
+    )
     return F.broadcast(spark.createDataFrame(rows, schema))
 
 
 def _placed(docs: DataFrame, spark: SparkSession, sources: list[Source], seed: int) -> DataFrame:
-    """Documents with their source's numbers and the place of their block in the last pass's order."""
-    joined = docs.join(_source_table(spark, sources), F.col("source").cast("string").eqNullSafe(F.col("_source")))
-    return joined.withColumn("_place", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "size"), F.col("_blocks")))
+    """Rows (with ``_source_name``, ``_draws_by`` and ``size``) with their source's numbers and the place of their block."""
+    joined = docs.join(_source_table(spark, sources, seed), F.col("_source_name").eqNullSafe(F.col("_source")))
+    return joined.withColumn("_place", F.pmod(F.col("_draws_by"), F.col("_blocks")))
 
 
-def _with_quotas(placed: DataFrame, sources: list[Source]) -> None:
-    """Sets each source's quota: the blocks that fit the rest of its target, by prefix sums over runs of blocks."""
-    blocks = placed.filter("_rest > 0").groupBy("_index", "_place", "_rest").agg(F.sum("size").alias("words"))
+def _reached(blocks: DataFrame, wanted: str) -> DataFrame:
+    """(_index, words, end) of each source: the words of the blocks that come before its number ``wanted`` is passed,
+    and the first that passes it; by prefix sums over runs of blocks."""
     runs = blocks.withColumn("run", F.floor(F.col("_place") / _RUN))
     whole = runs.groupBy("_index", "run").agg(F.sum("words").alias("run_words"))
     ahead = F.sum("run_words").over(Window.partitionBy("_index").orderBy("run")) - F.col("run_words")
     starts = whole.select("_index", "run", ahead.alias("start"))
     within = F.sum("words").over(Window.partitionBy("_index", "run").orderBy("_place"))
     summed = runs.withColumn("within", within).join(starts, ["_index", "run"]).withColumn("upto", F.col("start") + F.col("within"))
-    fits = F.col("upto") <= F.col("_rest")
-    quotas = summed.groupBy("_index").agg(
-        F.max(F.when(fits, F.col("upto"))).alias("words"),
-        F.min(F.when(~fits, F.col("_place"))).alias("edge"),
+    fits = F.col("upto") <= F.col(wanted)
+    return summed.groupBy("_index").agg(
+        F.max(F.when(fits, F.col("upto"))).alias("words"), F.min(F.when(~fits, F.col("_place"))).alias("end")
     )
-    for row in quotas.collect():
+
+
+def _with_quotas(slim: DataFrame, spark: SparkSession, sources: list[Source], seed: int) -> None:
+    """Sets each source's quota, the blocks that fit the rest of its target, and the edge: as many blocks after them
+    as hold what is left to fill, in documents that fit it."""
+    blocks = _placed(slim, spark, sources, seed).filter("_rest > 0").groupBy("_index", "_place", "_rest")
+    for row in _reached(blocks.agg(F.sum("size").alias("words")), "_rest").collect():
         source = sources[row["_index"]]
-        source.quota = source.blocks if row["edge"] is None else row["edge"]
-        source.room = 0.0 if row["edge"] is None else source.rest - (row["words"] or 0)
+        source.quota = source.blocks if row["end"] is None else row["end"]
+        source.room = 0.0 if row["end"] is None else source.rest - (row["words"] or 0)
+    for source in sources:
+        source.edge = source.blocks - source.quota if source.room > 0 else 0
+    after = _placed(slim, spark, sources, seed).filter("_room > 0 AND _place >= _quota AND size <= _room")
+    fitting = after.groupBy("_index", "_place", "_room").agg(F.sum("size").alias("words"))
+    for row in _reached(fitting, "_room").collect():
+        source = sources[row["_index"]]
+        if row["end"] is not None:
+            source.edge = row["end"] + 1 - source.quota
+
+
+def fill(sizes: np.ndarray, order: np.ndarray, room: float) -> np.ndarray:
+    """Which sizes fill a room: the largest that fits comes first; at last one more if that comes nearer."""
+    taken = np.zeros(len(sizes), dtype=bool)
+    for k in np.lexsort((order, -sizes)).tolist():
+        if sizes[k] <= room:
+            taken[k] = True
+            room -= sizes[k]
+    left = np.flatnonzero(~taken)
+    if len(left):
+        least = left[np.lexsort((order[left], sizes[left]))[0]]
+        taken[least] = sizes[least] < 2 * room
+    return taken
 
 
 def _picked(placed: DataFrame) -> DataFrame:
-    """(_index, _id, size) of documents, their ids as text, that fill the room, from the blocks at the quotas' edges.
+    """(_index, _draws_by, size) of documents that fill the room, from the edges.
 
-    The largest that fits comes first; at last one more if that comes nearer. A block has about ``BLOCK_WORDS``
-    words, so a group of ``EDGE`` blocks is small.
+    Only numbers are gathered. An edge holds about the words of its room in documents that fit, and a room is less
+    than a block's words: ``BLOCK_WORDS``, or those of a giant in it.
     """
-    at_edge = F.col("_place").between(F.col("_quota"), F.col("_quota") + EDGE - 1)
-    edge = placed.filter(at_edge & (F.col("_room") > 0) & (F.col("size") > 0))
-    ids = F.col("doc_id").cast("string").alias("_id")
-    groups = edge.groupBy("_index", ids, "size", "_room").agg(F.count("*").alias("copies"))
-    groups = groups.withColumn("order", F.xxhash64("_id", "size"))
-
-    def fill(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.assign(words=frame["size"] * frame["copies"])
-        frame = frame.sort_values(["words", "order"], ascending=[False, True])
-        room, taken = float(frame["_room"].iloc[0]), []
-        words = frame["words"].tolist()
-        for k, size in enumerate(words):
-            if size <= room:
-                taken.append(k)
-                room -= size
-        left = [k for k in range(len(words)) if k not in set(taken)]
-        if left and words[left[-1]] < 2 * room:
-            taken.append(left[-1])
-        return frame.iloc[sorted(taken)][["_index", "_id", "size"]]
-
-    return groups.groupBy("_index").applyInPandas(fill, "_index int, _id string, size long")
+    at_edge = F.col("_place").between(F.col("_quota"), F.col("_quota") + F.col("_edge") - 1)
+    edge = placed.filter(at_edge & (F.col("size") > 0) & (F.col("size") < 2 * F.col("_room")))
+
+    def pick(frame: pd.DataFrame) -> pd.DataFrame:
+        taken = fill(frame["size"].to_numpy(), frame["_draws_by"].to_numpy(), float(frame["_room"].iloc[0]))
+        return frame.loc[taken, ["_index", "_draws_by", "size"]]
+
+    slim = edge.select("_index", "_draws_by", "size", "_room")
+    return slim.groupBy("_index").applyInPandas(pick, "_index int, _draws_by long, size long")
 
 
 # -- the splitting tree ---------------------------------------------------------
@@ -184,7 +215,8 @@ def dealt(spark: SparkSession, sources: list[Source], shards: int, seed: int) ->
     """(_index, _draw, shard) for every draw of every source: the top of the tree here, the rest in tasks."""
     counts = np.array([source.draws for source in sources], dtype=np.int64)
     capacity, extra = divmod(int(counts.sum()), shards)
-    top = _leaves((0, shards, np.zeros_like(counts), counts), capacity, extra, seed, most=64)
+    most = max(1, min(64, _HANDED // max(len(sources), 1)))
+    top = _leaves((0, shards, np.zeros_like(counts), counts), capacity, extra, seed, most=most)
     rows = [(low, high, first.tolist(), own.tolist()) for low, high, first, own in top]
     nodes = spark.createDataFrame(rows, "low long, high long, first array<long>, counts array<long>")
 
@@ -208,10 +240,38 @@ def _bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _permuted(place: Column, blocks: Column, turn: Column) -> Column:
-    """A pass's order: passes over all blocks begin at different ones, every other one goes backwards."""
-    shifted = F.pmod(place + F.pmod(F.xxhash64(turn, blocks), blocks), blocks)
-    return F.when(turn % 2 == 0, shifted).otherwise(blocks - 1 - shifted)
+def _keyed(docs: DataFrame, seed: int) -> DataFrame:
+    """Rows with the source as text, the size and a number of their own that draws their block: equal rows' differ by
+    their copy's number, so that no key has many rows."""
+    hashes = row_hashes(docs.drop("_copy"), seed)
+    return docs.select(
+        "*",
+        F.col("source").cast("string").alias("_source_name"),
+        n_words(F.col("text").cast("string")).alias("size"),
+        F.xxhash64(F.lit(seed), *hashes, "_copy").alias("_draws_by"),
+    )
+
+
+def _mixed(docs: DataFrame, spark: SparkSession, seed: int, shard_words: int, options: dict) -> tuple[DataFrame, list[Source]]:
+    """A row for every time one is taken, with ``_draws_by``, shard and epoch; and the sources."""
+    keyed = _keyed(docs, seed)
+    slim = checkpointed(keyed.select("_source_name", "size", "_draws_by"))
+    sources = _sources(slim.withColumnRenamed("_source_name", "source"), options)
+    _with_quotas(slim, spark, sources, seed)
+    picks = _bounded(_picked(_placed(slim, spark, sources, seed)))
+    words = sum(source.target for source in sources)
+    shards = _bounded(dealt(spark, sources, max(1, math.ceil(words / shard_words)), seed))
+
+    picks = picks.select(F.col("_index").alias("_i"), F.col("_draws_by").alias("_d"), F.col("size").alias("_s"), F.lit(True).alias("_pick"))
+    same = [F.col("_index") == F.col("_i"), F.col("_draws_by") == F.col("_d"), F.col("size") == F.col("_s")]
+    placed = _placed(keyed, spark, sources, seed).join(picks, same, "left")
+    last = (F.col("_place") < F.col("_quota")) | F.coalesce("_pick", F.lit(False))
+    turns = F.col("_passes") + last.cast("int")
+    drawn = placed.withColumn("epoch", F.explode(F.when(turns > 0, F.sequence(F.lit(0), turns - 1))))
+    order = F.col("_orders")[F.col("epoch")]
+    number = F.pmod(F.col("_place") * order["step"] + order["start"], order["n"])
+    drawn = drawn.withColumn("_draw", F.col("epoch") * F.col("_blocks") + number)
+    return drawn.join(shards, ["_index", "_draw"]), sources
 
 
 def mixture(
@@ -224,50 +284,30 @@ def mixture(
     """A row for every time the mix takes a document: its columns, and size, source_size, target, shard, epoch.
 
     ``options`` are those of ``targets``. Words are counted in whole texts; null texts have none. A null source is
-    one of the sources, the last. Rows of a shard are together and in random order. Rows that repeat are taken
-    alike. The taken words of a source are its target but for less than half a document that would fit. Documents
-    of no words come along with their block. Reruns agree. Columns called as those added are replaced; no documents
-    give no rows.
+    one of the sources, the last. Rows of a shard are together and in random order. Of rows that repeat some may be
+    taken and others not. The taken words of a source are its target but for less than half a document that would
+    fit. Documents of no words come along with their block. Reruns agree. Columns called as those added are replaced,
+    others may have any names. No documents give no rows.
     """
     columns = [c for c in docs.columns if c not in ("size", "source_size", "target", "shard", "epoch")]
-    sized = docs.select(*columns).withColumn("size", n_words(F.col("text").cast("string")))
-    slim = checkpointed(sized.select("doc_id", F.col("source").cast("string").alias("source"), "size"))
-    sources = _sources(slim, options)
-    _with_quotas(_placed(slim, spark, sources, seed), sources)
-    picks = _bounded(_picked(_placed(slim, spark, sources, seed)))
-    words = sum(source.target for source in sources)
-    shards = _bounded(dealt(spark, sources, max(1, math.ceil(words / shard_words)), seed))
-
-    picks = picks.select(F.col("_index").alias("_i"), F.col("_id").alias("_d"), F.col("size").alias("_s"), F.lit(True).alias("_pick"))
-    same = [F.col("_index") == F.col("_i"), F.col("doc_id").cast("string").eqNullSafe(F.col("_d")), F.col("size") == F.col("_s")]
-    placed = _placed(sized, spark, sources, seed).join(picks, same, "left")
-    last = (F.col("_place") < F.col("_quota")) | F.coalesce("_pick", F.lit(False))
-    turns = F.col("_passes") + last.cast("int")
-    drawn = placed.withColumn("epoch", F.explode(F.when(turns > 0, F.sequence(F.lit(0), turns - 1))))
-    in_order = _permuted(F.col("_place"), F.col("_blocks"), F.col("epoch"))
-    within = F.when(F.col("epoch") < F.col("_passes"), in_order).otherwise(F.col("_place"))
-    drawn = drawn.withColumn("_draw", F.col("epoch") * F.col("_blocks") + within)
-    mixed = drawn.join(shards, ["_index", "_draw"])
-    random = F.xxhash64(F.lit(seed), "shard", "epoch", "doc_id", "size")
-    return (
-        mixed.withColumn("_random", random)
-        .repartition("shard")
-        .sortWithinPartitions("shard", "_random")
-        .select(*columns, "size", "source_size", "target", "shard", "epoch")
-    )
+    names = {name: name if name in ("text", "source") else f"c{k}" for k, name in enumerate(columns)}
+    own = docs.select(*[F.col(f"`{name}`").alias(alias) for name, alias in names.items()])
+    mixed, _ = _mixed(copies_numbered(own, "_copy"), spark, seed, shard_words, options)
+    random = F.xxhash64(F.lit(seed), "shard", "epoch", "_draws_by")
+    ordered = mixed.withColumn("_random", random).repartition("shard").sortWithinPartitions("shard", "_random")
+    back = [F.col(alias).alias(name) for name, alias in names.items()]
+    return ordered.select(*back, "size", "source_size", "target", "shard", "epoch")
 
 
 def taken(docs: DataFrame, spark: SparkSession, seed: int = 29, shard_words: int = SHARD_WORDS, **options) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken) of each row of ``docs``, the times read off the mixture."""
     slim = docs.select("doc_id", F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"))
-    keys = ["doc_id", "source", "size"]
-    times = mixture(slim, spark, seed, shard_words, **options).select(*keys, F.lit(0).alias("row"), F.lit(1).alias("time"))
-    rows = slim.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.lit(1).alias("row"), F.lit(0).alias("time"))
-    counted = rows.unionByName(times).groupBy(*keys).agg(F.sum("row").alias("rows"), F.sum("time").alias("times"))
-    counted = checkpointed(counted)
-    sources = _sources(counted.select("source", (F.col("size") * F.col("rows")).alias("size")), options)
+    numbered = copies_numbered(slim, "_copy")
+    mixed, sources = _mixed(numbered, spark, seed, shard_words, options)
+    times = mixed.groupBy(F.col("_draws_by").alias("_d"), F.col("size").alias("_s")).agg(F.count("*").alias("times"))
+    rows = _keyed(numbered, seed).select("doc_id", "source", "size", "_draws_by")
+    counted = rows.join(times, [F.col("_draws_by") == F.col("_d"), F.col("size") == F.col("_s")], "left")
     wanted = _source_table(spark, sources).select("_source", "source_size", "target")
-    each = counted.withColumn("_", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
-    out = each.join(wanted, F.col("source").eqNullSafe(F.col("_source")))
-    share = (F.col("size") * F.col("times") / F.col("rows")).cast("long").alias("taken")
-    return out.select(*keys, "source_size", "target", share)
+    out = counted.join(wanted, F.col("source").eqNullSafe(F.col("_source")))
+    words = (F.col("size") * F.coalesce("times", F.lit(0))).cast("long").alias("taken")
+    return out.select("doc_id", "source", "size", "source_size", "target", words)

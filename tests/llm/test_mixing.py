@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -11,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ridelake.llm import chat_format, decontaminate, mixing, queries, simhash_dedup
+from ridelake.llm import chat_format, common, decontaminate, mixing, queries, simhash_dedup
 from ridelake.llm.common import table
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -76,6 +77,126 @@ def test_mixture_rows(spark, corpus, monkeypatch):
     assert mixing.taken(docs.filter("text IS NULL"), spark).collect()[0].taken == 0
 
 
+def words(n):
+    return " ".join(["w"] * n)
+
+
+def summed(found):
+    sums, wanted = defaultdict(int), {}
+    for r in found:
+        sums[r.source] += r.taken
+        wanted[r.source] = r.target
+    return sums, wanted
+
+
+def test_fill_equals_trying_each():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        sizes, order = rng.integers(1, 30, rng.integers(0, 12)), rng.integers(0, 99, 12)
+        room = float(rng.integers(0, 120))
+        order = order[: len(sizes)]
+        left, expected = room, set()
+        for k in sorted(range(len(sizes)), key=lambda k: (-sizes[k], order[k])):
+            if sizes[k] <= left:
+                expected.add(k)
+                left -= sizes[k]
+        rest = sorted(set(range(len(sizes))) - expected, key=lambda k: (sizes[k], order[k]))
+        if rest and sizes[rest[0]] < 2 * left:
+            expected.add(rest[0])
+        taken = mixing.fill(sizes, order, room)
+        assert sizes[taken].sum() == sum(sizes[k] for k in expected)
+        smallest = min(sizes, default=0)
+        if sizes.sum() >= room:
+            assert abs(sizes[taken].sum() - room) <= max(smallest, sizes.max(initial=0) / 2)
+
+
+def test_many_short_documents_fill_in_seconds():
+    rng = np.random.default_rng(5)
+    sizes, order = rng.integers(1, 5, 300_000), rng.integers(0, 2**60, 300_000)
+    began = time.monotonic()
+    assert sizes[mixing.fill(sizes, order, 100_000.0)].sum() == 100_000
+    assert time.monotonic() - began < 10
+
+
+def test_giants_at_the_edge(spark, monkeypatch):
+    """Documents of many blocks: what they leave open is filled from as many blocks after them as it takes."""
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 50)
+    for seed in range(6):
+        rows = [(k, words(1 + k % 7), "en", "a", 0) for k in range(2500)] + [(9000 + k, words(4000), "en", "a", 0) for k in range(2)]
+        rows += [(20_000 + k, words(9), "en", "b", 0) for k in range(400)]
+        found = mixing.taken(spark.createDataFrame(rows, SCHEMA), spark, seed=seed, shard_words=3000).collect()
+        sums, wanted = summed(found)
+        assert all(abs(sums[source] - target) <= 9 for source, target in wanted.items()), (seed, dict(sums), wanted)
+
+
+def test_one_id_repeated(spark, monkeypatch):
+    """Equal rows are taken by number, and none of them or all but one row's source has them."""
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 500)
+    monkeypatch.setattr(common, "COPIES_AT_A_TIME", 1000)
+    rows = [(7, words(3), "en", "a", 0)] * 10_000 + [(k, words(5), "en", "b", 0) for k in range(300)] + [(None, None, None, None, None)] * 50
+    docs = spark.createDataFrame(rows, SCHEMA)
+    found = mixing.taken(docs, spark, shard_words=5000).collect()
+    assert Counter((r.doc_id, r.size) for r in found) == Counter((row[0], len((row[1] or "").split())) for row in rows)
+    sums, wanted = summed(found)
+    assert all(abs(sums[source] - target) <= 5 for source, target in wanted.items() if target)
+    assert all(r.taken <= 2 * r.size and r.taken % max(r.size, 1) == 0 for r in found)
+    again = mixing.taken(docs.repartition(3), spark, shard_words=5000).collect()
+    assert Counter(map(tuple, found)) == Counter(map(tuple, again))
+
+
+def test_mixture_equals_taking_by_the_rule(spark, monkeypatch):
+    """Which rows come how often, by going through each source's blocks in order, block by block."""
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 40)
+    rng = random.Random(6)
+    rows = [(k, words(rng.choice([0, 1, 3, 8, 30, 90])), "en", rng.choice(["a", "b", None]), 0) for k in range(300)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    keyed = mixing._keyed(docs.withColumn("_copy", F.lit(0).cast("long")), 29).collect()
+    mixed = mixing.mixture(docs, spark, shard_words=200).collect()
+    times = Counter(r.doc_id for r in mixed)
+    names = sorted({r.source for r in keyed}, key=lambda s: (s is None, s or ""))
+    wanted = dict(zip(names, mixing.targets([sum(r["size"] for r in keyed if r.source == n) for n in names])))
+    for name in names:
+        mine = [r for r in keyed if r.source == name]
+        size = sum(r["size"] for r in mine)
+        blocks, passes = -(-size // 40), int(wanted[name] / size + 1e-12)
+        rest, expected, quota = wanted[name] - passes * size, Counter({r.doc_id: passes for r in mine}), 0
+        by_block = [[r for r in mine if r._draws_by % blocks == b] for b in range(blocks)]
+        while quota < blocks and sum(r["size"] for r in by_block[quota]) <= rest:
+            rest -= sum(r["size"] for r in by_block[quota])
+            expected.update(r.doc_id for r in by_block[quota])
+            quota += 1
+        edge, held = [], 0
+        for block in by_block[quota:]:
+            edge += [r for r in block if 0 < r["size"] < 2 * rest]
+            held += sum(r["size"] for r in block if r["size"] <= rest)
+            if held > rest:
+                break
+        taken = mixing.fill(np.array([r["size"] for r in edge]), np.array([r._draws_by for r in edge]), rest)
+        expected.update(r.doc_id for r, t in zip(edge, taken) if t)
+        assert {r.doc_id: times[r.doc_id] for r in mine} == {r.doc_id: expected[r.doc_id] for r in mine}, name
+    assert len({r.shard for r in mixed}) > 3
+
+
+def test_orders_are_permutations():
+    for blocks, quota, edge in ((1, 0, 1), (2, 1, 0), (12, 5, 3), (97, 96, 1), (60, 0, 0)):
+        source = mixing.Source(3, "s", 1, 1.0, blocks, 2, 0.5, quota, 0.5, edge)
+        orders = [source.order(epoch, 29) for epoch in range(3)]
+        for epoch, (n, step, start) in enumerate(orders):
+            assert n == (blocks if epoch < 2 else quota + edge)
+            assert sorted((p * step + start) % n for p in range(n)) == list(range(n))
+    assert orders != [source.order(epoch, 30) for epoch in range(3)]
+
+
+def test_columns_may_have_any_names(spark):
+    docs = spark.createDataFrame([(k, words(k % 5), "en", "s", 0) for k in range(40)], SCHEMA)
+    for name in ("_index", "_blocks", "_place", "_pick", "_draw", "_copy", "_draws_by", "_random", "c0", "_h", "_source"):
+        docs = docs.withColumn(name, F.lit("mine"))
+    found = mixing.mixture(docs, spark)
+    assert found.columns == [*docs.columns, "size", "source_size", "target", "shard", "epoch"]
+    assert {r["_index"] + r["_place"] for r in found.collect()} == {"minemine"}
+    assert mixing.taken(docs, spark).count() == 40
+
+
 def test_splitting_tree_deals_every_draw_once(spark, monkeypatch):
     sources = [mixing.Source(k, str(k), 1, 1.0, blocks, 1, 0.0) for k, blocks in enumerate([500, 0, 37, 3, 211])]
     for source in sources:
