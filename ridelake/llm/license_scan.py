@@ -8,8 +8,11 @@ meet templates by an equal number: a hash join against that short list, in which
 Before that, texts without any of a few words are left out: too many of every template's bigrams have one of them.
 
 Stretches of several lines are looked at only for texts that hold as many of a template's bigrams as a unit must share
-with it. Lines at either end that have none of these bigrams only lower the coefficient, so the best stretch begins at
-a line where one begins and ends at a line where one ends.
+with it. A line at either end whose bigrams of the template are all in the rest of the stretch too only lowers the
+coefficient. So a stretch begins at a line where one of them begins, and reaches no further than to where all that begin
+there have come again; and it ends at a line where one ends that hadn't come before. From one line on, then, no more is
+read than up to the next place of its bigrams, and no more ends are tried than the template has bigrams: over all lines
+of a text that grows with their number, not its square, whatever repeats.
 """
 
 from __future__ import annotations
@@ -26,8 +29,8 @@ from pyspark.sql import functions as F
 THRESHOLD = 0.8
 #: The list of templates by size is broadcast; beyond this many entries it is an error.
 MOST_ENTRIES = 1_000_000
-#: For stretches, so many times a template's greatest number of bigrams are read; all that follow if fewer are different.
-AHEAD = 4
+#: For stretches, so many times a template's greatest number of bigrams are read first, then ``WIDER`` times as many, ...
+AHEAD, WIDER, WIDTHS = 4, 4, 5
 #: Letters from which a word is looked for within others.
 LONG = 5
 #: Words in most texts, which tell little.
@@ -179,11 +182,42 @@ def _pairs(text: Column) -> Column:
     return F.zip_with(words, F.slice(words, 2, F.size(words)), lambda a, b: F.when(b.isNotNull(), pair(a, b)))
 
 
-def _stretches(docs: DataFrame, threshold: float, templates: Mapping[tuple[str, str], str]) -> DataFrame:
-    """(doc_id, license_id, score, first, last) of the stretches of two lines or more that reach the threshold.
+def _line_starts() -> Column:
+    """(first, at) of each line that one of the template's bigrams begins in: the line, and its place in pairs."""
 
-    For each line where one can begin, those that end where one of the template's bigrams does.
-    """
+    def start(pair: Column, k: Column) -> Column:
+        new = (k == 0) | (F.get("pairs", k - 1)["begins"] != pair["begins"])
+        return F.struct(pair["begins"].alias("first"), (k + 1).alias("at"), new.alias("new"))
+
+    return F.filter(F.transform("pairs", start), lambda s: s["new"] & F.array_contains("lines", s["first"]))
+
+
+def _read_from(start: Column) -> Column:
+    """(first, pairs): what is read from a line on, the least width that is enough."""
+
+    def enough(pairs: Column) -> Column:
+        here = F.filter(pairs, lambda p: (p["begins"] == start["first"]) & F.array_contains("template", p["h"]))
+        later = F.filter(pairs, lambda p: p["begins"] > start["first"])
+        again = F.size(F.array_except(here["h"], later["h"])) == 0
+        whole_line = F.element_at(pairs, -1)["begins"] > start["first"]
+        return (F.size(F.array_distinct(pairs["h"])) > F.col("high")) | (whole_line & again)
+
+    widths = [F.slice("pairs", start["at"], AHEAD * WIDER**k * F.col("high")) for k in range(WIDTHS)]
+    tried = [F.get(F.filter(F.array(width), enough), F.lit(0)) for width in widths]
+    rest = F.slice("pairs", start["at"], F.size("pairs"))
+    return F.struct(start["first"].alias("first"), F.coalesce(*tried, rest).alias("pairs"))
+
+
+def _new_ends() -> Column:
+    """The lines in which one of the template's bigrams ends that hasn't come before."""
+    new = F.array_distinct(F.col("hits.h"))
+    first_at = lambda h: F.element_at(F.col("hits.ends"), F.array_position(F.col("hits.h"), h).cast("int"))
+    return F.array_distinct(F.transform(new, first_at))
+
+
+def _stretches(docs: DataFrame, threshold: float, templates: Mapping[tuple[str, str], str]) -> DataFrame:
+    """(doc_id, license_id, score, first, last) of the stretches of two lines or more that reach the threshold, but for
+    those that are as good or better without their first line or their last."""
     hashed = lambda bigrams: F.array(*(F.xxhash64(F.lit(bigram)) for bigram in bigrams))
     listed, every = [], {}
     for (license_id, _), content in templates.items():
@@ -199,20 +233,16 @@ def _stretches(docs: DataFrame, threshold: float, templates: Mapping[tuple[str,
     enough = F.filter(F.array(*listed), lambda t: F.size(F.array_intersect("near", t.template)) >= t.need)
     met = near.filter(F.size("near") > 0).select("doc_id", "text", F.explode(enough).alias("t")).select("doc_id", "text", "t.*")
 
-    def holding(pairs: str, line: str) -> Column:
-        hits = F.filter(pairs, lambda p: F.array_contains("template", p.h))
-        return F.array_distinct(F.transform(hits, lambda p: p[line]))
-
     # Each array is a row's column, by way of explode, so that it is worked out once and not for each element.
     names = ["doc_id", "license_id", "template", "low", "high"]
     read = met.select(*names, F.explode(F.array(F.filter(_pairs(F.col("text")), F.isnotnull))).alias("pairs"))
-    begun = read.select(*names, "pairs", F.explode(holding("pairs", "begins")).alias("first"))
-    at = F.array_position(F.col("pairs.begins"), F.col("first")).cast("int")
-    some = F.slice("pairs", at, AHEAD * F.col("high"))
-    full = F.size(F.array_distinct(some.h)) > F.col("high")
-    ahead = F.when(full, some).otherwise(F.slice("pairs", at, F.size("pairs")))
-    begun = begun.select(*names, "first", F.explode(F.array(ahead)).alias("pairs"))
-    ended = begun.select(*names, "first", "pairs", F.explode(holding("pairs", "ends")).alias("last")).filter("last > first")
+    hits = F.filter("pairs", lambda p: F.array_contains("template", p.h))
+    lines = F.array_distinct(F.transform(hits, lambda p: p.begins))
+    read = read.select(*names, "pairs", F.explode(F.array(lines)).alias("lines"))
+    begun = read.select(*names, F.explode(F.transform(_line_starts(), _read_from)).alias("s")).select(*names, "s.*")
+    hits = F.filter("pairs", lambda p: F.array_contains("template", p.h))
+    begun = begun.select(*names, "first", "pairs", F.explode(F.array(hits)).alias("hits"))
+    ended = begun.select(*names, "first", "pairs", F.explode(_new_ends()).alias("last")).filter("last > first")
     own = F.transform(F.filter("pairs", lambda p: p.ends <= F.col("last")), lambda p: p.h)
     sets = ended.select(*names, "first", "last", F.explode(F.array(F.array_distinct(own))).alias("own"))
     sets = sets.withColumn("n", F.size("own")).filter("n BETWEEN low AND high")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -195,6 +196,47 @@ def wrapped(text, width=9, blank_at=(3, 7)):
     return "\n".join(line + ("\n\n#" if k in blank_at else "") for k, line in enumerate(lines))
 
 
+def test_stretches_equal_all_ranges_of_lines(spark):
+    """The best of all ranges of lines, in texts of a template's lines, repeated, mixed and cut."""
+    rng = random.Random(11)
+    templates = {("X", "text"): "one two three four five six seven eight nine ten eleven twelve", ("Y", "n"): "red green blue red green"}
+    vocabulary = " ".join(templates.values()).split() + ["other", "words"]
+    texts = []
+    for _ in range(120):
+        lines = []
+        for _ in range(rng.randrange(1, 9)):
+            words = rng.choice(list(templates.values())).split()
+            at = rng.randrange(len(words))
+            line = words[at : at + rng.randrange(1, 7)] if rng.random() < 0.7 else rng.choices(vocabulary, k=rng.randrange(4))
+            lines += [" ".join(line)] * rng.choice([1, 1, 1, 3])
+        texts.append("\n".join(lines))
+    found = {(r.doc_id, r.license_id): r.score for r in license_scan.license_scan(documents(spark, texts), spark, templates=templates).collect()}
+    expected = {}
+    for k, text in enumerate(texts):
+        lines = text.split("\n")
+        for (license_id, _), template in templates.items():
+            ranges = ((a, b) for a in range(len(lines)) for b in range(a + 1, len(lines) + 1))
+            best = max(dice("\n".join(lines[a:b]), template) for a, b in ranges)
+            if best >= 0.8:
+                expected[k, license_id] = best
+    assert found == pytest.approx(expected) and len(expected) > 30
+
+
+@pytest.mark.parametrize("kind", ["equal", "alternating", "once and then few words"])
+def test_thousands_of_lines_that_repeat(spark, kind):
+    notice = "Licensed under the Apache License, Version 2.0 (the License); you may not use this file"
+    lines = {
+        "equal": ["Released under the MIT License."] * 5000,
+        "alternating": ["Permission is hereby granted, free of charge,", "to any person obtaining a copy of this software"] * 2500,
+        "once and then few words": [*notice.split(", "), *["the license is of the file", "you may use it under the license"] * 2000],
+    }[kind]
+    began = time.monotonic()
+    found = {r.license_id: r.n_units for r in license_scan.license_scan(documents(spark, ["\n".join(lines)]), spark).collect()}
+    assert time.monotonic() - began < 40
+    # The whole is a unit too.
+    assert found == ({"MIT": 5001} if kind == "equal" else {})
+
+
 def test_licences_amid_long_texts(spark):
     """Templates of several lines and paragraphs, code and prose before and after them without an empty line."""
     code = "\n".join(f"x{k} = call{k}(a{k}, b{k})" for k in range(60))
