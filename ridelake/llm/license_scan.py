@@ -23,7 +23,7 @@ from collections.abc import Mapping
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 THRESHOLD = 0.8
@@ -57,6 +57,20 @@ following conditions are met: Redistributions of source code must retain the abo
 conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this
 list of conditions and the following disclaimer in the documentation and/or other materials provided with the
 distribution."""
+_BSD3 = """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission."""
+_BSD_DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE
+ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;
+LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
+CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
+SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_ISC_DISCLAIMER = """THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE
+INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL,
+DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER
+IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+PERFORMANCE OF THIS SOFTWARE."""
 _GPL3 = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General
 Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any
 later version."""
@@ -68,12 +82,19 @@ TEMPLATES: dict[tuple[str, str], str] = {
     ("MIT", "text"): _MIT,
     ("MIT", "notice"): "Released under the MIT License.",
     ("MIT", "notice 2"): "Licensed under the MIT License.",
-    ("ISC", "text"): _ISC,
+    ("ISC", "permission"): _ISC,
+    ("ISC", "text"): f"{_ISC} {_ISC_DISCLAIMER}",
     ("Apache-2.0", "header"): _APACHE,
     ("Apache-2.0", "notice"): "Licensed under the Apache License, Version 2.0.",
-    ("BSD-2-Clause", "text"): _BSD,
+    ("BSD-2-Clause", "conditions"): _BSD,
+    ("BSD-2-Clause", "text"): f"{_BSD} {_BSD_DISCLAIMER}",
+    ("BSD-3-Clause", "conditions"): f"{_BSD} {_BSD3}",
+    ("BSD-3-Clause", "text"): f"{_BSD} {_BSD3} {_BSD_DISCLAIMER}",
     ("BSD-3-Clause", "notice"): "Licensed under the BSD 3-Clause License.",
     ("GPL-3.0", "header"): _GPL3,
+    ("GPL-2.0", "header"): _GPL3.replace("version 3", "version 2"),
+    ("LGPL-3.0", "header"): _GPL3.replace("GNU General", "GNU Lesser General").replace("GNU\nGeneral", "GNU Lesser General"),
+    ("AGPL-3.0", "header"): _GPL3.replace("GNU General", "GNU Affero General").replace("GNU\nGeneral", "GNU Affero General"),
     ("GPL-3.0", "notice"): "This work is licensed under the GNU General Public License, version 3.",
     ("MPL-2.0", "header"): _MPL,
     ("CC-BY-4.0", "notice"): "Licensed under CC BY 4.0.",
@@ -82,8 +103,16 @@ TEMPLATES: dict[tuple[str, str], str] = {
 }
 
 
+#: Another spelling, and that of the templates.
+_SPELT = ("licence", "license")
+
+
 def words_of(text: str) -> list[str]:
-    return re.sub("[^a-z0-9]+", " ", text.lower()).split()
+    return re.sub("[^a-z0-9]+", " ", text.lower().replace(*_SPELT)).split()
+
+
+def _small(text: Column) -> Column:
+    return F.replace(F.lower(text), *map(F.lit, _SPELT))
 
 
 def size_bounds(bigrams: int, threshold: float) -> tuple[int, int]:
@@ -159,7 +188,7 @@ def template_list(
 
 def _bigrams(unit: Column) -> Column:
     """Hashes of the different bigrams of a text; none below two words."""
-    words = F.split(F.trim(F.regexp_replace(F.lower(unit), "[^a-z0-9]+", " ")), " ")
+    words = F.split(F.trim(F.regexp_replace(_small(unit), "[^a-z0-9]+", " ")), " ")
     pairs = F.zip_with(F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words) - 1), lambda a, b: F.xxhash64(F.concat_ws(" ", a, b)))
     return F.array_distinct(F.when(F.size(words) > 1, pairs).otherwise(F.array().cast("array<bigint>")))
 
@@ -175,7 +204,7 @@ def _units(text: Column) -> Column:
 
 def _pairs(text: Column) -> Column:
     """(h, begins, ends) of each bigram of a text: its hash and the lines of its two words."""
-    lines = F.transform(F.split(F.lower(text), "\n"), lambda line: F.split(F.regexp_replace(line, "[^a-z0-9]+", " "), " "))
+    lines = F.transform(F.split(_small(text), "\n"), lambda line: F.split(F.regexp_replace(line, "[^a-z0-9]+", " "), " "))
     numbered = F.transform(lines, lambda line, k: F.transform(F.filter(line, lambda w: w != ""), lambda w: F.struct(w.alias("w"), k.alias("k"))))
     words = F.flatten(numbered)
     pair = lambda a, b: F.struct(F.xxhash64(F.concat_ws(" ", a.w, b.w)).alias("h"), a.k.alias("begins"), b.k.alias("ends"))
@@ -260,6 +289,19 @@ def _places(stretches: Column) -> Column:
     return F.aggregate(F.array_sort(stretches), start, count, lambda seen: seen.n)
 
 
+def _best_there(matches: DataFrame) -> DataFrame:
+    """Without the matches in whose every line another licence has a better one: BSD's two clauses within its three.
+
+    Places are lines; a paragraph is a place of its own. A place has the best match of all there, whoever has how many.
+    """
+    of = ["doc_id", "license_id", "plain", "first", "last"]
+    lines = matches.withColumn("line", F.explode(F.sequence("first", "last")))
+    best = F.max(F.struct("score", "license_id")).over(Window.partitionBy("doc_id", "line"))
+    lost = (best["license_id"] != F.col("license_id")) & (best["score"] > F.col("score"))
+    judged = lines.withColumn("lost", lost).groupBy(*of).agg(F.bool_and("lost").alias("lost"), F.max("score").alias("score"))
+    return judged.filter(~F.col("lost"))
+
+
 def license_scan(
     docs: DataFrame,
     spark: SparkSession,
@@ -270,27 +312,32 @@ def license_scan(
 
     Units are lines, stretches of lines, paragraphs and the whole. The score is the greatest coefficient of a unit
     with a form of the licence, and n_units counts lines, paragraphs and wholes that reach the threshold with any of
-    its forms; where only other stretches do, it counts these, those that overlap as one. Null and empty texts match nothing, nor do units of one word. Rows that
+    its forms; where only other stretches do, it counts these, those that overlap as one. What another licence matches
+    better in every line of it doesn't count. Null and empty texts match nothing, nor do units of one word. Rows that
     repeat count together, as one document with all their units. Other columns are ignored; no rows give none.
     """
-    text = F.lower(F.col("text").cast("string"))
+    text = _small(F.col("text").cast("string"))
     some = docs.filter(_telling(text, telling_words(threshold, templates)))
-    units = some.select("doc_id", F.posexplode(_units(F.col("text").cast("string"))).alias("unit", "content"))
-    sets = units.select("doc_id", "unit", _bigrams(F.col("content")).alias("own")).withColumn("n", F.size("own"))
+    content = F.col("text").cast("string")
+    n_lines = F.size(F.split(content, "\n"))
+    units = some.select("doc_id", n_lines.alias("lines"), F.posexplode(_units(content)).alias("unit", "content"))
+    sets = units.select("doc_id", "lines", "unit", _bigrams(F.col("content")).alias("own")).withColumn("n", F.size("own"))
     met = sets.join(F.broadcast(template_list(spark, threshold, templates)), F.col("n") == F.col("units_size"))
     shared = F.size(F.array_intersect("own", "template"))
     scored = met.withColumn("score", 2.0 * shared / (F.col("n") + F.size("template")))
-    plain = (
-        scored.filter(F.col("score") >= threshold)
-        .groupBy("doc_id", "license_id", "unit")
-        .agg(F.max("score").alias("score"))
-        .select("doc_id", "license_id", "score", F.lit(1).alias("plain"), F.lit(None).cast("struct<first:int,last:int>").alias("stretch"))
+    # The whole comes after the lines, paragraphs after that: those are places below 0.
+    line, whole = F.col("unit") < F.col("lines"), F.col("unit") == F.col("lines")
+    first = F.when(line, F.col("unit")).when(whole, 0).otherwise(-F.col("unit"))
+    last = F.when(line, F.col("unit")).when(whole, F.col("lines") - 1).otherwise(-F.col("unit"))
+    plain = scored.filter(F.col("score") >= threshold).select(
+        "doc_id", "license_id", "score", F.when(whole, 2).otherwise(1).alias("plain"), first.alias("first"), last.alias("last")
     )
-    stretches = _stretches(some, threshold, templates).select(
-        "doc_id", "license_id", "score", F.lit(0).alias("plain"), F.struct("first", "last").alias("stretch")
+    stretches = _stretches(some, threshold, templates).select("doc_id", "license_id", "score", F.lit(0).alias("plain"), "first", "last")
+    found = _best_there(plain.unionByName(stretches)).groupBy("doc_id", "license_id")
+    stretch = F.when(F.col("plain") == 0, F.struct("first", "last"))
+    counted = found.agg(
+        F.max("score").alias("score"), F.count_if(F.col("plain") > 0).alias("plain"), F.collect_set(stretch).alias("stretches")
     )
-    found = plain.unionByName(stretches).groupBy("doc_id", "license_id")
-    counted = found.agg(F.max("score").alias("score"), F.sum("plain").alias("plain"), F.collect_set("stretch").alias("stretches"))
     n_units = F.when(F.col("plain") > 0, F.col("plain")).otherwise(_places(F.col("stretches")).cast("long"))
     return counted.select("doc_id", "license_id", "score", n_units.alias("n_units"))
 
@@ -299,7 +346,7 @@ def oracle(threshold: float = THRESHOLD, templates: Mapping[tuple[str, str], str
     """The same as SQL for DuckDB, without the bounds: every unit against every template."""
 
     def bigrams(text: str) -> str:
-        words = f"string_split(trim(regexp_replace(lower({text}), '[^a-z0-9]+', ' ', 'g')), ' ')"
+        words = f"string_split(trim(regexp_replace(replace(lower({text}), 'licence', 'license'), '[^a-z0-9]+', ' ', 'g')), ' ')"
         return f"(SELECT list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM (SELECT {words} AS w))"
 
     values = ", ".join(
@@ -309,17 +356,25 @@ def oracle(threshold: float = THRESHOLD, templates: Mapping[tuple[str, str], str
         WITH templates(license_id, content) AS (VALUES {values}),
         t AS (SELECT license_id, {bigrams("content")} AS bigrams FROM templates),
         units AS (
-          SELECT doc_id, unnest(string_split(text, chr(10))) AS content, generate_subscripts(string_split(text, chr(10)), 1) AS unit
+          SELECT doc_id, unnest(string_split(text, chr(10))) AS content, generate_subscripts(string_split(text, chr(10)), 1) AS first, first AS last
           FROM documents
-          UNION ALL SELECT doc_id, text, -1 FROM documents WHERE contains(text, chr(10))
-          UNION ALL SELECT doc_id, unnest(p), -1 - generate_subscripts(p, 1)
+          UNION ALL SELECT doc_id, text, 1, len(string_split(text, chr(10))) FROM documents WHERE contains(text, chr(10))
+          UNION ALL SELECT doc_id, unnest(p), -generate_subscripts(p, 1) AS first, first
           FROM (SELECT doc_id, regexp_split_to_array(text, '\\n\\s*\\n') AS p FROM documents) WHERE len(p) > 1
         ),
-        u AS (SELECT doc_id, unit, {bigrams("content")} AS bigrams FROM units WHERE content IS NOT NULL),
+        u AS (SELECT doc_id, first, last, {bigrams("content")} AS bigrams FROM units WHERE content IS NOT NULL),
         scored AS (
-          SELECT doc_id, license_id, unit,
+          SELECT doc_id, license_id, first, last,
             max(2.0::DOUBLE * len(list_intersect(u.bigrams, t.bigrams)) / (len(u.bigrams) + len(t.bigrams))) AS score
-          FROM u, t WHERE len(u.bigrams) > 0 GROUP BY ALL
+          FROM u, t WHERE len(u.bigrams) > 0 GROUP BY ALL HAVING score >= {threshold}
+        ),
+        lines AS (SELECT *, unnest(range(first, last + 1)) AS line FROM scored),
+        judged AS (
+          SELECT *, arg_max(license_id, (score, license_id)) OVER w AS best, max(score) OVER w AS most FROM lines
+          WINDOW w AS (PARTITION BY doc_id, line)
+        ),
+        kept AS (
+          SELECT doc_id, license_id, first, last, score FROM judged
+          GROUP BY ALL HAVING NOT bool_and(best <> license_id AND most > score)
         )
-        SELECT doc_id, license_id, max(score) AS score, count(*) AS n_units FROM scored
-        WHERE score >= {threshold} GROUP BY doc_id, license_id"""
+        SELECT doc_id, license_id, max(score) AS score, count(*) AS n_units FROM kept GROUP BY doc_id, license_id"""

@@ -140,6 +140,15 @@ def test_size_bounds():
             assert (low <= a <= high) == (2 * min(a, n) >= 0.8 * (a + n) - 1e-9)
 
 
+def best_there(matches):
+    """Of (place, licence, score), places being sets of lines, those that aren't beaten by another licence in every line."""
+    best = {}
+    for place, license_id, score in matches:
+        for line in place:
+            best[line] = max(best.get(line, (0, "")), (score, license_id))
+    return [m for m in matches if not all(best[line][1] != m[1] and best[line][0] > m[2] for line in m[0])]
+
+
 def test_licences_equal_all_pairs(spark):
     rng = random.Random(3)
     texts = [None, "", "one", "Some prose here.\nReleased under the MIT license\nmore prose"]
@@ -154,16 +163,41 @@ def test_licences_equal_all_pairs(spark):
     found = {(r.doc_id, r.license_id): r.score for r in license_scan.license_scan(docs, spark).collect()}
     expected = {}
     for k, text in enumerate(texts):
-        units = [] if text is None else [text, *text.split("\n"), *re.split(r"\n\s*\n", text)]
-        for (license_id, _), template in license_scan.TEMPLATES.items():
-            best = max((dice(unit, template) for unit in units), default=0)
-            if best >= 0.8:
-                expected[k, license_id] = max(expected.get((k, license_id), 0), best)
+        lines, parts = [] if text is None else text.split("\n"), [] if text is None else re.split(r"\n\s*\n", text)
+        units = [({j}, line) for j, line in enumerate(lines)]
+        # Ranges of lines are all looked at, those of paragraphs and the whole among them.
+        units += [(set(range(a, b)), "\n".join(lines[a:b])) for a in range(len(lines)) for b in range(a + 2, len(lines) + 1)]
+        units += [({-j}, part) for j, part in enumerate(parts, 1)] if len(parts) > 1 else []
+        scores = [(place, i, dice(unit, t)) for place, unit in units for (i, _), t in license_scan.TEMPLATES.items()]
+        for _, license_id, score in best_there([m for m in scores if m[2] >= 0.8]):
+            expected[k, license_id] = max(expected.get((k, license_id), 0), score)
     assert found == pytest.approx(expected)
     assert {license_id for _, license_id in expected} == {license_id for license_id, _ in license_scan.TEMPLATES}
+
+
+def test_nothing_and_kinship(spark):
+    docs = documents(spark, ["x"])
     assert license_scan.license_scan(docs.filter("false"), spark).collect() == []
 
 
+def test_texts_alike_give_the_one_that_is_there(spark):
+    """Of licences that share most of their words, in one line, wrapped, in paragraphs, and between other text."""
+    names = [key for key in license_scan.TEMPLATES if key[1] in ("text", "conditions", "header", "permission")]
+    prose = "\n".join(" ".join(f"w{k}x{j}" for j in range(12)) for k in range(20))
+    texts, expected = [], {}
+    for license_id, form in names:
+        text = license_scan.TEMPLATES[license_id, form]
+        for shape in (" ".join(text.split()), wrapped(text, 9, ()), wrapped(text, 9), f"{prose}\n{wrapped(text, 11, ())}\n{prose}"):
+            expected[len(texts)] = license_id
+            texts.append(shape)
+    texts += ["Released under the MIT Licence.", "Released under the MIT License.\nLicensed under CC BY 4.0."]
+    expected[len(texts) - 2] = "MIT"
+    found = {}
+    for r in license_scan.license_scan(documents(spark, texts), spark).collect():
+        found.setdefault(r.doc_id, set()).add(r.license_id)
+    assert found == {k: {license_id} for k, license_id in expected.items()} | {len(texts) - 1: {"MIT", "CC-BY-4.0"}}
+
+
 def test_telling_words_lose_no_match():
     words = license_scan.telling_words()
     rng = random.Random(7)
