@@ -5,10 +5,10 @@ coefficient of sets of ``a`` and ``b`` is at most ``2 min(a, b) / (a + b)``, so
 match units whose number lies between two bounds. Each template is listed once for each number it admits, and units
 meet templates by an equal number: a hash join against that short list, in which no pair beyond the bounds is formed.
 
-Before that, texts without any of a few words are left out: too many of every template's bigrams have one of them.
+Before that, texts without any of a few words are left out, as too many of every template's bigrams have one of them,
+and then those that hold fewer bigrams of each template than a unit must share with it.
 
-Stretches of several lines are looked at only for texts that hold as many of a template's bigrams as a unit must share
-with it. A line at either end whose bigrams of the template are all in the rest of the stretch too only lowers the
+Stretches of several lines are looked at for those templates alone. A line at either end whose bigrams of the template are all in the rest of the stretch too only lowers the
 coefficient. So a stretch begins at a line where one of them begins, and reaches no further than to where all that begin
 there have come again; and it ends at a line where one ends that hadn't come before. From one line on, then, no more is
 read than up to the next place of its bigrams, and no more ends are tried than the template has bigrams: over all lines
@@ -26,6 +26,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ridelake.llm.common import checkpointed
+
 THRESHOLD = 0.8
 #: The list of templates by size is broadcast; beyond this many entries it is an error.
 MOST_ENTRIES = 1_000_000
@@ -244,9 +246,11 @@ def _new_ends() -> Column:
     return F.array_distinct(F.transform(new, first_at))
 
 
-def _stretches(docs: DataFrame, threshold: float, templates: Mapping[tuple[str, str], str]) -> DataFrame:
-    """(doc_id, license_id, score, first, last) of the stretches of two lines or more that reach the threshold, but for
-    those that are as good or better without their first line or their last."""
+def _near(docs: DataFrame, threshold: float, templates: Mapping[tuple[str, str], str]) -> DataFrame:
+    """(doc_id, text, near) of texts that hold as many bigrams of a template as a unit must share: with those templates.
+
+    A unit's bigrams are its text's, so no match is lost.
+    """
     hashed = lambda bigrams: F.array(*(F.xxhash64(F.lit(bigram)) for bigram in bigrams))
     listed, every = [], {}
     for (license_id, _), content in templates.items():
@@ -258,10 +262,16 @@ def _stretches(docs: DataFrame, threshold: float, templates: Mapping[tuple[str,
             every |= dict.fromkeys(bigrams)
     text = F.col("text").cast("string")
     shared = F.array_intersect(_bigrams(text), hashed(every))
-    near = docs.filter(F.contains(text, F.lit("\n"))).select("doc_id", text.alias("text"), F.explode(F.array(shared)).alias("near"))
-    enough = F.filter(F.array(*listed), lambda t: F.size(F.array_intersect("near", t.template)) >= t.need)
-    met = near.filter(F.size("near") > 0).select("doc_id", "text", F.explode(enough).alias("t")).select("doc_id", "text", "t.*")
+    held = docs.select("doc_id", text.alias("text"), F.explode(F.array(shared)).alias("held")).filter(F.size("held") > 0)
+    enough = F.filter(F.array(*listed), lambda t: F.size(F.array_intersect("held", t.template)) >= t.need)
+    near = held.select("doc_id", "text", F.explode(F.array(enough)).alias("near"))
+    return near.filter(F.size("near") > 0)
+
 
+def _stretches(near: DataFrame, threshold: float) -> DataFrame:
+    """(doc_id, license_id, score, first, last) of the stretches of two lines or more that reach the threshold, but for
+    those that are as good or better without their first line or their last."""
+    met = near.filter(F.contains("text", F.lit("\n"))).select("doc_id", "text", F.explode("near").alias("t")).select("doc_id", "text", "t.*")
     # Each array is a row's column, by way of explode, so that it is worked out once and not for each element.
     names = ["doc_id", "license_id", "template", "low", "high"]
     read = met.select(*names, F.explode(F.array(F.filter(_pairs(F.col("text")), F.isnotnull))).alias("pairs"))
@@ -318,7 +328,9 @@ def license_scan(
     """
     text = _small(F.col("text").cast("string"))
     some = docs.filter(_telling(text, telling_words(threshold, templates)))
-    content = F.col("text").cast("string")
+    # Few texts are left, and they are read twice.
+    some = checkpointed(_near(some, threshold, templates))
+    content = F.col("text")
     n_lines = F.size(F.split(content, "\n"))
     units = some.select("doc_id", n_lines.alias("lines"), F.posexplode(_units(content)).alias("unit", "content"))
     sets = units.select("doc_id", "lines", "unit", _bigrams(F.col("content")).alias("own")).withColumn("n", F.size("own"))
@@ -332,7 +344,7 @@ def license_scan(
     plain = scored.filter(F.col("score") >= threshold).select(
         "doc_id", "license_id", "score", F.when(whole, 2).otherwise(1).alias("plain"), first.alias("first"), last.alias("last")
     )
-    stretches = _stretches(some, threshold, templates).select("doc_id", "license_id", "score", F.lit(0).alias("plain"), "first", "last")
+    stretches = _stretches(some, threshold).select("doc_id", "license_id", "score", F.lit(0).alias("plain"), "first", "last")
     found = _best_there(plain.unionByName(stretches)).groupBy("doc_id", "license_id")
     stretch = F.when(F.col("plain") == 0, F.struct("first", "last"))
     counted = found.agg(
