@@ -206,7 +206,9 @@ _NOW = {"availableNow": True}
 def _scratch_lake(spark: SparkSession) -> tuple[str, Lake]:
     """A new folder below the cluster's shared one, or else the warehouse, and a lake in it; gone with the session."""
     name = f"queries_{uuid.uuid4().hex}"
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    if not (shared := spark.conf.get("spark.checkpoint.dir", None)):
+        shared = spark.conf.get("spark.sql.warehouse.dir")
+        storage.must_be_shared(spark, shared)
     root = storage.qualified(spark, f"{shared.rstrip('/')}/ridelake-queries/{name}")
     storage.delete_on_exit(spark, root)
     return root, Lake(f"{root}/bronze", f"{root}/silver", f"{root}/gold", f"{root}/checkpoints", name=name)

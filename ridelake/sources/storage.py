@@ -62,3 +62,9 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     """Sorted paths that match a glob pattern."""
     fs, hadoop_path = _at(spark, pattern)
     return sorted(entry.getPath().toString() for entry in fs.globStatus(hadoop_path) or [])
+
+
+def must_be_shared(spark: SparkSession, path: str) -> None:
+    """An error if the path is a folder of each machine's own and the session has several machines."""
+    if qualified(spark, path).startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{path} is another folder on each machine: set spark.checkpoint.dir to one that all share")
