@@ -34,6 +34,7 @@ def shared_folder(spark: SparkSession) -> str:
     if shared := spark.conf.get("spark.checkpoint.dir", None):
         return shared.rstrip("/")
     own = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared-{uuid.uuid4()}"
+    storage.must_be_shared(spark, own)
     storage.delete_on_exit(spark, own)
     return own
 

@@ -7,9 +7,10 @@ texts is one sequence of classes that is cut into chunks; every chunk's map from
 once for all chunks, the maps are composed by a parallel prefix scan, and with each chunk's entry state known all
 chunks run in step and mark where pieces begin.
 
-The second reads pieces from its start state: a transition is labelled with a piece and annotated with the number
-of tokens it emits, and leads back to the start. Its transitions are compiled from the merge table as pieces come
-up; up to ``TRANSITIONS`` of them are kept, the others compiled again for each slice.
+Only this cutting is a compiled transducer. Tokens of a piece are counted by the vocabulary's merges, lowest rank first,
+for all new pieces at once: a later byte can change earlier merges, so a piece is merged whole. A dictionary from
+pieces to counts keeps up to ``TRANSITIONS`` of them, others are merged again for each slice; a text's count is the sum
+of its pieces'.
 """
 
 from __future__ import annotations
@@ -124,6 +125,11 @@ class Vocabulary:
         self.merges = {}
         for rank, (one, other) in enumerate(m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]):
             self.merges[ids[one], ids[other]] = rank, ids[one + other]
+        if max(ids.values(), default=0) >= 1 << 16:
+            raise ValueError("pairs of tokens are numbered by 16 bits each: the vocabulary has more ids")
+        cutter = spec.get("pre_tokenizer") or {}
+        if cutter.get("type") != "ByteLevel" or cutter.get("add_prefix_space") or not cutter.get("use_regex", True):
+            raise ValueError(f"texts are cut by the byte-level rule only, not by {cutter}")
         self.merged = np.array([new for _, new in self.merges.values()])
         self.slots = self._hashed()
         self.bytes = [ids[char] for char in _byte_characters()]
