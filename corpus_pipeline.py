@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridelake.llm import decontaminate, mixing, quality_neighbours, secret_crf, simhash_dedup
-from ridelake.llm.common import shared_folder, table
+from ridelake.llm.common import free_names, shared_folder, table
 from ridelake.llm.queries import LEAST_QUALITY
 from ridelake.sources import storage
 
@@ -34,9 +34,10 @@ def keep_clean_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, the secrets in them replaced by a mark; n_chars is counted again where the length changed."""
-    measured = docs.withColumn("_chars", F.length("text"))
+    (before,) = free_names(docs, "_chars")
+    measured = docs.withColumn(before, F.length("text"))
     clean = secret_crf.redacted(measured, secret_crf.fit_documents(docs), spark)
-    changed = F.length("text") != F.col("_chars")
+    changed = F.length("text") != F.col(before)
     counted = F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return clean.withColumn("n_chars", counted).select(*docs.columns)
 
