@@ -27,7 +27,7 @@ from ridelake.schemas import EVENT
 from ridelake.settings import input_bytes, tune
 from ridelake.sources import kafka, storage
 from ridelake.sources.lake import Lake
-from ridelake.streaming.bronze import start_bronze
+from ridelake.streaming.bronze import start_bronze, start_sorted_bronze
 from ridelake.streaming.gold import refresh_sums
 from ridelake.streaming.queries import await_all
 from ridelake.streaming.silver import publish_silver, start_silver
@@ -245,7 +245,7 @@ def _after_batch_job(layer: str, table: str, gold_tables: tuple[str, ...] | None
     return transform
 
 
-def _after_stream(name: str, **options) -> Callable[[DataFrame], DataFrame]:
+def _after_stream(name: str, write_bronze: Callable = start_bronze, **options) -> Callable[[DataFrame], DataFrame]:
     """A silver table after messages streamed into bronze, and bronze in slices into silver."""
 
     def transform(events: DataFrame) -> DataFrame:
@@ -253,7 +253,7 @@ def _after_stream(name: str, **options) -> Callable[[DataFrame], DataFrame]:
         root, lake = _scratch_lake(spark)
         _messages(events).write.parquet(f"{root}/topic")
         messages = spark.readStream.schema("value BINARY").parquet(f"{root}/topic")
-        failed = await_all([start_bronze(bronze.parse_events(messages), lake, trigger=_NOW)])
+        failed = await_all([write_bronze(bronze.parse_events(messages), lake, trigger=_NOW)])
 
         slice_bytes = max(input_bytes(bronze.read_events(spark, lake)) // 3, 1)
         entity = silver.entity_named(name)
@@ -326,6 +326,17 @@ def _compacted_gold(events: DataFrame) -> DataFrame:
     return lake.read(spark, "gold", name)
 
 
+def _interleaved_gold(events: DataFrame) -> DataFrame:
+    """A gold table after its files were made to hold ranges of both columns it is queried by."""
+    spark, name = events.sparkSession, "daily_ride_metrics"
+    _, lake = _scratch_lake(spark)
+    _silver_in(lake, events)
+    gold.write_gold(gold.build(name, {"rides": lake.read(spark, "silver", "rides")}), lake, name)
+    size = input_bytes(lake.read(spark, "gold", name))
+    jobs.compact_gold(spark, lake, name, interleave=True, file_bytes=max(size // 16, 1))
+    return lake.read(spark, "gold", name)
+
+
 def _schema_merged(events: DataFrame) -> DataFrame:
     """A silver table that had a column more before."""
     spark = events.sparkSession
@@ -346,8 +357,10 @@ JOBS = {
     ),
     "gold_row_counts": _gold_counts,
     "compacted_gold": _compacted_gold,
+    "interleaved_gold": _interleaved_gold,
     "silver_schema_merged": _schema_merged,
     **{f"stream_{name}": _after_stream(name) for name in silver.ENTITIES},
+    "stream_drivers_sorted_bronze": _after_stream("drivers", start_sorted_bronze),
     "stream_customers_redelivered": lambda events: _after_stream("customers", deduplicate=True)(_redelivered(events)),
     **{f"streamed_{sums.name}": _streamed_gold(sums) for sums in SUMS},
     "bronze_replayed": _replayed,
@@ -630,6 +643,7 @@ def oracle_sql() -> dict[str, str]:
         "batch_job_ride_metrics": _with(_RIDES, select=_GOLD["daily_ride_metrics"]),
         "batch_job_row_counts": _with(*everything, select=_row_counts(_historical)),
         **{f"stream_{name}": sql for name, sql in silver_sql.items()},
+        "stream_drivers_sorted_bronze": silver_sql["drivers"],
         "stream_customers_redelivered": silver_sql["customers"],
         "streamed_daily_ride_metrics": _with(_RIDES, select=_GOLD["daily_ride_metrics"]),
         "streamed_ride_geo_heatmap": _with(_RIDES, select=_GOLD["ride_geo_heatmap"]),
@@ -698,5 +712,6 @@ def oracle_sql() -> dict[str, str]:
         "gold_row_counts": _with(*everything, select=_row_counts()),
         "stream_job_row_counts": _with(*everything, select=_row_counts()),
         "compacted_gold": _with(*everything, select=_GOLD["driver_performance"]),
+        "interleaved_gold": _with(_RIDES, select=_GOLD["daily_ride_metrics"]),
         **(llm.ORACLES if _WITH_LLM else {}),
     }

@@ -57,6 +57,11 @@ def build_all(silver: dict[str, DataFrame], as_of: AsOf = None) -> dict[str, Dat
     }
 
 
+def query_columns(name: str) -> tuple[str, ...]:
+    """Columns that a gold table is usually filtered by."""
+    return GOLD_QUERY_COLUMNS.get(canonical(name), ())
+
+
 def cluster_columns(name: str) -> tuple[str, ...]:
     """Columns to sort a gold table's files by; none for a table without an entry.
 
@@ -64,7 +69,7 @@ def cluster_columns(name: str) -> tuple[str, ...]:
     one segment) can be split over several ranges.
     """
     table = canonical(name)
-    wanted = GOLD_QUERY_COLUMNS.get(table, ())
+    wanted = query_columns(name)
     return wanted + tuple(column for column in _ROW_KEY.get(table, ()) if column not in wanted)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import time
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -72,8 +72,14 @@ def run_batch(
     )
 
 
-def compact_gold(spark: SparkSession, lake: Lake, name: str, **options) -> None:
-    """Fewer and larger files of a gold table, in ranges of its cluster columns as before."""
+def compact_gold(spark: SparkSession, lake: Lake, name: str, interleave: bool = False, **options) -> None:
+    """Fewer and larger files of a gold table, in ranges of its cluster columns as before.
+
+    With ``interleave`` a file holds a range of each of the columns the table is queried by, instead of the first
+    one's only, so that a filter on any of them skips files.
+    """
+    if interleave:
+        options["interleave"] = gold.query_columns(name)
     lake.compact(spark, "gold", name, cluster_by=gold.cluster_columns(name), **options)
 
 
@@ -107,10 +113,15 @@ def refresh(spark: SparkSession, lake: Lake, as_of: AsOf = None) -> dict[str, in
 
 
 def start_streaming(
-    spark: SparkSession, lake: Lake, messages: DataFrame, trigger: dict | None = None, **silver_options
+    spark: SparkSession,
+    lake: Lake,
+    messages: DataFrame,
+    trigger: dict | None = None,
+    bronze_writer: Callable[..., StreamingQuery] = start_bronze,
+    **silver_options,
 ) -> list[StreamingQuery]:
-    """Start the bronze stream and the three silver streams behind it."""
-    queries = [start_bronze(bronze.parse_events(messages), lake, trigger=trigger)]
+    """Start the bronze stream (by ``start_bronze`` or ``start_sorted_bronze``) and the three silver streams behind it."""
+    queries = [bronze_writer(bronze.parse_events(messages), lake, trigger=trigger)]
     for entity in silver.ENTITIES.values():
         queries.append(start_silver(spark, lake, entity, trigger=trigger, **silver_options))
     return queries
@@ -123,6 +134,7 @@ def run_streaming(
     trigger: dict | None = None,
     refresh_seconds: float = 600,
     as_of: AsOf = None,
+    bronze_writer: Callable[..., StreamingQuery] = start_bronze,
     **silver_options,
 ) -> list[StreamingQuery]:
     """Stream until the queries end, refreshing gold every so often and at the end.
@@ -134,14 +146,14 @@ def run_streaming(
     """
     if trigger is None:
         now = {"availableNow": True}
-        failed = await_all([start_bronze(bronze.parse_events(messages), lake, trigger=now)])
+        failed = await_all([bronze_writer(bronze.parse_events(messages), lake, trigger=now)])
         if not failed:
             entities = silver.ENTITIES.values()
             failed = await_all(
                 [start_silver(spark, lake, entity, trigger=now, **silver_options) for entity in entities]
             )
     else:
-        queries = start_streaming(spark, lake, messages, trigger, **silver_options)
+        queries = start_streaming(spark, lake, messages, trigger, bronze_writer, **silver_options)
         due = time.monotonic() + refresh_seconds
 
         def refresh_when_due() -> None:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ridelake.functions.schema import enforce_schema, merge_schemas
+from ridelake.operators.clustering import interleaved
 from ridelake.settings import sized_for_writing
 from ridelake.sources import storage
 
@@ -29,6 +30,9 @@ DEFAULT_FILE_BYTES = 256 * 1024 * 1024
 # The partition column of tables that are replaced bucket by bucket; readers don't see it.
 BUCKET = "_bucket"
 
+# The partition column of bronze tables that a stream writes micro-batch by micro-batch; readers don't see it.
+STREAM_BATCH = "_stream_batch"
+
 # What a table's properties say: the directory before the current one, and the version its buckets are up to.
 _BEFORE, _VERSION = "ridelake.before", "ridelake.version"
 
@@ -83,7 +87,13 @@ class Lake:
         if self.in_catalog(layer):
             return spark.catalog.tableExists(self.table(layer, table))
         names = storage.children(spark, self.path(layer, table))
-        return any(name == STREAM_FILE_LOG or not name.startswith("_") or name == "_delta_log" for name in names)
+        known = (STREAM_FILE_LOG, "_delta_log")
+        return any(name in known or not name.startswith("_") or name.startswith(f"{STREAM_BATCH}=") for name in names)
+
+    def has_batches(self, spark: SparkSession, layer: str, table: str) -> bool:
+        """Whether a stream writes the table micro-batch by micro-batch."""
+        names = storage.children(spark, self.path(layer, table))
+        return any(name.startswith(f"{STREAM_BATCH}=") for name in names)
 
     def current(self, spark: SparkSession, layer: str, table: str) -> str:
         """The directory of the table's files."""
@@ -95,7 +105,7 @@ class Lake:
     def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
         if self.in_catalog(layer):
             return spark.table(self.table(layer, table)).drop(BUCKET)
-        return spark.read.format(self.fmt).load(self.path(layer, table))
+        return spark.read.format(self.fmt).load(self.path(layer, table)).drop(STREAM_BATCH)
 
     # -- writing ----------------------------------------------------------------
 
@@ -113,6 +123,8 @@ class Lake:
         if not self.in_catalog(layer):
             if storage.exists(spark, f"{path}/{STREAM_FILE_LOG}"):
                 raise ValueError(f"{layer} table {table} is written by a stream, whose readers would not see other files")
+            if self.has_batches(spark, layer, table):
+                raise ValueError(f"{layer} table {table} is written by a stream, batch by batch")
             self._save(df, path, mode, partition_by, max_records_per_file)
         elif mode == "overwrite" or not self.exists(spark, layer, table):
             self._replace(df, layer, table, partition_by, max_records_per_file)
@@ -194,19 +206,24 @@ class Lake:
         table: str,
         file_bytes: int = DEFAULT_FILE_BYTES,
         cluster_by: Sequence[str] = (),
+        interleave: Sequence[str] = (),
     ) -> None:
         """Rewrite a table of many small files as files of about ``file_bytes``.
 
-        ``cluster_by`` are the columns whose ranges its files hold, if they do: they hold ranges again then. Of a
+        ``cluster_by`` are the columns whose ranges its files hold, if they do: they hold ranges again then. With
+        ``interleave``, files hold ranges of all these columns at once (see ``operators.clustering``). Of a
         partitioned bronze table only partitions in which files of under half that size can be put together are
         rewritten, each by Spark's dynamic partition overwrite; of those, larger files' rows are read and written too.
         """
         path = self.current(spark, layer, table)
         if self.fmt == "delta":
-            spark.sql(f"OPTIMIZE delta.`{path}`" + (f" ZORDER BY ({', '.join(cluster_by)})" if cluster_by else ""))
+            columns = interleave or cluster_by
+            spark.sql(f"OPTIMIZE delta.`{path}`" + (f" ZORDER BY ({', '.join(columns)})" if columns else ""))
             return
         if storage.exists(spark, f"{path}/{STREAM_FILE_LOG}"):
             raise ValueError(f"{path} is written by a stream, whose file log a rewrite would void")
+        if not self.in_catalog(layer) and self.has_batches(spark, layer, table):
+            raise ValueError(f"{path} is written by a stream, whose readers would read rewritten files again")
 
         session = _compacting(spark, file_bytes)
         df = session.read.parquet(path)
@@ -219,9 +236,12 @@ class Lake:
             writer = chosen.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             writer.partitionBy(*partition_by).parquet(path)
             return
-        if cluster_by:
-            size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-            df = df.repartitionByRange(max(1, -(-size // file_bytes)), *cluster_by).sortWithinPartitions(*cluster_by)
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        files = max(1, -(-size // file_bytes))
+        if interleave:
+            df = interleaved(df, interleave, files)
+        elif cluster_by:
+            df = df.repartitionByRange(files, *cluster_by).sortWithinPartitions(*cluster_by)
         # Otherwise no shuffle: the scan packs small files into one task each.
         if not self.in_catalog(layer):
             raise ValueError(f"{layer} table {table} has no partitions that could be replaced one by one")

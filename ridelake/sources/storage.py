@@ -27,6 +27,15 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a file or directory; nothing may be at ``to``, whose parent has to be there."""
+    fs, hadoop_path = _at(spark, path)
+    if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise ValueError(f"there is a {to}")
+    if not fs.rename(hadoop_path, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"{path} could not be renamed to {to}")
+
+
 def children(spark: SparkSession, path: str) -> dict[str, float]:
     """Names of what is right below ``path``, and the seconds since each was last changed."""
     fs, hadoop_path = _at(spark, path)

@@ -15,6 +15,8 @@ from ridelake.operators.dedup import dedup_events, first_deliveries
 from ridelake.plans import bronze, jobs, silver
 from ridelake.schemas import BRONZE
 from ridelake.sources import kafka, storage
+from ridelake.sources.lake import STREAM_BATCH
+from ridelake.streaming.bronze import start_bronze, start_sorted_bronze
 from ridelake.streaming.queries import await_all, stop_all
 from ridelake.streaming import silver as streamed
 from ridelake.streaming.silver import Changes, publish_silver, rebuild_silver, start_silver
@@ -300,3 +302,60 @@ def test_nothing_is_published_after_a_failure(spark, lake, topic, monkeypatch):
         assert jobs.run_streaming(spark, lake, topic.stream(), trigger)
         assert not spark.streams.active
         assert not lake.exists(spark, "gold", jobs.METRICS_TABLE)
+
+
+def test_sorted_bronze_equals_batch_and_its_batches_are_whole(spark, lake, topic):
+    events = random_events(6, 90)
+    for start, end in ((0, 50), (50, 90)):
+        topic.send(events[start : start + 10])
+        topic.send(events[start + 10 : end])
+        failed = jobs.run_streaming(spark, lake, topic.stream(), as_of=AS_OF, bronze_writer=start_sorted_bronze)
+        assert failed == []
+        assert silver_rows(spark, lake) == batch_rows(spark, events[:end])
+    read = bronze.read_events(spark, lake)
+    assert set(read.columns) == set(BRONZE.fieldNames())
+    assert sorted(storage.subdirectories(spark, lake.path("bronze", "events"))) == [
+        *[f"{STREAM_BATCH}={i}" for i in range(4)],
+        "_writing",
+    ]
+    for name in storage.matching(spark, f"{lake.path('bronze', 'events')}/*/year=*/month=*/day=*/*.parquet"):
+        kinds = [row.event_type or "" for row in spark.read.parquet(name).select("event_type").collect()]
+        assert kinds == sorted(kinds)
+    with pytest.raises(ValueError, match="written by a stream"):
+        lake.write(read, "bronze", "events")
+    with pytest.raises(ValueError, match="read rewritten files again"):
+        lake.compact(spark, "bronze", "events")
+    with pytest.raises(ValueError, match="another writer"):
+        start_bronze(bronze.parse_events(topic.stream()), lake)
+    storage.delete(spark, lake.checkpoint("bronze", "events"))
+    with pytest.raises(ValueError, match="belong to a checkpoint"):
+        start_sorted_bronze(bronze.parse_events(topic.stream()), lake)
+
+
+@pytest.mark.parametrize("when", ["before it appears", "after it appeared"])
+def test_a_bronze_batch_that_runs_again_counts_once(spark, lake, topic, monkeypatch, when):
+    events = random_events(7, 60)
+    topic.send(events[:30])
+    topic.send(events[30:])
+    move, calls = storage.move, []
+
+    def dies_once(spark, path, to):
+        calls.append(to)
+        if len(calls) == 2:
+            if when == "after it appeared":
+                move(spark, path, to)
+            raise OSError("executor and driver are lost")
+        move(spark, path, to)
+
+    monkeypatch.setattr(storage, "move", dies_once)
+    parsed = bronze.parse_events(topic.stream())
+    assert len(await_all([start_sorted_bronze(parsed, lake, trigger=NOW)])) == 1
+    silver_now = [start_silver(spark, lake, entity, trigger=NOW) for entity in silver.ENTITIES.values()]
+    assert await_all(silver_now) == []  # a reader between the crash and the restart
+    assert await_all([start_sorted_bronze(parsed, lake, trigger=NOW)]) == []
+    ids = rows(bronze.read_events(spark, lake), "event_id")
+    assert ids == sorted(((e[0],) for e in events), key=repr)
+    assert await_all([start_silver(spark, lake, entity, trigger=NOW) for entity in silver.ENTITIES.values()]) == []
+    for entity in silver.ENTITIES.values():
+        publish_silver(spark, lake, entity, AS_OF)
+    assert silver_rows(spark, lake) == batch_rows(spark, events)
