@@ -336,16 +336,37 @@ def _tagger(shared: Broadcast) -> Tagger:
     return model.tagger
 
 
+def beyond(tagged: list[tuple[int, int]], base: list[tuple[int, int, str, int]]) -> list[tuple[int, int]]:
+    """The parts of the field's spans of 6 characters or more that no pattern's span covers; both lists by start."""
+    parts, at = [], 0
+    covered: list[list[int]] = []
+    for start, end, _, _ in base:
+        if covered and start <= covered[-1][1]:
+            covered[-1][1] = max(covered[-1][1], end)
+        else:
+            covered.append([start, end])
+    for start, end in tagged:
+        if end - start < LEAST["assign"]:
+            continue
+        while at < len(covered) and covered[at][1] <= start:
+            at += 1
+        i = at
+        while i < len(covered) and covered[i][0] < end:
+            if start < covered[i][0]:
+                parts.append((start, covered[i][0]))
+            start = covered[i][1]
+            i += 1
+        if start < end:
+            parts.append((start, end))
+    return parts
+
+
 def all_spans(tagger: Tagger, texts: list[str]) -> list[list[tuple[int, int, str, int]]]:
-    """The spans of the patterns, and those of the field that touch none of them and have 6 characters."""
+    """The spans of the patterns, and what the field's spans of 6 characters or more have beyond them."""
     out = []
     for text, tagged in zip(texts, tagger.spans(texts), strict=True):
         base = base_spans(text)
-        more = [
-            (a, b, TAGGED, a)
-            for a, b in tagged
-            if b - a >= LEAST["assign"] and not any(a < end and start < b for start, end, _, _ in base)
-        ]
+        more = [(a, b, TAGGED, a) for a, b in beyond(tagged, base)]
         out.append(sorted(base + more, key=lambda span: (span[0], (*KINDS, TAGGED).index(span[2]))))
     return out
 
@@ -378,9 +399,10 @@ def secrets(docs: DataFrame, model: Model, spark: SparkSession) -> DataFrame:
 
 
 def _masked(text: str, tagged: list[tuple[int, int]], mark: str) -> str:
-    """The text with what the patterns and the field find replaced, what overlaps or touches by one mark."""
-    values = [(value, end) for _, end, _, value in base_spans(text)]
-    values += [(a, b) for a, b in tagged if b - a >= LEAST["assign"]]
+    """The text with the values of the patterns' spans and what the field's have beyond replaced, what overlaps or
+    touches by one mark."""
+    base = base_spans(text)
+    values = [(value, end) for _, end, _, value in base] + beyond(tagged, base)
     parts, at, last = [], 0, -1
     for start, end in sorted(values):
         if start > last:
@@ -392,7 +414,7 @@ def _masked(text: str, tagged: list[tuple[int, int]], mark: str) -> str:
 def redacted(docs: DataFrame, model: Model, spark: SparkSession, mark: str = "[SECRET]") -> DataFrame:
     """The documents with each secret's value replaced by a mark; overlapping ones by one. All columns and rows stay.
 
-    Spans of the field that overlap a pattern's are replaced too. Null texts stay null.
+    What is replaced is the values of just the spans that ``secrets`` gives. Null texts stay null.
     """
     shared = spark.sparkContext.broadcast(model)
 

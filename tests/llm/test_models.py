@@ -230,3 +230,33 @@ def test_overlapping_secrets_are_masked_whole():
     text = f"see {value}.tail-of-it here"
     assert secret_crf._masked(text, [(4, 4 + len(value) + 11)], "[SECRET]") == "see [SECRET] here"
     assert secret_crf._masked("a secretone b secrettwo", [(2, 11), (14, 23)], "#") == "a # b #"
+
+
+def test_spans_beyond_the_patterns_equal_a_walk_over_characters():
+    rng = random.Random(8)
+    for _ in range(500):
+        cuts = sorted(rng.sample(range(80), 10))
+        tagged = [(cuts[i], cuts[i + 1]) for i in range(0, 10, 2)]
+        base = sorted((a, a + rng.randint(1, 20), "hex", a) for a in rng.sample(range(80), rng.randint(0, 6)))
+        covered = {i for a, b, _, _ in base for i in range(a, b)}
+        parts = secret_crf.beyond(tagged, base)
+        wanted = [[i for i in range(a, b) if i not in covered] for a, b in tagged if b - a >= 6]
+        assert [i for a, b in parts for i in range(a, b)] == [i for own in wanted for i in own]
+        assert all(a < b for a, b in parts) and parts == sorted(parts)
+
+
+def test_many_spans_of_one_text_take_no_time():
+    n = 100_000
+    base = [(20 * i, 20 * i + 5, "hex", 20 * i) for i in range(n)]
+    tagged = [(20 * i + 2, 20 * i + 12) for i in range(n)]
+    assert secret_crf.beyond(tagged, base) == [(20 * i + 5, 20 * i + 12) for i in range(n)]
+    assert secret_crf.beyond([(0, 20 * n)], base)[:2] == [(5, 20), (25, 40)]
+
+
+def test_what_is_masked_is_what_is_reported(field, spark):
+    texts = [f"password=abcdef{i}!Xy9kQ2mZ7 and token: {'0a' * 12}-Zq8{i}Lm2Rt6 here" for i in range(20)]
+    tagger = secret_crf.Tagger(field)
+    for text, spans, tagged in zip(texts, secret_crf.all_spans(tagger, texts), tagger.spans(texts), strict=True):
+        secret = {i for _, end, _, value in spans for i in range(value, end)}
+        left = [c for i, c in enumerate(text) if i not in secret]
+        assert [c for c in secret_crf._masked(text, tagged, "\0") if c != "\0"] == left
