@@ -21,6 +21,7 @@ from ridelake.operators import analytics
 from ridelake.operators.dedup import dedup_events
 from ridelake.operators.drivers import latest_location
 from ridelake.operators.incremental import SUMS, Sums
+from ridelake.operators.profile import merged, profile, report
 from ridelake.operators.quality import check_data_quality
 from ridelake.plans import bronze, gold, jobs, silver
 from ridelake.schemas import EVENT
@@ -29,6 +30,7 @@ from ridelake.sources import kafka, storage
 from ridelake.sources.lake import Lake
 from ridelake.streaming.bronze import start_bronze, start_sorted_bronze
 from ridelake.streaming.gold import refresh_sums
+from ridelake.streaming.metrics import StreamMetrics
 from ridelake.streaming.queries import await_all
 from ridelake.streaming.silver import publish_silver, start_silver
 
@@ -197,6 +199,19 @@ def _violations(events: DataFrame) -> DataFrame:
     return check_data_quality(spoilt, "events", EVENT, key="event_id")
 
 
+PROFILED = ("event_id", "driver_id", "latitude")
+
+
+def _profiled(events: DataFrame) -> DataFrame:
+    """Columns' profiles by event type, merged; whether their estimates are as near to the exact counts as they say."""
+    gaps = _with_gaps(events)
+    whole = report(merged(profile(gaps, PROFILED, by=["event_type"])), shares=[0.5])
+    exact = [F.struct(F.lit(c).alias("column_name"), F.count_distinct(c).alias("exact")) for c in PROFILED]
+    counts = gaps.agg(F.array(*exact).alias("each")).select(F.inline("each"))
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= 0.08 * F.col("exact")
+    return whole.join(counts, "column_name").select("column_name", "row_count", "nulls", near.alias("near"))
+
+
 # -- jobs, through files --------------------------------------------------------
 
 _MICROSECONDS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
@@ -299,6 +314,18 @@ def _after_streaming_job(events: DataFrame) -> DataFrame:
     return lake.read(spark, "gold", jobs.METRICS_TABLE).drop("processed_at")
 
 
+def _stream_metrics(events: DataFrame) -> DataFrame:
+    """What the bronze stream reports of itself, summed over its micro-batches."""
+    spark = events.sparkSession
+    root, lake = _scratch_lake(spark)
+    _messages(events).write.parquet(f"{root}/topic")
+    messages = spark.readStream.schema("value BINARY").option("maxFilesPerTrigger", 2).parquet(f"{root}/topic")
+    with StreamMetrics(spark, lake):
+        await_all([start_sorted_bronze(bronze.parse_events(messages), lake, trigger=_NOW)])
+    seen = lake.read(spark, "gold", StreamMetrics.TABLE).groupBy("query")
+    return seen.agg(F.sum("input_rows").alias("input_rows"), F.count("failure").alias("failures"))
+
+
 def _silver_in(lake: Lake, events: DataFrame) -> None:
     for name, table in _silver(events).items():
         silver.write_silver(table, lake, name)
@@ -365,6 +392,7 @@ JOBS = {
     **{f"streamed_{sums.name}": _streamed_gold(sums) for sums in SUMS},
     "bronze_replayed": _replayed,
     "stream_job_row_counts": _after_streaming_job,
+    "stream_metrics": _stream_metrics,
 }
 
 
@@ -404,6 +432,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bronze_quarantine": _quarantine_counts,
         "dedup_events": lambda events: dedup_events(_redelivered(events)),
         "data_quality_violations": _violations,
+        "data_quality_profile": _profiled,
         "latest_location": latest_location,
         "latest_location_ties": lambda events: latest_location(_with_gaps(events), ties="all"),
         "driver_ride_metrics": lambda events: analytics.driver_ride_metrics(silver.rides(events)),
@@ -649,6 +678,16 @@ def oracle_sql() -> dict[str, str]:
         "streamed_ride_geo_heatmap": _with(_RIDES, select=_GOLD["ride_geo_heatmap"]),
         "streamed_driver_ride_metrics": _with(_RIDES, select=_DRIVER_METRICS),
         "dedup_events": _with(select=f"SELECT {_COLUMNS} FROM ev"),
+        "data_quality_profile": _with(
+            select=" UNION ALL ".join(
+                f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS nulls, true AS near FROM ev"
+                for c in PROFILED
+            ),
+            events=_EV_WITH_GAPS,
+        ),
+        "stream_metrics": _with(
+            select="SELECT 'bronze_events' AS query, count(*) AS input_rows, CAST(0 AS BIGINT) AS failures FROM ev"
+        ),
         "bronze_quarantine": _with(
             select="""
             SELECT reason, count(*) AS messages, min(n) AS first_offset FROM (

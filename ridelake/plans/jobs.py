@@ -17,6 +17,7 @@ from ridelake.schemas import METRICS
 from ridelake.sources.lake import Lake
 from ridelake.streaming.bronze import start_bronze
 from ridelake.streaming.gold import refresh_ride_gold
+from ridelake.streaming.metrics import StreamMetrics
 from ridelake.streaming.queries import await_all
 from ridelake.streaming.silver import publish_silver, start_silver
 
@@ -135,12 +136,14 @@ def run_streaming(
     refresh_seconds: float = 600,
     as_of: AsOf = None,
     bronze_writer: Callable[..., StreamingQuery] = start_bronze,
+    metrics: StreamMetrics | None = None,
     **silver_options,
 ) -> list[StreamingQuery]:
     """Stream until the queries end, refreshing gold every so often and at the end.
 
     Without a ``trigger`` the run is bounded: what is there now goes through
-    bronze, then silver, then gold. Gives the queries that failed; when one does, the others are
+    bronze, then silver, then gold. With ``metrics``, what the queries report is written to their table at each
+    refresh and at the end. Gives the queries that failed; when one does, the others are
     stopped and nothing is published any more, so that gold never comes from silver tables of
     different progress. If a refresh raises, all queries are stopped before the error goes on.
     """
@@ -159,10 +162,14 @@ def run_streaming(
         def refresh_when_due() -> None:
             nonlocal due
             if time.monotonic() >= due:
+                if metrics:
+                    metrics.write()
                 refresh(spark, lake, as_of)
                 due = time.monotonic() + refresh_seconds
 
         failed = await_all(queries, between_polls=refresh_when_due, stop_on_failure=True)
+    if metrics:
+        metrics.write()
     if not failed:
         refresh(spark, lake, as_of)
     return failed

@@ -91,3 +91,15 @@ METRICS = StructType(
         ("processed_at", TimestampType(), False),
     )
 )
+
+STREAM_METRICS = StructType(
+    _fields(
+        ("query", StringType(), True),
+        ("run_id", StringType(), False),
+        ("batch_id", LongType(), True),
+        ("input_rows", LongType(), False),
+        ("batch_seconds", DoubleType(), True),
+        ("failure", StringType(), True),
+        ("observed_at", TimestampType(), False),
+    )
+)
