@@ -7,14 +7,15 @@ texts is one sequence of classes that is cut into chunks; every chunk's map from
 once for all chunks, the maps are composed by a parallel prefix scan, and with each chunk's entry state known all
 chunks run in step and mark where pieces begin.
 
-Only this cutting is a compiled transducer. Tokens of a piece are counted by the vocabulary's merges, lowest rank first,
-for all new pieces at once: a later byte can change earlier merges, so a piece is merged whole. A dictionary from
-pieces to counts keeps up to ``TRANSITIONS`` of them, others are merged again for each slice; a text's count is the sum
-of its pieces'.
+The second (``Counting``) reads a piece byte by byte; each transition says by how much the byte changes the number of
+tokens, which is also less than nothing, as a later byte can undo tokens. It is back in its first state wherever a
+piece begins, so a piece's map is one number, and these are composed by a prefix sum. The maps of up to ``PIECES``
+pieces are kept.
 """
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 import unicodedata
@@ -29,11 +30,10 @@ from pyspark.sql import functions as F
 from ridelake.llm.common import extended, in_batches, slices, strings, with_columns
 
 CHUNK = 512
-TRANSITIONS = 250_000
-#: Longer pieces are merged one by one, with a queue.
-LONG = 64
-NONE = 1 << 40
-_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+#: Pieces whose counts are kept, states that are, and pairs of tokens known to stand side by side or not.
+PIECES = 250_000
+STATES = 150_000
+PAIRS = 250_000
 
 # -- the transducer that cuts pieces ---------------------------------------------
 
@@ -115,6 +115,12 @@ def piece_starts(kinds: np.ndarray, chunk: int = CHUNK) -> np.ndarray:
 # -- the transducer that counts --------------------------------------------------
 
 
+#: The first node of the tree of tokens, what is before the first token, and the rank of no merge.
+ROOT, NOTHING, NEVER = 0, -1, 1 << 40
+_BYTE = -1, NOTHING, NOTHING
+_ZERO, _BELOW_NODE = 1 << 15, (1 << 36) - 1
+
+
 class Vocabulary:
     """A byte-level BPE: its merges, and the special strings that are tokens within texts."""
 
@@ -122,80 +128,27 @@ class Vocabulary:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         ids = spec["model"]["vocab"]
-        self.merges = {}
-        for rank, (one, other) in enumerate(m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]):
-            self.merges[ids[one], ids[other]] = rank, ids[one + other]
-        if max(ids.values(), default=0) >= 1 << 16:
-            raise ValueError("pairs of tokens are numbered by 16 bits each: the vocabulary has more ids")
         cutter = spec.get("pre_tokenizer") or {}
         if cutter.get("type") != "ByteLevel" or cutter.get("add_prefix_space") or not cutter.get("use_regex", True):
             raise ValueError(f"texts are cut by the byte-level rule only, not by {cutter}")
-        self.merged = np.array([new for _, new in self.merges.values()])
-        self.slots = self._hashed()
-        self.bytes = [ids[char] for char in _byte_characters()]
-        self.of_byte = np.array(self.bytes)
+        of_character = {char: byte for byte, char in enumerate(_byte_characters())}
+        self.bytes = [ids[char] for char in of_character]
+        self.spelled = {ids[char]: bytes([byte]) for char, byte in of_character.items()}
+        self.merges, self.made = {}, {}
+        for rank, (one, other) in enumerate(m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]):
+            new = ids[one + other]
+            if new in self.spelled or ids[one] not in self.spelled or ids[other] not in self.spelled:
+                raise ValueError(f"merge {rank} makes a token anew or of tokens that no merge before it makes")
+            self.merges[ids[one], ids[other]], self.made[new] = (rank, new), (rank, ids[one], ids[other])
+            self.spelled[new] = self.spelled[ids[one]] + self.spelled[ids[other]]
         self.special = [token["content"] for token in spec["added_tokens"]]
 
-    def _found(self, one: np.ndarray, other: np.ndarray) -> np.ndarray:
-        """The rank of the merge of each pair of tokens, NONE if there is none."""
-        key = one * 65_536 + other
-        rank = np.full(key.shape, NONE)
-        for keys, ranks, shift in self.slots:
-            slot = (key.view(np.uint64) * _SPREAD) >> shift
-            rank = np.where(keys[slot] == key, ranks[slot], rank)
-        return rank
-
-    def _hashed(self) -> list[tuple[np.ndarray, np.ndarray, np.uint64]]:
-        """Tables from pairs to ranks; of pairs that share a slot of one table all but one go to the next."""
-        pairs = np.array(list(self.merges), dtype=np.int64)
-        left, ranks = pairs[:, 0] * 65_536 + pairs[:, 1], np.array([rank for rank, _ in self.merges.values()])
-        tables, bits = [], 22
-        while len(left):
-            shift = np.uint64(64 - bits)
-            slot = (left.view(np.uint64) * _SPREAD) >> shift
-            keys, held = np.full(1 << bits, -1), np.zeros(1 << bits, dtype=np.int64)
-            keys[slot], held[slot] = left, ranks
-            tables.append((keys, held, shift))
-            lost = keys[slot] != left
-            left, ranks, bits = left[lost], ranks[lost], bits - 1
-        return tables
-
-    def emitted(self, pieces: list[str]) -> np.ndarray:
-        """The number of tokens of each piece: of the pairs at hand the merge of lowest rank comes first, leftmost first.
-
-        Pieces of one length are merged in step, so that a round takes one token from each.
-        """
-        encoded = [piece.encode() for piece in pieces]
-        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        counts = lengths.copy()
-        for length in np.unique(lengths[lengths > 1]):
-            rows = np.flatnonzero(lengths == length)
-            if length > LONG:
-                counts[rows] = [self._emitted_long([self.bytes[b] for b in encoded[row]]) for row in rows]
-                continue
-            raw = np.frombuffer(b"".join([encoded[row] for row in rows]), dtype=np.uint8)
-            ids = self.of_byte[raw].reshape(-1, length)
-            while ids.shape[1] > 1:
-                rank = self._found(ids[:, :-1], ids[:, 1:])
-                at = rank.argmin(axis=1)
-                best = rank[np.arange(len(ids)), at]
-                more = best < NONE
-                rows, ids, at, best = rows[more], ids[more], at[more], best[more]
-                if not len(rows):
-                    break
-                each = np.arange(len(ids))
-                ids[each, at] = self.merged[best]
-                stay = np.ones(ids.shape, dtype=bool)
-                stay[each, at + 1] = False
-                ids = ids[stay].reshape(len(ids), -1)
-                counts[rows] -= 1
-        return counts
-
-    def _emitted_long(self, ids: list[int]) -> int:
-        """The same with a queue of pairs, for pieces of any length."""
+    def tokens(self, text: bytes) -> list[int]:
+        """Of the pairs at hand the merge of lowest rank comes first, leftmost first."""
+        ids = [self.bytes[byte] for byte in text]
         after = list(range(1, len(ids) + 1))
         before = list(range(-1, len(ids) - 1))
-        merges, queue, count = self.merges, [], len(ids)
+        merges, queue = self.merges, []
 
         def offer(at: int) -> None:
             if at >= 0 and after[at] < len(ids) and (found := merges.get((ids[at], ids[after[at]]))):
@@ -211,12 +164,126 @@ class Vocabulary:
             ids[at], ids[nxt], after[at] = new, -1, after[nxt]
             if after[at] < len(ids):
                 before[after[at]] = at
-            count -= 1
             offer(before[at])
             offer(at)
+        return [token for token in ids if token >= 0]
+
+    def apart(self, one: int, other: int) -> bool:
+        """Whether no merge joins the last bytes of one token with the first of another that stands behind it.
+
+        A merge comes after those that make its parts, so ranks never fall while a text is merged. At the rank of a merge
+        across the border each side there is what was made before and isn't part of more until then; where both
+        sides' next merge is this one too (of a token with itself), the leftmost is first.
+        """
+        until_one = until_other = NEVER
+        while True:
+            rank, _ = self.merges.get((one, other), (NEVER, NOTHING))
+            if rank < until_one and rank <= until_other:
+                return False
+            (rank_one, _, end), (rank_other, begin, _) = self.made.get(one, _BYTE), self.made.get(other, _BYTE)
+            if rank_one == rank_other == -1:
+                return True
+            if rank_one > rank_other:
+                until_one, one = rank_one, end
+            else:
+                until_other, other = rank_other, begin
+
+
+class Counting:
+    """The transducer from a piece's bytes to its number of tokens, compiled as far as texts need it.
+
+    Tokens are those of the merges just when any two neighbours are what the merges make of their bytes. So the tokens
+    of what was read end in one token only that begins where its forerunners' tokens end and that may follow the last
+    of them. A state holds every place where a token may have begun that isn't over yet: its node in the tree of
+    tokens, the token before it, and how many tokens there are up to it, more or less than up to here. A byte moves all
+    nodes on; the one that now ends in a token which may follow says how many tokens there are. Nodes, tokens and
+    differences are bounded by the vocabulary, so the states are finite. They are made when first reached, and made
+    anew when there are ``STATES``, which changes no count.
+    """
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        self.vocabulary = vocabulary
+        self.children: dict[int, int] = {}
+        self.ends = [NOTHING]
+        if max(map(len, vocabulary.spelled.values())) >= _ZERO or max(vocabulary.spelled) >= 1 << 20:
+            raise ValueError("places are kept as numbers of 20 bits for a token and 16 bits for its length")
+        for token, spelled in vocabulary.spelled.items():
+            node = ROOT
+            for byte in spelled:
+                found = self.children.setdefault(node << 8 | byte, len(self.ends))
+                if found == len(self.ends):
+                    self.ends.append(NOTHING)
+                node = found
+            self.ends[node] = token
+        self.inner = {key >> 8 for key in self.children}
+        self.pairs: dict[int, bool] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.held: list[tuple[int, ...]] = []
+        self.states: dict[tuple[int, ...], int] = {}
+        self.transitions: dict[int, int] = {}
+        self._state((_place(ROOT, NOTHING),))
+
+    def _state(self, held: tuple[int, ...]) -> int:
+        state = self.states.setdefault(held, len(self.held))
+        if state == len(self.held):
+            self.held.append(held)
+        return state
+
+    def _may_follow(self, before: int, token: int) -> bool:
+        pair = before + 1 << 20 | token
+        found = self.pairs.get(pair)
+        if found is None:
+            if len(self.pairs) >= PAIRS:
+                self.pairs.clear()
+            if before == NOTHING:
+                found = self.vocabulary.tokens(self.vocabulary.spelled[token]) == [token]
+            else:
+                found = self._may_follow(NOTHING, token) and self.vocabulary.apart(before, token)
+            self.pairs[pair] = found
+        return found
+
+    def _compiled(self, state: int, byte: int) -> int:
+        """The transition of a state by a byte: the next state and the change of the number of tokens, in one number."""
+        held = self.held[state]
+        if len(self.held) >= STATES:
+            self._forget()
+            state = self._state(held)
+        children, ends, inner = self.children, self.ends, self.inner
+        moved, last, change = [], NOTHING, 0
+        for place in held:
+            node = children.get(place >> 36 << 8 | byte)
+            if node is None:
+                continue
+            token = ends[node]
+            if last == NOTHING and token != NOTHING and self._may_follow((place >> 16 & 0xFFFFF) - 1, token):
+                last, change = token, (place & 0xFFFF) - _ZERO + 1
+            if node in inner:
+                moved.append(node << 36 | place & _BELOW_NODE)
+        # Numbers of tokens are the lowest bits, so that subtracting from them leaves the others.
+        held = (*[place - change for place in moved], _place(ROOT, last))
+        found = self.transitions[state << 8 | byte] = self._state(held) << 16 | change + _ZERO
+        return found
+
+    def emitted(self, piece: bytes) -> int:
+        """The number of tokens of a piece of any length."""
+        transitions, state, count = self.transitions, 0, 0
+        for byte in piece:
+            found = transitions.get(state << 8 | byte)
+            if found is None:
+                found = self._compiled(state, byte)
+                transitions = self.transitions
+            state = found >> 16
+            count += (found & 0xFFFF) - _ZERO
         return count
 
 
+def _place(node: int, before: int) -> int:
+    """A place in a state: the node, the token before, and no tokens more or less than up to here."""
+    return node << 36 | before + 1 << 16 | _ZERO
+
+
 def _byte_characters() -> list[str]:
     """The printable character that stands for each byte in vocabulary files."""
     plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -225,7 +292,7 @@ def _byte_characters() -> list[str]:
 
 
 class _Passing(dict):
-    """Transitions of one slice, before those that are kept."""
+    """Counts of one slice, before those that are kept."""
 
     def __init__(self, kept: dict[str, int]) -> None:
         super().__init__()
@@ -238,18 +305,18 @@ class _Passing(dict):
 class TokenCounter:
     def __init__(self, path: str) -> None:
         self.vocabulary = Vocabulary(path)
-        self.transitions: dict[str, int] = {}
+        self.counting = Counting(self.vocabulary)
+        self.known: dict[str, int] = {}
 
     def _tokens(self, pieces: list[str]) -> np.ndarray:
-        """What the transition of each piece emits; those that are new are compiled together."""
-        known = self.transitions
-        new = list(set(pieces).difference(known))
-        compiled = zip(new, self.vocabulary.emitted(new).tolist(), strict=True)
-        if len(known) + len(new) <= TRANSITIONS:
-            known.update(compiled)
+        """The number of tokens of each piece; new ones are read once each."""
+        known = self.known
+        new = {piece: self.counting.emitted(piece.encode()) for piece in set(pieces).difference(known)}
+        if len(known) + len(new) <= PIECES:
+            known.update(new)
         else:
             known = _Passing(known)
-            known.update(compiled)
+            known.update(new)
         return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
 
     def _cut(self, text: str) -> tuple[list[str], int]:
@@ -285,7 +352,10 @@ class TokenCounter:
 
 @lru_cache(maxsize=2)
 def _counter(path: str) -> TokenCounter:
-    return TokenCounter(path)
+    counter = TokenCounter(path)
+    # The vocabulary's tables stay as long as the process does, so the collector needn't go through them again and again.
+    gc.freeze()
+    return counter
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
