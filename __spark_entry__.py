@@ -30,6 +30,8 @@ from ridelake.sources import kafka, storage
 from ridelake.sources.lake import Lake
 from ridelake.streaming.bronze import start_bronze, start_sorted_bronze
 from ridelake.streaming.gold import refresh_sums
+from ridelake.streaming.locations import TABLE as LOCATIONS
+from ridelake.streaming.locations import start_latest_locations
 from ridelake.streaming.metrics import StreamMetrics
 from ridelake.streaming.queries import await_all
 from ridelake.streaming.silver import publish_silver, start_silver
@@ -281,6 +283,20 @@ def _after_stream(name: str, write_bronze: Callable = start_bronze, **options) -
     return transform
 
 
+def _tied_locations(events: DataFrame) -> DataFrame:
+    """All last updates of drivers after the stream read bronze in slices."""
+    spark = events.sparkSession
+    root, lake = _scratch_lake(spark)
+    _messages(events).write.parquet(f"{root}/topic")
+    messages = spark.readStream.schema("value BINARY").parquet(f"{root}/topic")
+    failed = await_all([start_bronze(bronze.parse_events(messages), lake, trigger=_NOW)])
+    slice_bytes = max(input_bytes(bronze.read_events(spark, lake)) // 3, 1)
+    failed += await_all([start_latest_locations(spark, lake, trigger=_NOW, maxBytesPerTrigger=str(slice_bytes))])
+    if failed:
+        raise RuntimeError(f"failed: {[query.name for query in failed]}")
+    return lake.read(spark, "silver", LOCATIONS).select("driver_id", "latitude", "longitude")
+
+
 def _streamed_gold(sums: Sums) -> Callable[[DataFrame], DataFrame]:
     """A table of rides' sums after two halves of the events: built from one, brought up to date with the other."""
 
@@ -390,6 +406,7 @@ JOBS = {
     "stream_drivers_sorted_bronze": _after_stream("drivers", start_sorted_bronze),
     "stream_customers_redelivered": lambda events: _after_stream("customers", deduplicate=True)(_redelivered(events)),
     **{f"streamed_{sums.name}": _streamed_gold(sums) for sums in SUMS},
+    "stream_latest_location_ties": lambda events: _tied_locations(_with_gaps(events)),
     "bronze_replayed": _replayed,
     "stream_job_row_counts": _after_streaming_job,
     "stream_metrics": _stream_metrics,
@@ -730,6 +747,7 @@ def oracle_sql() -> dict[str, str]:
             select=_quality(("event_id", "event_type", "event_timestamp", "source"), "event_id", 1), events=_EV_SPOILT
         ),
         "latest_location": _with(_LATEST, select="SELECT * FROM latest"),
+        "stream_latest_location_ties": _with(_LATEST_TIES, select="SELECT * FROM latest", events=_EV_WITH_GAPS),
         "latest_location_ties": _with(_LATEST_TIES, select="SELECT * FROM latest", events=_EV_WITH_GAPS),
         "driver_ride_metrics": _with(_RIDES, select=_DRIVER_METRICS),
         "last_ride_per_customer": _with(

@@ -34,6 +34,19 @@ DRIVER = Entity(
 )
 
 
+def location_updates(events: DataFrame) -> DataFrame:
+    """(driver_id, event_timestamp, latitude, longitude) of each location update."""
+    return events.filter(event_is(_LOCATED)).select("driver_id", "event_timestamp", *_PLACE)
+
+
+def last_updates(updates: DataFrame) -> DataFrame:
+    """Of each driver those updates that have the latest time; those of some parts put together, these of the whole."""
+    # Joined on driver and time, not ranked in a window, so that Spark can split a driver with most of the rows.
+    last = updates.groupBy(F.col("driver_id").alias("_driver")).agg(F.max("event_timestamp").alias("_at"))
+    same = F.col("driver_id").eqNullSafe(F.col("_driver")) & F.col("event_timestamp").eqNullSafe(F.col("_at"))
+    return updates.join(last, same).drop("_driver", "_at")
+
+
 def latest_location(events: DataFrame, ties: str = "one") -> DataFrame:
     """(driver_id, latitude, longitude) of each driver's last location update.
 
@@ -45,8 +58,5 @@ def latest_location(events: DataFrame, ties: str = "one") -> DataFrame:
         last = updates.groupBy("driver_id").agg(F.max(F.expr(latest_sighting(*_PLACE))).alias("location"))
         return last.select("driver_id", *[f"location.{value}" for value in _PLACE])
     if ties == "all":
-        # Joined on driver and time, not ranked in a window, so that Spark can split a driver with most of the rows.
-        last = updates.groupBy(F.col("driver_id").alias("_driver")).agg(F.max("event_timestamp").alias("_at"))
-        same = F.col("driver_id").eqNullSafe(F.col("_driver")) & F.col("event_timestamp").eqNullSafe(F.col("_at"))
-        return updates.join(last, same).select("driver_id", *_PLACE)
+        return last_updates(updates).select("driver_id", *_PLACE)
     raise ValueError(f"ties must be 'one' or 'all', not {ties!r}")
