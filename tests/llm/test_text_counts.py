@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ridelake.llm import license_scan, line_quality, token_counts
+from ridelake.llm import license_scan, line_quality, queries, token_counts
 
 tokenizers = pytest.importorskip("tokenizers")
 files = pytest.importorskip("public_tokenizers")
@@ -162,6 +162,48 @@ def test_a_growing_host_brings_no_removed_line_back(spark):
     assert removed[0] == removed[1] == removed[2] == {(k, 11) for k in range(12)}
 
 
+def test_query_counts_documents_not_texts(spark, tmp_path):
+    """Copies with ids of their own are documents; a row that comes many times is one, and so are equal texts without ids."""
+    line = "this very line stands in many documents of one host"
+    texts = {name: f"{line}\nand words of its own that only the text called {name} has" for name in ("one", "two", "three", "four", "rare")}
+    rows = [(k, texts["one"], "a") for k in range(21)] + [(100, f"{texts['rare']}\n{line.upper()}", "a")]
+    rows += [(k, texts["two"], None) for k in range(200, 225)]
+    rows += [(300, texts["one"], "b")] * 30 + [(None, texts["three"], "c")] * 30 + [(k, texts["four"], "d") for k in range(400, 420)]
+    whole = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    whole.write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op8_quality_rules(spark, str(tmp_path)).collect()
+    assert len(found) == len(rows)
+    expected = {**dict.fromkeys([*range(21), *range(200, 225)], (22, False)), 100: (20, False)}
+    expected |= {300: (0, True), None: (0, True), **dict.fromkeys(range(400, 420), (0, True))}
+    assert {r.doc_id: (r.n_removed_words, r.kept) for r in found} == expected
+
+
+@pytest.mark.parametrize("count_copies", [False, True])
+def test_shared_lines_equal_plain_counting(spark, count_copies):
+    rng = random.Random(5)
+    rows = []
+    pool = ["A  b", "a b", " ", "c d e", "f", *(f"x{k}" for k in range(60))]
+    for n in range(400):
+        own = " ".join(f"own{n}x{k}" for k in range(6))
+        text = None if rng.random() < 0.05 else "\n".join([own, *rng.choices(pool, k=rng.randrange(5))])
+        for _ in range(rng.choice([1, 1, 1, 2, 6, 20])):
+            rows += [(rng.choice([None, rng.randrange(150), rng.randrange(150)]), text, rng.choice([None, "a", "b"]))] * rng.choice([1, 1, 3])
+    docs, limit = spark.createDataFrame(rows, "doc_id long, text string, source string"), 4
+    holders = {}
+    for doc_id, text, source in rows:
+        for line in (text or "").split("\n"):
+            if plain := " ".join(line.lower().split()):
+                holders.setdefault((source, plain), set()).add((doc_id, text) if count_copies else text)
+    shared = {key for key, own in holders.items() if len(own) > limit}
+    expected = Counter()
+    for doc_id, text, source in rows:
+        words = [(line.lower().split(), len(line.split())) for line in (text or "").split("\n")]
+        expected[doc_id, len((text or "").split()), sum(n for plain, n in words if (source, " ".join(plain)) in shared)] += 1
+    found = line_quality.quality_rules(docs, line_docs=limit, count_copies=count_copies).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_removed_words) for r in found) == expected
+    assert 10 < len(shared) < len(holders)
+
+
 def test_quality_of_odd_rows(spark):
     docs = documents(spark, [None, "", "few words"], None).withColumn("kept", F.lit("mine")).withColumn("host", F.lit(1))
     found = line_quality.quality_rules(docs.unionByName(docs)).collect()
